@@ -81,20 +81,34 @@ def head_weights(model: Model, margin: float = 1.0) -> list[float]:
     return [scale * float(w) for w in model.coefficients.toArray()]
 
 
+def once(df: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """Add columns that are worked out once per row.
+
+    A one-element generator keeps later filters and projections from copying the
+    expressions to each place where the result is used.
+    """
+    row = F.struct(*[c.alias(n) for n, c in values.items()])
+    return df.select("*", F.inline(F.array(row)))
+
+
 def score_features(df: DataFrame, weights: list[float], columns: dict[str, str], bias: float = 0.0) -> DataFrame:
     """Add a reward per feature column (``columns``: features -> reward)."""
     w = F.array(*[F.lit(x) for x in weights])
-    return df.withColumns({out: dot(F.col(c).cast("array<double>"), w, bias) for c, out in columns.items()})
+    return once(df, {out: dot(F.col(c).cast("array<double>"), w, bias) for c, out in columns.items()})
 
 
 def score_texts(
-    df: DataFrame, features: Callable[[Column], Column], weights: list[float], prompt: str = "prompt", response: str = "response",
-    sep: str = " ", bias: float = 0.0, name: str = "reward",
+    df: DataFrame, features: Callable[[Column], Column], weights: list[float], responses: dict[str, str],
+    prompt: str = "prompt", sep: str = " ", bias: float = 0.0,
 ) -> DataFrame:
-    """Reward of prompt + response; ``features`` maps a text Column to an array Column."""
-    text = compose(prompt, default_text(response), sep)
+    """Add a reward of prompt + response per response column (``responses``: response -> reward).
+
+    ``features`` maps a text Column to an array Column.
+    """
     w = F.array(*[F.lit(float(x)) for x in weights])
-    return df.withColumn(name, dot(features(text), w, bias))
+    texts = once(df, {f"_{out}": compose(prompt, default_text(c), sep) for c, out in responses.items()})
+    scored = once(texts, {out: dot(features(F.col(f"_{out}")), w, bias) for out in responses.values()})
+    return scored.drop(*[f"_{out}" for out in responses.values()])
 
 
 def mean_loss(df: DataFrame, loss: str, margin: float = 0.0) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+from collections import Counter
 from collections.abc import Callable
 from functools import reduce
 
@@ -40,10 +41,9 @@ BLOCK_SALTS = 16
 
 
 def pair_by_item(predictions: DataFrame, references: DataFrame, key: str = "item_id") -> DataFrame:
-    """Predictions and references of the same item: both sides are placed by key once."""
-    left = predictions.select(key, F.col("text").alias("prediction")).repartition(key)
-    right = references.select(key, F.col("text").alias("reference")).repartition(key)
-    return left.join(right, key)
+    """Predictions and references of the same item in one row."""
+    left = predictions.select(key, F.col("text").alias("prediction"))
+    return left.join(references.select(key, F.col("text").alias("reference")), key)
 
 
 # --- BLEU ------------------------------------------------------------------
@@ -58,40 +58,48 @@ def bleu_tokens(col: Column | str) -> Column:
     return words(col)
 
 
-def _grams(tokens: Column, side: int) -> Column:
-    """All n-grams of orders 1 to 4 as (n, gram, side) structs."""
-    def order(n: int) -> Column:
-        starts = F.when(F.size(tokens) >= n, F.sequence(F.lit(1), F.size(tokens) - n + 1)).otherwise(
-            F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.struct(
-            F.lit(n).alias("n"), F.array_join(F.slice(tokens, i, n), " ").alias("gram"), F.lit(side).alias("side")))
-    return F.concat(*[order(n) for n in range(1, MAX_ORDER + 1)])
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _shared_grams(p: pd.Series, r: pd.Series) -> pd.Series:
+    """N-grams that two token lists have in common, with repetition, for orders 1 to 4."""
+    shared = []
+    for left, right in zip(p, r):
+        a, b = list(left), list(right)
+        both = (Counter(zip(*(a[i:] for i in range(n)))) & Counter(zip(*(b[i:] for i in range(n))))
+                for n in range(1, MAX_ORDER + 1))
+        shared.append([c.total() for c in both])
+    return pd.Series(shared)
 
 
-def bleu_counts(pairs: DataFrame, key: str = "item_id") -> DataFrame:
-    """Per order: matched and total n-grams of the predictions, and both lengths in tokens.
+def bleu_counts(pairs: DataFrame) -> DataFrame:
+    """Per order: matched and total n-grams of the predictions, and n-grams of the references.
 
-    Rows are placed by item first, so grouping by (item, order, n-gram) needs no
-    further shuffle: n-grams stay where their text is.
+    Both texts of an item are in one row, so n-grams are counted where they are
+    and only twelve sums per task are shuffled.
     """
-    tokens = pairs.repartition(key).select(
-        key, bleu_tokens("prediction").alias("p"), bleu_tokens("reference").alias("r"))
-    grams = tokens.select(key, F.explode(F.concat(_grams(F.col("p"), 0), _grams(F.col("r"), 1))).alias("g"))
-    counted = grams.groupBy(key, F.col("g.n").alias("n"), F.col("g.gram").alias("gram")).agg(
-        F.count_if(F.col("g.side") == 0).alias("in_p"), F.count_if(F.col("g.side") == 1).alias("in_r"))
-    return counted.groupBy("n").agg(
-        F.sum(F.least("in_p", "in_r")).alias("matched"),
-        F.sum("in_p").alias("total"), F.sum("in_r").alias("total_ref"))
+    tokens = pairs.select(bleu_tokens("prediction").alias("p"), bleu_tokens("reference").alias("r"))
+    counts = tokens.select(
+        F.size("p").alias("np"), F.size("r").alias("nr"), _shared_grams("p", "r").alias("shared"))
+
+    def total(size: str, n: int) -> Column:
+        return F.coalesce(F.sum(F.greatest(F.col(size) - (n - 1), F.lit(0))), F.lit(0))
+
+    orders = [
+        F.struct(
+            F.lit(n).alias("n"), F.coalesce(F.sum(F.col("shared")[n - 1]), F.lit(0)).alias("matched"),
+            total("np", n).alias("total"), total("nr", n).alias("total_ref"))
+        for n in range(1, MAX_ORDER + 1)
+    ]
+    return counts.agg(F.array(*orders).alias("orders")).select(F.inline("orders"))
 
 
-def corpus_bleu(pairs: DataFrame, key: str = "item_id") -> DataFrame:
+def corpus_bleu(pairs: DataFrame) -> DataFrame:
     """Corpus BLEU (0 to 100) with brevity penalty and exponential smoothing."""
-    by_order = bleu_counts(pairs, key)
+    orders = bleu_counts(pairs)
 
     def pick(n: int, c: str) -> Column:
-        return F.coalesce(F.sum(F.when(F.col("n") == n, F.col(c))), F.lit(0)).alias(f"{c}_{n}")
+        return F.sum(F.when(F.col("n") == n, F.col(c))).alias(f"{c}_{n}")
 
-    wide = by_order.agg(*[pick(n, c) for n in range(1, MAX_ORDER + 1) for c in ("matched", "total", "total_ref")])
+    wide = orders.agg(*[pick(n, c) for n in range(1, MAX_ORDER + 1) for c in ("matched", "total", "total_ref")])
     # Lengths in tokens are the unigram totals. A zero count halves the precision once more each time.
     logs, zeros, any_match = F.lit(0.0), F.lit(0), F.lit(0)
     for n in range(1, MAX_ORDER + 1):

@@ -27,18 +27,21 @@ def build_vocabulary(df: DataFrame, text: str, size: int, reserved: int = 2) ->
 
 
 def encode(
-    df: DataFrame, text: str, vocabulary: DataFrame, key: str,
+    df: DataFrame, texts: dict[str, str], vocabulary: DataFrame, key: str,
     unknown_id: int = 1, broadcast_entries: int = BROADCAST_ENTRIES,
 ) -> DataFrame:
-    """Add ``input_ids``; tokens outside the vocabulary get ``unknown_id``.
+    """Add token ids per text column (``texts``: text -> ids); unknown tokens get ``unknown_id``.
 
     A vocabulary up to ``broadcast_entries`` entries is sent to the executors and
     looked up column-wise, without any shuffle of text. A larger one is joined.
     """
     rows = vocabulary.select("token", "token_id").limit(broadcast_entries + 1).toArrow()
     if rows.num_rows <= broadcast_entries:
-        return df.withColumn("input_ids", _lookup(rows, unknown_id)(K.token_texts(text)))
-    return _encode_by_join(df, text, vocabulary, key, unknown_id)
+        look_up = _lookup(rows, unknown_id)
+        return df.withColumns({ids: look_up(K.token_texts(text)) for text, ids in texts.items()})
+    for text, ids in texts.items():
+        df = _encode_by_join(df, text, ids, vocabulary, key, unknown_id)
+    return df
 
 
 def _lookup(rows: pa.Table, unknown_id: int):
@@ -57,19 +60,23 @@ def _lookup(rows: pa.Table, unknown_id: int):
     return look_up
 
 
-def _encode_by_join(df: DataFrame, text: str, vocabulary: DataFrame, key: str, unknown_id: int) -> DataFrame:
-    """Count-free join route: distinct tokens per row are matched, then put back in place.
+def _encode_by_join(
+    df: DataFrame, text: str, ids: str, vocabulary: DataFrame, key: str, unknown_id: int
+) -> DataFrame:
+    """Places of each token are listed per (row, token), matched by token, and put back in order.
 
-    Each row's distinct tokens are grouped by (row, token) first, so a frequent
-    token meets the vocabulary once per row, and adaptive execution can split it.
+    A frequent token meets the vocabulary once per row, and the join, whose
+    vocabulary side is unique, may be split where one token has most rows.
     """
     places = df.select(key, F.posexplode(K.token_texts(text)).alias("pos", "token"))
-    matched = places.join(vocabulary.select("token", "token_id"), "token", "left")
-    item = F.struct("pos", F.coalesce("token_id", F.lit(unknown_id)).cast("int").alias("id"))
-    ids = matched.groupBy(key).agg(F.array_sort(F.collect_list(item)).alias("items"))
-    found = ids.select(key, F.transform("items", lambda x: x["id"]).alias("input_ids"))
+    grouped = places.groupBy(key, "token").agg(F.collect_list("pos").alias("places"))
+    matched = grouped.join(vocabulary.select("token", "token_id"), "token", "left")
+    token_id = F.coalesce("token_id", F.lit(unknown_id)).cast("int")
+    item = matched.select(key, F.transform("places", lambda p: F.struct(p.alias("pos"), token_id.alias("id"))).alias("items"))
+    merged = item.groupBy(key).agg(F.array_sort(F.flatten(F.collect_list("items"))).alias("items"))
+    found = merged.select(key, F.transform("items", lambda x: x["id"]).alias(ids))
     empty = F.when(F.col(text).isNotNull(), F.array().cast("array<int>"))
-    return df.join(found, key, "left").withColumn("input_ids", F.coalesce("input_ids", empty))
+    return df.join(found, key, "left").withColumn(ids, F.coalesce(ids, empty))
 
 
 def pad_fixed(df: DataFrame, ids: str, mask: str, max_length: int, pad_id: int = 0) -> DataFrame:
@@ -106,7 +113,7 @@ def collate(df: DataFrame, keys: list[str], batch_size: int, columns: list[str])
     batched = assign_batches(df.select(*dict.fromkeys(keys + columns)), keys, batch_size)
     item = F.struct("idx", *columns)
     stacked = batched.groupBy("batch_id").agg(F.array_sort(F.collect_list(item)).alias("items"))
-    return stacked.select("batch_id", *[F.transform("items", lambda x, c=c: x[c]).alias(c) for c in columns])
+    return stacked.select("batch_id", *[F.col(f"items.{c}").alias(c) for c in columns])
 
 
 def causal_labels(df: DataFrame, ids: str = "input_ids") -> DataFrame:

@@ -86,7 +86,7 @@ def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _documents_encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return T.encode(docs, "text", T.build_vocabulary(docs, "text", VOCABULARY), "doc_id")
+    return T.encode(docs, {"text": "input_ids"}, T.build_vocabulary(docs, "text", VOCABULARY), "doc_id")
 
 
 _ENCODED = f"{_vocabulary_sql('documents')}, {_encoded_sql('documents', 'doc_id', 'text')}"
@@ -103,7 +103,7 @@ def encoded_documents_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The route for vocabularies above the broadcast bound."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     words = T.build_vocabulary(docs, "text", VOCABULARY)
-    df = T.encode(docs, "text", words, "doc_id", broadcast_entries=VOCABULARY - 1)
+    df = T.encode(docs, {"text": "input_ids"}, words, "doc_id", broadcast_entries=VOCABULARY - 1)
     return df.select("doc_id", F.size("input_ids").cast("long").alias("n_tokens"), F.md5(listed("input_ids")).alias("ids"))
 
 
@@ -161,8 +161,7 @@ def _pair_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = I.pairs(spark, sf_dir)
     texts = df.select(F.concat_ws(" ", "prompt", "chosen", "rejected").alias("text"))
     words = T.build_vocabulary(texts, "text", VOCABULARY)
-    chosen = T.encode(df, "chosen", words, "pair_id").withColumnRenamed("input_ids", "chosen_input_ids")
-    return T.encode(chosen, "rejected", words, "pair_id").withColumnRenamed("input_ids", "rejected_input_ids")
+    return T.encode(df, {"chosen": "chosen_input_ids", "rejected": "rejected_input_ids"}, words, "pair_id")
 
 
 def _padded_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

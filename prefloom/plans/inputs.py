@@ -151,10 +151,8 @@ def text_statistics(text: Column) -> Column:
 
 def scored_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned pairs with the reward of prompt + response on both sides."""
-    df = pairs(spark, sf_dir)
-    for side in ("chosen", "rejected"):
-        df = score_texts(df, text_statistics, TEXT_WEIGHTS, response=side, name=f"{side}_reward")
-    return df
+    sides = {"chosen": "chosen_reward", "rejected": "rejected_reward"}
+    return score_texts(pairs(spark, sf_dir), text_statistics, TEXT_WEIGHTS, sides)
 
 
 SCORED_PAIRS_SQL = f"""{PAIRS_SQL},
@@ -174,7 +172,7 @@ def model_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.struct(F.lit("base").alias("model"), F.col("rejected").alias("response")),
             F.struct(F.lit("ppo").alias("model"), F.col("chosen").alias("response")),
             F.struct(F.lit("supervised").alias("model"), short.alias("response")))))
-    return score_texts(rows, text_statistics, TEXT_WEIGHTS)
+    return score_texts(rows, text_statistics, TEXT_WEIGHTS, {"response": "reward"})
 
 
 MODEL_RESPONSES_SQL = f"""{SCORED_PAIRS_SQL},

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from prefloom.operators import alignment as A, losses as L, ranking as R, reward_head as H
 from prefloom.plans import inputs as I
 from prefloom.plans.registry import registered, rounded
-from prefloom.sources.scratch import scratch_path
+from prefloom.sources.scratch import scratch_path, written
 
 MARGIN = 0.5
 
@@ -24,7 +24,8 @@ def scored_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = I.pairs(spark, sf_dir)
     prompts = pairs.select(F.col("pair_id").alias("prompt_id"), "prompt")
     responses = pairs.select(F.col("pair_id").alias("prompt_id"), F.col("chosen").alias("response"))
-    scored = H.score_texts(A.zip_by_key(prompts, responses, "prompt_id"), I.text_statistics, I.TEXT_WEIGHTS)
+    both = A.zip_by_key(prompts, responses, "prompt_id")
+    scored = H.score_texts(both, I.text_statistics, I.TEXT_WEIGHTS, {"response": "reward"})
     return rounded(scored.select("prompt_id", "reward"))
 
 
@@ -136,7 +137,7 @@ def _stats_sql(t: str) -> str:
 @registered(f"""{_TWO_SQL} SELECT round(avg((p.reward > b.reward)::INT), 6) + 0.0 AS win_rate, {_stats_sql('p')}, {_stats_sql('b')}
 FROM p JOIN b USING (prompt_id)""")
 def two_models(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = I.model_responses(spark, sf_dir)
+    rows = written(I.model_responses(spark, sf_dir), "responses")
     report = A.compare_two(rows.where("model = 'ppo'"), rows.where("model = 'base'"))
     return rounded(report.select(
         F.col("win_rate_model_1").alias("win_rate"),
@@ -162,7 +163,7 @@ SELECT (SELECT round(avg(len({I.words_sql('response')})), 6) + 0.0 FROM p) AS av
   round(d, 6) + 0.0 AS avg_reward_difference, (SELECT md5(string_agg(prompt, '|' ORDER BY prompt_id)) FROM f) AS prompts,
   (SELECT md5(string_agg(response, '|' ORDER BY prompt_id)) FROM f) AS responses FROM s""")
 def evaluation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = I.model_responses(spark, sf_dir).where("model = 'ppo'")
+    rows = written(I.model_responses(spark, sf_dir), "responses").where("model = 'ppo'")
     doc = A.evaluation_report(rows, I.scored_pairs(spark, sf_dir))
     return rounded(doc.select(
         "model_quality.avg_response_length", "model_quality.reward_std",

@@ -33,20 +33,23 @@ def _bleu_tokens_sql(x: str) -> str:
 
 
 _GRAMS_SQL = f"""{I.DOCUMENT_PAIRS_SQL},
-t AS (SELECT item_id, {_bleu_tokens_sql('prediction')} AS p, {_bleu_tokens_sql('reference')} AS r FROM text_pairs),
+t AS MATERIALIZED (SELECT item_id, {_bleu_tokens_sql('prediction')} AS p, {_bleu_tokens_sql('reference')} AS r FROM text_pairs),
 sides AS (SELECT item_id, 0 AS side, p AS w FROM t UNION ALL SELECT item_id, 1, r FROM t),
+one AS MATERIALIZED (SELECT item_id, side, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM sides),
+ahead AS MATERIALIZED (
+  SELECT item_id, side, w, lead(w, 1) OVER o AS w2, lead(w, 2) OVER o AS w3, lead(w, 3) OVER o AS w4 FROM one
+  WINDOW o AS (PARTITION BY item_id, side ORDER BY i)),
 grams AS (
-  SELECT item_id, side, n, unnest(list_transform(range(1, greatest(len(w) - n, 0)::BIGINT + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS gram
-  FROM sides, range(1, 5) o(n) WHERE len(w) >= n),
+  SELECT item_id, side, 1 AS n, w AS gram FROM ahead
+  UNION ALL SELECT item_id, side, 2, w || ' ' || w2 FROM ahead WHERE w2 IS NOT NULL
+  UNION ALL SELECT item_id, side, 3, w || ' ' || w2 || ' ' || w3 FROM ahead WHERE w3 IS NOT NULL
+  UNION ALL SELECT item_id, side, 4, w || ' ' || w2 || ' ' || w3 || ' ' || w4 FROM ahead WHERE w4 IS NOT NULL),
 counted AS (
   SELECT item_id, n, gram, count(*) FILTER (side = 0) AS cp, count(*) FILTER (side = 1) AS cr FROM grams GROUP BY ALL),
 by_order AS (
   SELECT n::INT AS n, sum(least(cp, cr))::BIGINT AS matched, sum(cp)::BIGINT AS total, sum(cr)::BIGINT AS total_ref
   FROM counted GROUP BY n)"""
 
-# Grams lists from 1 to len - n + 1.
-_GRAMS_SQL = _GRAMS_SQL.replace("greatest(len(w) - n, 0)::BIGINT + 2", "(len(w) - n + 2)::BIGINT")
-
 
 @registered(f"WITH {_GRAMS_SQL} SELECT n, matched, total, total_ref FROM by_order")
 def bleu_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -57,8 +57,7 @@ def appended_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "metrics")
     steps = I.step_log(spark, sf_dir)
     for name in ("loss", "accuracy"):
-        logs.append_metrics(
-            logs.long_metrics(steps, ["run_id", "epoch", "step"], [name]).repartition("run_id"), path)
+        logs.append_metrics(logs.long_metrics(steps, ["run_id", "epoch", "step"], [name]), path)
     back = spark.read.schema("epoch int, step bigint, name string, num_value double, run_id bigint").parquet(path)
     return back.select("run_id", "epoch", "step", "name", "num_value")
 

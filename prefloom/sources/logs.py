@@ -14,8 +14,12 @@ def long_metrics(df: DataFrame, ids: list[str], names: list[str]) -> DataFrame:
 
 
 def append_metrics(df: DataFrame, path: str) -> None:
-    """Append step metrics, one folder per run; a hot run is spread over many files."""
-    df.write.mode("append").partitionBy("run_id").parquet(path)
+    """Append step metrics, one folder per run.
+
+    Rows of a run are brought together, to avoid a file per task and run; the
+    rebalance hint lets adaptive execution split a run that is too large.
+    """
+    df.hint("rebalance", "run_id").write.mode("append").partitionBy("run_id").parquet(path)
 
 
 def sample_table(df: DataFrame, idx: Column | str, prompt: str = "prompt", response: str = "response") -> DataFrame:
