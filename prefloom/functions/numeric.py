@@ -22,7 +22,7 @@ def log_sigmoid(x: Column) -> Column:
 def clamp(x: Column, low: float | Column, high: float | Column) -> Column:
     low = low if isinstance(low, Column) else F.lit(float(low))
     high = high if isinstance(high, Column) else F.lit(float(high))
-    return F.when(F.isnan(x), x).otherwise(F.greatest(low, F.least(high, x)))
+    return F.when(x.isNull() | F.isnan(x), x).otherwise(F.greatest(low, F.least(high, x)))
 
 
 def huber(error: Column) -> Column:

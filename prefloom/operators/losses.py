@@ -14,7 +14,8 @@ Loss = Callable[[Column, Column, float], Column]
 def hinge(chosen: Column, rejected: Column, margin: float) -> Column:
     if margin <= 0:
         raise ValueError("hinge needs a margin above 0")
-    return F.greatest(F.lit(0.0), F.lit(float(margin)) - (chosen - rejected))
+    gap = F.lit(float(margin)) - (chosen - rejected)
+    return F.when(gap.isNotNull(), F.greatest(F.lit(0.0), gap))
 
 
 def log_sigmoid_margin(chosen: Column, rejected: Column, margin: float) -> Column:
