@@ -6,8 +6,14 @@ from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
-# The characters Python's str.strip and str.split treat as blank.
-WS = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+# The characters Python's str.strip and str.split treat as blank, as a
+# pattern (Unicode white space and four separators) and as a list.
+WS = r"(?U)[\s\x1c-\x1f]"
+_BLANK_RANGES = [
+    (0x09, 0x0D), (0x1C, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x2000, 0x200A), (0x2028, 0x2029),
+    (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000),
+]
+BLANKS = "".join(chr(c) for low, high in _BLANK_RANGES for c in range(low, high + 1))
 
 # Transcript markers, default texts and reply-check lists.
 TURN_MARKER = "H:"
@@ -31,18 +37,23 @@ def _c(col: Column | str) -> Column:
 
 def strip(col: Column | str) -> Column:
     """Remove Unicode blanks at both ends (``F.trim`` only removes spaces)."""
-    return F.regexp_replace(_c(col), f"^{WS}+|{WS}+$", "")
+    return F.btrim(_c(col), F.lit(BLANKS))
 
 
 def clean_text(col: Column | str) -> Column:
     """Strip, straighten curly quotes, collapse runs of blanks to one space."""
-    straight = F.translate(strip(col), "“”‘’", "\"\"''")
+    straight = strip(col)
+    for curly, plain in (("“", '"'), ("”", '"'), ("‘", "'"), ("’", "'")):
+        straight = F.replace(straight, F.lit(curly), F.lit(plain))
     return F.regexp_replace(straight, f"{WS}+", " ")
 
 
 def words(col: Column | str) -> Column:
-    """Blank-separated words, without empty ones."""
-    return F.filter(F.split(_c(col), f"{WS}+"), lambda w: w != "")
+    """Blank-separated words, without empty ones.
+
+    A stripped text has no blank ends, so only the empty text needs care.
+    """
+    return F.array_remove(F.split(strip(col), f"{WS}+"), "")
 
 
 def n_words(col: Column | str) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from prefloom.functions.text import WS
+from prefloom.functions.text import words
 
 # Fixed value: the label that the loss skips.
 IGNORED_LABEL = -100
@@ -12,8 +12,7 @@ IGNORED_LABEL = -100
 
 def token_texts(col: Column | str) -> Column:
     """Blank-separated tokens of a text."""
-    col = F.col(col) if isinstance(col, str) else col
-    return F.filter(F.split(col, f"{WS}+"), lambda t: t != "")
+    return words(col)
 
 
 def truncate(ids: Column, max_length: int) -> Column:

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import sys
-from collections import Counter
 from collections.abc import Callable
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -22,12 +23,13 @@ for _module in (sys.modules[__name__], stemming):
 
 MAX_ORDER = 4
 
-# The 13a tokenization rules, in order.
+# The 13a tokenization rules, in order. (Blanks are left out of the first
+# pattern's class: they separate tokens anyway.)
 BLEU_RULES = [
     ("<skipped>", ""), ("-\n", ""), ("\n", " "), ("&quot;", '"'), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"),
 ]
 BLEU_PATTERNS = [
-    (r"([\{-\~\[-\` -\&\(-\+\:-\@\/])", " $1 "),
+    (r"([\{-\~\[-\`!-\&\(-\+\:-\@\/])", " $1 "),
     (r"([^0-9])([\.,])", "$1 $2 "),
     (r"([\.,])([^0-9])", " $1 $2"),
     (r"([0-9])(-)", "$1 $2 "),
@@ -41,9 +43,28 @@ BLOCK_SALTS = 16
 
 
 def pair_by_item(predictions: DataFrame, references: DataFrame, key: str = "item_id") -> DataFrame:
-    """Predictions and references of the same item in one row."""
+    """Predictions and references of the same item in one row.
+
+    The metrics cost far more than moving their texts, so both sides are
+    shuffled to all cores by key, also where one of them could be broadcast.
+    """
     left = predictions.select(key, F.col("text").alias("prediction"))
-    return left.join(references.select(key, F.col("text").alias("reference")), key)
+    return left.join(references.select(key, F.col("text").alias("reference")).hint("merge"), key)
+
+
+def _coded(left: pa.ListArray, right: pa.ListArray, name: Callable[[str], str] | None = None):
+    """The token lists of both columns as arrays of numbers, row by row.
+
+    Equal tokens have equal numbers; ``name`` is applied once per different token.
+    """
+    encoded = pa.concat_arrays([left.flatten(), right.flatten()]).dictionary_encode()
+    numbers = encoded.indices.to_numpy(zero_copy_only=False)
+    if name is not None:
+        names = pa.array([name(t) for t in encoded.dictionary.to_pylist()], pa.string())
+        numbers = names.dictionary_encode().indices.to_numpy(zero_copy_only=False)[numbers]
+    sizes = pc.fill_null(pc.list_value_length(pa.concat_arrays([left, right])), 0).to_numpy(zero_copy_only=False)
+    rows = np.split(numbers.astype("int64"), np.cumsum(sizes)[:-1])
+    return zip(rows[: len(left)], rows[len(left):])
 
 
 # --- BLEU ------------------------------------------------------------------
@@ -58,16 +79,25 @@ def bleu_tokens(col: Column | str) -> Column:
     return words(col)
 
 
-@F.pandas_udf(T.ArrayType(T.LongType()))
-def _shared_grams(p: pd.Series, r: pd.Series) -> pd.Series:
-    """N-grams that two token lists have in common, with repetition, for orders 1 to 4."""
-    shared = []
-    for left, right in zip(p, r):
-        a, b = list(left), list(right)
-        both = (Counter(zip(*(a[i:] for i in range(n)))) & Counter(zip(*(b[i:] for i in range(n))))
-                for n in range(1, MAX_ORDER + 1))
-        shared.append([c.total() for c in both])
-    return pd.Series(shared)
+def shared_grams(a: np.ndarray, b: np.ndarray) -> list[int]:
+    """N-grams two token lists have in common, with repetition, for orders 1 to 4."""
+    width = int(max(a.max(initial=0), b.max(initial=0))) + 1
+    shared, keys_a, keys_b = [], a, b
+    for n in range(1, MAX_ORDER + 1):
+        if n > 1:
+            # The n-gram at a place is the (n-1)-gram there and one more token.
+            keys_a = keys_a[: max(len(a) - n + 1, 0)] * width + a[n - 1:]
+            keys_b = keys_b[: max(len(b) - n + 1, 0)] * width + b[n - 1:]
+        distinct, dense = np.unique(np.concatenate([keys_a, keys_b]), return_inverse=True)
+        keys_a, keys_b = dense[: len(keys_a)], dense[len(keys_a):]
+        counts = (np.bincount(k, minlength=len(distinct)) for k in (keys_a, keys_b))
+        shared.append(int(np.minimum(*counts).sum()))
+    return shared
+
+
+@F.arrow_udf(T.ArrayType(T.LongType()))
+def _shared_grams(p: pa.Array, r: pa.Array) -> pa.Array:
+    return pa.array([shared_grams(a, b) for a, b in _coded(p, r)], pa.list_(pa.int64()))
 
 
 def bleu_counts(pairs: DataFrame) -> DataFrame:
@@ -120,39 +150,35 @@ def corpus_bleu(pairs: DataFrame) -> DataFrame:
 def rouge_tokens(col: Column | str) -> Column:
     col = F.col(col) if isinstance(col, str) else col
     spaced = F.regexp_replace(F.lower(col), "[^a-z0-9]+", " ")
-    return F.filter(F.split(spaced, " "), lambda t: t != "")
+    return F.array_remove(F.split(spaced, " "), "")
 
 
-def common_length(a: list[str], b: list[str]) -> int:
+def common_length(a: list, b: list) -> int:
     """Length of the longest common subsequence, one bit per token of ``a``."""
-    places: dict[str, int] = {}
+    places: dict = {}
     for i, token in enumerate(a):
         places[token] = places.get(token, 0) | (1 << i)
     full = (1 << len(a)) - 1
     row = full
     for token in b:
         hits = row & places.get(token, 0)
-        row = ((row + hits) | (row - hits)) & full
+        if hits:
+            row = ((row + hits) | (row - hits)) & full
     return len(a) - row.bit_count()
 
 
-@F.pandas_udf(T.LongType())
-def _common_stemmed(a: pd.Series, b: pd.Series) -> pd.Series:
-    stems: dict[str, str] = {}
+def _root(token: str) -> str:
+    return stemming.stem(token) if len(token) > UNSTEMMED_LENGTH else token
 
-    def root(token: str) -> str:
-        if len(token) <= UNSTEMMED_LENGTH:
-            return token
-        if token not in stems:
-            stems[token] = stemming.stem(token)
-        return stems[token]
 
-    return pd.Series([common_length([root(t) for t in x], [root(t) for t in y]) for x, y in zip(a, b)], dtype="int64")
+@F.arrow_udf(T.LongType())
+def _common_stemmed(p: pa.Array, r: pa.Array) -> pa.Array:
+    return pa.array([common_length(a.tolist(), b.tolist()) for a, b in _coded(p, r, _root)], pa.int64())
 
 
-@F.pandas_udf(T.LongType())
-def _common_plain(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([common_length(list(x), list(y)) for x, y in zip(a, b)], dtype="int64")
+@F.arrow_udf(T.LongType())
+def _common_plain(p: pa.Array, r: pa.Array) -> pa.Array:
+    return pa.array([common_length(a.tolist(), b.tolist()) for a, b in _coded(p, r)], pa.int64())
 
 
 def rouge_l_scores(pairs: DataFrame, stemming: bool = True, key: str = "item_id") -> DataFrame:

@@ -27,6 +27,7 @@ def _bleu_tokens_sql(x: str) -> str:
         x = f"replace({x}, '{old}', '{new}')"
     x = f"(' ' || {x} || ' ')"
     for pattern, new in M.BLEU_PATTERNS:
+        pattern = pattern.replace("`!-", "` -")  # as published, with the blank
         new = new.replace("$1", r"\1").replace("$2", r"\2")
         x = f"regexp_replace({x}, '{pattern}', '{new}', 'g')"
     return I.words_sql(x)
