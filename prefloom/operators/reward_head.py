@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from prefloom.functions.numeric import dot
 from prefloom.functions.text import WS, compose, default_text
+from prefloom.operators.columns import once
 from prefloom.operators.losses import loss_column
 
 # Largest feature count the solver of the margin fit accepts.
@@ -81,16 +82,6 @@ def head_weights(model: Model, margin: float = 1.0) -> list[float]:
     return [scale * float(w) for w in model.coefficients.toArray()]
 
 
-def once(df: DataFrame, values: dict[str, Column]) -> DataFrame:
-    """Add columns that are worked out once per row.
-
-    A one-element generator keeps later filters and projections from copying the
-    expressions to each place where the result is used.
-    """
-    row = F.struct(*[c.alias(n) for n, c in values.items()])
-    return df.select("*", F.inline(F.array(row)))
-
-
 def score_features(df: DataFrame, weights: list[float], columns: dict[str, str], bias: float = 0.0) -> DataFrame:
     """Add a reward per feature column (``columns``: features -> reward)."""
     w = F.array(*[F.lit(x) for x in weights])

@@ -14,8 +14,9 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from prefloom.functions import stemming
-from prefloom.functions.text import words
 from prefloom.functions.numeric import token_logprob
+from prefloom.functions.text import words
+from prefloom.functions.tokens import IGNORED_LABEL
 
 # The UDFs below travel with their code, so executors need no installed copy of this package.
 for _module in (sys.modules[__name__], stemming):
@@ -293,6 +294,6 @@ def compute_all(
 
 
 def perplexity(positions: DataFrame, logits: str = "logits", label: str = "label") -> DataFrame:
-    """exp of the mean cross-entropy over positions that count."""
+    """exp of the mean cross-entropy over the positions whose label counts."""
     loss = F.avg(-token_logprob(F.col(logits), F.col(label)))
-    return positions.agg(F.exp(loss).alias("perplexity"), loss.alias("loss"))
+    return positions.where(F.col(label) != IGNORED_LABEL).agg(F.exp(loss).alias("perplexity"), loss.alias("loss"))

@@ -40,14 +40,20 @@ def epoch_summary(df: DataFrame, by: list[str]) -> DataFrame:
 
 
 def metric_rollup(df: DataFrame, by: list[str], step: str = "step") -> DataFrame:
-    """Mean, min, max, count of numeric metrics and the last value of the others, per name."""
-    return df.groupBy(*by).agg(
+    """Mean, min, max and count of numeric metrics per name.
+
+    A log with a ``raw_value`` text column also gets the last of those values;
+    without one, no text is in the aggregation state and it stays hash-based.
+    """
+    aggs = [
         F.avg("num_value").alias("mean"),
         F.min("num_value").alias("min"),
         F.max("num_value").alias("max"),
         F.count("num_value").alias("count"),
-        F.max_by("raw_value", F.when(F.col("raw_value").isNotNull(), F.col(step))).alias("last_raw"),
-    )
+    ]
+    if "raw_value" in df.columns:
+        aggs.append(F.max_by("raw_value", F.when(F.col("raw_value").isNotNull(), F.col(step))).alias("last_raw"))
+    return df.groupBy(*by).agg(*aggs)
 
 
 def run_summary(df: DataFrame, run: str = "run_id", epoch: str = "epoch") -> DataFrame:

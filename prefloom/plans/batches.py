@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from prefloom.functions import tokens as K
 from prefloom.operators import ordering as O, pairs as P, tokens as T, validation
 from prefloom.plans import inputs as I
-from prefloom.plans.registry import listed, registered, table
+from prefloom.plans.registry import listed, registered, rounded, table
 
 BATCH = 16
 VOCABULARY = 500
@@ -159,9 +159,61 @@ widths AS (SELECT *, max(len(c)) OVER (PARTITION BY batch_id) AS wc, max(len(r))
 def _pair_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encoded pairs; the vocabulary covers prompts and both responses."""
     df = I.pairs(spark, sf_dir)
-    texts = df.select(F.concat_ws(" ", "prompt", "chosen", "rejected").alias("text"))
-    words = T.build_vocabulary(texts, "text", VOCABULARY)
-    return T.encode(df, {"chosen": "chosen_input_ids", "rejected": "rejected_input_ids"}, words, "pair_id")
+    return T.encode(
+        df, {"chosen": "chosen_input_ids", "rejected": "rejected_input_ids"}, _pair_vocabulary(df), "pair_id")
+
+
+def _fixed_sql(ids: str) -> str:
+    cut = f"{ids}[1:{LENGTH}]"
+    gap = f"({LENGTH} - least(len({ids}), {LENGTH}))"
+    return f"array_to_string(list_concat({cut}, list_transform(range({gap}), lambda x: 0)), ',')"
+
+
+_TEXT_TOKENS_SQL = f"""{I.SCORED_PAIRS_SQL},
+texts AS (SELECT prompt || ' ' || chosen || ' ' || rejected AS text FROM clean_pairs),
+{_vocabulary_sql('texts')},
+sides AS (SELECT pair_id, prompt || ' ' || chosen AS chosen_text, prompt || ' ' || rejected AS rejected_text,
+  prompt || CASE WHEN chosen_reward > rejected_reward THEN chosen ELSE rejected END AS best_text,
+  abs(chosen_reward - rejected_reward) AS diff FROM scored_pairs),
+{_encoded_sql('sides', 'pair_id', 'chosen_text', '_c')},
+{_encoded_sql('sides', 'pair_id', 'rejected_text', '_r')},
+{_encoded_sql('sides', 'pair_id', 'best_text', '_b')}"""
+
+
+def _pair_vocabulary(pairs: DataFrame) -> DataFrame:
+    texts = pairs.select(F.concat_ws(" ", "prompt", "chosen", "rejected").alias("text"))
+    return T.build_vocabulary(texts, "text", VOCABULARY)
+
+
+@registered(f"""WITH {_TEXT_TOKENS_SQL} SELECT pair_id, {_fixed_sql('c.ids')} AS chosen_ids, {_fixed_sql('r.ids')} AS rejected_ids,
+  least(len(c.ids), {LENGTH})::BIGINT AS chosen_tokens, least(len(r.ids), {LENGTH})::BIGINT AS rejected_tokens
+FROM encoded_c c JOIN encoded_r r USING (pair_id)""")
+def tokenized_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prompt + response of both sides as ids and masks of fixed length."""
+    pairs = P.pair_texts(I.pairs(spark, sf_dir))
+    sides = {"chosen_text": "chosen_ids", "rejected_text": "rejected_ids"}
+    df = T.encode(pairs, sides, _pair_vocabulary(pairs), "pair_id")
+    for ids in sides.values():
+        df = T.pad_fixed(df, ids, f"{ids}_mask", LENGTH)
+    return df.select(
+        "pair_id", listed("chosen_ids").alias("chosen_ids"), listed("rejected_ids").alias("rejected_ids"),
+        K.masked_length(F.col("chosen_ids_mask")).cast("long").alias("chosen_tokens"),
+        K.masked_length(F.col("rejected_ids_mask")).cast("long").alias("rejected_tokens"))
+
+
+@registered(f"""WITH {_TEXT_TOKENS_SQL} SELECT pair_id, {_fixed_sql('b.ids')} AS input_ids, {_fixed_sql('b.ids')} AS labels,
+  least(len(b.ids), {LENGTH})::BIGINT AS tokens, round(diff, 6) + 0.0 AS score_diff
+FROM encoded_b b JOIN sides USING (pair_id) WHERE diff > 0.1""")
+def ranked_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The better response of each clear pair as a tokenized example with labels."""
+    from prefloom.operators.ranking import better_of_pair
+
+    scored = I.scored_pairs(spark, sf_dir)
+    encoded = T.encode(better_of_pair(scored), {"text": "input_ids"}, _pair_vocabulary(scored), "pair_id")
+    df = T.causal_labels(T.pad_fixed(encoded, "input_ids", "mask", LENGTH))
+    return rounded(df.select(
+        "pair_id", listed("input_ids").alias("input_ids"), listed("labels").alias("labels"),
+        K.masked_length(F.col("mask")).cast("long").alias("tokens"), "score_diff"))
 
 
 def _padded_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

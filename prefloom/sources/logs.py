@@ -26,3 +26,8 @@ def sample_table(df: DataFrame, idx: Column | str, prompt: str = "prompt", respo
     idx = F.col(idx) if isinstance(idx, str) else idx
     return df.select(
         idx.alias("idx"), preview(prompt, 100).alias("prompt"), preview(response, 200).alias("response"))
+
+
+def append_samples(df: DataFrame, path: str, idx: Column | str, **columns: str) -> None:
+    """Append a sample table of prompt and response previews."""
+    sample_table(df, idx, **columns).write.mode("append").parquet(path)

@@ -61,7 +61,8 @@ def test_logs(spark, tmp_path):
     back = spark.read.parquet(str(tmp_path / "m"))
     assert back.count() == 6 and sorted(p.name for p in (tmp_path / "m").glob("run_id=*")) == ["run_id=r1", "run_id=r2"]
     sample = spark.createDataFrame([(7, "p" * 101, "r" * 201)], "i int, prompt string, response string")
-    row = logs.sample_table(sample, "i").first()
+    logs.append_samples(sample, str(tmp_path / "s"), "i")
+    row = spark.read.parquet(str(tmp_path / "s")).first()
     assert (row.idx, len(row.prompt), len(row.response)) == (7, 103, 203)
 
 

@@ -107,7 +107,7 @@ def test_selection_and_perplexity(spark):
         M.compute_all(df, ["meteor"])
     with pytest.raises(ValueError):
         M.compute_all(df, ["bertscore"])
-    flat = spark.createDataFrame([([0.0] * 4, 1), ([0.0] * 4, 3)], "logits array<double>, label int")
+    flat = spark.createDataFrame([([0.0] * 4, 1), ([0.0] * 4, 3), ([9.0, 0.0, 0.0, 0.0], -100)], "logits array<double>, label int")
     assert tuple(M.perplexity(flat).first()) == pytest.approx((4.0, math.log(4)))
     joined = M.pair_by_item(df.select("item_id", F.col("prediction").alias("text")), df.select("item_id", F.col("reference").alias("text")))
     assert joined.columns == ["item_id", "prediction", "reference"]
