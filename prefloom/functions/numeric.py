@@ -5,6 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
+def piece_of(index: Column | str, size: int) -> Column:
+    """Number of the piece of ``size`` that an index (0 or more) falls into, in whole numbers."""
+    index = F.col(index) if isinstance(index, str) else index
+    return F.call_function("div", index.cast("long"), F.lit(size).cast("long"))
+
+
 def prefers(chosen: Column, rejected: Column) -> Column:
     """Strictly greater; NaN never wins (Spark itself sorts NaN above all numbers)."""
     return (chosen > rejected) & ~F.isnan(chosen)

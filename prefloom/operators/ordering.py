@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from prefloom.functions.numeric import piece_of
 from prefloom.sources.scratch import written
 
 # Tables of bucket counts never exceed this many rows.
@@ -99,7 +100,7 @@ def dense_index(df: DataFrame, keys: list[str], name: str = "idx") -> DataFrame:
 def assign_batches(df: DataFrame, keys: list[str], batch_size: int) -> DataFrame:
     """Consecutive groups of ``batch_size`` rows; the last one may be smaller."""
     indexed = dense_index(df, keys)
-    return indexed.withColumn("batch_id", F.floor(F.col("idx") / batch_size))
+    return indexed.withColumn("batch_id", piece_of("idx", batch_size))
 
 
 def epoch_shuffle(df: DataFrame, key: str, seed: int, epoch: int) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from prefloom.functions import stemming
-from prefloom.functions.numeric import token_logprob
+from prefloom.functions.numeric import piece_of, token_logprob
 from prefloom.functions.text import words
 from prefloom.functions.tokens import IGNORED_LABEL
 
@@ -216,17 +216,13 @@ def _best_cosines(p: pd.Series, r: pd.Series) -> pd.DataFrame:
 
 def _blocks(tokens: DataFrame, key: str, size: int) -> DataFrame:
     item = F.struct("pos", "vec")
-    grouped = tokens.groupBy(key, F.floor(F.col("pos") / size).cast("long").alias("block")).agg(
-        F.array_sort(F.collect_list(item), _by_pos).alias("items"))
+    grouped = tokens.groupBy(key, piece_of("pos", size).alias("block")).agg(
+        F.array_sort(F.collect_list(item)).alias("items"))
     return grouped.select(
         key, "block",
         F.transform("items", lambda x: x["pos"]).alias("pos"), F.transform("items", lambda x: x["vec"]).alias("vecs"))
 
 
-def _by_pos(a: Column, b: Column) -> Column:
-    return F.when(a["pos"] < b["pos"], -1).when(a["pos"] > b["pos"], 1).otherwise(0)
-
-
 def embedding_match_scores(
     predicted: DataFrame, reference: DataFrame, key: str = "item_id", block: int = VECTOR_BLOCK, salts: int = BLOCK_SALTS
 ) -> DataFrame:
@@ -239,7 +235,7 @@ def embedding_match_scores(
     p = _blocks(predicted, key, block).select(
         key, F.pmod("block", F.lit(salts)).alias("salt"), F.col("pos").alias("pp"), F.col("vecs").alias("pv"))
     # The reference side is repeated only for as many salts as the item's predicted side uses.
-    used = predicted.groupBy(key).agg(F.floor(F.max("pos") / block).cast("long").alias("last"))
+    used = predicted.groupBy(key).agg(F.max(piece_of("pos", block)).alias("last"))
     r = _blocks(reference, key, block).join(used, key).select(
         key, F.explode(F.sequence(F.lit(0), F.least("last", F.lit(salts - 1)).cast("int"))).alias("salt"),
         F.col("pos").alias("rp"), F.col("vecs").alias("rv"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from prefloom.functions.numeric import share
+from prefloom.functions.numeric import piece_of
 
 # Columns averaged for a rollout history; durations in the time estimate.
 HISTORY_COLUMNS = ["policy_loss", "value_loss", "total_loss", "kl_divergence", "entropy", "grad_norm"]
@@ -21,7 +21,7 @@ BETA_MAX = 0.5
 BETA_MIN = 1e-4
 
 CHUNK_STEPS = 65_536
-FOLD_STEPS = 1_024
+FOLD_STEPS = 128
 
 
 def epoch_accuracy(df: DataFrame, by: list[str], correct: str = "correct", total: str = "total") -> DataFrame:
@@ -88,10 +88,9 @@ def running_means(
 ) -> DataFrame:
     """Mean of each value from the first step of its group up to this one.
 
-    (``by``, ``step``) must be unique; steps may have gaps.
+    (``by``, ``step``) must be unique and not NULL; steps may have gaps.
     """
-    piece = F.floor(F.col(step) / chunk).cast("long")
-    rows = df.withColumn("_chunk", piece)
+    rows = df.withColumn("_chunk", piece_of(step, chunk))
     inner = W.partitionBy(*by, "_chunk").orderBy(step).rowsBetween(W.unboundedPreceding, W.currentRow)
     outer = W.partitionBy(*by).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
     totals = rows.groupBy(*by, "_chunk").agg(
@@ -117,9 +116,9 @@ def time_remaining(
     """Mean of the last ``recent`` step durations times the remaining steps.
 
     NULL on a run's first step and where the total is 0. (``run``, ``step``) must
-    be unique. Each chunk is extended by the last ``recent + 1`` times before it.
+    be unique and not NULL. Each chunk is extended by the last ``recent + 1`` times before it.
     """
-    rows = df.withColumn("_chunk", F.floor(F.col(step) / chunk).cast("long"))
+    rows = df.withColumn("_chunk", piece_of(step, chunk))
     back = W.partitionBy(run, "_chunk").orderBy(F.desc(step))
     tails = (
         rows.select(run, "_chunk", step, ts)
@@ -221,10 +220,11 @@ def adaptive_beta(
     df: DataFrame, start: float, target: float, run: str = "run_id", step: str = "step",
     kl: str = "kl_divergence", fold: int = FOLD_STEPS,
 ) -> DataFrame:
-    """Beta in force after each step of each run. (``run``, ``step``) must be unique, steps >= 0.
+    """Beta in force after each step of each run. (``run``, ``step``) must be unique and not NULL, steps >= 0.
 
     Steps are folded in lists of at most ``fold``, those lists again in lists of
     at most ``fold``, and so on: no list or group grows with the length of a run.
+    The way down reads the same shuffled lists again (adaptive execution reuses them).
     """
     level = df.select(F.col(run).alias("run"), F.col(step).cast("long").alias("i"), F.col(kl).alias("kl"))
     level = level.withColumn("m", _step_map(F.col("kl"), target)).drop("kl")
@@ -232,8 +232,8 @@ def adaptive_beta(
     tables = []
     while True:
         item = F.struct("i", "m")
-        table = level.groupBy("run", F.floor(F.col("i") / fold).cast("long").alias("g")).agg(
-            F.array_sort(F.collect_list(item), _by_index).alias("items"))
+        table = level.groupBy("run", piece_of("i", fold).alias("g")).agg(
+            F.array_sort(F.collect_list(item)).alias("items"))
         tables.append(table)
         last //= fold
         if last == 0:
@@ -247,10 +247,6 @@ def adaptive_beta(
     return result.select(F.col("run").alias(run), F.col("i").alias(step), F.col("beta").alias("beta_kl"))
 
 
-def _by_index(a: Column, b: Column) -> Column:
-    return F.when(a["i"] < b["i"], -1).when(a["i"] > b["i"], 1).otherwise(0)
-
-
 def _spread(starts: DataFrame, after: bool) -> DataFrame:
     betas = _starts(F.col("items"), F.col("beta"))
     numbers = F.slice(betas, 2 if after else 1, F.size("items"))
