@@ -227,7 +227,7 @@ def adaptive_beta(
     The way down reads the same shuffled lists again (adaptive execution reuses them).
     """
     level = df.select(F.col(run).alias("run"), F.col(step).cast("long").alias("i"), F.col(kl).alias("kl"))
-    level = level.withColumn("m", _step_map(F.col("kl"), target)).drop("kl")
+    level = level.where(F.col("run").isNotNull()).withColumn("m", _step_map(F.col("kl"), target)).drop("kl")
     last = df.agg(F.max(step)).first()[0] or 0
     tables = []
     while True:
@@ -242,7 +242,8 @@ def adaptive_beta(
     starts = tables.pop().withColumn("beta", F.lit(float(start)))
     while tables:
         below = _spread(starts, after=False).select("run", F.col("i").alias("g"), "beta")
-        starts = tables.pop().join(below, ["run", "g"])
+        # Every list has its start, so the left join only keeps both uses of the list's plan equal.
+        starts = tables.pop().join(below, ["run", "g"], "left")
     result = _spread(starts, after=True)
     return result.select(F.col("run").alias(run), F.col("i").alias(step), F.col("beta").alias("beta_kl"))
 

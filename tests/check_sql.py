@@ -51,6 +51,16 @@ def differences(spark_rows, spark_cols, sql_rows, sql_cols) -> str | None:
     return None
 
 
+# Spark types and the DuckDB types they correspond to.
+TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
+def type_differences(df, description) -> list[str]:
+    sql = {d[0]: str(d[1]) for d in description}
+    return [f"{f.name}: {f.dataType.simpleString()} / {sql[f.name]}" for f in df.schema.fields
+            if TYPES.get(f.dataType.simpleString()) != sql.get(f.name)]
+
+
 def main() -> int:
     from prefloom.session import build_session
     import __spark_entry__ as E
@@ -74,7 +84,8 @@ def main() -> int:
             start = time.time()
             res = con.execute(sql)
             cols = [d[0] for d in res.description]
-            found = differences(rows, df.columns, res.fetchall(), cols)
+            types = type_differences(df, res.description)
+            found = differences(rows, df.columns, res.fetchall(), cols) or (f"types {types}" if types else None)
             bad += found is not None
             print(f"{took:6.2f}s {time.time() - start:5.2f}s {'ok ' if found is None else 'BAD'} {name}: {len(rows)} rows {found or ''}", flush=True)
         except Exception as err:

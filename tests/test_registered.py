@@ -1,7 +1,7 @@
 import pytest
 
 import __spark_entry__ as E
-from check_sql import connect, differences
+from check_sql import connect, differences, type_differences
 
 SF = "/root/testdata/sf0.001"
 
@@ -18,6 +18,7 @@ def test_query_agrees_with_its_sql(spark, con, name):
     assert rows
     if name in E.oracle_sql():
         res = con.execute(E.oracle_sql()[name])
+        assert type_differences(df, res.description) == []
         assert differences(rows, df.columns, res.fetchall(), [d[0] for d in res.description]) is None
 
 
