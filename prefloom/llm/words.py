@@ -78,14 +78,14 @@ class Words:
         return np.repeat(np.arange(len(self), dtype=np.int64), np.diff(self.bounds))
 
 
-def word_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[Words]:
-    """The words of a column, in slices of whole texts of about ``limit`` bytes."""
+def word_slices(column: pa.Array, limit: int = SLICE_BYTES, blank: np.ndarray = _BLANK) -> Iterator[Words]:
+    """The words of a column, in slices of whole texts of about ``limit`` bytes; ``blank`` marks the bytes between words."""
     raw, offsets = text_bytes(column)
     i, n = 0, len(offsets) - 1
     while i < n:
         j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + limit, "right")) - 1)
         part, at = raw[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
-        inner = ~_BLANK[part]
+        inner = ~blank[part]
         begins, ends = inner.copy(), inner.copy()
         begins[1:] &= ~inner[:-1]
         ends[:-1] &= ~inner[1:]
