@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from prefloom.llm import bpe, mixing, secrets, toxicity
+from prefloom.llm import bpe, mixing, secret_scan, toxicity
 from prefloom.plans.registry import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,11 +39,11 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    found = secret_scan.find_secrets(table(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
-    base = F.filter("spans", lambda s: s["kind"].isin([r.kind for r in secrets.BASE]))
-    return found.select("doc_id", *[count(r.kind) for r in secrets.BASE],
-                        F.sha2(secrets.span_list(base).cast("binary"), 256).alias("base_sha256"), secrets.span_list("spans").alias("spans"))
+    base = F.filter("spans", lambda s: s["kind"].isin([r.kind for r in secret_scan.BASE]))
+    return found.select("doc_id", *[count(r.kind) for r in secret_scan.BASE],
+                        F.sha2(secret_scan.span_list(base).cast("binary"), 256).alias("base_sha256"), secret_scan.span_list("spans").alias("spans"))
 
 
 @query

@@ -1,8 +1,9 @@
 """Toxic documents by multiple-instance learning: sentence scores, joined by noisy-or, are trained from document labels.
 
-A document is toxic if one of its sentences is: ``score = 1 - prod(1 - p_s)`` with ``p_s`` a logistic score of the words of sentence s. Labels
-are known for documents only; the gradient of their likelihood passes through the noisy-or to the sentences, which is what
-locates the offending ones. Words are runs of letters, digits and bytes over 0x7F with A-Z folded; sentences end at ``. ! ?`` and line ends.
+A document is toxic if one of its sentences is: ``score = 1 - (1 - leak) * prod(1 - p_s)`` with ``p_s`` a logistic score of the words of
+sentence s. Labels are known for documents only; the gradient of their likelihood passes through the noisy-or to the sentences, which is
+what locates the offending ones. The leak is the chance of a label that no sentence explains: without it wrong labels would be laid on
+every sentence, and long clean documents would add up to toxic ones. Words are runs of letters, digits and bytes over 0x7F with A-Z folded; sentences end at ``. ! ?`` and line ends.
 """
 
 from __future__ import annotations
@@ -28,11 +29,12 @@ _SENTENCES = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("s
 
 @dataclass(frozen=True)
 class ToxicModel:
-    """Sorted word hashes, their weights, and the score of a sentence without any of them."""
+    """Sorted word hashes, their weights, the log-odds of a sentence without any of them, and those of a document without sentences."""
 
     words: np.ndarray
     weights: np.ndarray
     bias: float
+    leak: float
 
     def features(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which of the hashes have a weight, and their numbers."""
@@ -77,13 +79,13 @@ def _word_counts(batches):
 
 
 def _choose_words(sample: DataFrame, features: int) -> pd.DataFrame:
-    """The words that tell toxic documents from others best, by a smoothed log-odds score over its deviation."""
+    """The words that point to toxic documents most surely: smoothed log-odds of 1 and three times their deviation at least."""
     n_bad, n_good = (sample.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.coalesce(F.sum(1 - F.col("toxic")), F.lit(0))).first())
     counts = sample.mapInArrow(_word_counts, "word long, bad long, good long").groupBy("word").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     odds = F.log((F.col("bad") + 0.5) / (n_bad - F.col("bad") + 0.5)) - F.log((F.col("good") + 0.5) / (n_good - F.col("good") + 0.5))
     spread = F.sqrt(1 / (F.col("bad") + 0.5) + 1 / (F.col("good") + 0.5))
     return (counts.filter("bad + good >= 5").select("word", odds.alias("odds"), (odds / spread).alias("z"))
-            .orderBy(F.abs("z").desc(), "word").limit(features).toPandas())
+            .filter("odds >= 1 and z >= 3").orderBy(F.desc("z"), "word").limit(features).toPandas())
 
 
 def _packed(model: ToxicModel):
@@ -104,24 +106,24 @@ def _log_rest(z: np.ndarray) -> np.ndarray:
     return -np.logaddexp(0, z)
 
 
-def _gradient(weights: np.ndarray, bias: float):
-    """Sums over a part of the sample: the gradient of the documents' negative log-likelihood, its value, and their number."""
+def _gradient(weights: np.ndarray, bias: float, leak: float):
+    """Sums over a part of the sample: the gradient of the documents' negative log-likelihood, and their number."""
 
     def run(frames):
-        total, slope, loss, n = np.zeros(len(weights)), 0.0, 0.0, 0
+        total, slope, leaking, n = np.zeros(len(weights)), 0.0, 0.0, 0
         for frame in frames:
             for row in frame.itertuples(index=False):
                 feature, sentence, text, toxic = (np.frombuffer(b, np.int32) for b in row)
                 z = bias + np.bincount(sentence, weights[feature], len(text))
-                clean = np.bincount(text, _log_rest(z), len(toxic))  # log of the product of 1 - p
+                clean = _log_rest(leak) + np.bincount(text, _log_rest(z), len(toxic))  # log of the product of 1 - p
                 clean = np.minimum(clean, -1e-12)
                 seen = np.where(toxic == 1, -np.exp(clean) / -np.expm1(clean), 1.0)
-                pull = seen[text] / (1 + np.exp(-z))
+                pull = seen[text] * np.exp(-np.logaddexp(0, -z))
                 total += np.bincount(feature, pull[sentence], len(weights))
                 slope += pull.sum()
-                loss += np.where(toxic == 1, -np.log(-np.expm1(clean)), -clean).sum()
+                leaking += seen.sum() * np.exp(-np.logaddexp(0, -leak))
                 n += len(toxic)
-        yield pd.DataFrame({"gradient": [total.tobytes()], "slope": [slope], "loss": [loss], "n": [n]})
+        yield pd.DataFrame({"gradient": [total.tobytes()], "slope": [slope], "leaking": [leaking], "n": [n]})
 
     return run
 
@@ -131,33 +133,33 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS,
     """Fit on at most ``sample`` labelled documents whose ``crc32(key) mod 5`` is not 0; only their text and label are read.
 
     Every pass sums the gradient over the parts of the packed sample; the driver holds the weights alone. Without labelled documents, or with
-    one label only, all documents score by the bias. Labels for unknown documents and null labels are left out; of several labels the larger counts.
+    one label only, all documents score alike. Labels for unknown documents and null labels are left out; of several labels the larger counts.
     """
     rows = written(_labelled(docs, labels, sample, key, text), "toxic-sample")
     chosen = _choose_words(rows, features).sort_values("word", key=lambda w: w.to_numpy().view(np.uint64) if len(w) else w)
     words = chosen["word"].to_numpy().astype(np.int64).view(np.uint64)
-    model = ToxicModel(words, np.zeros(len(words)), -4.0)
+    model = ToxicModel(words, np.zeros(len(words)), 0.0, 0.0)
     packed = written(rows.mapInArrow(_packed(model), "feature binary, sentence binary, text binary, toxic binary"), "toxic-packed")
-    weights, bias = np.clip(chosen["odds"].to_numpy(float), -1, 4) if len(words) else np.zeros(0), -6.0
-    first, second, rate, decay = np.zeros(len(words) + 1), np.zeros(len(words) + 1), 0.25, 2e-4
+    weights, bias, leak = np.minimum(chosen["odds"].to_numpy(float), 4) if len(words) else np.zeros(0), -6.0, -3.0
+    first, second, rate, decay = np.zeros(len(words) + 2), np.zeros(len(words) + 2), 0.15, 1e-4
     for k in range(1, passes + 1):
-        parts = packed.mapInPandas(_gradient(weights, bias), "gradient binary, slope double, loss double, n long").collect()
+        parts = packed.mapInPandas(_gradient(weights, bias, leak), "gradient binary, slope double, leaking double, n long").collect()
         n = sum(p["n"] for p in parts)
         if not n:
             break
-        slope = np.append(sum(np.frombuffer(p["gradient"]) for p in parts), sum(p["slope"] for p in parts)) / n
-        slope[:-1] += decay * weights
+        slope = np.append(sum(np.frombuffer(p["gradient"]) for p in parts), [sum(p["slope"] for p in parts), sum(p["leaking"] for p in parts)]) / n
+        slope[:-2] += decay * weights
         first, second = 0.9 * first + 0.1 * slope, 0.99 * second + 0.01 * slope**2
         change = rate * (first / (1 - 0.9**k)) / (np.sqrt(second / (1 - 0.99**k)) + 1e-6)
-        weights, bias = weights - change[:-1], bias - change[-1]
-    return ToxicModel(words, weights, float(bias))
+        weights, bias, leak = weights - change[:-2], bias - change[-2], leak - change[-1]
+    return ToxicModel(words, weights, float(bias), float(leak))
 
 
 def score_toxicity(docs: DataFrame, model: ToxicModel, threshold: float = 0.5, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(key, score double, sentences array<struct<start, end, score>>)``: the chance that a document is toxic, and the code points of its
     sentences that reach ``threshold`` on their own.
 
-    Only the key and the text are read. Null and empty texts score 0; repeated rows are kept; an empty table gives no rows.
+    Only the key and the text are read. Null and empty texts score the leak alone; repeated rows are kept; an empty table gives no rows.
     """
 
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -165,14 +167,14 @@ def score_toxicity(docs: DataFrame, model: ToxicModel, threshold: float = 0.5, k
     def run(batches):
         model = shared.value
         for batch in batches:
-            scores, spans = np.zeros(batch.num_rows), [[] for _ in range(batch.num_rows)]
+            scores, spans = np.full(batch.num_rows, -np.expm1(_log_rest(model.leak))), [[] for _ in range(batch.num_rows)]
             for words in word_slices(batch.column(1), blank=_BETWEEN):
                 sentence, text_of = _sentences(words)
                 known, feature = model.features(words.hashes(True))
                 z = model.bias + np.bincount(sentence[known], model.weights[feature], len(text_of))
-                clean = np.bincount(text_of, _log_rest(z), len(words))
+                clean = _log_rest(model.leak) + np.bincount(text_of, _log_rest(z), len(words))
                 scores[words.first:words.first + len(words)] = -np.expm1(clean)
-                chance = 1 / (1 + np.exp(-z))
+                chance = np.exp(-np.logaddexp(0, -z))
                 if len(bad := np.flatnonzero(chance >= threshold)):
                     letters = np.concatenate([[0], np.cumsum((words.raw & 0xC0) != 0x80)])
                     opening, closing = np.searchsorted(sentence, bad), np.searchsorted(sentence, bad, "right") - 1
