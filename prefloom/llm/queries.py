@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from prefloom.llm import bpe, mixing, secret_scan, toxicity
+from prefloom.llm import bpe, jaccard, mixing, secret_scan, toxicity
 from prefloom.plans.registry import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,8 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score_toxicity(docs, toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels")))
     return scored.select("doc_id", F.expr("crc32(cast(doc_id as string)) % 5 = 0").alias("held_out"), "score",
                          F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"), F.size("sentences").alias("n_sentences"))
+
+
+@query
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_join(table(spark, sf_dir, "documents"))
