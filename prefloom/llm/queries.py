@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from prefloom.llm import bpe, jaccard, mixing, near_vectors, neighbours, secret_scan, substrings, toxicity
+from prefloom.llm import bpe, jaccard, katz, mixing, near_vectors, neighbours, secret_scan, substrings, toxicity
 from prefloom.plans.registry import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,10 @@ def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query
+def op8_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.expr("crc32(cast(doc_id as string)) % 5 = 1")
+    scored = katz.score_texts(table(spark, sf_dir, "documents"), ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
