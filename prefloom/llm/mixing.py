@@ -70,7 +70,18 @@ def mix_sources(df: DataFrame, block: int = 10, frame: int = 1000, power: float
     row is dropped or repeated. Rows of a null source form one source; rows with equal or null keys are numbered in any order; an empty table gives no
     rows. Other columns are not read. A hot source is numbered in ``BUCKETS`` key ranges, each on its own, with the sizes of the ranges before it added.
     """
-    rows = df.select(F.col(key).alias("key"), F.col(source).cast("string").alias("source")).withColumn("h", F.md5(F.coalesce(F.col("key").cast("string"), F.lit(""))))
+    return _placed(df.select(F.col(key).alias("key"), F.col(source).cast("string").alias("source")), block, frame, power, []).withColumnsRenamed(
+        {"key": key, "source": source})
+
+
+def mixed_rows(df: DataFrame, block: int = 10, frame: int = 1000, power: float = 0.5, key: str = "doc_id", source: str = "source") -> DataFrame:
+    """The rows of ``df``, with all their columns, in the mixed order: range partitions by slot, sorted inside. Cases as in ``mix_sources``."""
+    rows = df.select(F.col(key).alias("key"), F.col(source).cast("string").alias("source"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
+    return _placed(rows, block, frame, power, ["row"]).repartitionByRange("slot", "place").sortWithinPartitions("slot", "place").select("row.*")
+
+
+def _placed(rows: DataFrame, block: int, frame: int, power: float, carried: list[str]) -> DataFrame:
+    rows = rows.withColumn("h", F.md5(F.coalesce(F.col("key").cast("string"), F.lit(""))))
     rows = rows.withColumn("bucket", F.conv(F.substring("h", 1, 8), 16, 10).cast("long") * BUCKETS / F.lit(1 << 32)).withColumn("bucket", F.floor("bucket"))
     sizes = rows.groupBy("source", "bucket").agg(F.count("*").alias("n"))
     before = sizes.withColumn("before", F.sum("n").over(Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)))
@@ -81,12 +92,12 @@ def mix_sources(df: DataFrame, block: int = 10, frame: int = 1000, power: float
     # one row per source and range, and one per slot of a frame: both bounded by parameters
     ranked = numbered.join(F.broadcast(offsets), numbered["source"].eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
     ranked = ranked.withColumn("rank", F.col("before") + F.col("rn") - 1).withColumn("block", F.floor(F.col("rank") / block)).select(
-        "key", "source", "share", "block", (F.col("rank") % block).alias("place"), (F.col("block") % F.col("share")).alias("j"))
+        "key", "source", "share", "block", (F.col("rank") % block).alias("place"), (F.col("block") % F.col("share")).alias("j"), *carried)
     slots = frame_slots(weights, frame).select(F.col("source").alias("s"), "in_frame", F.col("slot").alias("at"))
     placed = ranked.join(F.broadcast(slots), ranked["source"].eqNullSafe(F.col("s")) & (F.col("j") == F.col("in_frame")))
     turn = F.floor(F.col("block") / F.col("share")) * F.lit(frame)
     return placed.select(
-        F.col("key").alias(key), F.col("source").alias(source), "share", "block",
+        "key", "source", "share", "block",
         (turn + F.floor(F.col("j") * F.lit(frame) / F.col("share"))).alias("release"),
         (turn + F.floor(((F.col("j") + 1) * F.lit(frame) + F.col("share") - 1) / F.col("share"))).alias("deadline"),
-        (turn + F.col("at")).alias("slot"), "place")
+        (turn + F.col("at")).alias("slot"), "place", *carried)

@@ -155,34 +155,51 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS,
     return ToxicModel(words, weights, float(bias), float(leak))
 
 
+def _scored(model: ToxicModel, column: pa.Array, threshold: float) -> tuple[np.ndarray, list[list[dict]]]:
+    """The score of every text, and its sentences that reach the threshold on their own."""
+    scores, spans = np.full(len(column), -np.expm1(_log_rest(model.leak))), [[] for _ in range(len(column))]
+    for words in word_slices(column, blank=_BETWEEN):
+        sentence, text_of = _sentences(words)
+        known, feature = model.features(words.hashes(True))
+        z = model.bias + np.bincount(sentence[known], model.weights[feature], len(text_of))
+        clean = _log_rest(model.leak) + np.bincount(text_of, _log_rest(z), len(words))
+        scores[words.first:words.first + len(words)] = -np.expm1(clean)
+        chance = np.exp(-np.logaddexp(0, -z))
+        if len(bad := np.flatnonzero(chance >= threshold)):
+            letters = np.concatenate([[0], np.cumsum((words.raw & 0xC0) != 0x80)])
+            opening, closing = np.searchsorted(sentence, bad), np.searchsorted(sentence, bad, "right") - 1
+            for k, a, b in zip(bad.tolist(), words.starts[opening].tolist(), words.ends[closing].tolist()):
+                base = letters[words.text_starts[text_of[k]]]
+                spans[words.first + text_of[k]].append({"start": int(letters[a] - base), "end": int(letters[b] - base), "score": float(chance[k])})
+    return scores, spans
+
+
 def score_toxicity(docs: DataFrame, model: ToxicModel, threshold: float = 0.5, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(key, score double, sentences array<struct<start, end, score>>)``: the chance that a document is toxic, and the code points of its
     sentences that reach ``threshold`` on their own.
 
     Only the key and the text are read. Null and empty texts score the leak alone; repeated rows are kept; an empty table gives no rows.
     """
-
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        model = shared.value
         for batch in batches:
-            scores, spans = np.full(batch.num_rows, -np.expm1(_log_rest(model.leak))), [[] for _ in range(batch.num_rows)]
-            for words in word_slices(batch.column(1), blank=_BETWEEN):
-                sentence, text_of = _sentences(words)
-                known, feature = model.features(words.hashes(True))
-                z = model.bias + np.bincount(sentence[known], model.weights[feature], len(text_of))
-                clean = _log_rest(model.leak) + np.bincount(text_of, _log_rest(z), len(words))
-                scores[words.first:words.first + len(words)] = -np.expm1(clean)
-                chance = np.exp(-np.logaddexp(0, -z))
-                if len(bad := np.flatnonzero(chance >= threshold)):
-                    letters = np.concatenate([[0], np.cumsum((words.raw & 0xC0) != 0x80)])
-                    opening, closing = np.searchsorted(sentence, bad), np.searchsorted(sentence, bad, "right") - 1
-                    for k, a, b in zip(bad.tolist(), words.starts[opening].tolist(), words.ends[closing].tolist()):
-                        base = letters[words.text_starts[text_of[k]]]
-                        spans[words.first + text_of[k]].append({"start": int(letters[a] - base), "end": int(letters[b] - base), "score": float(chance[k])})
+            scores, spans = _scored(shared.value, batch.column(1), threshold)
             yield pa.record_batch([batch.column(0), pa.array(scores), pa.array(spans, _SENTENCES)], names=["key", "score", "sentences"])
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(
         run, f"key {kind}, score double, sentences {SENTENCES}").withColumnRenamed("key", key)
+
+
+def without_toxic(docs: DataFrame, model: ToxicModel, threshold: float = 0.5, text: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, that score under ``threshold``; rows with a null or empty text stay."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text)
+
+    def run(batches):
+        for batch in batches:
+            empty = np.array([not t for t in batch.column(at).to_pylist()], bool)
+            yield batch.filter(pa.array((_scored(shared.value, batch.column(at), threshold)[0] < threshold) | empty))
+
+    return docs.mapInArrow(run, docs.schema)
