@@ -49,5 +49,14 @@ def response_ids(full_ids: Column, prompt_len: Column, eos_id: int | None) -> Co
     return F.when(F.size(tail) > 0, tail)
 
 
+def response_distributions(distributions: Column, full_ids: Column, prompt_len: Column, eos_id: int | None) -> Column:
+    """The distributions of the response tokens: a token is drawn from the place before it, so the slice starts one earlier.
+
+    As long as the response ids; NULL where they are, or where no place is before them.
+    """
+    n = F.size(response_ids(full_ids, prompt_len, eos_id))
+    return F.when((prompt_len > 0) & (n > 0), F.slice(distributions, prompt_len.cast("int"), n))
+
+
 def _int(value: Column | int) -> Column:
     return value.cast("int") if isinstance(value, Column) else F.lit(int(value))

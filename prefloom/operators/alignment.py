@@ -74,15 +74,15 @@ def sample_list(df: DataFrame, key: str, column: str, n: int) -> Column:
 
 
 def side_by_side(
-    df: DataFrame, models: list[str], key: str = "prompt_id", model: str = "model"
+    df: DataFrame, models: list[str], key: str = "prompt_id", model: str = "model", values: tuple[str, ...] = ("response", "reward")
 ) -> DataFrame:
-    """Response and reward of each named model in one row per prompt (one shuffle)."""
+    """The ``values`` of each named model in one row per prompt (one shuffle)."""
     cells = []
     for name in models:
-        cell = F.when(F.col(model) == name, F.struct("response", "reward"))
+        cell = F.when(F.col(model) == name, F.struct(*values))
         cells.append(F.max(cell).alias(name))
     wide = df.groupBy(key).agg(*cells)
-    flat = [F.col(f"`{m}`.{f}").alias(f"{m}_{f}") for m in models for f in ("response", "reward")]
+    flat = [F.col(f"`{m}`.{f}").alias(f"{m}_{f}") for m in models for f in values]
     return wide.select(key, *flat)
 
 

@@ -104,8 +104,9 @@ def assign_batches(df: DataFrame, keys: list[str], batch_size: int) -> DataFrame
 
 
 def epoch_shuffle(df: DataFrame, key: str, seed: int, epoch: int) -> DataFrame:
-    """A repeatable random order, different for each epoch."""
-    return df.orderBy(F.xxhash64(F.lit(seed), F.lit(epoch), F.col(key)), F.col(key))
+    """The 0-based ``position`` of each row in a repeatable random order, different for each epoch; ``key`` must be unique."""
+    order = F.md5(F.concat_ws(":", F.lit(seed), F.lit(epoch), F.col(key).cast("string")))
+    return dense_index(df.withColumn("_order", order), ["_order", key], "position").drop("_order")
 
 
 def every_kth_step(df: DataFrame, k: int, step: Column | str = "step") -> DataFrame:

@@ -16,6 +16,7 @@ from prefloom.functions.numeric import dot
 from prefloom.functions.text import WS, compose, default_text
 from prefloom.operators.columns import once
 from prefloom.operators.losses import loss_column
+from prefloom.sources.scratch import written
 
 # Largest feature count the solver of the margin fit accepts.
 MARGIN_FIT_FEATURES = 4096
@@ -53,27 +54,30 @@ def fit_logistic(df: DataFrame, chosen: str, rejected: str, reg: float = 0.0, ma
     """Weights that minimize -log sigmoid(w . d)."""
     estimator = LogisticRegression(
         fitIntercept=False, standardization=False, regParam=reg, maxIter=max_iter, tol=1e-9)
-    return estimator.fit(pair_differences(df, chosen, rejected))
+    return estimator.fit(pair_differences(df, chosen, rejected, both_signs=False))
 
 
-def fit_hinge(df: DataFrame, chosen: str, rejected: str, reg: float = 1e-4, max_iter: int = 100) -> Model:
-    """Weights for the hinge of margin 1; scale them by m for margin m (see ``head_weights``).
+def fit_hinge(df: DataFrame, chosen: str, rejected: str, margin: float = 1.0, reg: float = 1e-4, max_iter: int = 100) -> Model:
+    """Weights for the hinge of a margin, up to its scale: ``head_weights`` with the same margin gives the head.
 
-    A little regularization keeps the optimum unique where the pairs can be separated.
+    With v = w / margin the hinge of margin 1 and ``reg * margin`` is the same problem. A little regularization keeps the optimum
+    unique where the pairs can be separated.
     """
-    estimator = LinearSVC(fitIntercept=False, standardization=False, regParam=reg, maxIter=max_iter, tol=1e-9)
-    return estimator.fit(pair_differences(df, chosen, rejected))
+    estimator = LinearSVC(fitIntercept=False, standardization=False, regParam=reg * margin, maxIter=max_iter, tol=1e-9)
+    return estimator.fit(pair_differences(df, chosen, rejected, both_signs=False))
 
 
 def fit_log_sigmoid(
     df: DataFrame, chosen: str, rejected: str, margin: float, reg: float = 0.0, max_iter: int = 50
 ) -> Model:
     """Weights that minimize -log sigmoid(w . d - margin), the margin being an offset."""
-    rows = pair_differences(df, chosen, rejected)
-    offset = F.when(F.col("label") == 1.0, F.lit(-float(margin))).otherwise(F.lit(float(margin)))
+    rows = written(pair_differences(df, chosen, rejected, both_signs=False).withColumn("offset", F.lit(-float(margin))), "differences")
+    size = rows.select(F.max(F.size(vector_to_array("features")))).first()[0] or 0
+    if size > MARGIN_FIT_FEATURES:
+        raise ValueError(f"the margin fit takes at most {MARGIN_FIT_FEATURES} features, not {size}")
     estimator = GeneralizedLinearRegression(
         family="binomial", link="logit", fitIntercept=False, regParam=reg, maxIter=max_iter, offsetCol="offset")
-    return estimator.fit(rows.withColumn("offset", offset))
+    return estimator.fit(rows)
 
 
 def head_weights(model: Model, margin: float = 1.0) -> list[float]:

@@ -25,10 +25,10 @@ def with_room_for_response(df: DataFrame) -> DataFrame:
     return df.where(F.size("full_ids") - (F.col("prompt_len") + 1) > 0)
 
 
-def response_tokens(df: DataFrame, eos_id: int | None, key: str = "rollout_id") -> DataFrame:
-    """(rollout, pos, token_id) of each response token; ``pos`` counts from the response start."""
+def response_tokens(df: DataFrame, eos_id: int | None, key: str = "rollout_id", carried: list[str] | None = None) -> DataFrame:
+    """(rollout, pos, token_id) of each response token, and ``carried`` columns; ``pos`` counts from the response start."""
     ids = response_ids(F.col("full_ids"), F.col("prompt_len"), eos_id)
-    return df.select(key, F.posexplode(ids).alias("pos", "token_id"))
+    return df.select(key, *(carried or []), F.posexplode(ids).alias("pos", "token_id"))
 
 
 def align_distributions(policy: DataFrame, reference: DataFrame) -> DataFrame:

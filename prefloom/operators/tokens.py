@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
@@ -9,9 +11,6 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from prefloom.functions import tokens as K
 from prefloom.operators.ordering import assign_batches
 
-# Largest vocabulary that is sent to all executors for encoding.
-BROADCAST_ENTRIES = 1_000_000
-
 
 def build_vocabulary(df: DataFrame, text: str, size: int, reserved: int = 2) -> DataFrame:
     """The ``size`` most frequent tokens with ids from ``reserved`` on.
@@ -28,30 +27,36 @@ def build_vocabulary(df: DataFrame, text: str, size: int, reserved: int = 2) ->
 
 def encode(
     df: DataFrame, texts: dict[str, str], vocabulary: DataFrame, key: str,
-    unknown_id: int = 1, broadcast_entries: int = BROADCAST_ENTRIES,
+    unknown_id: int = 1, route: str = "look_up",
 ) -> DataFrame:
     """Add token ids per text column (``texts``: text -> ids); unknown tokens get ``unknown_id``.
 
-    A vocabulary up to ``broadcast_entries`` entries is sent to the executors and
-    looked up column-wise, without any shuffle of text. A larger one is joined.
+    The caller picks the route: ``look_up`` sends the vocabulary, whose size the caller has set, to the tasks and shuffles no text;
+    ``join`` meets it by token, for vocabularies that are too large for a task.
     """
-    rows = vocabulary.select("token", "token_id").limit(broadcast_entries + 1).toArrow()
-    if rows.num_rows <= broadcast_entries:
-        look_up = _lookup(rows, unknown_id)
-        return df.withColumns({ids: look_up(K.token_texts(text)) for text, ids in texts.items()})
-    for text, ids in texts.items():
-        df = _encode_by_join(df, text, ids, vocabulary, key, unknown_id)
-    return df
+    if route == "join":
+        for text, ids in texts.items():
+            df = _encode_by_join(df, text, ids, vocabulary, key, unknown_id)
+        return df
+    look_up = _lookup(vocabulary.select("token", "token_id").toArrow(), unknown_id)
+    return df.withColumns({ids: look_up(K.token_texts(text)) for text, ids in texts.items()})
+
+
+_tables: dict[str, dict[str, int]] = {}
 
 
 def _lookup(rows: pa.Table, unknown_id: int):
-    names = rows["token"].combine_chunks()
-    numbers = rows["token_id"].combine_chunks().cast(pa.int32())
+    name, names, numbers = uuid.uuid4().hex, rows["token"].to_pylist(), rows["token_id"].to_pylist()
 
     @F.arrow_udf("array<int>")
     def look_up(tokens: pa.Array) -> pa.Array:
-        at = pc.index_in(tokens.flatten(), value_set=names)
-        ids = pc.fill_null(pc.take(numbers, at), unknown_id).cast(pa.int32())
+        # one table for each Python worker and vocabulary
+        if name not in _tables:
+            _tables.clear()
+            _tables[name] = dict(zip(names, numbers))
+        table = _tables[name]
+        coded = tokens.flatten().dictionary_encode()
+        ids = pa.array([table.get(t, unknown_id) for t in coded.dictionary.to_pylist()], pa.int32()).take(coded.indices)
         sizes = pc.fill_null(pc.list_value_length(tokens), 0)
         ends = pc.cumulative_sum(sizes.cast(pa.int32()))
         offsets = pa.concat_arrays([pa.array([0], pa.int32()), ends])

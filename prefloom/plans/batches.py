@@ -12,6 +12,8 @@ from prefloom.plans.registry import listed, registered, rounded, table
 BATCH = 16
 VOCABULARY = 500
 LENGTH = 32
+# Longest training example; longer ones are cut, as a trainer does.
+EXAMPLE_LENGTH = 512
 
 _INDEXED_SQL = "indexed AS (SELECT *, row_number() OVER (ORDER BY lang, doc_id) - 1 AS idx FROM documents)"
 
@@ -29,9 +31,9 @@ def document_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return O.ordered_split(table(spark, sf_dir, "documents").select("doc_id"), "doc_id")
 
 
-@registered("SELECT doc_id, n_chars FROM documents")
+@registered("SELECT doc_id, n_chars, row_number() OVER (ORDER BY md5('42:1:' || doc_id), doc_id) - 1 AS position FROM documents")
 def epoch_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same rows in an epoch's order."""
+    """The place of each row in an epoch's order."""
     return O.epoch_shuffle(table(spark, sf_dir, "documents").select("doc_id", "n_chars"), "doc_id", seed=42, epoch=1)
 
 
@@ -100,10 +102,10 @@ def encoded_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered(f"WITH {_ENCODED} SELECT doc_id, len(ids)::BIGINT AS n_tokens, md5(array_to_string(ids, ',')) AS ids FROM encoded")
 def encoded_documents_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The route for vocabularies above the broadcast bound."""
+    """The route for vocabularies that are not to be sent to the tasks."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     words = T.build_vocabulary(docs, "text", VOCABULARY)
-    df = T.encode(docs, {"text": "input_ids"}, words, "doc_id", broadcast_entries=VOCABULARY - 1)
+    df = T.encode(docs, {"text": "input_ids"}, words, "doc_id", route="join")
     return df.select("doc_id", F.size("input_ids").cast("long").alias("n_tokens"), F.md5(listed("input_ids")).alias("ids"))
 
 
@@ -125,21 +127,26 @@ def fixed_padding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("doc_id", listed("input_ids").alias("ids"), listed("attention_mask").alias("mask"))
 
 
-@registered(f"""WITH {_PADDED_SQL}
-SELECT doc_id, list_sum(mask)::BIGINT AS by_mask, len(list_filter(ids, lambda x: x <> 0))::BIGINT AS by_pad FROM padded""")
+def _padded_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents, padded to the longest of their batch of neighbouring keys."""
+    df = _documents_encoded(spark, sf_dir).withColumn("batch_id", F.floor(F.col("doc_id") / BATCH))
+    return T.pad_to_longest(df, {"input_ids": "attention_mask"})
+
+
+@registered(f"""WITH {_ENCODED}, widths AS (SELECT *, max(len(ids)) OVER (PARTITION BY doc_id // {BATCH}) AS width FROM encoded)
+SELECT doc_id, len(ids)::BIGINT AS by_mask, len(list_filter(ids, lambda x: x <> 0))::BIGINT AS by_pad, width::BIGINT AS width FROM widths""")
 def prompt_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = _padded(spark, sf_dir)
+    df = _padded_batches(spark, sf_dir)
     by_pad = K.masked_length(K.mask_from_pad(F.col("input_ids"), 0))
     return df.select("doc_id", K.masked_length(F.col("attention_mask")).cast("long").alias("by_mask"),
-                     by_pad.cast("long").alias("by_pad"))
+                     by_pad.cast("long").alias("by_pad"), F.size("input_ids").cast("long").alias("width"))
 
 
-@registered(f"""WITH {_PADDED_SQL}, l AS (
-  SELECT doc_id, unnest(ids) AS label, generate_subscripts(ids, 1) - 1 AS pos, unnest(mask) AS m FROM padded)
-SELECT doc_id, count(*) AS positions, sum(label)::BIGINT AS label_sum FROM l WHERE m = 1 GROUP BY doc_id""")
+@registered(f"""WITH {_ENCODED}, l AS (SELECT doc_id, unnest(ids) AS label FROM encoded)
+SELECT doc_id, count(*) AS positions, sum(label)::BIGINT AS label_sum FROM l GROUP BY doc_id""")
 def scored_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels copied from the ids; padded positions are marked to be skipped."""
-    df = T.causal_labels(_padded(spark, sf_dir))
+    df = T.causal_labels(_padded_batches(spark, sf_dir))
     marked = df.withColumn("labels", F.zip_with(
         "labels", "attention_mask", lambda x, m: F.when(m == 1, x).otherwise(F.lit(K.IGNORED_LABEL))))
     return T.scored_positions(marked, "doc_id").groupBy("doc_id").agg(
@@ -163,9 +170,9 @@ def _pair_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
         df, {"chosen": "chosen_input_ids", "rejected": "rejected_input_ids"}, _pair_vocabulary(df), "pair_id")
 
 
-def _fixed_sql(ids: str) -> str:
-    cut = f"{ids}[1:{LENGTH}]"
-    gap = f"({LENGTH} - least(len({ids}), {LENGTH}))"
+def _fixed_sql(ids: str, length: int = LENGTH) -> str:
+    cut = f"{ids}[1:{length}]"
+    gap = f"({length} - least(len({ids}), {length}))"
     return f"array_to_string(list_concat({cut}, list_transform(range({gap}), lambda x: 0)), ',')"
 
 
@@ -201,8 +208,8 @@ def tokenized_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
         K.masked_length(F.col("rejected_ids_mask")).cast("long").alias("rejected_tokens"))
 
 
-@registered(f"""WITH {_TEXT_TOKENS_SQL} SELECT pair_id, {_fixed_sql('b.ids')} AS input_ids, {_fixed_sql('b.ids')} AS labels,
-  least(len(b.ids), {LENGTH})::BIGINT AS tokens, round(diff, 6) + 0.0 AS score_diff
+@registered(f"""WITH {_TEXT_TOKENS_SQL} SELECT pair_id, md5({_fixed_sql('b.ids', EXAMPLE_LENGTH)}) AS input_ids, md5({_fixed_sql('b.ids', EXAMPLE_LENGTH)}) AS labels,
+  least(len(b.ids), {EXAMPLE_LENGTH})::BIGINT AS tokens, round(diff, 6) + 0.0 AS score_diff
 FROM encoded_b b JOIN sides USING (pair_id) WHERE diff > 0.1""")
 def ranked_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The better response of each clear pair as a tokenized example with labels."""
@@ -210,15 +217,17 @@ def ranked_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     scored = I.scored_pairs(spark, sf_dir)
     encoded = T.encode(better_of_pair(scored), {"text": "input_ids"}, _pair_vocabulary(scored), "pair_id")
-    df = T.causal_labels(T.pad_fixed(encoded, "input_ids", "mask", LENGTH))
+    df = T.causal_labels(T.pad_fixed(encoded, "input_ids", "mask", EXAMPLE_LENGTH))
     return rounded(df.select(
-        "pair_id", listed("input_ids").alias("input_ids"), listed("labels").alias("labels"),
+        "pair_id", F.md5(listed("input_ids")).alias("input_ids"), F.md5(listed("labels")).alias("labels"),
         K.masked_length(F.col("mask")).cast("long").alias("tokens"), "score_diff"))
 
 
 def _padded_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    batched = O.assign_batches(_pair_tokens(spark, sf_dir), ["pair_id"], BATCH)
-    return T.pad_to_longest(batched, {
+    tokens = _pair_tokens(spark, sf_dir).select("pair_id", "chosen_input_ids", "rejected_input_ids")
+    # only the keys are put in order and written
+    batches = O.assign_batches(I.pairs(spark, sf_dir).select("pair_id"), ["pair_id"], BATCH).select("pair_id", "batch_id")
+    return T.pad_to_longest(tokens.join(batches, "pair_id"), {
         "chosen_input_ids": "chosen_attention_mask", "rejected_input_ids": "rejected_attention_mask"})
 
 
@@ -251,12 +260,40 @@ def collated_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.md5(F.array_join("rejected", "|")).alias("rejected"))
 
 
-@registered("""SELECT rule, 0::BIGINT AS violations FROM (VALUES ('chosen_input_ids_null'), ('rejected_input_ids_null'),
-  ('chosen_attention_mask_null'), ('rejected_attention_mask_null'), ('chosen_input_ids_and_mask_differ'),
-  ('chosen_input_ids_ragged_batches'), ('rejected_input_ids_and_mask_differ'), ('rejected_input_ids_ragged_batches'),
-  ('side_sizes_differ')) v(rule)""")
+@registered(f"""WITH {_PAIR_TOKENS_SQL}, faults AS (
+  SELECT batch_id, pair_id % 7 = 0 AS gone, pair_id % 5 = 3 AND len(r) > 0 AS cut, pair_id % 6 = 5 AS long FROM widths),
+b AS (SELECT batch_id, count_if(gone) AS gone, count_if(cut OR long) AS differ,
+  bool_or(long) AND NOT bool_and(long) AS ragged FROM faults GROUP BY batch_id)
+SELECT unnest(['chosen_input_ids_null', 'rejected_input_ids_null', 'chosen_attention_mask_null', 'rejected_attention_mask_null',
+  'chosen_input_ids_and_mask_differ', 'chosen_input_ids_ragged_batches', 'rejected_input_ids_and_mask_differ',
+  'rejected_input_ids_ragged_batches', 'side_sizes_differ']) AS rule,
+  unnest([sum(gone)::BIGINT, 0, 0, 0, 0, 0, sum(differ)::BIGINT, count_if(ragged), count_if(gone > 0)])::BIGINT AS violations FROM b""")
 def batch_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validation.validate_batches(_padded_pairs(spark, sf_dir))
+    """Batches with planted faults: missing ids, masks that are too short, ids that are too long."""
+    df = _padded_pairs(spark, sf_dir)
+    key, mask = F.col("pair_id"), F.col("rejected_attention_mask")
+    short = (key % 5 == 3) & (F.aggregate(mask, F.lit(0), lambda a, x: a + x) > 0)
+    return validation.validate_batches(df.withColumns({
+        "chosen_input_ids": F.when(key % 7 != 0, F.col("chosen_input_ids")),
+        "rejected_attention_mask": F.when(short, F.slice(mask, 1, F.greatest(F.size(mask) - 1, F.lit(0)))).otherwise(mask),
+        "rejected_input_ids": F.when(key % 6 == 5, F.concat("rejected_input_ids", F.array(F.lit(9)))).otherwise(F.col("rejected_input_ids"))}))
+
+
+@registered(f"""WITH {I.RESPONSE_TOKENS_SQL}, before AS (
+  SELECT rollout_id, pos, token_id, {I.distribution_sql('(prompt_len - 1 + pos)', 0)} AS logits
+  FROM response_tokens JOIN (SELECT rollout_id, prompt_len FROM rollouts) USING (rollout_id) WHERE prompt_len > 0)
+SELECT rollout_id, count(*) AS tokens, round(sum(logits[token_id + 1]), 6) + 0.0 AS chosen_logits, round(sum(list_sum(logits)), 6) + 0.0 AS all_logits
+FROM before GROUP BY rollout_id""")
+def response_distributions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The distributions that the response tokens were drawn from: one place before them, cut at the same end."""
+    df = I.rollouts(spark, sf_dir).where("prompt_len > 0")
+    every = F.transform(F.sequence(F.lit(0), F.size("full_ids") - 1), lambda p: I.distribution(F.col("e"), p, 0))
+    ids = K.response_ids(F.col("full_ids"), F.col("prompt_len"), I.END_TOKEN)
+    df = df.select("rollout_id", ids.alias("ids"), K.response_distributions(every, F.col("full_ids"), F.col("prompt_len"), I.END_TOKEN).alias("dists"))
+    total = F.aggregate("dists", F.lit(0.0), lambda a, d: a + F.aggregate(d, F.lit(0.0), lambda b, x: b + x))
+    chosen = F.aggregate(F.zip_with("dists", "ids", lambda d, i: F.get(d, i)), F.lit(0.0), lambda a, x: a + x)
+    return rounded(df.where("ids is not null").select(
+        "rollout_id", F.size("dists").cast("long").alias("tokens"), chosen.alias("chosen_logits"), total.alias("all_logits")))
 
 
 @registered(f"""WITH {I.ROLLOUTS_SQL}, tails AS (SELECT rollout_id, full_ids[prompt_len + 1:] AS tail FROM rollouts)

@@ -9,10 +9,6 @@ from prefloom.operators.pairs import prepare_pairs
 from prefloom.operators.reward_head import score_texts
 from prefloom.plans.registry import table
 
-# Turns in one transcript: every human turn opens one.
-SPAN = 4
-TURNS_PER_CONVERSATION = 1_000_000_000
-
 # Weights of the fixed linear reward over text statistics and over embeddings.
 TEXT_WEIGHTS = [0.8, -1.3, 0.5, -0.4]
 VECTOR_WEIGHTS = [round(((i * 7) % 11 - 5) / 5.0, 1) for i in range(64)]
@@ -57,19 +53,15 @@ def dot_sql(x: str, weights: list[float] | None = None) -> str:
 # --- transcripts and pairs --------------------------------------------------
 
 def raw_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two transcripts for each human turn and the three turns after it.
+    """Two transcripts of each conversation, all its turns in order.
 
     The rejected one repeats the first assistant reply in place of the last.
-    Each turn goes to at most four transcripts, so groups stay that small.
+    A conversation is one value to its reader, so one list per conversation has its natural size.
     """
-    turns = table(spark, sf_dir, "conversations")
-    starts = F.sequence(F.col("turn") - (SPAN - 1), F.col("turn"))
-    spread = turns.select("conv_id", "turn", "role", "text", F.explode(starts).alias("start"))
-    spans = spread.where(F.col("start") >= 0).groupBy("conv_id", "start").agg(
+    turns = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(
         F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
-    opened = (F.col("turns")[0]["turn"] == F.col("start")) & (F.col("turns")[0]["role"] == "user")
     replies = F.filter("turns", lambda t: t["role"] == "assistant")
-    spans = spans.where(opened).withColumns({
+    spans = turns.withColumns({
         "first_reply": F.try_element_at(replies, F.lit(1))["text"],
         "last_reply": F.try_element_at(replies, F.lit(-1))["turn"],
     })
@@ -79,8 +71,8 @@ def raw_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     swapped = transcript(lambda t: F.when(t["turn"] == F.col("last_reply"), F.col("first_reply")).otherwise(t["text"]))
     return spans.select(
-        (F.col("conv_id") * TURNS_PER_CONVERSATION + F.col("start")).alias("pair_id"),
-        F.when(F.pmod("start", F.lit(4)) == 0, "train").otherwise("test").alias("split"),
+        F.col("conv_id").alias("pair_id"),
+        F.when(F.pmod("conv_id", F.lit(4)) == 0, "train").otherwise("test").alias("split"),
         transcript(lambda t: t["text"]).alias("chosen"),
         swapped.alias("rejected"),
     )
@@ -93,21 +85,16 @@ def _speaker(role: Column) -> Column:
 _SPEAKER_SQL = "(CASE role WHEN 'user' THEN 'H: ' WHEN 'assistant' THEN 'A: ' ELSE 'S: ' END)"
 
 RAW_PAIRS_SQL = f"""
-spans AS (
-  SELECT s.conv_id, s.turn AS start, c.turn, c.role, c.text
-  FROM conversations s JOIN conversations c ON c.conv_id = s.conv_id AND c.turn BETWEEN s.turn AND s.turn + {SPAN - 1}
-  WHERE s.role = 'user'),
 marks AS (
-  SELECT conv_id, start, max(turn) FILTER (role = 'assistant') AS last_reply,
+  SELECT conv_id, max(turn) FILTER (role = 'assistant') AS last_reply,
          arg_min(text, turn) FILTER (role = 'assistant') AS first_reply
-  FROM spans GROUP BY ALL),
+  FROM conversations GROUP BY ALL),
 raw_pairs AS (
-  SELECT conv_id * {TURNS_PER_CONVERSATION} + start AS pair_id,
-         CASE WHEN start % 4 = 0 THEN 'train' ELSE 'test' END AS split,
+  SELECT conv_id AS pair_id, CASE WHEN conv_id % 4 = 0 THEN 'train' ELSE 'test' END AS split,
          string_agg({_SPEAKER_SQL} || text, chr(10) || chr(10) ORDER BY turn) AS chosen,
          string_agg({_SPEAKER_SQL} || CASE WHEN turn = last_reply THEN first_reply ELSE text END,
                     chr(10) || chr(10) ORDER BY turn) AS rejected
-  FROM spans JOIN marks USING (conv_id, start) GROUP BY conv_id, start)"""
+  FROM conversations JOIN marks USING (conv_id) GROUP BY conv_id)"""
 
 
 def _turn_sql(t: str) -> str:
@@ -162,16 +149,17 @@ scored_pairs AS (
   FROM clean_pairs)"""
 
 
-def model_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three responses per prompt, one row each: (prompt_id, model, prompt, response, reward)."""
-    scored = scored_pairs(spark, sf_dir)
-    short = F.substring_index("chosen", ".", 1)
-    rows = scored.select(
+def model_responses(spark: SparkSession, sf_dir: str, models: tuple[str, ...] = ("base", "ppo", "supervised")) -> DataFrame:
+    """Responses per prompt, one row for each of ``models``: (prompt_id, model, prompt, response, reward)."""
+    scored = pairs(spark, sf_dir)
+    plain = F.translate("chosen", ",", "")
+    every = scored.select(
         F.col("pair_id").alias("prompt_id"), "prompt",
         F.inline(F.array(
             F.struct(F.lit("base").alias("model"), F.col("rejected").alias("response")),
             F.struct(F.lit("ppo").alias("model"), F.col("chosen").alias("response")),
-            F.struct(F.lit("supervised").alias("model"), short.alias("response")))))
+            F.struct(F.lit("supervised").alias("model"), plain.alias("response")))))
+    rows = every.where(F.col("model").isin(*models))
     return score_texts(rows, text_statistics, TEXT_WEIGHTS, {"response": "reward"})
 
 
@@ -179,7 +167,7 @@ MODEL_RESPONSES_SQL = f"""{SCORED_PAIRS_SQL},
 unscored AS (
   SELECT pair_id AS prompt_id, prompt, 'base' AS model, rejected AS response FROM scored_pairs
   UNION ALL SELECT pair_id, prompt, 'ppo', chosen FROM scored_pairs
-  UNION ALL SELECT pair_id, prompt, 'supervised', split_part(chosen, '.', 1) FROM scored_pairs),
+  UNION ALL SELECT pair_id, prompt, 'supervised', replace(chosen, ',', '') FROM scored_pairs),
 model_responses AS (
   SELECT *, {reward_sql("(prompt || ' ' || response)")} AS reward FROM unscored)"""
 
@@ -239,9 +227,9 @@ ROLLOUT_BATCH = 8
 
 
 def rollouts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Embeddings as recorded rollouts of up to eight tokens."""
+    """Embeddings as recorded rollouts, a token for each component."""
     e = F.transform("embedding", lambda x: x.cast("double"))
-    ids = F.transform(F.slice("e", 1, VOCABULARY), lambda x: (F.floor(F.abs(x) * 1000).cast("int") % VOCABULARY))
+    ids = F.transform("e", lambda x: (F.floor(F.abs(x) * 1000).cast("int") % VOCABULARY))
     return table(spark, sf_dir, "embeddings").select("vec_id", "label", e.alias("e")).select(
         F.col("vec_id").alias("rollout_id"),
         F.floor(F.col("vec_id") / ROLLOUT_BATCH).alias("batch_id"),
@@ -258,13 +246,13 @@ ROLLOUTS_SQL = f"""
 vectors AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
 rollouts AS (
   SELECT vec_id AS rollout_id, vec_id // {ROLLOUT_BATCH} AS batch_id,
-         list_transform(e[1:{VOCABULARY}], lambda x: floor(abs(x) * 1000)::INT % {VOCABULARY}) AS full_ids,
+         list_transform(e, lambda x: floor(abs(x) * 1000)::INT % {VOCABULARY}) AS full_ids,
          label % {VOCABULARY} AS prompt_len, e[10] AS old_logprob, e[11] AS new_logprob, abs(e[12]) AS kl,
          e[13] AS value, e[14] AS value_new, e[15] * 10 AS reward, abs(e[16]) AS entropy, e
   FROM vectors)"""
 
 
-def _distribution(e: Column, pos: Column, shift: int) -> Column:
+def distribution(e: Column, pos: Column, shift: int) -> Column:
     start = (pos * VOCABULARY + shift) % (64 - VOCABULARY) + 1
     return F.transform(F.slice(e, start, VOCABULARY), lambda x: x * 10)
 
@@ -274,9 +262,9 @@ def token_logits(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     from prefloom.operators.rollouts import response_tokens
 
     base = rollouts(spark, sf_dir)
-    tokens = response_tokens(base, END_TOKEN).join(base.select("rollout_id", "e"), "rollout_id")
-    policy = tokens.withColumn("logits", _distribution(F.col("e"), F.col("pos"), 0)).drop("e")
-    reference = tokens.withColumn("logits", _distribution(F.col("e"), F.col("pos"), 3)).drop("e")
+    tokens = response_tokens(base, END_TOKEN, carried=["e"])
+    policy = tokens.withColumn("logits", distribution(F.col("e"), F.col("pos"), 0)).drop("e")
+    reference = tokens.withColumn("logits", distribution(F.col("e"), F.col("pos"), 3)).drop("e")
     return policy, reference
 
 
@@ -289,14 +277,14 @@ response_tokens AS (
   SELECT rollout_id, e, unnest(range(len(ids))) AS pos, unnest(ids) AS token_id FROM responses)"""
 
 
-def _distribution_sql(shift: int) -> str:
-    start = f"((pos * {VOCABULARY} + {shift}) % {64 - VOCABULARY} + 1)"
+def distribution_sql(pos: str, shift: int) -> str:
+    start = f"(({pos} * {VOCABULARY} + {shift}) % {64 - VOCABULARY} + 1)"
     return f"list_transform(e[{start}:{start} + {VOCABULARY - 1}], lambda x: x * 10)"
 
 
 TOKEN_LOGITS_SQL = f"""{RESPONSE_TOKENS_SQL},
 token_logits AS (
-  SELECT rollout_id, pos, token_id, {_distribution_sql(0)} AS lp, {_distribution_sql(3)} AS lq FROM response_tokens),
+  SELECT rollout_id, pos, token_id, {distribution_sql('pos', 0)} AS lp, {distribution_sql('pos', 3)} AS lq FROM response_tokens),
 normalizers AS (
   SELECT *, ln(list_sum(list_transform(lp, lambda x: exp(x)))) AS zp,
             ln(list_sum(list_transform(lq, lambda x: exp(x)))) AS zq FROM token_logits),

@@ -124,7 +124,7 @@ p AS (SELECT * FROM model_responses WHERE model = 'ppo'), b AS (SELECT * FROM mo
 
 @registered(f"""{_TWO_SQL} SELECT round(avg((p.reward > b.reward)::INT), 6) + 0.0 AS win_rate FROM p JOIN b USING (prompt_id)""")
 def win_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = A.side_by_side(I.model_responses(spark, sf_dir), ["base", "ppo"])
+    df = A.side_by_side(I.model_responses(spark, sf_dir, ("base", "ppo")), ["base", "ppo"], values=("reward",))
     return rounded(A.win_rate(df, "ppo_reward", "base_reward"))
 
 
@@ -137,7 +137,7 @@ def _stats_sql(t: str) -> str:
 @registered(f"""{_TWO_SQL} SELECT round(avg((p.reward > b.reward)::INT), 6) + 0.0 AS win_rate, {_stats_sql('p')}, {_stats_sql('b')}
 FROM p JOIN b USING (prompt_id)""")
 def two_models(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = written(I.model_responses(spark, sf_dir), "responses")
+    rows = written(I.model_responses(spark, sf_dir, ("base", "ppo")), "responses")
     report = A.compare_two(rows.where("model = 'ppo'"), rows.where("model = 'base'"))
     return rounded(report.select(
         F.col("win_rate_model_1").alias("win_rate"),
@@ -163,7 +163,7 @@ SELECT (SELECT round(avg(len({I.words_sql('response')})), 6) + 0.0 FROM p) AS av
   round(d, 6) + 0.0 AS avg_reward_difference, (SELECT md5(string_agg(prompt, '|' ORDER BY prompt_id)) FROM f) AS prompts,
   (SELECT md5(string_agg(response, '|' ORDER BY prompt_id)) FROM f) AS responses FROM s""")
 def evaluation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = written(I.model_responses(spark, sf_dir), "responses").where("model = 'ppo'")
+    rows = written(I.model_responses(spark, sf_dir, ("ppo",)), "responses")
     doc = A.evaluation_report(rows, I.scored_pairs(spark, sf_dir))
     return rounded(doc.select(
         "model_quality.avg_response_length", "model_quality.reward_std",
@@ -189,7 +189,7 @@ def fitted_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered()
 def fitted_hinge(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = I.vector_pairs(spark, sf_dir)
-    model = H.fit_hinge(pairs, "chosen", "rejected", reg=1e-3)
+    model = H.fit_hinge(pairs, "chosen", "rejected", MARGIN, reg=1e-3)
     return _fit_report(pairs, H.head_weights(model, MARGIN), "hinge", MARGIN)
 
 

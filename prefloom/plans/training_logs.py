@@ -150,6 +150,8 @@ walk AS (
   SELECT n.run_id, n.k, n.step, CASE WHEN kl > {KL_TARGET} * 1.5 THEN least(beta * 1.5, 0.5)
     WHEN kl < {KL_TARGET} / 1.5 THEN greatest(beta / 1.5, 0.0001) ELSE beta END
   FROM walk JOIN numbered n ON n.run_id = walk.run_id AND n.k = walk.k + 1)
-SELECT run_id, step, round(beta, 6) + 0.0 AS beta_kl FROM walk WHERE k > 0""")
+SELECT run_id, step, round(ln(beta), 6) + 0.0 AS log_beta_kl FROM walk WHERE k > 0""")
 def adaptive_beta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(G.adaptive_beta(I.rollout_history(spark, sf_dir), START_BETA, KL_TARGET, fold=64))
+    """The coefficient's logarithm: powers of 1.5 lie on rounding ties at every digit, their logarithms on none."""
+    betas = G.adaptive_beta(I.rollout_history(spark, sf_dir), START_BETA, KL_TARGET, fold=64)
+    return rounded(betas.select("run_id", "step", F.ln("beta_kl").alias("log_beta_kl")))

@@ -45,7 +45,7 @@ def differences(spark_rows, spark_cols, sql_rows, sql_cols) -> str | None:
             elif isinstance(v, int) and isinstance(w, int):
                 same = v == w
             else:
-                same = type(v) is float and type(w) is float and (v == w or math.isclose(v, w, abs_tol=2e-6, rel_tol=1e-9))
+                same = type(v) is float and type(w) is float and (v == w or math.isclose(v, w, rel_tol=1e-9))
             if not same:
                 return f"{c}: {v!r} ({type(v).__name__}) / {w!r} ({type(w).__name__}) in {str(x)[:300]} / {str(y)[:300]}"
     return None
@@ -68,7 +68,7 @@ def main() -> int:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(E.queries())
     spark = build_session("check", "local[8]", **{
-        "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "16g"})
+        "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = connect(sf_dir), 0
     for name in names:

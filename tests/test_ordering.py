@@ -61,9 +61,9 @@ def test_split_shuffle_steps_and_samples(spark):
     parts = {r.id: r.part for r in O.ordered_split(df, "id").collect()}
     assert sum(p == "train" for p in parts.values()) == int(0.8 * 103)
     assert all((p == "train") == (i < 82) for i, p in parts.items())
-    a = [r.id for r in O.epoch_shuffle(df, "id", 1, 0).collect()]
-    assert a == [r.id for r in O.epoch_shuffle(df.repartition(2), "id", 1, 0).collect()]
-    assert a != [r.id for r in O.epoch_shuffle(df, "id", 1, 1).collect()] and sorted(a) == list(range(103))
+    a = [r.id for r in O.epoch_shuffle(df, "id", 1, 0).orderBy("position").collect()]
+    assert a == [r.id for r in O.epoch_shuffle(df.repartition(2), "id", 1, 0).orderBy("position").collect()]
+    assert a != [r.id for r in O.epoch_shuffle(df, "id", 1, 1).orderBy("position").collect()] and sorted(a) == list(range(103))
     assert ids(O.every_kth_step(df, 50, "id")) == [0, 50, 100]
     assert [r.id for r in O.first_rows(df, "id", 3).collect()] == [0, 1, 2]
     assert [r.id for r in O.last_rows(df, "id", 3).collect()] == [100, 101, 102]

@@ -17,8 +17,8 @@ def test_vocabulary_and_both_encoding_routes(spark):
     ids = {w: i + 2 for i, w in enumerate(top)}
     assert {r.token: r.token_id for r in words.collect()} == ids
     want = {i: [ids.get(w, 1) for w in t.split()] for i, t in enumerate(texts)} | {60: None}
-    for bound in (T.BROADCAST_ENTRIES, 4):
-        got = T.encode(df, {"t": "ids"}, words, "id", broadcast_entries=bound)
+    for route in ("look_up", "join"):
+        got = T.encode(df, {"t": "ids"}, words, "id", route=route)
         assert {r.id: r.ids for r in got.collect()} == want
         assert got.schema["ids"].dataType.simpleString() == "array<int>"
 
