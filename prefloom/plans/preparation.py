@@ -231,3 +231,21 @@ def written_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     results.write_once(labels, path, force=True)
     results.write_once(labels.where(F.lit(False)), path)
     return spark.read.schema(labels.schema).parquet(path)
+
+
+@registered("""WITH daily AS (SELECT event_type AS run_id, date_diff('day', DATE '2024-01-01', ts::DATE) AS epoch, round(avg(value), 6) AS v,
+    round(max(value), 6) AS top FROM events GROUP BY ALL),
+c AS (SELECT run_id, 'mean' AS metric, list(v ORDER BY epoch) AS vals FROM daily GROUP BY run_id
+  UNION ALL SELECT run_id, 'top', list(top ORDER BY epoch) FROM daily GROUP BY run_id)
+SELECT run_id, metric, len(vals)::BIGINT AS points, round(list_sum(vals), 4) + 0.0 AS total FROM c""")
+def history_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily curves of each event type, stored as one bare map per folder and read back; a type has one point a day."""
+    root = scratch_path(spark, "histories")
+    log = table(spark, sf_dir, "events").select("event_type", F.to_date("ts").alias("day"), "value")
+    daily = log.groupBy("event_type", "day").agg(F.round(F.avg("value"), 6).alias("mean"), F.round(F.max("value"), 6).alias("top"))
+    curve = lambda c: F.transform(F.array_sort(F.collect_list(F.struct("day", c))), lambda x: x[c])
+    maps = daily.groupBy("event_type").agg(F.to_json(F.create_map(F.lit("mean"), curve("mean"), F.lit("top"), curve("top"))).alias("value"))
+    maps.repartition("event_type").write.partitionBy("event_type").text(root)
+    read = results.read_histories(spark, root, run="event_type").select("run_id", F.explode("history").alias("metric", "vals"))
+    total = F.aggregate("vals", F.lit(0.0), lambda a, x: a + x)
+    return read.select("run_id", "metric", F.size("vals").cast("long").alias("points"), (F.round(total, 4) + F.lit(0.0)).alias("total"))

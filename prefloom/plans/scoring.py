@@ -174,38 +174,84 @@ def evaluation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- fitted heads -------------------------------------------------------------
 
-def _fit_report(df: DataFrame, weights: list[float], loss: str, margin: float) -> DataFrame:
+_QUARTERS = range(4)
+
+
+def _few_features(pairs: DataFrame) -> DataFrame:
+    """Vectors reduced to the sums of their quarters."""
+    def sums(c: str):
+        return F.array(*[F.aggregate(F.slice(c, q * 16 + 1, 16), F.lit(0.0), lambda a, x: a + x) for q in _QUARTERS])
+
+    return pairs.select(sums("chosen").alias("chosen"), sums("rejected").alias("rejected"))
+
+
+_FEW_SQL = f"""{I.VECTOR_PAIRS_SQL},
+d AS MATERIALIZED (SELECT {', '.join(f"list_sum(chosen[{q * 16 + 1}:{q * 16 + 16}]) - list_sum(rejected[{q * 16 + 1}:{q * 16 + 16}]) AS d{q}, list_sum(chosen[{q * 16 + 1}:{q * 16 + 16}]) AS c{q}" for q in _QUARTERS)} FROM vector_pairs)"""
+_SCORE_SQL = " + ".join(f"w{q} * d{q}" for q in _QUARTERS)
+
+
+def _descent_sql(rows: str, reg: float, margin: float, rate: float, steps: int, loss: str) -> str:
+    """Gradient descent on the mean logistic loss of the differences, with the weights and losses it ends at."""
+    pull = f"1 / (1 + exp({_SCORE_SQL} - {margin}))"
+    step = ", ".join(f"w{q} - {rate} * ({reg} * w{q} - avg(d{q} * {pull}))" for q in _QUARTERS)
+    names = ", ".join(f"w{q}" for q in _QUARTERS)
+    return f"""WITH RECURSIVE {rows},
+walk AS (SELECT 0 AS k, {', '.join(f'0.0::DOUBLE AS w{q}' for q in _QUARTERS)}
+  UNION ALL SELECT k + 1, {step} FROM walk, d WHERE k < {steps} GROUP BY k, {names}),
+final AS (SELECT * FROM walk WHERE k = {steps}),
+s AS (SELECT {names}, {_SCORE_SQL} AS m, {' + '.join(f'w{q} * c{q}' for q in _QUARTERS)} AS c FROM final, d)
+SELECT round(avg((m > 0)::INT), 3) + 0.0 AS preference_accuracy, round(avg((m >= {margin})::INT), 3) + 0.0 AS margin_satisfaction,
+  round(avg(c), 3) + 0.0 AS chosen_reward_mean, round(avg(c - m), 3) + 0.0 AS rejected_reward_mean, round(avg(m), 3) + 0.0 AS reward_diff_mean,
+  round(avg({loss}), 3) + 0.0 AS loss_value, count(*) AS pairs, {', '.join(f'round(any_value(w{q}), 3) + 0.0 AS w{q}' for q in _QUARTERS)} FROM s"""
+
+
+def _fit_report(df: DataFrame, weights: list[float], loss: str, margin: float, digits: int = 3) -> DataFrame:
     scored = H.score_features(df, weights, {"chosen": "chosen_reward", "rejected": "rejected_reward"})
-    return rounded(L.loss_metrics(scored, loss, margin), 4)
+    return rounded(L.loss_metrics(scored, loss, margin), digits)
 
 
-@registered()
+def _with_weights(report: DataFrame, weights: list[float]) -> DataFrame:
+    return report.withColumns({f"w{q}": F.lit(round(w, 3) + 0.0) for q, w in enumerate(weights)})
+
+
+@registered(_descent_sql(_FEW_SQL, 0.001, 0.0, 6.0, 400, "ln(1 + exp(-m))"))
 def fitted_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = I.vector_pairs(spark, sf_dir)
-    model = H.fit_logistic(pairs, "chosen", "rejected", reg=1e-3)
-    return _fit_report(pairs, H.head_weights(model), "bradley_terry", 0.0)
+    pairs = written(_few_features(I.vector_pairs(spark, sf_dir)), "features")
+    weights = H.head_weights(H.fit_logistic(pairs, "chosen", "rejected", reg=1e-3))
+    return _with_weights(_fit_report(pairs, weights, "bradley_terry", 0.0), weights)
 
 
 @registered()
 def fitted_hinge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = I.vector_pairs(spark, sf_dir)
+    """Whole vectors; the optimum is not smooth, so tests compare it with its surroundings."""
+    pairs = written(I.vector_pairs(spark, sf_dir), "features")
     model = H.fit_hinge(pairs, "chosen", "rejected", MARGIN, reg=1e-3)
-    return _fit_report(pairs, H.head_weights(model, MARGIN), "hinge", MARGIN)
+    return _fit_report(pairs, H.head_weights(model, MARGIN), "hinge", MARGIN, 4)
 
 
-@registered()
+@registered(_descent_sql(_FEW_SQL, 0.0, MARGIN, 6.0, 600, f"ln(1 + exp(-(m - {MARGIN})))"))
 def fitted_log_sigmoid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = I.vector_pairs(spark, sf_dir)
-    model = H.fit_log_sigmoid(pairs, "chosen", "rejected", MARGIN, reg=1e-3)
-    return _fit_report(pairs, H.head_weights(model), "log_sigmoid", MARGIN)
+    pairs = written(_few_features(I.vector_pairs(spark, sf_dir)), "features")
+    weights = H.head_weights(H.fit_log_sigmoid(pairs, "chosen", "rejected", MARGIN))
+    return _with_weights(_fit_report(pairs, weights, "log_sigmoid", MARGIN), weights)
 
 
-@registered()
+def _statistics_sql(side: str) -> list[str]:
+    return [f"length({side}) / 1000.0::DOUBLE", f"len({I.words_sql(side)}) / 100.0::DOUBLE",
+            f"{I.count_sql(side, ',')} / 10.0::DOUBLE", f"{I.count_sql(side, '.')} / 10.0::DOUBLE"]
+
+
+_TEXT_ROWS_SQL = f"""{I.PAIRS_SQL},
+d AS MATERIALIZED (SELECT {', '.join(f"{c} - {r} AS d{q}, {c} AS c{q}" for q, (c, r) in enumerate(zip(_statistics_sql('chosen'), _statistics_sql('rejected'))))} FROM clean_pairs)"""
+
+
+@registered(_descent_sql(_TEXT_ROWS_SQL, 0.1, 0.0, 1.0, 1500, "ln(1 + exp(-m))"))
 def fitted_on_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A head on hashed words, stored, loaded and applied."""
-    pairs = H.hash_texts(I.pairs(spark, sf_dir), {"chosen": "chosen_f", "rejected": "rejected_f"}, size=256)
-    pairs = pairs.select(F.col("chosen_f").alias("chosen"), F.col("rejected_f").alias("rejected"))
+    """A head on text statistics, stored, loaded and applied."""
+    texts = I.pairs(spark, sf_dir)
+    pairs = written(texts.select(I.text_statistics(F.col("chosen")).alias("chosen"), I.text_statistics(F.col("rejected")).alias("rejected")), "features")
     path = scratch_path(spark, "head")
-    H.save_head(H.fit_logistic(pairs, "chosen", "rejected", reg=1e-3, max_iter=20), path, {"size": 256}, {"name": "hashed"}, spark)
+    H.save_head(H.fit_logistic(pairs, "chosen", "rejected", reg=0.1), path, {"features": 4}, {"name": "statistics"}, spark)
     model, _, _ = H.load_head(path, spark)
-    return _fit_report(pairs, H.head_weights(model), "bradley_terry", 0.0)
+    weights = H.head_weights(model)
+    return _with_weights(_fit_report(pairs, weights, "bradley_terry", 0.0), weights)

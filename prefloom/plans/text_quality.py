@@ -104,10 +104,12 @@ def selected_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @registered(f"""WITH {I.TOKEN_LOGITS_SQL} SELECT round(exp(avg(-logprob)), 6) + 0.0 AS perplexity,
-  round(avg(-logprob), 6) + 0.0 AS loss FROM token_stats""")
+  round(avg(-logprob), 6) + 0.0 AS loss FROM token_stats WHERE pos % 4 <> 3""")
 def perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fourth position carries the ignored label."""
     policy, _ = I.token_logits(spark, sf_dir)
-    return rounded(M.perplexity(policy, label="token_id"))
+    label = F.when(F.col("pos") % 4 == 3, M.IGNORED_LABEL).otherwise(F.col("token_id"))
+    return rounded(M.perplexity(policy.withColumn("label", label)))
 
 
 def _histogram_sql(source: str, bins: int) -> str:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T, functions as F
 
 
 def _doubles(*names: str) -> T.StructType:
@@ -48,10 +48,22 @@ PIPELINE_DOC = T.StructType([
     ])),
 ])
 
-HISTORY = T.StructType([
-    T.StructField("run_id", T.StringType()),
-    T.StructField("history", T.MapType(T.StringType(), T.ArrayType(T.DoubleType()))),
-])
+HISTORY = T.MapType(T.StringType(), T.ArrayType(T.DoubleType()))
+
+
+def read_histories(spark: SparkSession, path: str, run: str | None = None) -> DataFrame:
+    """``(run_id, history)``: every file is one bare JSON map of curves; its name without the ending is the run, or a ``run`` column of its folders.
+
+    An absent path gives an empty table.
+    """
+    try:
+        files = spark.read.text(path, wholetext=True)
+    except AnalysisException as err:
+        if err.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], T.StructType([T.StructField("run_id", T.StringType()), T.StructField("history", HISTORY)]))
+        raise
+    name = F.col(run) if run else F.regexp_replace(F.element_at(F.split("_metadata.file_path", "/"), -1), r"\.[^.]*$", "")
+    return files.select(name.alias("run_id"), F.from_json("value", HISTORY).alias("history"))
 
 
 def read_documents(spark: SparkSession, path: str, schema: T.StructType, whole_files: bool = False) -> DataFrame:

@@ -38,11 +38,12 @@ def test_log_sigmoid_with_margin_is_optimal(noisy):
 
 def test_hinge_scales_with_the_margin(noisy):
     df, d, _ = noisy
-    model = H.fit_hinge(df, "chosen", "rejected", reg=0.0)
-    got = np.array(H.head_weights(model, 0.5))
-    loss = lambda w: np.maximum(0, 0.5 - d @ w).mean()
-    for i in range(3):
-        assert all(loss(got) <= loss(got + s * np.eye(3)[i]) + 1e-6 for s in (-0.02, 0.02))
+    for reg in (0.0, 0.1):
+        model = H.fit_hinge(df, "chosen", "rejected", 0.5, reg=reg)
+        got = np.array(H.head_weights(model, 0.5))
+        loss = lambda w: np.maximum(0, 0.5 - d @ w).mean() + reg / 2 * w @ w
+        for i in range(3):
+            assert all(loss(got) <= loss(got + s * np.eye(3)[i]) + 1e-6 for s in (-0.02, 0.02))
 
 
 def test_save_and_load(spark, noisy, tmp_path):

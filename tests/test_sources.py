@@ -41,9 +41,14 @@ def test_result_documents(spark, tmp_path):
     (tmp_path / "run.json").write_text(json.dumps(phases))
     run = results.read_documents(spark, str(tmp_path / "run.json"), results.PIPELINE_DOC, whole_files=True).first()
     assert run.performance_metrics.evaluation_results.reward_scores == [1.0, 2.0]
-    history = {"run_id": "r", "history": {"ppo_loss": [1.0, 0.5]}}
-    (tmp_path / "h.json").write_text(json.dumps(history))
-    assert results.read_documents(spark, str(tmp_path / "h.json"), results.HISTORY).first().history == {"ppo_loss": [1.0, 0.5]}
+
+
+def test_histories_are_bare_maps(spark, tmp_path):
+    for run, curve in (("first", [1.0, 0.5]), ("second", [])):
+        (tmp_path / f"{run}.json").write_text(json.dumps({"ppo_loss": curve}, indent=2))
+    got = {r.run_id: r.history for r in results.read_histories(spark, str(tmp_path)).collect()}
+    assert got == {"first": {"ppo_loss": [1.0, 0.5]}, "second": {"ppo_loss": []}}
+    assert results.read_histories(spark, str(tmp_path / "none")).collect() == []
 
 
 def test_write_once(spark, tmp_path):
