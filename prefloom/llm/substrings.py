@@ -11,10 +11,10 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from prefloom.llm.keys import only_keys, split_keys
 from prefloom.llm.words import Words, window_hashes, word_slices
 from prefloom.sources.scratch import written
 
@@ -38,19 +38,21 @@ def _windows(words: Words, length: int, seed: int) -> tuple[np.ndarray, np.ndarr
     return inside, owner[inside], anchor[inside], window_hashes(hashes, length)[inside]
 
 
-def _text_ids(column: pa.Array) -> pa.Array:
-    return pa.array([hashlib.blake2b((t or "").encode(), digest_size=8).digest() for t in column.to_pylist()], pa.binary())
-
-
 def _anchors(length: int, seed: int):
-    """The distinct anchors of every text."""
+    """The distinct anchors of every text; of equal texts in a batch those of the smallest key."""
 
     def run(batches):
         for batch in batches:
             keys = batch.column(0).to_numpy(zero_copy_only=False)
+            names = [hashlib.blake2b(t.as_py().encode(), digest_size=8).digest() for t in batch.column(1)]
+            least: dict[bytes, int] = {}
+            for name, key in zip(names, keys.tolist()):
+                least[name] = min(key, least.get(name, key))
+            first = np.array([least[name] == key for name, key in zip(names, keys.tolist())], bool)
             for words in word_slices(batch.column(1)):
                 _, text, anchor, _ = _windows(words, length, seed)
                 new = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])]) if len(anchor) else np.zeros(0, bool)
+                new &= first[words.first + text]
                 text, anchor = text[new], anchor[new]
                 yield pa.record_batch([pa.array(anchor.view(np.int64)), pa.array(keys[words.first + text], pa.int64())], names=["anchor", "key"])
 
@@ -81,23 +83,22 @@ def _extended(length: int, seed: int):
 
 def _without(length: int):
     """Words and spans of every text without its repeats."""
+    span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches):
         for batch in batches:
-            starts = batch.column(2).to_pylist()
+            firsts = batch.column(2)
+            flat = firsts.flatten().to_numpy(zero_copy_only=False)
+            at = np.concatenate([[0], np.cumsum(firsts.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))]).astype(np.int64)
             copy = batch.column(3).to_numpy(zero_copy_only=False)
-            total, removed, kept, spans = [], [], [], []
             for words in word_slices(batch.column(1)):
                 raw = words.raw.tobytes()
-                begins, ends = words.starts.tolist(), words.ends.tolist()
+                total, removed, kept, spans = [], [], [], []
                 for k in range(len(words)):
                     a, b, row = int(words.bounds[k]), int(words.bounds[k + 1]), words.first + k
                     n = b - a
+                    own = np.arange(max(n - length + 1, 0)) if copy[row] else flat[at[row]:at[row + 1]]
                     cover = np.zeros(n + 1, np.int32)
-                    if copy[row]:
-                        own = np.arange(max(n - length + 1, 0))
-                    else:
-                        own = np.frombuffer(starts[row], np.int32) if starts[row] else np.zeros(0, np.int32)
                     np.add.at(cover, own, 1)
                     np.add.at(cover, own + length, -1)
                     gone = np.cumsum(cover[:n]) > 0
@@ -105,21 +106,14 @@ def _without(length: int):
                     total.append(n)
                     removed.append(int(gone.sum()))
                     spans.append([{"start": int(x), "end": int(y)} for x, y in edges.reshape(-1, 2)])
-                    stay = (np.flatnonzero(~gone) + a).tolist() if len(own) else range(a, b)
-                    kept.append(b" ".join([raw[begins[i]:ends[i]] for i in stay]).decode())
-            yield pa.record_batch([batch.column(0), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string()),
-                                   pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
-                                  names=["key", "n_words", "n_removed", "kept", "repeats"])
+                    stay = np.flatnonzero(~gone) + a
+                    kept.append(b" ".join([raw[x:y] for x, y in zip(words.starts[stay].tolist(), words.ends[stay].tolist())]).decode())
+                yield pa.record_batch([batch.column(0).slice(words.first, len(words)), pa.array(total, pa.int64()), pa.array(removed, pa.int64()),
+                                       pa.array(kept, pa.string()), pa.array(spans, span)], names=["key", "n_words", "n_removed", "kept", "repeats"])
 
     return run
 
 
-def _joined(frames):
-    """The first words of one document's repeats, packed."""
-    for frame in frames:
-        yield frame
-
-
 def remove_repeats(df: DataFrame, length: int = 13, seed: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(key, n_words long, n_removed long, kept string, repeats array<struct<start, end>>)`` for every row: its words but those covered by a window
     of ``length`` words that also starts in a row with a smaller key, joined by one blank, and the removed spans in words, end exclusive.
@@ -129,27 +123,27 @@ def remove_repeats(df: DataFrame, length: int = 13, seed: int = 5, key: str = "d
     smallest key of equal texts goes through the join; an empty table gives no rows.
     """
     docs = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
+    known = docs.filter("key is not null and text is not null")
     # equal texts: the smallest key stands for all
     same = F.struct(F.xxhash64("text"), F.crc32("text"), F.length("text"))
-    heads = written(docs.filter("key is not null and text is not null").groupBy(same.alias("same")).agg(F.min("key").alias("key")).select("key").distinct(), "heads")
-    lead = docs.filter("text is not null").join(heads, "key", "left_semi")
-    anchors = lead.mapInArrow(_anchors(length, seed), "anchor long, key long")
+    heads = known.groupBy(same.alias("same")).agg(F.min("key").alias("key"))
+    classes = written(known.select(same.alias("same"), F.col("key").alias("own")).join(heads, "same").groupBy("own").agg(F.min(F.col("own") > F.col("key")).alias("copy")), "copies")
+    copies = classes.filter("copy").select(F.col("own").alias("key"))
+    maybe, never = split_keys(known, copies)
+    lead = never.unionByName(maybe.join(copies, "key", "left_anti"))
+    # dealt out by anchor, and later by window, once for the smallest key and for the join
+    anchors = lead.mapInArrow(_anchors(length, seed), "anchor long, key long").repartition("anchor")
     several = anchors.groupBy("anchor").agg(F.min("key").alias("low"), F.max("key").alias("high")).filter("low < high").select("anchor")
-    shared = written(anchors.join(several, "anchor").groupBy("key").agg(F.collect_set("anchor").alias("anchors")), "anchors")
-    windows = lead.join(shared, "key").select("key", "text", "anchors").mapInArrow(_extended(length, seed), "window long, key long, first int")
-    windows = written(windows, "windows")
+    shared = written(anchors.join(several.hint("shuffle_hash"), "anchor").groupBy("key").agg(F.collect_set("anchor").alias("anchors")), "anchors")
+    found = only_keys(known, shared).join(shared, "key").select("key", "text", "anchors").mapInArrow(_extended(length, seed), "window long, key long, first int")
+    windows = found.repartition("window")
     earliest = windows.groupBy("window").agg(F.min("key").alias("low"), F.max("key").alias("high")).filter("low < high").select("window", "low")
-    repeats = windows.join(earliest, "window").filter("key > low")
     # at most one entry for each word of a document
-    starts = repeats.groupBy("key").agg(F.sort_array(F.collect_list("first")).alias("firsts"))
-    starts = written(starts.select("key", F.transform("firsts", lambda x: x).alias("firsts")), "repeats")
-    marked = docs.join(heads.withColumn("head", F.lit(True)), "key", "left").join(starts, "key", "left")
-    cut = marked.select("key", "text", "firsts", (F.col("head").isNull() & F.col("key").isNotNull() & F.col("text").isNotNull()).alias("copy"))
-
-    def run(batches):
-        for batch in batches:
-            packed = pa.array([None if v is None else np.array(v, np.int32).tobytes() for v in batch.column(2).to_pylist()], pa.binary())
-            yield from _without(length)([pa.record_batch([batch.column(0), batch.column(1), packed, batch.column(3)], names=["key", "text", "starts", "copy"])])
-
-    out = cut.mapInArrow(run, "key long, n_words long, n_removed long, kept string, repeats array<struct<start long, end long>>")
+    starts = windows.join(earliest.hint("shuffle_hash"), "window").filter("key > low").groupBy("key").agg(F.sort_array(F.collect_list("first")).alias("firsts"))
+    touched = written(starts.withColumn("copy", F.lit(False)).unionByName(
+        copies.select("key", F.lit(None).cast("array<int>").alias("firsts"), F.lit(True).alias("copy"))), "repeats")
+    maybe, never = split_keys(docs, touched)
+    whole = never.select("key", "text", F.lit(None).cast("array<int>").alias("firsts"), F.lit(False).alias("copy"))
+    cut = maybe.join(touched, "key", "left").select("key", "text", "firsts", F.coalesce("copy", F.lit(False)).alias("copy")).unionByName(whole)
+    out = cut.mapInArrow(_without(length), "key long, n_words long, n_removed long, kept string, repeats array<struct<start long, end long>>")
     return out.select(F.col("key").cast(df.schema[key].dataType).alias(key), "n_words", "n_removed", "kept", "repeats")
