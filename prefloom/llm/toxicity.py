@@ -140,7 +140,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS,
     words = chosen["word"].to_numpy().astype(np.int64).view(np.uint64)
     model = ToxicModel(words, np.zeros(len(words)), 0.0, 0.0)
     packed = written(rows.mapInArrow(_packed(model), "feature binary, sentence binary, text binary, toxic binary"), "toxic-packed")
-    weights, bias, leak = np.minimum(chosen["odds"].to_numpy(float), 4) if len(words) else np.zeros(0), -6.0, -3.0
+    weights, bias, leak = np.minimum(chosen["odds"].to_numpy(float), 4) if len(words) else np.zeros(0), -6.0 if len(words) else -40.0, -3.0
     first, second, rate, decay = np.zeros(len(words) + 2), np.zeros(len(words) + 2), 0.15, 1e-4
     for k in range(1, passes + 1):
         parts = packed.mapInPandas(_gradient(weights, bias, leak), "gradient binary, slope double, leaking double, n long").collect()
