@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from prefloom.llm import bpe, jaccard, katz, mixing, near_vectors, neighbours, secret_scan, substrings, toxicity
+from prefloom.llm.mixing_sql import MIX_SQL
 from prefloom.plans.registry import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +52,9 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+SQL["op10_source_mix"] = MIX_SQL
+
+
 @query
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
