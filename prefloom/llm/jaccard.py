@@ -17,14 +17,17 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from prefloom.llm.components import components
+from prefloom.llm.keys import only_keys
 from prefloom.llm.words import window_hashes, word_slices
 from prefloom.sources.scratch import written
 
 #: Groups of the count vector, points in a leaf of a tree, points of one hot n-gram compared in one unit of work.
-GROUPS, LEAF, UNIT = 128, 32, 1024
+GROUPS, LEAF, UNIT = 512, 32, 1024
+#: Pairs of sets in one task of the verification, so that a batch of them stays small.
+TOGETHER = 500
 #: N-grams kept as very frequent ones; the list only sets the order of prefixes, results do not depend on it.
 FREQUENT = 1 << 17
 
@@ -42,16 +45,26 @@ def _sets(column: pa.Array, size: int):
                 yield words.first + k, window_hashes(hashes[a:b], int(b - a)) if b > a else np.zeros(0, np.uint64)
 
 
-def _frequent(size: int, local: int = 4, most: int = 1 << 14):
-    """The most frequent n-grams of every batch, with the number of texts that hold them there."""
+def _frequent(size: int, local: int = 3, most: int = 8192, together: int = 1 << 20):
+    """The most frequent n-grams of every run of texts, with the number of texts that hold them there."""
+
+    def counted(own):
+        grams, counts = np.unique(np.concatenate(own), return_counts=True)
+        grams, counts = grams[counts >= local], counts[counts >= local]
+        top = np.argsort(-counts, kind="stable")[:most]
+        return pa.record_batch([pa.array(grams[top].view(np.int64)), pa.array(counts[top].astype(np.int64))], names=["gram", "n"])
 
     def run(batches):
+        own, held = [], 0
         for batch in batches:
-            own = [s for _, s in _sets(batch.column(0), size)]
-            grams, counts = np.unique(np.concatenate(own), return_counts=True) if own else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-            grams, counts = grams[counts >= local], counts[counts >= local]
-            top = np.argsort(-counts, kind="stable")[:most]
-            yield pa.record_batch([pa.array(grams[top].view(np.int64)), pa.array(counts[top].astype(np.int64))], names=["gram", "n"])
+            for _, grams in _sets(batch.column(0), size):
+                own.append(grams)
+                held += len(grams)
+                if held >= together:
+                    yield counted(own)
+                    own, held = [], 0
+        if own:
+            yield counted(own)
 
     return run
 
@@ -62,16 +75,20 @@ def _points(size: int, percent: int, late):
     def run(batches):
         frequent, rank = late.value
         for batch in batches:
-            rows = []
+            rows, known = [], set()
             for _, own in _sets(batch.column(1), size):
                 n = len(own)
-                counts = np.bincount((own % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS).astype(np.int32)
+                counts = np.bincount((own % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS)
+                clipped = np.minimum(counts, 255).astype(np.uint8).tobytes() + np.int64(np.maximum(counts - 255, 0).sum()).tobytes()
                 order = own
                 if n and len(frequent):
                     at = np.minimum(np.searchsorted(frequent, own), len(frequent) - 1)
                     order = own[np.lexsort((own, np.where(frequent[at] == own, rank[at], 0)))]
-                prefix = order[:n - (percent * n + 99) // 100 + 1].view(np.int64) if n else np.zeros(0, np.int64)
-                rows.append((n, _identity(own), counts.tobytes(), prefix))
+                node = _identity(own)
+                # of equal sets in a batch one carries the prefix
+                prefix = order[:n - (percent * n + 99) // 100 + 1].view(np.int64) if n and node not in known else None
+                known.add(node)
+                rows.append((n, node, clipped, prefix))
             n, node, counts, prefix = zip(*rows) if rows else ((), (), (), ())
             yield pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(counts, pa.binary()),
                                    pa.array(prefix, pa.list_(pa.int64()))], names=["key", "n", "node", "counts", "prefix"])
@@ -100,16 +117,27 @@ def _needed(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     return (percent * (a + b) + 99 + percent) // (100 + percent)
 
 
+def unpacked(counts) -> tuple[np.ndarray, np.ndarray]:
+    """Counts per group, cut at 255 to fit a byte, and what was cut off: the overlap is at most the sum of the minima of all."""
+    raw = np.frombuffer(b"".join(counts), np.uint8).reshape(-1, GROUPS + 8)
+    return raw[:, :GROUPS], np.ascontiguousarray(raw[:, GROUPS:]).view(np.int64)[:, 0]
+
+
+def _most_shared(a: np.ndarray, b: np.ndarray, more: np.ndarray, other: np.ndarray) -> np.ndarray:
+    return np.minimum(a, b).sum(1, dtype=np.int64) + np.minimum(more, other)
+
+
 class _Tree:
     """Points packed into boxes, ``LEAF`` at a time, in the order of their size and counts; an inner box spans ``LEAF`` boxes below."""
 
-    def __init__(self, points: np.ndarray, sizes: np.ndarray) -> None:
+    def __init__(self, points: np.ndarray, more: np.ndarray, sizes: np.ndarray) -> None:
         self.order = np.lexsort((points.argmax(1), sizes))
-        self.points, self.sizes = points[self.order], sizes[self.order]
-        self.upper, self.least, self.most = [self.points], [self.sizes], [self.sizes]
+        self.upper, self.more = [points[self.order]], [more[self.order]]
+        self.least, self.most = [sizes[self.order]], [sizes[self.order]]
         while len(self.upper[-1]) > 1:
             cut = np.arange(0, len(self.upper[-1]), LEAF)
             self.upper.append(np.maximum.reduceat(self.upper[-1], cut))
+            self.more.append(np.maximum.reduceat(self.more[-1], cut))
             self.least.append(np.minimum.reduceat(self.least[-1], cut))
             self.most.append(np.maximum.reduceat(self.most[-1], cut))
 
@@ -120,11 +148,11 @@ def tree_pairs(left: _Tree, right: _Tree, percent: int) -> tuple[np.ndarray, np.
     high, low = len(left.upper) - 1, len(right.upper) - 1
     while len(a):
         keep = np.zeros(len(a), bool)
-        for k in range(0, len(a), 20_000):
-            x, y = a[k:k + 20_000], b[k:k + 20_000]
-            bound = np.minimum(left.upper[high][x], right.upper[low][y]).sum(1)
+        for k in range(0, len(a), 10_000):
+            x, y = a[k:k + 10_000], b[k:k + 10_000]
+            bound = _most_shared(left.upper[high][x], right.upper[low][y], left.more[high][x], right.more[low][y])
             bound = np.minimum(bound, np.minimum(left.most[high][x], right.most[low][y]))
-            keep[k:k + 20_000] = bound >= _needed(left.least[high][x], right.least[low][y], percent)
+            keep[k:k + 10_000] = bound >= _needed(left.least[high][x], right.least[low][y], percent)
         a, b = a[keep], b[keep]
         if not high and not low:
             break
@@ -145,14 +173,14 @@ def _candidates(percent: int):
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         found = []
-        for _, own in frame.groupby("gram", sort=False):
-            points = np.frombuffer(b"".join(own["counts"]), np.int32).reshape(-1, GROUPS)
+        for _, own in frame.groupby(["gram", "u", "v"], sort=False):
+            points, more = unpacked(own["counts"])
             node, part, of = own["node"].to_numpy(), own["component"].to_numpy(), own["side"].to_numpy()
             sizes = own["n"].to_numpy()
             one, two = np.flatnonzero(of <= 1), np.flatnonzero(of >= 1)  # side 1: both
             if not len(one) or not len(two):
                 continue
-            x, y = tree_pairs(_Tree(points[one], sizes[one]), _Tree(points[two], sizes[two]), percent)
+            x, y = tree_pairs(_Tree(points[one], more[one], sizes[one]), _Tree(points[two], more[two], sizes[two]), percent)
             x, y = one[x], two[y]
             keep = part[x] != part[y]
             found.append(np.stack([np.minimum(node[x], node[y])[keep], np.maximum(node[x], node[y])[keep]]))
@@ -166,8 +194,8 @@ def _similar(percent: int):
     def run(batches):
         for batch in batches:
             good = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for x, y in zip(batch.column(2), batch.column(3)):
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 if len(x) > len(y):
                     x, y = y, x
                 shared = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
@@ -177,87 +205,100 @@ def _similar(percent: int):
     return run
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    left = sets.select(F.col("node").alias("a"), F.col("members").alias("x"))
-    right = sets.select(F.col("node").alias("b"), F.col("members").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_similar(percent), "a long, b long")
+def _bounded(percent: int):
+    """Pairs whose summed minima reach the needed overlap."""
 
+    def run(batches):
+        for batch in batches:
+            a, b, n, m = (batch.column(k).to_numpy() for k in range(4))
+            keep = np.zeros(len(a), bool)
+            for k in range(0, len(a), 2000):
+                at = slice(k, k + 2000)
+                (x, more), (y, other) = unpacked(batch.column(4)[at].to_pylist()), unpacked(batch.column(5)[at].to_pylist())
+                bound = _most_shared(x, y, more, other)
+                keep[at] = bound >= _needed(n[at], m[at], percent)
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(keep))
 
-def _with_components(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
-    if labels is None:
-        return rows.withColumn("component", F.col("node"))
-    return rows.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    return run
 
 
-def _mixed(rows: DataFrame, pick: Column) -> DataFrame:
-    """N-grams whose points lie in more than one component, with their number and one picked point."""
-    return rows.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members"),
-                                    F.min_by("node", pick).alias("leader")).filter("low <> high").drop("low", "high")
+def _verified(pairs: DataFrame, docs: DataFrame, chosen: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs whose sets are similar; sets are made again for the texts of these pairs only."""
+    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    keys = written(chosen.join(nodes, "node").select("key", "node"), "pair-keys")
+    texts = only_keys(docs.select("key", "text"), keys).join(keys, "key").select("node", "text")
+    sets = written(texts.mapInArrow(_set_bytes(size), "node long, members binary"), "sets")
+    left = sets.select(F.col("node").alias("a"), F.col("members").alias("x"))
+    right = sets.select(F.col("node").alias("b"), F.col("members").alias("y"))
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
+    return both.repartition(pairs.count() // TOGETHER + 1, "a", "b").mapInArrow(_similar(percent), "a long, b long")
+
+
+def _leader_pairs(rows: DataFrame, chosen: DataFrame, picks: int, percent: int) -> DataFrame:
+    """Of the first ``picks`` shared n-grams of each point, in a hashed order: one point of the n-gram with the others, where the bound allows."""
+    order = F.struct(F.xxhash64("gram"), F.col("gram"))
+    first = rows.groupBy("node").agg(F.slice(F.array_sort(F.collect_list(order)), 1, picks).alias("g")).select("node", F.explode("g.gram").alias("gram"))
+    first = written(first, "first-grams")
+    lead = first.groupBy("gram").agg(F.min_by("node", F.xxhash64("node", "gram")).alias("leader"))
+    pairs = first.join(lead, "gram").filter("node <> leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+    left = chosen.select(F.col("node").alias("a"), F.col("n").alias("n"), F.col("counts").alias("x"))
+    right = chosen.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("counts").alias("y"))
+    sized = pairs.join(left, "a").join(right, "b").filter(100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
+    return sized.select("a", "b", "n", "m", "x", "y").mapInArrow(_bounded(percent), "a long, b long")
 
 
-def jaccard_join(df: DataFrame, size: int = 5, percent: int = 75, rounds: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
+def jaccard_join(df: DataFrame, size: int = 5, percent: int = 75, picks: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(key, n_shingles long, component_id)`` for every row: the size of its set of ``size``-word shingles, and the smallest key reachable by
     links, itself included. Two rows are linked when ``100 * intersection >= percent * union``, on whole texts with A-Z folded.
 
-    Only the key and the text are read. Texts without words and null texts have an empty set and link with nothing; texts with fewer words
-    than ``size`` have one shingle, their sequence; repeated rows and texts are one point, so a group of copies costs one; rows with a null
-    key keep it where nothing is linked with them; an empty table gives no rows.
+    Keys are whole numbers. Only the key and the text are read. Texts without words and null texts have an empty set and link with nothing; texts with
+    fewer words than ``size`` have one shingle, their sequence; rows with equal sets are one point, so a group of copies costs one; rows with a
+    null key are linked only through equal sets; an empty table gives no rows.
 
-    In ``rounds`` rounds one point of each n-gram is compared with the others; then trees join what is still apart. Links found in between
-    connect components, and only n-grams whose points lie in several components go on, so no pair is listed within a group of copies.
+    First one point for each of some n-grams is compared with the others that share it; then trees join what is still apart. Only n-grams
+    whose points lie in several components go on to the trees, so no pairs are listed within a group of near copies that is connected.
     """
     spark = df.sparkSession
-    docs = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    docs = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     counted = docs.select("text").mapInArrow(_frequent(size), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     # bounded: FREQUENT numbers; they only order the prefixes
     top = counted.filter("n >= 32").orderBy(F.desc("n"), "gram").limit(FREQUENT).toPandas()
     grams, rank = top["gram"].to_numpy().astype(np.int64).view(np.uint64), np.arange(len(top), 0, -1)
     order = np.argsort(grams)
     late = spark.sparkContext.broadcast((grams[order], rank[order]))
-    kind = df.schema[key].dataType.simpleString()
-    points = written(docs.mapInArrow(_points(size, percent, late), f"key {kind}, n long, node long, counts binary, prefix array<long>"), "points")
-    nodes = points.filter("node is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("counts").alias("counts"), F.first("prefix").alias("prefix"))
-    single = nodes.select("node", F.explode("prefix").alias("gram"))
-    shared = single.groupBy("gram").agg(F.count("*").alias("c")).filter("c > 1").select("gram")
-    rows = written(single.join(shared, "gram"), "prefixes")
-    some = written(rows.select("node").distinct(), "nodes")
-    chosen = points.select("node", "key", "n", "counts").join(some, "node").groupBy("node").agg(F.min("key").alias("key"), F.first("n").alias("n"), F.first("counts").alias("counts"))
-    chosen = written(chosen, "chosen")
-    texts = docs.join(chosen.select("key", "node"), "key").select("node", "text")
-    sets = written(texts.mapInArrow(_set_bytes(size), "node long, members binary"), "sets")
-    labels, links = None, None
-    for k in range(rounds + 1):
-        current = _with_components(rows, labels)
-        if k < rounds:
-            # one point of each n-gram, another in every round, against the rest
-            lead = _mixed(current, F.xxhash64("node", F.lit(k)))
-            own = current.join(lead, "gram").select("node", "leader", "component").filter("node <> leader").distinct()
-            far = _with_components(own.select(F.col("leader").alias("node"), F.col("node").alias("other"), F.col("component").alias("c")), labels)
-            pairs = far.filter("component <> c").select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-        else:
-            pairs = _tree_join(current, chosen, percent)
-        if k:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = written(pairs, "pairs")
-        tried = pairs if not k else tried.unionByName(pairs)
-        found = written(_verified(pairs, sets, percent), "links")
-        links = found if links is None else links.unionByName(found)
-        labels = components(links)
-    least = points.join(labels, "node", "left").withColumn("root", F.coalesce("component", "node"))
-    smallest = least.filter("root is not null").groupBy("root").agg(F.min("key").alias("component_id"))
-    return least.join(smallest, "root", "left").select(F.col("key").alias(key), F.col("n").alias("n_shingles"),
-                                                       F.coalesce("component_id", "key").alias("component_id"))
+    points = written(docs.mapInArrow(_points(size, percent, late), "key long, n long, node long, counts binary, prefix array<long>"), "points")
+    # dealt out by n-gram once, for the count and for the join
+    single = points.select("node", F.explode("prefix").alias("gram")).repartition("gram")
+    shared = single.groupBy("gram").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").select("gram")
+    rows = written(single.join(shared.hint("shuffle_hash"), "gram").distinct(), "prefixes")
+    least = points.join(rows.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min("key").alias("key"))
+    chosen = written(points.select("key", "node", "n", "counts").join(least, ["key", "node"]).dropDuplicates(["node"]), "chosen")
+    pairs = written(_leader_pairs(rows, chosen, picks, percent), "pairs")
+    links = written(_verified(pairs, docs, chosen, size, percent), "links")
+    near = rows.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    more = written(_tree_join(near, chosen, percent).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    links = links.unionByName(written(_verified(more, docs, chosen, size, percent), "links"))
+    labelled = points.select("key", "n", "node").join(components(links), "node", "left").withColumn("root", F.coalesce("component", "node"))
+    smallest = labelled.filter("root is not null").groupBy("root").agg(F.min("key").alias("component_id"))
+    return labelled.join(smallest, "root", "left").select(F.col("key").cast(df.schema[key].dataType).alias(key), F.col("n").alias("n_shingles"),
+                                                          F.coalesce("component_id", "key").cast(df.schema[key].dataType).alias("component_id"))
 
 
 def _tree_join(rows: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
-    """Candidates among the points of every n-gram that still lie in several components, in units of two runs of ``UNIT`` points at most."""
-    open_grams = _mixed(rows, F.col("node")).select("gram", F.ceil(F.col("members") / UNIT).cast("int").alias("runs"))
-    live = rows.join(open_grams, "gram").withColumn("run", F.pmod(F.xxhash64("node"), F.col("runs")).cast("int"))
+    """Candidates among the points of every n-gram that still lie in several components, in units of two runs of ``UNIT`` points at most.
+
+    Of n-grams with the same points, such as those of one shared passage, one is enough.
+    """
+    grams = rows.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members"),
+                                     F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("same"), F.min("node").alias("first"), F.max("node").alias("last"))
+    grams = grams.filter("low <> high").groupBy("members", "same", "first", "last").agg(F.min("gram").alias("gram"))
+    live = rows.join(grams.select("gram", F.ceil(F.col("members") / UNIT).cast("int").alias("runs")), "gram")
+    live = live.withColumn("run", F.pmod(F.xxhash64("node"), F.col("runs")).cast("int"))
     # a point of run r meets run s in unit (min, max); within its own run it stands on both sides
     unit = live.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("runs") - 1))).select(
         "gram", "node", "component", F.least("run", "other").alias("u"), F.greatest("run", "other").alias("v"),
         F.when(F.col("run") == F.col("other"), 1).when(F.col("run") < F.col("other"), 0).otherwise(2).alias("side"))
     full = unit.join(chosen.select("node", "n", "counts"), "node")
-    parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1) * 4
+    parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1) * 8
     grouped = full.withColumn("unit", F.pmod(F.xxhash64("gram", "u", "v"), F.lit(parts)))
-    return grouped.groupBy("unit", "u", "v").applyInPandas(_candidates(percent), "a long, b long").distinct()
+    return grouped.groupBy("unit").applyInPandas(_candidates(percent), "a long, b long").distinct()
