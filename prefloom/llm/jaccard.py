@@ -26,8 +26,8 @@ from prefloom.sources.scratch import written
 
 #: Groups of the count vector, points in a leaf of a tree, points of one hot n-gram compared in one unit of work.
 GROUPS, LEAF, UNIT = 512, 32, 1024
-#: Pairs of sets in one task of the verification, so that a batch of them stays small.
-TOGETHER = 500
+#: Pairs in one unit of the verification on average, and points on each side of a dense one.
+TOGETHER, SIDE = 1000, 64
 #: N-grams kept as very frequent ones; the list only sets the order of prefixes, results do not depend on it.
 FREQUENT = 1 << 17
 
@@ -173,7 +173,7 @@ def _candidates(percent: int):
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         found = []
-        for _, own in frame.groupby(["gram", "u", "v"], sort=False):
+        for (gram, u, v), own in frame.groupby(["gram", "u", "v"], sort=False):
             points, more = unpacked(own["counts"])
             node, part, of = own["node"].to_numpy(), own["component"].to_numpy(), own["side"].to_numpy()
             sizes = own["n"].to_numpy()
@@ -182,25 +182,34 @@ def _candidates(percent: int):
                 continue
             x, y = tree_pairs(_Tree(points[one], more[one], sizes[one]), _Tree(points[two], more[two], sizes[two]), percent)
             x, y = one[x], two[y]
-            keep = part[x] != part[y]
-            found.append(np.stack([np.minimum(node[x], node[y])[keep], np.maximum(node[x], node[y])[keep]]))
-        pairs = np.unique(np.concatenate(found, 1), axis=1) if found else np.zeros((2, 0), np.int64)
-        return pd.DataFrame({"a": pairs[0], "b": pairs[1]})
+            keep = (part[x] != part[y]) & ((of[x] != 1) | (of[y] != 1) | (node[x] < node[y]))
+            x, y = x[keep], y[keep]
+            swap = node[x] > node[y]
+            x, y = np.where(swap, y, x), np.where(swap, x, y)
+            found.append(pd.DataFrame({"a": node[x], "b": node[y], "gram": gram, "u": u * UNIT + x // SIDE, "v": v * UNIT + y // SIDE}))
+        if not found:
+            return pd.DataFrame({c: pd.Series(dtype="int64") for c in ("a", "b", "gram", "u", "v")})
+        # the smallest n-gram keeps the pairs of a family together
+        return pd.concat(found).sort_values(["a", "b", "gram", "u", "v"]).drop_duplicates(["a", "b"])
 
     return run
 
 
 def _similar(percent: int):
-    def run(batches):
-        for batch in batches:
-            good = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if len(x) > len(y):
-                    x, y = y, x
-                shared = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
-                good.append(100 * shared >= percent * (len(x) + len(y) - shared))
-            yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
+    """The similar ones among the pairs of a unit, whose sets come once each."""
+
+    def run(key, pairs: pd.DataFrame, sets: pd.DataFrame) -> pd.DataFrame:
+        members = {n: np.frombuffer(m, np.uint64) for n, m in zip(sets["node"].to_numpy().tolist(), sets["members"])}
+        good = np.zeros(len(pairs), bool)
+        for k, (a, b) in enumerate(zip(pairs["a"].to_numpy().tolist(), pairs["b"].to_numpy().tolist())):
+            x, y = members.get(a), members.get(b)
+            if x is None or y is None:
+                continue
+            if len(x) > len(y):
+                x, y = y, x
+            shared = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+            good[k] = 100 * shared >= percent * (len(x) + len(y) - shared)
+        return pairs.loc[good, ["a", "b"]]
 
     return run
 
@@ -228,10 +237,11 @@ def _verified(pairs: DataFrame, docs: DataFrame, chosen: DataFrame, size: int, p
     keys = written(chosen.join(nodes, "node").select("key", "node"), "pair-keys")
     texts = only_keys(docs.select("key", "text"), keys).join(keys, "key").select("node", "text")
     sets = written(texts.mapInArrow(_set_bytes(size), "node long, members binary"), "sets")
-    left = sets.select(F.col("node").alias("a"), F.col("members").alias("x"))
-    right = sets.select(F.col("node").alias("b"), F.col("members").alias("y"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    return both.repartition(pairs.count() // TOGETHER + 1, "a", "b").mapInArrow(_similar(percent), "a long, b long")
+    parts = pairs.count() // TOGETHER + 1
+    dealt = pairs.select("a", "b", F.pmod(F.xxhash64("gram", "u", "v"), F.lit(parts)).alias("unit"))
+    needed = dealt.select("unit", F.explode(F.array("a", "b")).alias("node")).distinct()
+    held = needed.join(sets, "node").select(F.col("unit").alias("at"), "node", "members")
+    return dealt.groupBy("unit").cogroup(held.groupBy("at")).applyInPandas(_similar(percent), "a long, b long")
 
 
 def _leader_pairs(rows: DataFrame, chosen: DataFrame, picks: int, percent: int) -> DataFrame:
@@ -244,7 +254,8 @@ def _leader_pairs(rows: DataFrame, chosen: DataFrame, picks: int, percent: int)
     left = chosen.select(F.col("node").alias("a"), F.col("n").alias("n"), F.col("counts").alias("x"))
     right = chosen.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("counts").alias("y"))
     sized = pairs.join(left, "a").join(right, "b").filter(100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
-    return sized.select("a", "b", "n", "m", "x", "y").mapInArrow(_bounded(percent), "a long, b long")
+    near = sized.select("a", "b", "n", "m", "x", "y").mapInArrow(_bounded(percent), "a long, b long")
+    return near.select("a", "b", F.xxhash64("a", "b").alias("gram"), F.lit(0).cast("long").alias("u"), F.lit(0).cast("long").alias("v"))
 
 
 def jaccard_join(df: DataFrame, size: int = 5, percent: int = 75, picks: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -301,4 +312,5 @@ def _tree_join(rows: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
     full = unit.join(chosen.select("node", "n", "counts"), "node")
     parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1) * 8
     grouped = full.withColumn("unit", F.pmod(F.xxhash64("gram", "u", "v"), F.lit(parts)))
-    return grouped.groupBy("unit").applyInPandas(_candidates(percent), "a long, b long").distinct()
+    found = grouped.groupBy("unit").applyInPandas(_candidates(percent), "a long, b long, gram long, u long, v long")
+    return found.groupBy("a", "b").agg(F.min(F.struct("gram", "u", "v")).alias("at")).select("a", "b", "at.gram", "at.u", "at.v")
