@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from prefloom.functions.numeric import prefers, share
 from prefloom.functions.text import n_words
 from prefloom.operators.ordering import first_rows
+from prefloom.operators.text_metrics import METRICS, compute_all
 
 
 def zip_by_key(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -41,6 +42,25 @@ def response_stats(
     )
 
 
+def model_quality(
+    responses: DataFrame, references: DataFrame | None = None, metrics: list[str] | None = None,
+    token_vectors: tuple[DataFrame, DataFrame] | None = None, key: str = "prompt_id",
+) -> DataFrame:
+    """One row for the responses of one model: text metrics against ``references (key, reference)``, then lengths and rewards.
+
+    Without references there are no text metrics.
+    """
+    stats = response_stats(responses)
+    if references is None:
+        return stats
+    pairs = responses.select(F.col(key).alias("item_id"), F.col("response").alias("prediction")).join(
+        references.select(F.col(key).alias("item_id"), "reference"), "item_id")
+    names = metrics or list(METRICS)
+    values = compute_all(pairs, names, token_vectors)
+    wide = one_row(values.agg(*[F.max(F.when(F.col("metric") == m, F.col("value"))).alias(m) for m in names]))
+    return stats.select(*[wide[m].alias(m) for m in names], *stats.columns)
+
+
 def win_rate(df: DataFrame, first: str, second: str) -> DataFrame:
     return df.agg(share(prefers(F.col(first), F.col(second))).alias("win_rate"))
 
@@ -51,15 +71,19 @@ def one_row(df: DataFrame) -> Column:
 
 
 def compare_two(
-    first: DataFrame, second: DataFrame, key: str = "prompt_id", samples: int = 3
+    first: DataFrame, second: DataFrame, key: str = "prompt_id", samples: int = 3,
+    references: DataFrame | None = None, metrics: list[str] | None = None,
 ) -> DataFrame:
-    """One report row for two response tables (key, response, reward) over the same prompts."""
+    """One report row for two response tables (key, response, reward) over the same prompts.
+
+    With ``references`` both sides also get text metrics.
+    """
     both = first.select(key, F.col("reward").alias("r1")).join(
         second.select(key, F.col("reward").alias("r2")), key)
     report = both.agg(share(prefers(F.col("r1"), F.col("r2"))).alias("win_rate_model_1"))
     return report.select(
-        one_row(response_stats(first)).alias("model_1_metrics"),
-        one_row(response_stats(second)).alias("model_2_metrics"),
+        one_row(model_quality(first, references, metrics, key=key)).alias("model_1_metrics"),
+        one_row(model_quality(second, references, metrics, key=key)).alias("model_2_metrics"),
         "win_rate_model_1",
         sample_list(first, key, "response", samples).alias("model_1_samples"),
         sample_list(second, key, "response", samples).alias("model_2_samples"),
@@ -87,24 +111,16 @@ def side_by_side(
 
 
 def evaluation_report(
-    responses: DataFrame, pairs: DataFrame, quality: DataFrame | None = None, key: str = "prompt_id", samples: int = 5
+    responses: DataFrame, pairs: DataFrame, references: DataFrame | None = None, metrics: list[str] | None = None,
+    key: str = "prompt_id", samples: int = 5,
 ) -> DataFrame:
-    """Quality, alignment and samples as one nested document row.
-
-    ``quality`` is an optional one-row table of text metrics, placed beside the response statistics.
-    """
-    stats = response_stats(responses)
-    quality_row = one_row(stats)
-    if quality is not None:
-        extra = one_row(quality)
-        quality_row = F.struct(
-            *[extra[c].alias(c) for c in quality.columns], *[quality_row[c].alias(c) for c in stats.columns])
+    """Quality, alignment and samples as one nested document row; with ``references`` text metrics are part of the quality."""
     sample = F.struct(
         sample_list(responses, key, "prompt", samples).alias("prompts"),
         sample_list(responses, key, "response", samples).alias("responses"))
     alignment = preference_alignment(pairs)
     return alignment.select(
-        quality_row.alias("model_quality"),
+        one_row(model_quality(responses, references, metrics, key=key)).alias("model_quality"),
         F.struct(*alignment.columns).alias("preference_alignment"),
         sample.alias("sample_generations"),
     )

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from prefloom.operators import alignment as A, losses as L, ranking as R, reward_head as H
 from prefloom.plans import inputs as I
 from prefloom.plans.registry import registered, rounded
+from prefloom.plans.text_quality import bleu_sql
 from prefloom.sources.scratch import scratch_path, written
 
 MARGIN = 0.5
@@ -105,12 +106,32 @@ def best_of_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(R.best_of_candidates(df).select("prompt_id", "candidate_id", "reward", "score_diff"))
 
 
-@registered(f"""WITH {I.MODEL_RESPONSES_SQL}, s AS (
+MODELS = ("base", "ppo", "supervised")
+
+
+def _references(rows: DataFrame) -> DataFrame:
+    """The chosen response of each prompt."""
+    return rows.where("model = 'ppo'").select("prompt_id", F.col("response").alias("reference"))
+
+
+def _bleu_of_sql(model: str) -> str:
+    return f"""
+pairs_{model} AS (SELECT m.prompt_id AS item_id, m.response AS prediction, r.response AS reference
+  FROM model_responses m JOIN model_responses r ON r.prompt_id = m.prompt_id AND r.model = 'ppo' WHERE m.model = '{model}'),
+{bleu_sql(f'pairs_{model}', f'_{model}')}"""
+
+
+@registered(f"""WITH {I.MODEL_RESPONSES_SQL}, {', '.join(map(_bleu_of_sql, MODELS))}, s AS (
   SELECT model, avg(len({I.words_sql('response')})) AS w, avg(reward) AS r, stddev_samp(reward) AS d
-  FROM model_responses GROUP BY model)
-SELECT model, round(w, 6) + 0.0 AS avg_response_length, round(r, 6) + 0.0 AS avg_reward_score, round(d, 6) + 0.0 AS reward_std FROM s""")
+  FROM model_responses GROUP BY model),
+b AS ({' UNION ALL '.join(f"SELECT '{m}' AS model, bleu FROM bleu_{m}" for m in MODELS)})
+SELECT model, round(bleu, 6) + 0.0 AS bleu, round(w, 6) + 0.0 AS avg_response_length, round(r, 6) + 0.0 AS avg_reward_score, round(d, 6) + 0.0 AS reward_std
+FROM s JOIN b USING (model)""")
 def model_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(A.response_stats(I.model_responses(spark, sf_dir), by=["model"]))
+    """Each model's responses against the chosen ones."""
+    rows = written(I.model_responses(spark, sf_dir), "responses")
+    parts = [A.model_quality(rows.where(F.col("model") == m), _references(rows), ["bleu"]).withColumn("model", F.lit(m)) for m in MODELS]
+    return rounded(parts[0].unionByName(parts[1]).unionByName(parts[2]))
 
 
 @registered(f"WITH {I.MODEL_RESPONSES_SQL} SELECT round(avg(reward), 6) + 0.0 AS avg_reward FROM model_responses")
@@ -128,19 +149,21 @@ def win_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(A.win_rate(df, "ppo_reward", "base_reward"))
 
 
-def _stats_sql(t: str) -> str:
-    return (f"(SELECT round(avg(len({I.words_sql('response')})), 6) + 0.0 FROM {t}) AS {t}_length, "
+def _stats_sql(t: str, model: str) -> str:
+    return (f"(SELECT round(bleu, 6) + 0.0 FROM bleu_{model}) AS {t}_bleu, (SELECT round(avg(len({I.words_sql('response')})), 6) + 0.0 FROM {t}) AS {t}_length, "
             f"(SELECT round(avg(reward), 6) + 0.0 FROM {t}) AS {t}_reward, "
             f"(SELECT md5(string_agg(response, '|' ORDER BY prompt_id)) FROM (SELECT * FROM {t} ORDER BY prompt_id LIMIT 3)) AS {t}_samples")
 
 
-@registered(f"""{_TWO_SQL} SELECT round(avg((p.reward > b.reward)::INT), 6) + 0.0 AS win_rate, {_stats_sql('p')}, {_stats_sql('b')}
+@registered(f"""{_TWO_SQL}, {_bleu_of_sql('ppo')}, {_bleu_of_sql('base')}
+SELECT round(avg((p.reward > b.reward)::INT), 6) + 0.0 AS win_rate, {_stats_sql('p', 'ppo')}, {_stats_sql('b', 'base')}
 FROM p JOIN b USING (prompt_id)""")
 def two_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = written(I.model_responses(spark, sf_dir, ("base", "ppo")), "responses")
-    report = A.compare_two(rows.where("model = 'ppo'"), rows.where("model = 'base'"))
+    report = A.compare_two(rows.where("model = 'ppo'"), rows.where("model = 'base'"), references=_references(rows), metrics=["bleu"])
     return rounded(report.select(
         F.col("win_rate_model_1").alias("win_rate"),
+        F.col("model_1_metrics.bleu").alias("p_bleu"), F.col("model_2_metrics.bleu").alias("b_bleu"),
         F.col("model_1_metrics.avg_response_length").alias("p_length"),
         F.col("model_1_metrics.avg_reward_score").alias("p_reward"),
         F.md5(F.array_join("model_1_samples", "|")).alias("p_samples"),
@@ -156,17 +179,20 @@ def three_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(A.side_by_side(I.model_responses(spark, sf_dir), ["base", "ppo", "supervised"]), 3)
 
 
-@registered(f"""WITH {I.MODEL_RESPONSES_SQL}, p AS (SELECT * FROM model_responses WHERE model = 'ppo'),
+@registered(f"""WITH {I.MODEL_RESPONSES_SQL}, p AS (SELECT * FROM model_responses WHERE model = 'base'), {_bleu_of_sql('base')},
 f AS (SELECT * FROM p ORDER BY prompt_id LIMIT 5), s AS (SELECT {_ALIGN_SQL} FROM scored_pairs)
 SELECT (SELECT round(avg(len({I.words_sql('response')})), 6) + 0.0 FROM p) AS avg_response_length,
-  (SELECT round(stddev_samp(reward), 6) + 0.0 FROM p) AS reward_std, round(a, 6) + 0.0 AS preference_accuracy,
+  (SELECT round(bleu, 6) + 0.0 FROM bleu_base) AS bleu, (SELECT round(stddev_samp(reward), 6) + 0.0 FROM p) AS reward_std, round(a, 6) + 0.0 AS preference_accuracy,
   round(d, 6) + 0.0 AS avg_reward_difference, (SELECT md5(string_agg(prompt, '|' ORDER BY prompt_id)) FROM f) AS prompts,
   (SELECT md5(string_agg(response, '|' ORDER BY prompt_id)) FROM f) AS responses FROM s""")
 def evaluation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = written(I.model_responses(spark, sf_dir, ("ppo",)), "responses")
-    doc = A.evaluation_report(rows, I.scored_pairs(spark, sf_dir))
+    """The rejected responses as a model's, against the chosen ones; pairs are scored and written once."""
+    scored = written(I.scored_pairs(spark, sf_dir), "scored")
+    rows = scored.select(F.col("pair_id").alias("prompt_id"), "prompt", F.col("rejected").alias("response"), F.col("rejected_reward").alias("reward"))
+    references = scored.select(F.col("pair_id").alias("prompt_id"), F.col("chosen").alias("reference"))
+    doc = A.evaluation_report(rows, scored, references, ["bleu"])
     return rounded(doc.select(
-        "model_quality.avg_response_length", "model_quality.reward_std",
+        "model_quality.bleu", "model_quality.avg_response_length", "model_quality.reward_std",
         "preference_alignment.preference_accuracy", "preference_alignment.avg_reward_difference",
         F.md5(F.array_join("sample_generations.prompts", "|")).alias("prompts"),
         F.md5(F.array_join("sample_generations.responses", "|")).alias("responses")))

@@ -33,23 +33,38 @@ def _bleu_tokens_sql(x: str) -> str:
     return I.words_sql(x)
 
 
-_GRAMS_SQL = f"""{I.DOCUMENT_PAIRS_SQL},
-t AS MATERIALIZED (SELECT item_id, {_bleu_tokens_sql('prediction')} AS p, {_bleu_tokens_sql('reference')} AS r FROM text_pairs),
-sides AS (SELECT item_id, 0 AS side, p AS w FROM t UNION ALL SELECT item_id, 1, r FROM t),
-one AS MATERIALIZED (SELECT item_id, side, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM sides),
-ahead AS MATERIALIZED (
-  SELECT item_id, side, w, lead(w, 1) OVER o AS w2, lead(w, 2) OVER o AS w3, lead(w, 3) OVER o AS w4 FROM one
+def grams_sql(source: str, s: str = "") -> str:
+    """N-gram counts of ``source (item_id, prediction, reference)``; table names end in ``s``."""
+    return f"""
+t{s} AS MATERIALIZED (SELECT item_id, {_bleu_tokens_sql('prediction')} AS p, {_bleu_tokens_sql('reference')} AS r FROM {source}),
+sides{s} AS (SELECT item_id, 0 AS side, p AS w FROM t{s} UNION ALL SELECT item_id, 1, r FROM t{s}),
+one{s} AS MATERIALIZED (SELECT item_id, side, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM sides{s}),
+ahead{s} AS MATERIALIZED (
+  SELECT item_id, side, w, lead(w, 1) OVER o AS w2, lead(w, 2) OVER o AS w3, lead(w, 3) OVER o AS w4 FROM one{s}
   WINDOW o AS (PARTITION BY item_id, side ORDER BY i)),
-grams AS (
-  SELECT item_id, side, 1 AS n, w AS gram FROM ahead
-  UNION ALL SELECT item_id, side, 2, w || ' ' || w2 FROM ahead WHERE w2 IS NOT NULL
-  UNION ALL SELECT item_id, side, 3, w || ' ' || w2 || ' ' || w3 FROM ahead WHERE w3 IS NOT NULL
-  UNION ALL SELECT item_id, side, 4, w || ' ' || w2 || ' ' || w3 || ' ' || w4 FROM ahead WHERE w4 IS NOT NULL),
-counted AS (
-  SELECT item_id, n, gram, count(*) FILTER (side = 0) AS cp, count(*) FILTER (side = 1) AS cr FROM grams GROUP BY ALL),
-by_order AS (
+grams{s} AS (
+  SELECT item_id, side, 1 AS n, w AS gram FROM ahead{s}
+  UNION ALL SELECT item_id, side, 2, w || ' ' || w2 FROM ahead{s} WHERE w2 IS NOT NULL
+  UNION ALL SELECT item_id, side, 3, w || ' ' || w2 || ' ' || w3 FROM ahead{s} WHERE w3 IS NOT NULL
+  UNION ALL SELECT item_id, side, 4, w || ' ' || w2 || ' ' || w3 || ' ' || w4 FROM ahead{s} WHERE w4 IS NOT NULL),
+counted{s} AS (
+  SELECT item_id, n, gram, count(*) FILTER (side = 0) AS cp, count(*) FILTER (side = 1) AS cr FROM grams{s} GROUP BY ALL),
+by_order{s} AS (
   SELECT n::INT AS n, sum(least(cp, cr))::BIGINT AS matched, sum(cp)::BIGINT AS total, sum(cr)::BIGINT AS total_ref
-  FROM counted GROUP BY n)"""
+  FROM counted{s} GROUP BY n)"""
+
+
+def bleu_sql(source: str, s: str = "") -> str:
+    """The same and ``bleu{s}``, one row."""
+    return f"""{grams_sql(source, s)},
+halved{s} AS (SELECT *, sum((matched = 0)::INT) OVER (ORDER BY n) AS zeros FROM by_order{s}),
+logs{s} AS (SELECT sum(ln(100.0 * CASE WHEN matched > 0 THEN matched ELSE pow(2.0, -zeros) END / total)) / 4 AS l,
+  sum(matched) AS hits, count(*) AS orders, max(total) FILTER (n = 1) AS lp, max(total_ref) FILTER (n = 1) AS lr FROM halved{s}),
+bleu{s} AS (SELECT CASE WHEN hits = 0 OR orders < 4 THEN 0.0
+  ELSE CASE WHEN lp >= lr THEN 1.0 ELSE exp(1 - lr / lp::DOUBLE) END * exp(l) END AS bleu FROM logs{s})"""
+
+
+_GRAMS_SQL = f"{I.DOCUMENT_PAIRS_SQL},{grams_sql('text_pairs')}"
 
 
 @registered(f"WITH {_GRAMS_SQL} SELECT n, matched, total, total_ref FROM by_order")
@@ -57,12 +72,7 @@ def bleu_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.bleu_counts(_document_pairs(spark, sf_dir))
 
 
-_BLEU_SQL = f"""{_GRAMS_SQL},
-halved AS (SELECT *, sum((matched = 0)::INT) OVER (ORDER BY n) AS zeros FROM by_order),
-logs AS (SELECT sum(ln(100.0 * CASE WHEN matched > 0 THEN matched ELSE pow(2.0, -zeros) END / total)) / 4 AS l,
-  sum(matched) AS hits, count(*) AS orders, max(total) FILTER (n = 1) AS lp, max(total_ref) FILTER (n = 1) AS lr FROM halved),
-bleu AS (SELECT CASE WHEN hits = 0 OR orders < 4 THEN 0.0
-  ELSE CASE WHEN lp >= lr THEN 1.0 ELSE exp(1 - lr / lp::DOUBLE) END * exp(l) END AS bleu FROM logs)"""
+_BLEU_SQL = f"{I.DOCUMENT_PAIRS_SQL},{bleu_sql('text_pairs')}"
 
 
 @registered(f"WITH {_BLEU_SQL} SELECT round(bleu, 6) + 0.0 AS bleu FROM bleu")

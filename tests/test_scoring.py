@@ -85,9 +85,13 @@ def test_comparisons_and_report(spark):
     wide = A.side_by_side(df, ["base", "ppo", "supervised"]).where("prompt_id = 3").first()
     assert (wide.base_response, wide.ppo_reward, wide.supervised_reward) == ("base 3", 6.0, 0.0)
     pairs = spark.createDataFrame([(1.0, 0.0)], "chosen_reward double, rejected_reward double")
-    quality = spark.createDataFrame([(12.5,)], "bleu double")
-    doc = A.evaluation_report(ppo, pairs, quality).first()
-    assert doc.model_quality.bleu == 12.5 and doc.model_quality.avg_response_length == 2.0
+    references = ppo.selectExpr("prompt_id", "response || ' and more' as reference")
+    doc = A.evaluation_report(ppo, pairs, references, ["bleu"]).first()
+    # two words have no four-grams
+    assert doc.model_quality.bleu == 0.0 and doc.model_quality.avg_response_length == 2.0
+    assert "bleu" not in A.model_quality(ppo).columns
+    long = ppo.selectExpr("prompt_id", "response || ' one two three four' as response", "reward")
+    assert A.model_quality(long, long.selectExpr("prompt_id", "response as reference"), ["bleu"]).first().bleu == pytest.approx(100.0)
     assert doc.preference_alignment.preference_accuracy == 1.0
     assert doc.sample_generations.prompts == [f"p{i}" for i in range(5)]
 
