@@ -11,11 +11,11 @@ _local_folders: dict[str, str] = {}
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; an own folder only in local mode without one."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The session's ``spark.checkpoint.dir``, or the folder set on its context; an own one only in local mode without both."""
+    sc = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    sc = spark.sparkContext
     if not sc.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if sc.applicationId not in _local_folders:
