@@ -32,7 +32,7 @@ END = "</w>"
 _NO_BLANKS = regex.compile("[\x1c-\x1f]")
 _BLANKS = regex.compile(r"\p{White_Space}+")
 #: Entries of a worker's look-up tables; beyond, they start anew (results do not depend on it).
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 200_000
 NEVER = np.int32(2**31 - 1)
 #: Pieces up to so many bytes are merged together in tables of so many rows, longer ones alone.
 TABLE_BYTES, TABLE_ROWS = 40, 20_000
@@ -334,7 +334,7 @@ class _Shared:
         return self.broadcast.value
 
 
-def _parts(batch: pa.RecordBatch, bytes_each: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def _parts(batch: pa.RecordBatch, bytes_each: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """A batch in runs of rows of about so many bytes of text."""
     sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False))
     at = 0
