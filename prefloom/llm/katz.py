@@ -12,6 +12,8 @@ very frequent words are spread over buckets by their history, with the word's co
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -52,12 +54,13 @@ def discounts(counts: dict[int, int]) -> np.ndarray:
 
 
 def _small(values: np.ndarray) -> bytes:
-    """Whole numbers in as few bytes each as the largest needs; the first byte tells how many."""
+    """Whole numbers in as few bytes each as the largest needs, packed; the first byte tells how many."""
     kind = np.uint8 if not len(values) or values.max() < 256 else np.uint16 if values.max() < 65536 else np.uint32
-    return bytes([np.dtype(kind).itemsize]) + values.astype(kind).tobytes()
+    return zlib.compress(bytes([np.dtype(kind).itemsize]) + values.astype(kind).tobytes(), 1)
 
 
 def _wide(data: bytes) -> np.ndarray:
+    data = zlib.decompress(data)
     return np.frombuffer(data, {1: np.uint8, 2: np.uint16, 4: np.uint32}[data[0]], offset=1).astype(np.int64)
 
 
@@ -146,16 +149,21 @@ def _score_bucket(sent):
             train = np.concatenate([m & 1 for m in marks]).astype(bool)
             text = np.concatenate([(k << 15) + (m >> 1) for k, m in enumerate(marks)])
             texts, text = np.unique(text, return_inverse=True)
+            text = text.astype(np.int32)
+            del marks, own_words, own_past, word_at, past_at
             count = np.bincount(w[train], minlength=len(words))
             if len(hot):
                 at = np.minimum(np.searchsorted(hot, words), len(hot) - 1)
                 count = np.where(hot[at] == words, hot_counts[at], count)
             pair = w.astype(np.int64) * len(pasts) + h
             pairs, which = np.unique(pair, return_inverse=True)
+            which = which.astype(np.int32)
+            del pair
             seen = np.bincount(which, train, len(pairs)).astype(np.int64)
             pair_word, pair_past = pairs // len(pasts), pairs % len(pasts)
             # sums by text
-            c, s = count[w], seen[which]
+            c, s = count.astype(np.int32)[w], seen.astype(np.int32)[which]
+            del which
             ends = words[w] == END
             own = np.where(s > 0, np.log10(np.maximum(s, 1)), np.log10(np.maximum(c, 1)))
             own -= np.where((c > 0) & ~ends, np.log10(np.maximum(c + (c > TOP), 1)), 0)
@@ -232,7 +240,7 @@ def score_texts(df: DataFrame, train: Column, key: str = "doc_id", text: str = "
     often as they stand; without training rows all is unknown; an empty table gives no rows. Only key, text and what ``train`` names are read.
     """
     spark = df.sparkSession
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 2)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = df.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
     words = written(docs.select("text", "train").mapInArrow(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "unigrams")
     learned = docs.filter("train").count()
