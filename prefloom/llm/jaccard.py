@@ -45,7 +45,14 @@ def _sets(column: pa.Array, size: int):
                 yield words.first + k, window_hashes(hashes[a:b], int(b - a)) if b > a else np.zeros(0, np.uint64)
 
 
-def _frequent(size: int, local: int = 3, most: int = 8192, together: int = 1 << 20):
+def _short(batches, rows: int = 1000):
+    """Batches in runs of few rows, so that few sets are held at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def _frequent(size: int, local: int = 3, most: int = 8192, together: int = 1 << 19):
     """The most frequent n-grams of every run of texts, with the number of texts that hold them there."""
 
     def counted(own):
@@ -74,7 +81,7 @@ def _points(size: int, percent: int, late):
 
     def run(batches):
         frequent, rank = late.value
-        for batch in batches:
+        for batch in _short(batches):
             rows, known = [], set()
             for _, own in _sets(batch.column(1), size):
                 n = len(own)
@@ -86,7 +93,7 @@ def _points(size: int, percent: int, late):
                     order = own[np.lexsort((own, np.where(frequent[at] == own, rank[at], 0)))]
                 node = _identity(own)
                 # of equal sets in a batch one carries the prefix
-                prefix = order[:n - (percent * n + 99) // 100 + 1].view(np.int64) if n and node not in known else None
+                prefix = order[:n - (percent * n + 99) // 100 + 1].view(np.int64).copy() if n and node not in known else None
                 known.add(node)
                 rows.append((n, node, clipped, prefix))
             n, node, counts, prefix = zip(*rows) if rows else ((), (), (), ())
@@ -104,7 +111,7 @@ def _set_bytes(size: int):
     """The sets of the points; another text under the same key is left out."""
 
     def run(batches):
-        for batch in batches:
+        for batch in _short(batches):
             own = [s for _, s in _sets(batch.column(1), size)]
             same = pa.array([_identity(s) == node for s, node in zip(own, batch.column(0).to_pylist())], pa.bool_())
             yield pa.record_batch([batch.column(0), pa.array([s.tobytes() for s in own], pa.binary())], names=["node", "members"]).filter(same)
