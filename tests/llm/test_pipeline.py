@@ -1,3 +1,5 @@
+import collections
+import hashlib
 import importlib
 
 import pytest
@@ -35,3 +37,40 @@ def test_stages(spark, folder):
 
 def test_run(spark, folder):
     assert corpus_pipeline.run(spark, folder).count() > 20
+
+
+def pfair_walk(rows, block=10, frame=1000):
+    """Keys of ``(key, source)`` in the order of a plain walk over the slots of one frame."""
+    own = collections.defaultdict(list)
+    for key, source in rows:
+        own[source].append(key)
+    w = {s: round(len(keys) ** 0.5, 9) for s, keys in own.items()}
+    exact = {s: round((frame - len(w)) * v / sum(w.values()), 6) for s, v in w.items()}
+    share = {s: int(e) + 1 for s, e in exact.items()}
+    for s in sorted(share, key=lambda s: (int(exact[s]) - exact[s], s))[:frame - sum(share.values())]:
+        share[s] += 1
+    queue = {s: sorted(keys, key=lambda k: (hashlib.md5(str(k).encode()).hexdigest(), k)) for s, keys in own.items()}
+    done, out = dict.fromkeys(share, 0), []
+    for slot in range(frame):
+        ready = [s for s, k in share.items() if done[s] < k and done[s] * frame // k <= slot]
+        s = min(ready, key=lambda s: (-(-(done[s] + 1) * frame // share[s]), s))
+        out += queue[s][done[s] * block:(done[s] + 1) * block]
+        done[s] += 1
+    return out
+
+
+def test_run_keeps_the_mixed_order(spark, tmp_path):
+    names = ["p"] * 150 + ["q"] * 90 + ["r"] * 40 + ["s"] * 25
+    rows = [(i, " ".join(f"w{(i * 37 + k * k * 11) % 9973}x{i}" for k in range(8 + i % 30)), "en", s, 100) for i, s in enumerate(names)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.repartition(6).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 0), (4, 1), (7, 0)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    keys = [r.doc_id for r in got]
+    assert len(keys) > 100 and len(set(keys)) == len(keys) and len({r.position >> 43 for r in got}) > 2
+    assert [r.position for r in got] == sorted({r.position for r in got})
+    assert keys == pfair_walk([(k, names[k]) for k in keys])
