@@ -4,7 +4,8 @@ Vectors are projected to ``dims`` dimensions by independent normal weights: the
 distance, has a chi-square distribution with ``dims`` degrees of freedom. Projected points are dealt to kd-cells, and in a cell a kd-tree gives
 them to a query in order of projected distance. Each is verified on the whole vectors, until the test holds: a vector nearer than the
 k-th best so far would be projected that far with a chance under ``1 - confidence`` only. So each true neighbour is missed with that
-chance at most. A first round in the query's own cell bounds the k-th distance; the second visits only the cells the test cannot rule out.
+chance at most. A first round in the query's own piece of its cell bounds the k-th distance; the second visits the other pieces the test cannot
+rule out, and what both have found is ranked. Projections of equal vectors differ in their last bits, so the test allows for rounding.
 """
 
 from __future__ import annotations
@@ -37,6 +38,11 @@ def chi_square_quantile(p: float, dims: int) -> float:
     return high
 
 
+def _radius(bound, norm, limit: float, slack: float):
+    """How far a vector within ``bound`` may be projected: by the test, and by the rounding of both projections."""
+    return bound * np.sqrt(limit) + slack * (norm + bound)
+
+
 class _Tree:
     """Projected points in leaves of ``LEAF``, cut at medians, with the box of each leaf."""
 
@@ -54,18 +60,18 @@ class _Tree:
         self.low = np.array([points[x].min(0) for x in done])
         self.high = np.array([points[x].max(0) for x in done])
 
-    def nearest(self, query: np.ndarray, vector: np.ndarray, vectors: np.ndarray, ids: np.ndarray, own, k: int, bound: float, limit: float):
+    def nearest(self, query: np.ndarray, vector: np.ndarray, vectors: np.ndarray, ids: np.ndarray, own, k: int, bound: float, limit: float, slack: float):
         """The verified k nearest, leaves in order of their box's projected distance, until the test holds."""
         gap = np.maximum(np.maximum(self.low - query, query - self.high), 0)
         reach = (gap * gap).sum(1)
         order = np.argsort(reach)
         best, names = np.zeros(0), np.zeros(0, ids.dtype)
-        at = 0
-        while at < len(order) and reach[order[at]] <= limit * bound * bound:
+        at, norm = 0, float(np.sqrt((vector * vector).sum()))
+        while at < len(order) and reach[order[at]] <= _radius(bound, norm, limit, slack) ** 2:
             rows = np.concatenate([self.leaves[x] for x in order[at:at + 8]])
             at += 8
             shift = self.points[rows] - query
-            rows = rows[((shift * shift).sum(1) <= limit * bound * bound) & (ids[rows] != own)]
+            rows = rows[((shift * shift).sum(1) <= _radius(bound, norm, limit, slack) ** 2) & (ids[rows] != own)]
             apart = vectors[rows] - vector
             best, names = np.concatenate([best, np.sqrt((apart * apart).sum(1))]), np.concatenate([names, ids[rows]])
             top = np.lexsort((names, best))[:k]
@@ -75,7 +81,7 @@ class _Tree:
         return names, best
 
 
-def _search(k: int, limit: float, wide: bool):
+def _search(k: int, limit: float, slack: float, wide: bool):
     def run(key, queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(queries) and len(rows):
@@ -83,7 +89,7 @@ def _search(k: int, limit: float, wide: bool):
             tree = _Tree(points)
             asked, at = unpacked(queries["v"], wide), unpacked(queries["p"], True)
             for own, vector, query, bound in zip(queries["id"].to_numpy(), asked, at, queries["bound"].to_numpy()):
-                names, far = tree.nearest(query, vector, vectors, ids, own, k, bound, limit)
+                names, far = tree.nearest(query, vector, vectors, ids, own, k, bound, limit, slack)
                 out.append(pd.DataFrame({"query_id": own, "vec_id": names, "score": far}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
 
@@ -109,6 +115,8 @@ def nearest_neighbours(df: DataFrame, is_query: Column, k: int = 10, dims: int =
     weights = np.random.default_rng(seed).standard_normal((sample.shape[1], dims))
     cells = Cells(sample @ weights, depth_for(n, PIECE))
     limit = chi_square_quantile(confidence, dims)
+    # a sum of n products is off by n roundings of its terms at most; two of them, twice over
+    slack = float(4 * len(weights) * np.finfo(np.float64).eps * np.linalg.norm(weights))
     sent = spark.sparkContext.broadcast((weights, cells))
 
     def project(batches):
@@ -123,25 +131,27 @@ def nearest_neighbours(df: DataFrame, is_query: Column, k: int = 10, dims: int =
     # one row per cell, at most 1024
     rows = dealt.join(F.broadcast(pieces), "cell").withColumn("piece", F.pmod(F.xxhash64("id", "v"), F.col("pieces")).cast("int"))
     queries = dealt.join(asked, "id").select(*[F.col(c).alias(c) for c in ("id", "v", "p", "cell")])
-    search = _search(k, limit, wide)
+    search = _search(k, limit, slack, wide)
     shape = "query_id long, vec_id long, score double"
     first = queries.select("id", "v", "p", "cell", F.lit(0).alias("piece"), F.lit(float("inf")).alias("bound"))
-    found = first.groupBy("cell", "piece").cogroup(rows.filter("piece = 0").groupBy("cell", "piece")).applyInPandas(search, shape)
+    found = written(first.groupBy("cell", "piece").cogroup(rows.filter("piece = 0").groupBy("cell", "piece")).applyInPandas(search, shape), "own-piece")
     bounds = found.groupBy("query_id").agg(F.count("*").alias("c"), F.max("score").alias("far")).select(
         F.col("query_id").alias("id"), F.when(F.col("c") >= k, F.col("far")).alias("bound"))
-    bounded = queries.join(bounds, "id", "left").select("id", "v", "p", F.coalesce("bound", F.lit(float("inf"))).alias("bound"))
+    bounded = queries.join(bounds, "id", "left").select("id", "v", "p", F.coalesce("bound", F.lit(float("inf"))).alias("bound"), F.col("cell").alias("home"))
 
     def deal(batches):
         cells = sent.value[1]
         for batch in batches:
             points, bound = unpacked(batch.column(2).to_pylist(), True), batch.column(3).to_numpy()
             if len(points):
-                row, cell = cells.reach(points, bound * np.sqrt(limit) * (1 + 1e-12))
+                vectors = unpacked(batch.column(1).to_pylist(), wide)
+                row, cell = cells.reach(points, _radius(bound, np.sqrt((vectors * vectors).sum(1)), limit, slack))
                 part = batch.take(pa.array(row))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(cell)], names=["id", "v", "p", "bound", "cell"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(cell)], names=["id", "v", "p", "bound", "home", "cell"])
 
-    sent_out = bounded.mapInArrow(deal, "id long, v binary, p binary, bound double, cell long").join(F.broadcast(pieces), "cell")
+    sent_out = bounded.mapInArrow(deal, "id long, v binary, p binary, bound double, home long, cell long").join(F.broadcast(pieces), "cell")
     sent_out = sent_out.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).drop("pieces")
-    found = sent_out.groupBy("cell", "piece").cogroup(rows.groupBy("cell", "piece")).applyInPandas(search, shape)
+    sent_out = sent_out.filter("cell != home or piece != 0").drop("home")
+    found = found.unionByName(sent_out.groupBy("cell", "piece").cogroup(rows.groupBy("cell", "piece")).applyInPandas(search, shape))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -57,6 +57,39 @@ def test_neighbours(spark, monkeypatch):
     assert N.nearest_neighbours(df.limit(0), F.lit(True)).collect() == []
 
 
+def test_many_equal_vectors(spark, monkeypatch):
+    monkeypatch.setattr(N, "PIECE", 16)
+    rnd = np.random.default_rng(9)
+    copies = {i: rnd.standard_normal(64).tolist() for i in range(4)}
+    rows = [(i * 100 + k, v) for i, v in copies.items() for k in range(30)]
+    rows += [(1000 + k, rnd.standard_normal(64).tolist()) for k in range(60)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)
+    got = {}
+    # in batches of three rows the projection of a row depends on its place
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        found = N.nearest_neighbours(df, F.col("vec_id") < 400).orderBy("query_id", "rank").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for r in found:
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    for i in copies:
+        own = [i * 100 + k for k in range(30)]
+        for q in own:
+            assert got[q] == [(j, 0.0) for j in own if j != q][:10]
+
+
+def test_rounding_of_projections_is_allowed_for():
+    rnd = np.random.default_rng(3)
+    vector, weights = rnd.standard_normal(64), rnd.standard_normal((64, 8))
+    vectors = np.stack([vector] * 30)
+    points = vectors @ weights
+    points[::2] = np.nextafter(points[::2], np.inf)
+    slack = float(4 * 64 * np.finfo(np.float64).eps * np.linalg.norm(weights))
+    names, far = N._Tree(points).nearest(points[1], vector, vectors, np.arange(30), 1, 10, 0.0, 20.1, slack)
+    assert names.tolist() == [0, *range(2, 11)] and not far.any()
+
+
 def test_cells_reach_every_near_point():
     rnd = np.random.default_rng(2)
     points = rnd.standard_normal((200, 3))
