@@ -4,14 +4,25 @@ Weights are whole shares of a frame of ``frame`` slots. Block j of a source with
 and due by ``ceil((j + 1) * frame / k)``; every slot goes to the released block that is due first. So after any number of slots each source
 has had its weight's part of them with a deviation of less than one block. The schedule repeats every frame: it is worked out for
 one frame, whose size is a parameter, and block j stands in frame ``j div k`` at the slot of block ``j mod k``.
+
+Few sources have one slot each in advance, as the registered SQL has it. Where these would be more than one of ``CROWDED`` slots, or where the
+caller gives target weights, shares follow the weights alone, and the frame grows until the smallest weight has a slot.
 """
 
 from __future__ import annotations
 
+from heapq import heapify, heappop, heappush
+from math import ceil, fsum
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 #: Key ranges into which the rows of each source are dealt to be numbered; every range is numbered on its own.
 BUCKETS = 1024
+#: A source to so many slots at most gets its slot in advance.
+CROWDED = 20
+#: A frame grows up to so many slots for small weights, or to ``CROWDED`` for each source; what is smaller still has one slot.
+MOST = 1 << 20
 
 
 def shares(sizes: DataFrame, power: float = 0.5, frame: int = 1000) -> DataFrame:
@@ -62,39 +73,109 @@ def frame_slots(weights: DataFrame, frame: int = 1000) -> DataFrame:
     return plan.select(F.when(F.col("p.named"), F.col("p.name")).alias("source"), F.col("p.in_frame").alias("in_frame"), F.col("p.slot").alias("slot"))
 
 
-def mix_sources(df: DataFrame, block: int = 10, frame: int = 1000, power: float = 0.5, key: str = "doc_id", source: str = "source") -> DataFrame:
+def weighted_shares(weights: list[float], frame: int) -> tuple[list[int], int]:
+    """Shares in proportion to positive ``weights``, at least one each, and the frame they add up to: a multiple of ``frame`` in which the smallest
+    weight has a slot and half of the slots at least are free of such rounding. The largest remainders are rounded up, ties in the given order."""
+    need = max(2 * len(weights), min(fsum(weights) / min(weights), max(MOST, CROWDED * len(weights))))
+    frame *= ceil(need / frame)
+    out, rest = [1] * len(weights), list(range(len(weights)))
+    free, total = frame, fsum(weights)
+    while small := [i for i in rest if weights[i] * free < total]:
+        rest = [i for i in rest if weights[i] * free >= total]
+        free, total = free - len(small), fsum(weights[i] for i in rest)
+    exact = {i: weights[i] / total * free for i in rest}
+    for i in rest:
+        out[i] = max(1, int(exact[i]))
+    up = sorted(rest, key=lambda i: out[i] - exact[i])
+    left = frame - sum(out)
+    for i in up[:left] if left > 0 else up[left:] if left else []:
+        out[i] += 1 if left > 0 else -1
+    return out, frame
+
+
+def walk(shares: list[int], frame: int) -> tuple[list[int], list[int]]:
+    """Per slot of a frame the source, by its place in ``shares``, and the number of its block: as ``frame_slots``, for many sources."""
+    waiting, ready, done, who, which = [], [(-(-frame // k), i) for i, k in enumerate(shares)], [0] * len(shares), [], []
+    heapify(ready)
+    for slot in range(frame):
+        while waiting and waiting[0][0] <= slot:
+            i = heappop(waiting)[1]
+            heappush(ready, (-(-(done[i] + 1) * frame // shares[i]), i))
+        i = heappop(ready)[1]
+        who.append(i)
+        which.append(done[i])
+        done[i] += 1
+        if done[i] < shares[i]:
+            heappush(waiting, (done[i] * frame // shares[i], i))
+    return who, which
+
+
+def _weighted_plan(sizes: DataFrame, frame: int, power: float, targets: DataFrame | None) -> tuple[DataFrame, DataFrame, int]:
+    """``shares``, ``frame_slots`` and the frame, worked out with one entry per source and slot in the driver."""
+    spark = sizes.sparkSession
+    if targets is None:
+        df = sizes.select("source", F.round(F.pow(F.col("n").cast("double"), F.lit(power)), 9).alias("w"))
+    else:
+        given = targets.select(F.col("source").cast("string").alias("s"), F.col("weight").cast("double").alias("w"))
+        df = sizes.join(given, sizes["source"].eqNullSafe(given["s"]), "left").select("source", "w")
+    rows = sorted(df.collect(), key=lambda r: (r.source or "", r.source is not None))
+    names, weights = [r.source for r in rows], [r.w for r in rows]
+    if len(set(names)) < len(names):
+        raise ValueError("a source has several target weights")
+    if wrong := [n for n, w in zip(names, weights) if w is None or not 0 < w < float("inf")]:
+        raise ValueError(f"{len(wrong)} sources without a positive target weight, such as {wrong[0]!r}")
+    own, frame = weighted_shares(weights, frame) if rows else ([], frame)
+    who, which = walk(own, frame) if rows else ([], [])
+    table = pa.table({"source": pa.array(names, pa.string()), "share": pa.array(own, pa.int64())})
+    slots = pa.table({"source": pa.array([names[i] for i in who], pa.string()), "in_frame": pa.array(which, pa.int64()), "slot": pa.array(range(len(who)), pa.int64())})
+    kinds = "source string, share long", "source string, in_frame long, slot long"
+    return spark.createDataFrame(table, kinds[0]), spark.createDataFrame(slots, kinds[1]), frame
+
+
+def mix_sources(df: DataFrame, block: int = 10, frame: int = 1000, power: float = 0.5, key: str = "doc_id", source: str = "source",
+                targets: DataFrame | None = None) -> DataFrame:
     """``(key, source, share, block, release, deadline, slot, place)`` for every row.
 
     Rows of a source are put in the order of a hash of their key and cut into blocks of ``block`` rows; ``slot`` is the scheduled slot of the row's
     block and ``place`` the row's place in it. Sorting by ``(slot, place)`` mixes the sources; a source that is used up leaves its slots empty, no
     row is dropped or repeated. Rows of a null source form one source; rows with equal or null keys are numbered in any order; an empty table gives no
     rows. Other columns are not read. A hot source is numbered in ``BUCKETS`` key ranges, each on its own, with the sizes of the ranges before it added.
+    ``targets`` holds ``(source, weight)``, in place of ``n ** power``; a source without a positive weight is an error, weights of absent sources are not
+    read. Slots follow the weights rounded to whole shares of the frame.
     """
-    return _placed(df.select(F.col(key).alias("key"), F.col(source).cast("string").alias("source")), block, frame, power, []).withColumnsRenamed(
+    return _placed(df.select(F.col(key).alias("key"), F.col(source).cast("string").alias("source")), block, frame, power, [], targets).withColumnsRenamed(
         {"key": key, "source": source})
 
 
-def mixed_rows(df: DataFrame, block: int = 10, frame: int = 1000, power: float = 0.5, key: str = "doc_id", source: str = "source") -> DataFrame:
+def mixed_rows(df: DataFrame, block: int = 10, frame: int = 1000, power: float = 0.5, key: str = "doc_id", source: str = "source",
+               targets: DataFrame | None = None) -> DataFrame:
     """The rows of ``df``, with all their columns, in the mixed order: range partitions by slot, sorted inside. Cases as in ``mix_sources``."""
     rows = df.select(F.col(key).alias("key"), F.col(source).cast("string").alias("source"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
-    return _placed(rows, block, frame, power, ["row"]).repartitionByRange("slot", "place").sortWithinPartitions("slot", "place").select("row.*")
+    return _placed(rows, block, frame, power, ["row"], targets).repartitionByRange("slot", "place").sortWithinPartitions("slot", "place").select("row.*")
 
 
-def _placed(rows: DataFrame, block: int, frame: int, power: float, carried: list[str]) -> DataFrame:
+def _placed(rows: DataFrame, block: int, frame: int, power: float, carried: list[str], targets: DataFrame | None) -> DataFrame:
     rows = rows.withColumn("h", F.md5(F.coalesce(F.col("key").cast("string"), F.lit(""))))
     rows = rows.withColumn("bucket", F.conv(F.substring("h", 1, 8), 16, 10).cast("long") * BUCKETS / F.lit(1 << 32)).withColumn("bucket", F.floor("bucket"))
     sizes = rows.groupBy("source", "bucket").agg(F.count("*").alias("n"))
     before = sizes.withColumn("before", F.sum("n").over(Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)))
-    weights = shares(sizes.groupBy("source").agg(F.sum("n").alias("n")), power, frame)
-    offsets = before.join(F.broadcast(weights.select("source", "share")), before["source"].eqNullSafe(weights["source"])).select(
+    totals = sizes.groupBy("source").agg(F.sum("n").alias("n"))
+    n = totals.count()
+    if targets is None and n * CROWDED <= frame:
+        weights = shares(totals, power, frame)
+        slots = frame_slots(weights, frame)
+    else:
+        weights, slots, frame = _weighted_plan(totals, frame, power, targets)
+    # few sources: one row per source and range, and one per slot of a frame, are bounded by parameters
+    sent = F.broadcast if n <= 1000 else lambda small: small
+    offsets = before.join(sent(weights.select("source", "share")), before["source"].eqNullSafe(weights["source"])).select(
         before["source"].alias("s"), F.col("bucket").alias("b"), F.coalesce("before", F.lit(0)).alias("before"), "share")
     numbered = rows.withColumn("rn", F.row_number().over(Window.partitionBy("source", "bucket").orderBy("h", "key")))
-    # one row per source and range, and one per slot of a frame: both bounded by parameters
-    ranked = numbered.join(F.broadcast(offsets), numbered["source"].eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
+    ranked = numbered.join(sent(offsets), numbered["source"].eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
     ranked = ranked.withColumn("rank", F.col("before") + F.col("rn") - 1).withColumn("block", F.floor(F.col("rank") / block)).select(
         "key", "source", "share", "block", (F.col("rank") % block).alias("place"), (F.col("block") % F.col("share")).alias("j"), *carried)
-    slots = frame_slots(weights, frame).select(F.col("source").alias("s"), "in_frame", F.col("slot").alias("at"))
-    placed = ranked.join(F.broadcast(slots), ranked["source"].eqNullSafe(F.col("s")) & (F.col("j") == F.col("in_frame")))
+    slots = slots.select(F.col("source").alias("s"), "in_frame", F.col("slot").alias("at"))
+    placed = ranked.join(sent(slots), ranked["source"].eqNullSafe(F.col("s")) & (F.col("j") == F.col("in_frame")))
     turn = F.floor(F.col("block") / F.col("share")) * F.lit(frame)
     return placed.select(
         "key", "source", "share", "block",
