@@ -7,8 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from prefloom.llm import bpe, jaccard, katz, mixing, near_vectors, neighbours, secret_scan, substrings, toxicity
+from prefloom.llm import (bpe, jaccard, katz, lexical_search, mixing, near_vectors, neighbours, quality_rules, secret_scan, substrings, toxicity,
+                          whitening)
 from prefloom.llm.mixing_sql import MIX_SQL
+from prefloom.llm.search_sql import SEARCH_SQL
 from prefloom.plans.registry import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +91,25 @@ def op8_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.expr("crc32(cast(doc_id as string)) % 5 = 1")
     scored = katz.score_texts(table(spark, sf_dir, "documents"), ~held_out)
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return whitening.whiten(vectors, whitening.fit_whitening(vectors))
+
+
+@query
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+SQL["op12_lexical_search"] = SEARCH_SQL
+
+
+@query
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = quality_rules.score_quality(docs, quality_rules.fit_quality(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", F.expr("crc32(cast(doc_id as string)) % 4 = 2").alias("held_out"), "score",
+                         F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"), "rules")
