@@ -51,7 +51,7 @@ class Factor:
             if size == 1 and abs(a[k, k]) < tiny:
                 a[k, k] = tiny
             block, column = a[k:end, k:end].copy(), a[end:, k:end].copy()
-            lower = np.linalg.solve(block, column.T).T
+            lower = column / block if size == 1 else np.linalg.solve(block, column.T).T
             a[end:, end:] -= lower @ column.T
             a[end:, k:end] = lower
             self.blocks.append((k, end, block))
@@ -66,7 +66,7 @@ class Factor:
         for k, e, _ in self.blocks:
             x[e:] -= self.a[e:, k:e] @ x[k:e]
         for k, e, block in self.blocks:
-            x[k:e] = np.linalg.solve(block, x[k:e])
+            x[k:e] = x[k:e] / block[0] if e - k == 1 else np.linalg.solve(block, x[k:e])
         for k, e, _ in reversed(self.blocks):
             x[k:e] -= self.a[e:, k:e].T @ x[e:]
         out = np.empty_like(x)

@@ -32,7 +32,7 @@ def plain_statistics(text):
         "log_chars": math.log1p(len(text)), "log_words": math.log1p(len(words)), "word_length": len(text) / max(len(words), 1),
         "line_length": len(text) / max(len(lines), 1), "distinct_words": len(set(words)) / max(len(words), 1),
         "distinct_lines": len(set(lines)) / max(len(lines), 1), "upper": share(r"\p{Lu}+"), "digits": share(r"\p{N}+"), "stops": share(r"[.,;:]+"),
-        "cries": share(r"[!?]+"), "symbols": share(r"[^\p{L}\p{N}\s.,;:!?'\"()-]+"),
+        "cries": share(r"[!?]+"), "symbols": share(r"(?:(?![.,;:!?'\"()-])[\p{P}\p{S}])+"),
         "stopped_lines": sum(x[-1] in ".!?" for x in lines) / max(len(lines), 1)}
 
 
@@ -44,7 +44,7 @@ def plain_score(text, model):
 
 def test_scores_and_held_out_accuracy(spark):
     rows = corpus(spark)
-    odd = [(9000, None), (9001, ""), (9001, ""), (None, "no key here"), (9002, "x " * 100_000), (9003, "a\tb\r\n\nc. d!\n" * 50)]
+    odd = [(9000, None), (9001, ""), (9001, ""), (None, "no key here"), (9002, "x " * 100_000), (9003, "a\tb\r\n\nc. d!\n" * 50), (9004, "ÀÉ ß ½ ٣ — € \U0001F600 \U00010400 «x»\u2028y\x1cz.")]
     docs = spark.createDataFrame([(*r[:2], 3, "c", 0.5) for r in rows] + [(*x, None, None, None) for x in odd], "doc_id long, text string, good int, upper string, score double")
     labels = spark.createDataFrame([(k, g) for k, _, g in rows] + [(7, None), (None, 1), (77777, 0), (4, 0), (1, 9)], "doc_id long, quality int")
     model = Q.fit_quality(docs, labels)
@@ -86,3 +86,18 @@ def test_rules_are_the_paths_of_the_trees(spark):
     found = Q._paths(tree, ["a", "b"], {})
     assert sorted(map(str, found)) == sorted(map(str, [
         (("a", None, 5.0),), (("a", None, 2.0),), (("a", 2.0, 5.0),), (("a", 5.0, None),), (("a", 5.0, None), ("b", None, 1.0)), (("a", 5.0, None), ("b", 1.0, None))]))
+
+
+def test_the_lasso_is_optimal(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    x = np.column_stack([np.ones(600), (rng.random((600, 12)) < 0.4).astype(float)])
+    x[:, 12] = x[:, 11]  # a rule that holds where another does
+    d = x * np.where(rng.random(600) < 1 / (1 + np.exp(-(x[:, 1] * 2 - x[:, 2] - 0.3))), 1, -1)[:, None]
+    rows = spark.createDataFrame([(r.tolist(),) for r in d], "d array<double>").repartition(3)
+    w = Q.fit_lasso(rows, "d", 13, 0.02, 3)
+    cost = lambda w: np.logaddexp(0, -(d @ w)).mean() + 0.02 * np.abs(w[1:]).sum()
+    assert (w[3:] == 0).sum() >= 6 and w[1] > 0.5 and w[2] < 0
+    for j in range(13):
+        assert all(cost(w) <= cost(w + s * np.eye(13)[j]) + 1e-7 for s in (-0.01, 0.01))
