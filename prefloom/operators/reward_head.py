@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import Model
 from pyspark.ml.classification import LinearSVC, LinearSVCModel, LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF, RegexTokenizer
@@ -13,9 +17,10 @@ from pyspark.ml.regression import GeneralizedLinearRegression, GeneralizedLinear
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from prefloom.functions.numeric import dot
-from prefloom.functions.text import WS, compose, default_text
+from prefloom.functions.text import WS, compose, default_text, words
 from prefloom.operators.columns import once
 from prefloom.operators.losses import loss_column
+from prefloom.operators.newton import NewtonFit, fit_newton
 from prefloom.sources.scratch import written
 
 # Largest feature count the solver of the margin fit accepts.
@@ -36,6 +41,31 @@ def hash_texts(df: DataFrame, columns: dict[str, str], size: int = 1024) -> Data
     return df
 
 
+def hash_words(df: DataFrame, columns: dict[str, str], size: int = 256) -> DataFrame:
+    """Word counts in ``size`` buckets per text column (``columns``: text -> counts); a word's bucket is that of the first 32 bits of its
+    MD5 digest, so that other systems can find it. Words are counted in Arrow batches; a null text has no words."""
+
+    @F.arrow_udf("array<double>")
+    def counted(tokens: pa.Array) -> pa.Array:
+        coded = tokens.flatten().dictionary_encode()
+        bucket = np.array([int.from_bytes(hashlib.md5(t.encode()).digest()[:4], "big") % size for t in coded.dictionary.to_pylist()], np.int64)
+        lengths = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False)
+        place = np.repeat(np.arange(len(tokens)), lengths) * size + bucket[coded.indices.to_numpy(zero_copy_only=False)]
+        counts = np.bincount(place, minlength=len(tokens) * size).astype(float)
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(tokens) + 1, dtype=np.int32) * size), pa.array(counts))
+
+    return df.withColumns({out: counted(words(default_text(text))) for text, out in columns.items()})
+
+
+def fit_differences(df: DataFrame, chosen: str, rejected: str, margin: float = 0.0, reg: float = 0.0, scale: float = 1.0, **limits) -> NewtonFit:
+    """Weights over all features that minimize the mean of ``log(1 + exp(margin - w . (chosen - rejected) * scale))`` plus the penalty.
+
+    The differences are written once, as every Newton step reads them. ``limits`` go to ``fit_newton``.
+    """
+    diff = F.zip_with(F.col(chosen).cast("array<double>"), F.col(rejected).cast("array<double>"), lambda a, b: (a - b) * scale)
+    return fit_newton(written(df.select(diff.alias("d")), "differences"), "d", margin, reg, **limits)
+
+
 def pair_differences(df: DataFrame, chosen: str, rejected: str, both_signs: bool = True) -> DataFrame:
     """Training rows: the feature difference with label 1 and, mirrored, with label 0."""
     diff = F.zip_with(F.col(chosen).cast("array<double>"), F.col(rejected).cast("array<double>"), lambda a, b: a - b)
@@ -128,3 +158,18 @@ def load_head(path: str, spark: SparkSession) -> tuple[Model, dict, dict]:
     """The model, its configuration and its metadata; an absent path raises."""
     config, metadata = (json.loads(spark.read.text(f"{path}/{n}").first()[0]) for n in ("config", "metadata"))
     return _KINDS[config["kind"]].load(f"{path}/weights"), config, metadata
+
+
+def save_weights(weights: list[float], path: str, config: dict, metadata: dict, spark: SparkSession) -> None:
+    """Store a plain head: its weights as a table, the configuration and metadata as one-row JSON tables."""
+    rows = [(i, float(w)) for i, w in enumerate(weights)]
+    spark.createDataFrame(rows, "component int, weight double").coalesce(1).write.mode("overwrite").parquet(f"{path}/weights")
+    for name, content in (("config", {**config, "kind": "weights"}), ("metadata", metadata)):
+        spark.createDataFrame([(json.dumps(content, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/{name}")
+
+
+def load_weights(path: str, spark: SparkSession) -> tuple[list[float], dict, dict]:
+    """The weights in order, the configuration and the metadata; an absent path raises."""
+    config, metadata = (json.loads(spark.read.text(f"{path}/{n}").first()[0]) for n in ("config", "metadata"))
+    rows = spark.read.parquet(f"{path}/weights").orderBy("component").collect()  # as many rows as features
+    return [r.weight for r in rows], config, metadata

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from prefloom.operators import alignment as A, losses as L, ranking as R, reward_head as H
+from prefloom.functions.numeric import dot
+from prefloom.operators import alignment as A, hinge_fit, losses as L, ranking as R, reward_head as H
 from prefloom.plans import inputs as I
 from prefloom.plans.registry import registered, rounded
 from prefloom.plans.text_quality import bleu_sql
@@ -281,3 +282,110 @@ def fitted_on_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, _, _ = H.load_head(path, spark)
     weights = H.head_weights(model)
     return _with_weights(_fit_report(pairs, weights, "bradley_terry", 0.0), weights)
+
+
+# --- whole vectors -------------------------------------------------------------
+
+WORD_BUCKETS = 256
+
+
+def _accelerated_sql(rows: str, size: int, reg: float, margin: float, rate: float, steps: int) -> str:
+    """Accelerated gradient descent on the mean logistic loss of the differences ``d (v)``; ends with ``final (w)``, a list of weights."""
+    pace = (reg * rate) ** 0.5
+    momentum = (1 - pace) / (1 + pace)
+    return f"""WITH RECURSIVE {rows},
+walk AS (SELECT 0 AS k, list_transform(range({size}), lambda i: 0.0::DOUBLE) AS w, list_transform(range({size}), lambda i: 0.0::DOUBLE) AS y
+  UNION ALL
+  SELECT k + 1, n, list_transform(range(1, {size + 1}), lambda i: n[i] + {momentum} * (n[i] - w[i])) FROM (
+    SELECT k, any_value(w) AS w, list(y_i - {rate} * ({reg} * y_i - pulled) ORDER BY i) AS n FROM (
+      SELECT k, i, any_value(w) AS w, any_value(y[i]) AS y_i, avg(pull * v[i]) AS pulled FROM (
+        SELECT k, w, y, v, 1 / (1 + exp(list_dot_product(v, y) - {margin})) AS pull FROM walk, d WHERE k < {steps}), range(1, {size + 1}) t(i)
+      GROUP BY k, i) GROUP BY k)),
+final AS (SELECT w FROM walk WHERE k = {steps})"""
+
+
+def _weights_sql(rows: str, size: int, reg: float, margin: float, rate: float, steps: int) -> str:
+    return f"""{_accelerated_sql(rows, size, reg, margin, rate, steps)},
+o AS (SELECT avg(ln(1 + exp({margin} - list_dot_product(v, w)))) + {reg / 2} * list_dot_product(any_value(w), any_value(w)) AS objective, count(*) AS pairs FROM d, final)
+SELECT (unnest(range({size})))::INTEGER AS component, round(unnest(w), 3) + 0.0 AS weight, round(objective, 6) + 0.0 AS objective, pairs FROM final, o"""
+
+
+def _weight_rows(spark: SparkSession, weights: list[float], objective: float, rows: int) -> DataFrame:
+    """A row for each feature."""
+    out = spark.createDataFrame(list(enumerate(weights)), "component int, weight double")
+    return out.select("component", (F.round("weight", 3) + F.lit(0.0)).alias("weight"), F.lit(round(objective, 6)).alias("objective"), F.lit(rows).cast("long").alias("pairs"))
+
+
+_WHOLE_SQL = f"{I.VECTOR_PAIRS_SQL}, d AS MATERIALIZED (SELECT list_transform(range(1, 65), lambda i: chosen[i] - rejected[i]) AS v FROM vector_pairs)"
+
+
+@registered(_weights_sql(_WHOLE_SQL, 64, 1e-3, 0.0, 4.0, 400))
+def fitted_logistic_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 64 components, by Newton steps."""
+    fit = H.fit_differences(I.vector_pairs(spark, sf_dir), "chosen", "rejected", reg=1e-3)
+    return _weight_rows(spark, fit.weights, fit.objective, fit.rows)
+
+
+@registered(_weights_sql(_WHOLE_SQL, 64, 1e-3, MARGIN, 4.0, 400))
+def fitted_log_sigmoid_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 64 components, with a margin."""
+    fit = H.fit_differences(I.vector_pairs(spark, sf_dir), "chosen", "rejected", margin=MARGIN, reg=1e-3)
+    return _weight_rows(spark, fit.weights, fit.objective, fit.rows)
+
+
+def _word_counts_sql(side: str) -> str:
+    return f"""SELECT pair_id, ('0x' || substr(md5(w), 1, 8))::BIGINT % {WORD_BUCKETS} AS b, count(*) AS n
+  FROM (SELECT pair_id, unnest({I.words_sql(side)}) AS w FROM clean_pairs) GROUP BY ALL"""
+
+
+_WORD_ROWS_SQL = f"""{I.PAIRS_SQL},
+hashed AS (SELECT pair_id, b, sum(n)::DOUBLE AS n FROM ({_word_counts_sql('chosen')} UNION ALL SELECT pair_id, b, -n FROM ({_word_counts_sql('rejected')})) GROUP BY ALL),
+d AS MATERIALIZED (SELECT list(coalesce(n, 0.0) * 0.1 ORDER BY b) AS v
+  FROM (SELECT pair_id, b FROM clean_pairs, range({WORD_BUCKETS}) t(b)) LEFT JOIN hashed USING (pair_id, b) GROUP BY pair_id)"""
+
+
+@registered(_weights_sql(_WORD_ROWS_SQL, WORD_BUCKETS, 0.05, 0.0, 1.0, 150))
+def fitted_on_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A head on 256 buckets of words, stored, loaded and applied."""
+    texts = I.pairs(spark, sf_dir).select("chosen", "rejected")
+    fit = H.fit_differences(H.hash_words(texts, {"chosen": "c", "rejected": "r"}, WORD_BUCKETS), "c", "r", reg=0.05, scale=0.1)
+    path = scratch_path(spark, "head")
+    H.save_weights(fit.weights, path, {"buckets": WORD_BUCKETS, "scale": 0.1}, {"objective": fit.objective, "pairs": fit.rows}, spark)
+    weights, _, metadata = H.load_weights(path, spark)
+    return _weight_rows(spark, weights, metadata["objective"], metadata["pairs"])
+
+
+HINGE_REG = 0.01
+
+
+def _dual_sql(rows: str, size: int, reg: float, margin: float, rate: float, steps: int) -> str:
+    """Accelerated ascent of the hinge dual in the box; primal and dual value of the weights that it ends at."""
+    return f"""WITH RECURSIVE {rows},
+m AS MATERIALIZED (SELECT row_number() OVER () AS p, v FROM d), n AS MATERIALIZED (SELECT count(*) AS n FROM m),
+cells AS MATERIALIZED (SELECT p, i, v[i] AS x FROM m, range(1, {size + 1}) c(i)),
+walk AS (SELECT 0 AS k, p, 0.0::DOUBLE AS a, 0.0::DOUBLE AS y, 1.0::DOUBLE AS t FROM m
+  UNION ALL
+  SELECT k + 1, p, b, b + (t - 1) / ((1 + sqrt(1 + 4 * t * t)) / 2) * (b - a), (1 + sqrt(1 + 4 * t * t)) / 2 FROM (
+    SELECT k, p, a, t, greatest(0.0, least(1.0, y + {rate} * ({margin} - list_dot_product(v, w)))) AS b
+    FROM walk JOIN m USING (p), (SELECT list(s ORDER BY i) AS w FROM (SELECT i, sum(y * x) / ({reg} * any_value(n)) AS s FROM walk JOIN cells USING (p), n GROUP BY i))
+    WHERE k < {steps})),
+ends AS (SELECT p, a FROM walk WHERE k = {steps}),
+final AS (SELECT list(s ORDER BY i) AS w, (SELECT sum(a) FROM ends) AS held, any_value(n) AS n FROM
+  (SELECT i, sum(a * x) / ({reg} * any_value(n)) AS s, any_value(n) AS n FROM ends JOIN cells USING (p), n GROUP BY i)),
+o AS (SELECT {reg / 2} * list_dot_product(any_value(w), any_value(w)) AS penalty, avg(greatest(0.0, {margin} - list_dot_product(v, w))) AS loss, {margin} * any_value(held) / any_value(n) AS gain,
+  avg((list_dot_product(v, w) > 0)::INT) AS accuracy, count(*) AS pairs FROM final, m)
+SELECT round(penalty + loss, 4) + 0.0 AS primal, round(gain - penalty, 4) + 0.0 AS dual, penalty + loss - (gain - penalty) < 1e-5 AS certified,
+  round(accuracy, 3) + 0.0 AS preference_accuracy, pairs FROM o"""
+
+
+@registered(_dual_sql(_WHOLE_SQL, 64, HINGE_REG, MARGIN, 0.1, 300))
+def fitted_hinge_dual(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 64 components; primal and dual value, worked out again from the returned weights, certify the fit."""
+    pairs = I.vector_pairs(spark, sf_dir).select(F.zip_with("chosen", "rejected", lambda a, b: a - b).alias("d"))
+    rows = written(pairs, "differences")
+    fit = hinge_fit.fit_hinge_dual(rows, "d", MARGIN, HINGE_REG, tol=1e-6)
+    scored = rows.select(dot(F.col("d"), F.array(*map(F.lit, fit.weights))).alias("m"))
+    penalty = HINGE_REG / 2 * sum(w * w for w in fit.weights)
+    primal = F.avg(F.greatest(F.lit(0.0), MARGIN - F.col("m"))) + penalty
+    return rounded(scored.agg(primal.alias("primal"), F.lit(fit.dual).alias("dual"), F.avg((F.col("m") > 0).cast("double")).alias("accuracy"), F.count("*").alias("pairs")).select(
+        "primal", "dual", (F.col("primal") - F.col("dual") < 1e-5).alias("certified"), F.round("accuracy", 3).alias("preference_accuracy"), "pairs"), 4)

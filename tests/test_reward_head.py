@@ -80,3 +80,27 @@ def test_a_score_is_not_copied_into_later_filters(spark):
     scored = H.score_texts(df, lambda t: F.array(F.length(F.regexp_replace(t, "b", "")).cast("double")), [1.0], {"x": "r"})
     used = scored.withColumn("s", F.col("r") + F.abs("r")).where(F.col("s") > F.col("r") - 1)
     assert used._jdf.queryExecution().executedPlan().toString().count("regexp_replace") == 1
+
+
+def test_whole_fits_equal_the_small_ones(noisy):
+    df, d, _ = noisy
+    fit = H.fit_differences(df, "chosen", "rejected", reg=1e-3)
+    assert fit.weights == pytest.approx(H.head_weights(H.fit_logistic(df, "chosen", "rejected", reg=1e-3)), abs=1e-4)
+    margin = H.fit_differences(df, "chosen", "rejected", margin=0.5)
+    assert margin.weights == pytest.approx(H.head_weights(H.fit_log_sigmoid(df, "chosen", "rejected", 0.5)), abs=1e-4)
+
+
+def test_hashed_words_and_stored_weights(spark, tmp_path):
+    import hashlib
+
+    df = spark.createDataFrame([("a bé a", None), ("", "x\ty")], "t string, u string")
+    rows = H.hash_words(df, {"t": "ft", "u": "fu"}, 16).collect()
+    bucket = lambda w: int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % 16
+    want = np.zeros(16)
+    for w in ("a", "bé", "a"):
+        want[bucket(w)] += 1
+    assert rows[0].ft == want.tolist() and sum(rows[0].fu) == 0 == sum(rows[1].ft) and sum(rows[1].fu) == 2
+    H.save_weights([0.5, -1.0], str(tmp_path / "w"), {"buckets": 2}, {"name": "x"}, spark)
+    assert H.load_weights(str(tmp_path / "w"), spark) == ([0.5, -1.0], {"buckets": 2, "kind": "weights"}, {"name": "x"})
+    with pytest.raises(Exception):
+        H.load_weights(str(tmp_path / "absent"), spark)
