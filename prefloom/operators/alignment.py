@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from prefloom.functions.numeric import prefers, share
 from prefloom.functions.text import n_words
 from prefloom.operators.ordering import first_rows
-from prefloom.operators.text_metrics import METRICS, compute_all
+from prefloom.operators.text_metrics import chosen_metrics, quality_by
 
 
 def zip_by_key(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -35,30 +35,28 @@ def response_stats(
     df: DataFrame, response: str = "response", reward: str = "reward", by: list[str] | None = None
 ) -> DataFrame:
     """Mean words, mean reward and its sample deviation (NULL for a single row)."""
-    return df.groupBy(*(by or [])).agg(
-        F.avg(n_words(response)).alias("avg_response_length"),
-        F.avg(reward).alias("avg_reward_score"),
-        F.stddev_samp(reward).alias("reward_std"),
-    )
+    return df.groupBy(*(by or [])).agg(*_stats(response, reward))
+
+
+def _stats(response: str, reward: str) -> list[Column]:
+    return [F.avg(n_words(response)).alias("avg_response_length"), F.avg(reward).alias("avg_reward_score"), F.stddev_samp(reward).alias("reward_std")]
 
 
 def model_quality(
     responses: DataFrame, references: DataFrame | None = None, metrics: list[str] | None = None,
-    token_vectors: tuple[DataFrame, DataFrame] | None = None, key: str = "prompt_id",
+    token_vectors: tuple[DataFrame, DataFrame] | None = None, key: str = "prompt_id", by: list[str] | None = None,
 ) -> DataFrame:
-    """One row for the responses of one model: text metrics against ``references (key, reference)``, then lengths and rewards.
+    """One row for the responses of one model, or of each value of ``by``: text metrics, then lengths and rewards, in one scan of the responses.
 
-    Without references there are no text metrics.
+    References are a column ``reference`` of the responses, or a table ``(key, reference)``; without them there are no text metrics. Without a
+    list of metrics all are worked out that the inputs allow: the embedding match needs ``token_vectors``, the predicted side with ``by``.
     """
-    stats = response_stats(responses)
-    if references is None:
-        return stats
-    pairs = responses.select(F.col(key).alias("item_id"), F.col("response").alias("prediction")).join(
-        references.select(F.col(key).alias("item_id"), "reference"), "item_id")
-    names = metrics or list(METRICS)
-    values = compute_all(pairs, names, token_vectors)
-    wide = one_row(values.agg(*[F.max(F.when(F.col("metric") == m, F.col("value"))).alias(m) for m in names]))
-    return stats.select(*[wide[m].alias(m) for m in names], *stats.columns)
+    by = by or []
+    if references is None and "reference" not in responses.columns:
+        return response_stats(responses, by=by)
+    rows = responses if references is None else responses.drop("reference").join(references.select(key, "reference"), key, "left")
+    names = chosen_metrics(metrics, token_vectors)
+    return quality_by(rows.withColumn("prediction", F.col("response")), by, _stats("response", "reward"), names, token_vectors)
 
 
 def win_rate(df: DataFrame, first: str, second: str) -> DataFrame:
@@ -73,17 +71,26 @@ def one_row(df: DataFrame) -> Column:
 def compare_two(
     first: DataFrame, second: DataFrame, key: str = "prompt_id", samples: int = 3,
     references: DataFrame | None = None, metrics: list[str] | None = None,
+    token_vectors: tuple[DataFrame, DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
     """One report row for two response tables (key, response, reward) over the same prompts.
 
-    With ``references`` both sides also get text metrics.
+    With ``references`` both sides also get text metrics; the embedding match among them needs the ``token_vectors`` of the first, the
+    second and the references. Both models are measured in one scan.
     """
     both = first.select(key, F.col("reward").alias("r1")).join(
         second.select(key, F.col("reward").alias("r2")), key)
     report = both.agg(share(prefers(F.col("r1"), F.col("r2"))).alias("win_rate_model_1"))
+    side = lambda df, n: df.withColumn("side", F.lit(n))
+    columns = [key, "response", "reward"]
+    rows = side(first.select(*columns), 1).unionByName(side(second.select(*columns), 2))
+    vectors = token_vectors and (side(token_vectors[0], 1).unionByName(side(token_vectors[1], 2)), token_vectors[2])
+    quality = model_quality(rows, references, metrics, vectors, key, by=["side"])
+    values = F.struct(*[c for c in quality.columns if c != "side"])
+    wide = one_row(quality.agg(*[F.max(F.when(F.col("side") == n, values)).alias(f"m{n}") for n in (1, 2)]))
     return report.select(
-        one_row(model_quality(first, references, metrics, key=key)).alias("model_1_metrics"),
-        one_row(model_quality(second, references, metrics, key=key)).alias("model_2_metrics"),
+        wide["m1"].alias("model_1_metrics"),
+        wide["m2"].alias("model_2_metrics"),
         "win_rate_model_1",
         sample_list(first, key, "response", samples).alias("model_1_samples"),
         sample_list(second, key, "response", samples).alias("model_2_samples"),
@@ -112,15 +119,18 @@ def side_by_side(
 
 def evaluation_report(
     responses: DataFrame, pairs: DataFrame, references: DataFrame | None = None, metrics: list[str] | None = None,
-    key: str = "prompt_id", samples: int = 5,
+    key: str = "prompt_id", samples: int = 5, token_vectors: tuple[DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
-    """Quality, alignment and samples as one nested document row; with ``references`` text metrics are part of the quality."""
+    """Quality, alignment and samples as one nested document row.
+
+    With ``references``, or a column ``reference`` of the responses, text metrics are part of the quality.
+    """
     sample = F.struct(
         sample_list(responses, key, "prompt", samples).alias("prompts"),
         sample_list(responses, key, "response", samples).alias("responses"))
     alignment = preference_alignment(pairs)
     return alignment.select(
-        one_row(model_quality(responses, references, metrics, key=key)).alias("model_quality"),
+        one_row(model_quality(responses, references, metrics, token_vectors, key)).alias("model_quality"),
         F.struct(*alignment.columns).alias("preference_alignment"),
         sample.alias("sample_generations"),
     )

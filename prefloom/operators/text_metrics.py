@@ -38,9 +38,9 @@ BLEU_PATTERNS = [
 # Tokens of at most this many letters are not stemmed.
 UNSTEMMED_LENGTH = 3
 
-# Token vectors per block of one item in the embedding match.
+# Token vectors per block of one item in the embedding match, and blocks of either side that meet in one task.
 VECTOR_BLOCK = 512
-BLOCK_SALTS = 16
+CELL_BLOCKS = 4
 
 
 def pair_by_item(predictions: DataFrame, references: DataFrame, key: str = "item_id") -> DataFrame:
@@ -97,40 +97,29 @@ def shared_grams(a: np.ndarray, b: np.ndarray) -> list[int]:
 
 
 @F.arrow_udf(T.ArrayType(T.LongType()))
-def _shared_grams(p: pa.Array, r: pa.Array) -> pa.Array:
-    return pa.array([shared_grams(a, b) for a, b in _coded(p, r)], pa.list_(pa.int64()))
+def _gram_counts(p: pa.Array, r: pa.Array) -> pa.Array:
+    """Tokens of both lists, then the n-grams they share by order; null where a list is."""
+    known = pc.and_(p.is_valid(), r.is_valid()).to_pylist()
+    return pa.array([[len(a), len(b), *shared_grams(a, b)] if k else None for k, (a, b) in zip(known, _coded(p, r))], pa.list_(pa.int64()))
 
 
-def bleu_counts(pairs: DataFrame) -> DataFrame:
-    """Per order: matched and total n-grams of the predictions, and n-grams of the references.
-
-    Both texts of an item are in one row, so n-grams are counted where they are
-    and only twelve sums per task are shuffled.
-    """
-    tokens = pairs.select(bleu_tokens("prediction").alias("p"), bleu_tokens("reference").alias("r"))
-    counts = tokens.select(
-        F.size("p").alias("np"), F.size("r").alias("nr"), _shared_grams("p", "r").alias("shared"))
-
-    def total(size: str, n: int) -> Column:
-        return F.coalesce(F.sum(F.greatest(F.col(size) - (n - 1), F.lit(0))), F.lit(0))
-
-    orders = [
-        F.struct(
-            F.lit(n).alias("n"), F.coalesce(F.sum(F.col("shared")[n - 1]), F.lit(0)).alias("matched"),
-            total("np", n).alias("total"), total("nr", n).alias("total_ref"))
-        for n in range(1, MAX_ORDER + 1)
-    ]
-    return counts.agg(F.array(*orders).alias("orders")).select(F.inline("orders"))
+def _grams(prediction: str, reference: str) -> Column:
+    """Token counts of both texts and the n-grams they share, per row; null where a text is missing."""
+    return _gram_counts(bleu_tokens(prediction), bleu_tokens(reference))
 
 
-def corpus_bleu(pairs: DataFrame) -> DataFrame:
-    """Corpus BLEU (0 to 100) with brevity penalty and exponential smoothing."""
-    orders = bleu_counts(pairs)
+def _gram_sums(grams: str) -> dict[str, Column]:
+    """Twelve sums over rows with gram counts: matched, total and total_ref for each order."""
+    sums = {}
+    for n in range(1, MAX_ORDER + 1):
+        sums[f"matched_{n}"] = F.coalesce(F.sum(F.col(grams)[n + 1]), F.lit(0))
+        for name, place in (("total", 0), ("total_ref", 1)):
+            sums[f"{name}_{n}"] = F.coalesce(F.sum(F.greatest(F.col(grams)[place] - (n - 1), F.lit(0))), F.lit(0))
+    return sums
 
-    def pick(n: int, c: str) -> Column:
-        return F.sum(F.when(F.col("n") == n, F.col(c))).alias(f"{c}_{n}")
 
-    wide = orders.agg(*[pick(n, c) for n in range(1, MAX_ORDER + 1) for c in ("matched", "total", "total_ref")])
+def _bleu_of_sums() -> Column:
+    """Corpus BLEU (0 to 100) of the twelve sums, with brevity penalty and exponential smoothing."""
     # Lengths in tokens are the unigram totals. A zero count halves the precision once more each time.
     logs, zeros, any_match = F.lit(0.0), F.lit(0), F.lit(0)
     for n in range(1, MAX_ORDER + 1):
@@ -142,8 +131,24 @@ def corpus_bleu(pairs: DataFrame) -> DataFrame:
     length_p, length_r = F.col("total_1"), F.col("total_ref_1")
     penalty = F.when(length_p >= length_r, F.lit(1.0)).otherwise(
         F.exp(1.0 - length_r / F.nullif(length_p, F.lit(0))))
-    score = F.when(any_match > 0, F.coalesce(penalty * F.exp(logs / MAX_ORDER), F.lit(0.0))).otherwise(F.lit(0.0))
-    return wide.select(score.alias("bleu"))
+    return F.when(any_match > 0, F.coalesce(penalty * F.exp(logs / MAX_ORDER), F.lit(0.0))).otherwise(F.lit(0.0))
+
+
+def bleu_counts(pairs: DataFrame) -> DataFrame:
+    """Per order: matched and total n-grams of the predictions, and n-grams of the references.
+
+    Both texts of an item are in one row, so n-grams are counted where they are
+    and only twelve sums per task are shuffled.
+    """
+    sums = pairs.select(_grams("prediction", "reference").alias("g")).agg(*[c.alias(n) for n, c in _gram_sums("g").items()])
+    orders = [F.struct(F.lit(n).alias("n"), *[F.col(f"{c}_{n}").alias(c) for c in ("matched", "total", "total_ref")]) for n in range(1, MAX_ORDER + 1)]
+    return sums.select(F.inline(F.array(*orders)))
+
+
+def corpus_bleu(pairs: DataFrame) -> DataFrame:
+    """Corpus BLEU (0 to 100) with brevity penalty and exponential smoothing."""
+    sums = pairs.select(_grams("prediction", "reference").alias("g")).agg(*[c.alias(n) for n, c in _gram_sums("g").items()])
+    return sums.select(_bleu_of_sums().alias("bleu"))
 
 
 # --- ROUGE-L ---------------------------------------------------------------
@@ -182,14 +187,17 @@ def _common_plain(p: pa.Array, r: pa.Array) -> pa.Array:
     return pa.array([common_length(a.tolist(), b.tolist()) for a, b in _coded(p, r)], pa.int64())
 
 
+def _f_measure(np: Column, nr: Column, common: Column) -> Column:
+    """2PR/(P+R) with P = common/np and R = common/nr."""
+    return F.when(common > 0, 2.0 * common / (np + nr)).otherwise(F.lit(0.0))
+
+
 def rouge_l_scores(pairs: DataFrame, stemming: bool = True, key: str = "item_id") -> DataFrame:
     """F-measure of the longest common subsequence per item."""
     tokens = pairs.select(key, rouge_tokens("prediction").alias("p"), rouge_tokens("reference").alias("r"))
     common = (_common_stemmed if stemming else _common_plain)(F.col("p"), F.col("r"))
     lengths = tokens.select(key, F.size("p").alias("np"), F.size("r").alias("nr"), common.alias("common"))
-    # 2PR/(P+R) with P = common/np and R = common/nr.
-    score = F.when(F.col("common") > 0, 2.0 * F.col("common") / (F.col("np") + F.col("nr"))).otherwise(F.lit(0.0))
-    return lengths.withColumn("rouge_l", score)
+    return lengths.withColumn("rouge_l", _f_measure(F.col("np"), F.col("nr"), F.col("common")))
 
 
 def rouge_l(pairs: DataFrame, stemming: bool = True, key: str = "item_id") -> DataFrame:
@@ -214,49 +222,79 @@ def _best_cosines(p: pd.Series, r: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"rows": rows, "cols": cols})
 
 
-def _blocks(tokens: DataFrame, key: str, size: int) -> DataFrame:
+def _blocks(tokens: DataFrame, keys: list[str], size: int) -> DataFrame:
     item = F.struct("pos", "vec")
-    grouped = tokens.groupBy(key, piece_of("pos", size).alias("block")).agg(
+    grouped = tokens.groupBy(*keys, piece_of("pos", size).alias("block")).agg(
         F.array_sort(F.collect_list(item)).alias("items"))
     return grouped.select(
-        key, "block",
+        *keys, "block",
         F.transform("items", lambda x: x["pos"]).alias("pos"), F.transform("items", lambda x: x["vec"]).alias("vecs"))
 
 
 def embedding_match_scores(
-    predicted: DataFrame, reference: DataFrame, key: str = "item_id", block: int = VECTOR_BLOCK, salts: int = BLOCK_SALTS
+    predicted: DataFrame, reference: DataFrame, key: str = "item_id", block: int = VECTOR_BLOCK, cell: int = CELL_BLOCKS,
+    by: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Greedy cosine match of token vectors (item, pos, vec): precision, recall, F1 per item.
+    """Greedy cosine match of token vectors (item, pos, vec): precision, recall, F1 per item, and per value of the predicted side's ``by``.
 
     Vectors travel in blocks of at most ``block`` and are matched by matrix
-    products; single vector pairs are never rows. An item of one block meets its
-    partner once; the blocks of a long item are spread over ``salts`` tasks.
+    products; single vector pairs are never rows. The blocks of an item meet in a grid with as many
+    cells as the item needs: a cell has ``cell`` blocks of either side, so no task grows with an item.
     """
-    p = _blocks(predicted, key, block).select(
-        key, F.pmod("block", F.lit(salts)).alias("salt"), F.col("pos").alias("pp"), F.col("vecs").alias("pv"))
-    # The reference side is repeated only for as many salts as the item's predicted side uses.
-    used = predicted.groupBy(key).agg(F.max(piece_of("pos", block)).alias("last"))
-    r = _blocks(reference, key, block).join(used, key).select(
-        key, F.explode(F.sequence(F.lit(0), F.least("last", F.lit(salts - 1)).cast("int"))).alias("salt"),
-        F.col("pos").alias("rp"), F.col("vecs").alias("rv"))
-    met = p.join(r, [key, "salt"]).select(key, "pp", "rp", _best_cosines("pv", "rv").alias("best"))
+    def side_of(blocks: DataFrame, keys: list[str], own: str, other: str, place: str) -> DataFrame:
+        """Blocks in their own line of the grid, once for each line of the other side."""
+        lines = F.explode(F.sequence(F.lit(0).cast("long"), piece_of("last", cell))).alias(other)
+        return blocks.select(*keys, piece_of("block", cell).alias(own), lines, F.col("pos").alias(f"{place}p"), F.col("vecs").alias(f"{place}v"))
+
+    last = lambda side: side.groupBy(key).agg(F.max(piece_of("pos", block)).alias("last"))
+    p = side_of(_blocks(predicted, [key, *by], block).join(last(reference), key), [key, *by], "row", "col", "p")
+    r = side_of(_blocks(reference, [key], block).join(last(predicted), key), [key], "col", "row", "r")
+    met = p.join(r, [key, "row", "col"]).select(key, *by, "pp", "rp", _best_cosines("pv", "rv").alias("best"))
 
     def side(name: str, pos: str, values: Column) -> Column:
         return F.transform(F.arrays_zip(F.col(pos).alias("i"), values.alias("v")),
-                           lambda x: F.struct(F.lit(name).alias("side"), x["i"].alias("i"), x["v"].alias("v")))
+                           lambda x: F.struct(F.lit(name).alias("_side"), x["i"].alias("i"), x["v"].alias("v")))
 
     both = F.concat(side("p", "pp", F.col("best.rows")), side("r", "rp", F.col("best.cols")))
-    per_token = met.select(key, F.inline(both)).groupBy(key, "side", "i").agg(F.max("v").alias("v"))
-    per_item = per_token.groupBy(key).agg(
-        F.avg(F.when(F.col("side") == "p", F.col("v"))).alias("precision"),
-        F.avg(F.when(F.col("side") == "r", F.col("v"))).alias("recall"))
+    per_token = met.select(key, *by, F.inline(both)).groupBy(key, *by, "_side", "i").agg(F.max("v").alias("v"))
+    per_item = per_token.groupBy(key, *by).agg(
+        F.avg(F.when(F.col("_side") == "p", F.col("v"))).alias("precision"),
+        F.avg(F.when(F.col("_side") == "r", F.col("v"))).alias("recall"))
     total = F.col("precision") + F.col("recall")
     f1 = F.when(total != 0, 2 * F.col("precision") * F.col("recall") / F.nullif(total, F.lit(0.0)))
     return per_item.withColumn("f1", F.coalesce(f1, F.lit(0.0)))
 
 
-def embedding_match(predicted: DataFrame, reference: DataFrame, key: str = "item_id") -> DataFrame:
-    return embedding_match_scores(predicted, reference, key).agg(F.avg("f1").alias("bertscore"))
+def embedding_match(predicted: DataFrame, reference: DataFrame, key: str = "item_id", by: tuple[str, ...] = ()) -> DataFrame:
+    return embedding_match_scores(predicted, reference, key, by=by).groupBy(*by).agg(F.avg("f1").alias("bertscore"))
+
+
+# --- several models at once --------------------------------------------------
+
+def quality_by(
+    rows: DataFrame, by: list[str], aggregates: list[Column], metrics: list[str], token_vectors: tuple[DataFrame, DataFrame] | None = None,
+) -> DataFrame:
+    """One row per group of ``rows (prediction, reference, ...)``: the named metrics and the caller's ``aggregates``, from one scan.
+
+    BLEU comes from twelve sums and ROUGE-L from a mean, which stand beside the aggregates; rows without a reference count for these
+    only. Token vectors ``(predicted with by, reference)`` are matched once for all groups. ``rows`` is read once.
+    """
+    per_row, sums = {}, []
+    if "bleu" in metrics:
+        per_row["_grams"] = _grams("prediction", "reference")
+        sums += [c.alias(n) for n, c in _gram_sums("_grams").items()]
+    if "rouge" in metrics:
+        p, r = rouge_tokens("prediction"), rouge_tokens("reference")
+        score = _f_measure(F.size(p), F.size(r), _common_stemmed(p, r))
+        per_row["_rouge"] = F.when(F.col("prediction").isNotNull() & F.col("reference").isNotNull(), score)
+        sums.append(F.coalesce(F.avg("_rouge"), F.lit(0.0)).alias("rouge"))
+    grouped = rows.withColumns(per_row).groupBy(*by).agg(*sums, *aggregates) if per_row else rows.groupBy(*by).agg(*aggregates)
+    names = [c for c in grouped.columns if c not in by and not c.startswith(("matched_", "total_")) and c != "rouge"]
+    wide = grouped.withColumn("bleu", _bleu_of_sums()) if "bleu" in metrics else grouped
+    if "bertscore" in metrics:
+        match = embedding_match(*_need(token_vectors), by=tuple(by))
+        wide = wide.join(match, by, "left") if by else wide.join(match)
+    return wide.select(*by, *[m for m in METRICS if m in metrics], *names)
 
 
 # --- selection -------------------------------------------------------------
@@ -274,6 +312,16 @@ def _need(token_vectors):
     return token_vectors
 
 
+def chosen_metrics(metrics: list[str] | None, token_vectors: tuple[DataFrame, DataFrame] | None) -> list[str]:
+    """The named metrics, or all that the given inputs allow; a name that is unknown or lacks its vectors raises."""
+    names = [m for m in METRICS if m != "bertscore" or token_vectors is not None] if metrics is None else metrics
+    if unknown := [m for m in names if m not in METRICS]:
+        raise ValueError(f"unknown metric: {unknown[0]}")
+    if "bertscore" in names:
+        _need(token_vectors)
+    return names
+
+
 def compute_all(
     pairs: DataFrame, metrics: list[str] | None = None, token_vectors: tuple[DataFrame, DataFrame] | None = None
 ) -> DataFrame:

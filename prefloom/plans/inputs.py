@@ -149,12 +149,12 @@ scored_pairs AS (
   FROM clean_pairs)"""
 
 
-def model_responses(spark: SparkSession, sf_dir: str, models: tuple[str, ...] = ("base", "ppo", "supervised")) -> DataFrame:
-    """Responses per prompt, one row for each of ``models``: (prompt_id, model, prompt, response, reward)."""
+def model_responses(spark: SparkSession, sf_dir: str, models: tuple[str, ...] = ("base", "ppo", "supervised"), reference: bool = False) -> DataFrame:
+    """Responses per prompt, one row for each of ``models``: (prompt_id, model, prompt, response, reward); with ``reference`` also the chosen one."""
     scored = pairs(spark, sf_dir)
     plain = F.translate("chosen", ",", "")
     every = scored.select(
-        F.col("pair_id").alias("prompt_id"), "prompt",
+        F.col("pair_id").alias("prompt_id"), "prompt", *([F.col("chosen").alias("reference")] if reference else []),
         F.inline(F.array(
             F.struct(F.lit("base").alias("model"), F.col("rejected").alias("response")),
             F.struct(F.lit("ppo").alias("model"), F.col("chosen").alias("response")),

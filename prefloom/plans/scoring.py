@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from prefloom.functions.numeric import dot
 from prefloom.operators import alignment as A, hinge_fit, losses as L, ranking as R, reward_head as H
 from prefloom.plans import inputs as I
-from prefloom.plans.registry import registered, rounded
+from prefloom.plans.registry import registered, rounded, table
 from prefloom.plans.text_quality import bleu_sql
 from prefloom.sources.scratch import scratch_path, written
 
@@ -110,29 +110,59 @@ def best_of_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 MODELS = ("base", "ppo", "supervised")
 
 
+def _with_references(rows: DataFrame) -> DataFrame:
+    """The chosen response of each prompt, without its full stops, beside every response."""
+    return rows.withColumn("reference", F.translate("reference", ".", ""))
+
+
 def _references(rows: DataFrame) -> DataFrame:
-    """The chosen response of each prompt."""
-    return rows.where("model = 'ppo'").select("prompt_id", F.col("response").alias("reference"))
+    return rows.where("model = 'ppo'").select("prompt_id", F.translate("response", ".", "").alias("reference"))
+
+
+#: Which of the eight token vectors of an embedding stand for a model's tokens, and which for the reference's.
+_VECTOR_PLACES = {"base": (0, 1, 2, 3), "ppo": (4, 5, 6, 7), "supervised": (0, 2, 4, 6)}
+_REFERENCE_PLACES = (1, 3, 4, 6)
+
+
+def _token_vectors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Token vectors of the three models, and of the references."""
+    e = F.col("embedding").cast("array<double>")
+    cut = table(spark, sf_dir, "embeddings").select(F.floor(F.col("vec_id") / 5).alias("item_id"), (F.col("vec_id") % 5 * 8).alias("first"), F.posexplode(F.transform(
+        F.sequence(F.lit(0), F.lit(7)), lambda i: F.slice(e, i * 8 + 1, 8))).alias("i", "vec")).withColumn("pos", F.col("first") + F.col("i"))
+    owners = F.concat(*[F.when(F.col("i").isin(*places), F.array(F.lit(m))).otherwise(F.array().cast("array<string>")) for m, places in _VECTOR_PLACES.items()])
+    return cut.select("item_id", "pos", "vec", F.explode(owners).alias("model")), cut.where(F.col("i").isin(*_REFERENCE_PLACES)).select("item_id", "pos", "vec")
+
+
+def _match_sql(model: str) -> str:
+    at = lambda places: ", ".join(map(str, places))
+    return f"""
+sims_{model} AS (SELECT p.item_id, p.part * 8 + p.i AS a, r.part * 8 + r.i AS b, list_cosine_similarity(p.vec, r.vec) AS s FROM cut p JOIN cut r USING (item_id)
+  WHERE p.i IN ({at(_VECTOR_PLACES[model])}) AND r.i IN ({at(_REFERENCE_PLACES)})),
+match_{model} AS (SELECT avg(CASE WHEN p + r <> 0 THEN 2 * p * r / (p + r) ELSE 0 END) AS bertscore FROM
+  (SELECT item_id, avg(s) AS p FROM (SELECT item_id, a, max(s) AS s FROM sims_{model} GROUP BY ALL) GROUP BY ALL) JOIN
+  (SELECT item_id, avg(s) AS r FROM (SELECT item_id, b, max(s) AS s FROM sims_{model} GROUP BY ALL) GROUP BY ALL) USING (item_id))"""
 
 
 def _bleu_of_sql(model: str) -> str:
     return f"""
-pairs_{model} AS (SELECT m.prompt_id AS item_id, m.response AS prediction, r.response AS reference
+pairs_{model} AS (SELECT m.prompt_id AS item_id, m.response AS prediction, replace(r.response, '.', '') AS reference
   FROM model_responses m JOIN model_responses r ON r.prompt_id = m.prompt_id AND r.model = 'ppo' WHERE m.model = '{model}'),
-{bleu_sql(f'pairs_{model}', f'_{model}')}"""
+{bleu_sql(f'pairs_{model}', f'_{model}')},{_match_sql(model)}"""
+
+
+_MODELS_SQL = f"{I.MODEL_RESPONSES_SQL}, {I.TOKEN_VECTORS_SQL}"
 
 
-@registered(f"""WITH {I.MODEL_RESPONSES_SQL}, {', '.join(map(_bleu_of_sql, MODELS))}, s AS (
+@registered(f"""WITH {_MODELS_SQL}, {', '.join(map(_bleu_of_sql, MODELS))}, s AS (
   SELECT model, avg(len({I.words_sql('response')})) AS w, avg(reward) AS r, stddev_samp(reward) AS d
   FROM model_responses GROUP BY model),
-b AS ({' UNION ALL '.join(f"SELECT '{m}' AS model, bleu FROM bleu_{m}" for m in MODELS)})
-SELECT model, round(bleu, 6) + 0.0 AS bleu, round(w, 6) + 0.0 AS avg_response_length, round(r, 6) + 0.0 AS avg_reward_score, round(d, 6) + 0.0 AS reward_std
+b AS ({' UNION ALL '.join(f"SELECT '{m}' AS model, bleu, bertscore FROM bleu_{m}, match_{m}" for m in MODELS)})
+SELECT model, round(bleu, 6) + 0.0 AS bleu, round(bertscore, 6) + 0.0 AS bertscore, round(w, 6) + 0.0 AS avg_response_length, round(r, 6) + 0.0 AS avg_reward_score, round(d, 6) + 0.0 AS reward_std
 FROM s JOIN b USING (model)""")
 def model_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each model's responses against the chosen ones."""
-    rows = written(I.model_responses(spark, sf_dir), "responses")
-    parts = [A.model_quality(rows.where(F.col("model") == m), _references(rows), ["bleu"]).withColumn("model", F.lit(m)) for m in MODELS]
-    return rounded(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+    """Each model's responses against the references, in one scan; both texts of a prompt come in one row."""
+    rows = _with_references(I.model_responses(spark, sf_dir, reference=True))
+    return rounded(A.model_quality(rows, metrics=["bleu", "bertscore"], token_vectors=_token_vectors(spark, sf_dir), by=["model"]))
 
 
 @registered(f"WITH {I.MODEL_RESPONSES_SQL} SELECT round(avg(reward), 6) + 0.0 AS avg_reward FROM model_responses")
@@ -140,7 +170,7 @@ def average_reward(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(A.average_reward(I.model_responses(spark, sf_dir)))
 
 
-_TWO_SQL = f"""WITH {I.MODEL_RESPONSES_SQL},
+_TWO_SQL = f"""WITH {_MODELS_SQL},
 p AS (SELECT * FROM model_responses WHERE model = 'ppo'), b AS (SELECT * FROM model_responses WHERE model = 'base')"""
 
 
@@ -151,7 +181,7 @@ def win_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stats_sql(t: str, model: str) -> str:
-    return (f"(SELECT round(bleu, 6) + 0.0 FROM bleu_{model}) AS {t}_bleu, (SELECT round(avg(len({I.words_sql('response')})), 6) + 0.0 FROM {t}) AS {t}_length, "
+    return (f"(SELECT round(bleu, 6) + 0.0 FROM bleu_{model}) AS {t}_bleu, (SELECT round(bertscore, 6) + 0.0 FROM match_{model}) AS {t}_bertscore, (SELECT round(avg(len({I.words_sql('response')})), 6) + 0.0 FROM {t}) AS {t}_length, "
             f"(SELECT round(avg(reward), 6) + 0.0 FROM {t}) AS {t}_reward, "
             f"(SELECT md5(string_agg(response, '|' ORDER BY prompt_id)) FROM (SELECT * FROM {t} ORDER BY prompt_id LIMIT 3)) AS {t}_samples")
 
@@ -161,10 +191,14 @@ SELECT round(avg((p.reward > b.reward)::INT), 6) + 0.0 AS win_rate, {_stats_sql(
 FROM p JOIN b USING (prompt_id)""")
 def two_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = written(I.model_responses(spark, sf_dir, ("base", "ppo")), "responses")
-    report = A.compare_two(rows.where("model = 'ppo'"), rows.where("model = 'base'"), references=_references(rows), metrics=["bleu"])
+    vectors, references = _token_vectors(spark, sf_dir)
+    of = lambda m: vectors.where(F.col("model") == m).drop("model")
+    report = A.compare_two(rows.where("model = 'ppo'"), rows.where("model = 'base'"), references=_references(rows), metrics=["bleu", "bertscore"],
+                           token_vectors=(of("ppo"), of("base"), references))
     return rounded(report.select(
         F.col("win_rate_model_1").alias("win_rate"),
         F.col("model_1_metrics.bleu").alias("p_bleu"), F.col("model_2_metrics.bleu").alias("b_bleu"),
+        F.col("model_1_metrics.bertscore").alias("p_bertscore"), F.col("model_2_metrics.bertscore").alias("b_bertscore"),
         F.col("model_1_metrics.avg_response_length").alias("p_length"),
         F.col("model_1_metrics.avg_reward_score").alias("p_reward"),
         F.md5(F.array_join("model_1_samples", "|")).alias("p_samples"),
@@ -180,20 +214,21 @@ def three_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(A.side_by_side(I.model_responses(spark, sf_dir), ["base", "ppo", "supervised"]), 3)
 
 
-@registered(f"""WITH {I.MODEL_RESPONSES_SQL}, p AS (SELECT * FROM model_responses WHERE model = 'base'), {_bleu_of_sql('base')},
+@registered(f"""WITH {_MODELS_SQL}, p AS (SELECT * FROM model_responses WHERE model = 'base'), {_bleu_of_sql('base')},
 f AS (SELECT * FROM p ORDER BY prompt_id LIMIT 5), s AS (SELECT {_ALIGN_SQL} FROM scored_pairs)
 SELECT (SELECT round(avg(len({I.words_sql('response')})), 6) + 0.0 FROM p) AS avg_response_length,
-  (SELECT round(bleu, 6) + 0.0 FROM bleu_base) AS bleu, (SELECT round(stddev_samp(reward), 6) + 0.0 FROM p) AS reward_std, round(a, 6) + 0.0 AS preference_accuracy,
+  (SELECT round(bleu, 6) + 0.0 FROM bleu_base) AS bleu, (SELECT round(bertscore, 6) + 0.0 FROM match_base) AS bertscore, (SELECT round(stddev_samp(reward), 6) + 0.0 FROM p) AS reward_std, round(a, 6) + 0.0 AS preference_accuracy,
   round(d, 6) + 0.0 AS avg_reward_difference, (SELECT md5(string_agg(prompt, '|' ORDER BY prompt_id)) FROM f) AS prompts,
   (SELECT md5(string_agg(response, '|' ORDER BY prompt_id)) FROM f) AS responses FROM s""")
 def evaluation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rejected responses as a model's, against the chosen ones; pairs are scored and written once."""
+    """The rejected responses as a model's; a pair and its reference stand in one row, and pairs are scored and written once."""
     scored = written(I.scored_pairs(spark, sf_dir), "scored")
-    rows = scored.select(F.col("pair_id").alias("prompt_id"), "prompt", F.col("rejected").alias("response"), F.col("rejected_reward").alias("reward"))
-    references = scored.select(F.col("pair_id").alias("prompt_id"), F.col("chosen").alias("reference"))
-    doc = A.evaluation_report(rows, scored, references, ["bleu"])
+    rows = scored.select(F.col("pair_id").alias("prompt_id"), "prompt", F.col("rejected").alias("response"), F.col("rejected_reward").alias("reward"),
+                         F.translate("chosen", ".", "").alias("reference"))
+    vectors, references = _token_vectors(spark, sf_dir)
+    doc = A.evaluation_report(rows, scored, metrics=["bleu", "bertscore"], token_vectors=(vectors.where("model = 'base'").drop("model"), references))
     return rounded(doc.select(
-        "model_quality.bleu", "model_quality.avg_response_length", "model_quality.reward_std",
+        "model_quality.bleu", "model_quality.bertscore", "model_quality.avg_response_length", "model_quality.reward_std",
         "preference_alignment.preference_accuracy", "preference_alignment.avg_reward_difference",
         F.md5(F.array_join("sample_generations.prompts", "|")).alias("prompts"),
         F.md5(F.array_join("sample_generations.responses", "|")).alias("responses")))

@@ -83,13 +83,13 @@ def vectors(rng, sizes, dim=4):
     return {item: rng.normal(size=(n, dim)) for item, n in sizes.items()}
 
 
-@pytest.mark.parametrize("block, salts", [(512, 16), (8, 3), (8, 1)])
-def test_embedding_match_with_one_long_item(spark, block, salts):
+@pytest.mark.parametrize("block, cell", [(512, 4), (8, 2), (8, 1)])
+def test_embedding_match_with_one_long_item(spark, block, cell):
     rng = np.random.default_rng(12)
     pred, ref = vectors(rng, {0: 70, 1: 3, 2: 9}), vectors(rng, {0: 45, 1: 5, 2: 1, 3: 2})
     frames = [spark.createDataFrame([(i, p, list(map(float, v))) for i, m in side.items() for p, v in enumerate(m)],
                                     "item_id long, pos long, vec array<double>").repartition(3) for side in (pred, ref)]
-    rows = M.embedding_match_scores(*frames, block=block, salts=salts).collect()
+    rows = M.embedding_match_scores(*frames, block=block, cell=cell).collect()
     assert {r.item_id for r in rows} == {0, 1, 2}
     for r in rows:
         a, b = (m[r.item_id] / np.linalg.norm(m[r.item_id], axis=1, keepdims=True) for m in (pred, ref))
@@ -111,3 +111,35 @@ def test_selection_and_perplexity(spark):
     assert tuple(M.perplexity(flat).first()) == pytest.approx((4.0, math.log(4)))
     joined = M.pair_by_item(df.select("item_id", F.col("prediction").alias("text")), df.select("item_id", F.col("reference").alias("text")))
     assert joined.columns == ["item_id", "prediction", "reference"]
+
+
+def test_a_long_item_spreads_over_its_own_grid(spark):
+    rng = np.random.default_rng(7)
+    side = lambda: spark.createDataFrame([(0, p, rng.normal(size=2).tolist()) for p in range(400)], "item_id long, pos long, vec array<double>")
+    p, r = side(), side()
+    blocks, last = M._blocks(p, ["item_id"], 4), p.groupBy("item_id").agg(F.max(F.floor(F.col("pos") / 4)).alias("last"))
+    assert blocks.count() == 100 and last.first()["last"] == 99
+    plan = M.embedding_match_scores(p, r, block=4, cell=4)._jdf.queryExecution().executedPlan().toString()
+    assert "row" in plan and "col" in plan  # joined by item, row and column: 25 x 25 cells
+    got = M.embedding_match_scores(p, r, block=4, cell=4).first()
+    a, b = (np.array([x.vec for x in f.orderBy("pos").collect()]) for f in (p, r))
+    sims = (a / np.linalg.norm(a, axis=1, keepdims=True)) @ (b / np.linalg.norm(b, axis=1, keepdims=True)).T
+    assert (got.precision, got.recall) == pytest.approx((sims.max(1).mean(), sims.max(0).mean()))
+
+
+def test_many_models_in_one_scan(spark):
+    rows = [("m1", 0, "a b c d e", "a b c d e", 1.0), ("m1", 1, "x y", "a b c d e", 2.0), ("m1", 2, "z z", None, 6.0), ("m2", 0, "a b c d f", "a b c d e", 0.0),
+            ("m3", 9, None, "a b", 0.0)]
+    df = spark.createDataFrame(rows, "model string, item_id long, prediction string, reference string, reward double")
+    vec = lambda rows: spark.createDataFrame(rows, "model string, item_id long, pos long, vec array<double>")
+    p, r = vec([("m1", 0, 0, [1.0, 0.0]), ("m2", 0, 0, [0.0, 1.0]), ("m2", 0, 1, [1.0, 1.0])]), vec([("-", 0, 0, [1.0, 0.0])]).drop("model")
+    got = {x.model: x for x in M.quality_by(df, ["model"], [F.avg("reward").alias("reward")], ["bleu", "rouge", "bertscore"], (p, r)).collect()}
+    assert set(got) == {"m1", "m2", "m3"} and got["m1"].reward == 3.0
+    for m in ("m1", "m2"):
+        own = df.where((F.col("model") == m) & F.col("reference").isNotNull())
+        assert got[m].bleu == pytest.approx(M.corpus_bleu(own).first()[0]) and got[m].rouge == pytest.approx(M.rouge_l(own).first()[0])
+        assert got[m].bertscore == pytest.approx(M.embedding_match(p.where(F.col("model") == m).drop("model"), r).first()[0])
+    assert (got["m3"].bleu, got["m3"].rouge, got["m3"].bertscore) == (0.0, 0.0, None)
+    assert M.chosen_metrics(None, None) == ["bleu", "rouge"]
+    with pytest.raises(ValueError):
+        M.chosen_metrics(["bertscore"], None)
