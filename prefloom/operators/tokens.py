@@ -2,27 +2,32 @@
 
 from __future__ import annotations
 
-import uuid
-
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+import pyarrow.parquet as pq
+from pyspark import SparkFiles
+from pyspark.sql import Column, DataFrame, functions as F
 
 from prefloom.functions import tokens as K
-from prefloom.operators.ordering import assign_batches
+from prefloom.operators.ordering import assign_batches, dense_index, prefix_cutoff
+from prefloom.sources.scratch import written
 
 
 def build_vocabulary(df: DataFrame, text: str, size: int, reserved: int = 2) -> DataFrame:
-    """The ``size`` most frequent tokens with ids from ``reserved`` on.
+    """The ``size`` most frequent tokens with ids from ``reserved`` on, ``(token, n, token_id)``; of equally frequent ones the smaller come first.
 
-    Counts are combined before the shuffle, so a very frequent token costs one
-    row per task; the numbering window runs over ``size`` rows only.
+    Counts are combined before the shuffle, so a very frequent token costs one row per task. Tokens that are too rare to have an id are
+    left out by counting ranges of counts; the others are ranked by a range shuffle and the sizes of its parts. No task and no driver
+    holds the vocabulary, whatever its size.
     """
     counts = df.select(F.explode(K.token_texts(text)).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
-    order = [F.desc("n"), F.asc("token")]
-    top = counts.orderBy(*order).limit(size)
-    ids = (F.row_number().over(W.orderBy(*order)) - 1 + reserved).cast("int")
-    return top.withColumn("token_id", ids)
+    held = written(counts.withColumn("rare", -F.col("n")), "token-counts")
+    least = prefix_cutoff(held, "rare", size)
+    often = held if least is None else held.where(F.col("rare") <= least)
+    ranked = dense_index(often, ["rare", "token"], "rank").where(F.col("rank") < size)
+    return ranked.select("token", "n", (F.col("rank") + reserved).cast("int").alias("token_id"))
 
 
 def encode(
@@ -31,32 +36,61 @@ def encode(
 ) -> DataFrame:
     """Add token ids per text column (``texts``: text -> ids); unknown tokens get ``unknown_id``.
 
-    The caller picks the route: ``look_up`` sends the vocabulary, whose size the caller has set, to the tasks and shuffles no text;
-    ``join`` meets it by token, for vocabularies that are too large for a task.
+    The caller picks the route: ``look_up`` writes the vocabulary as one file, which Spark hands to the executors and each Python worker reads once
+    (about 30 bytes a token), and shuffles no text; ``join`` meets it by token, for vocabularies that are too large for a worker.
     """
     if route == "join":
         for text, ids in texts.items():
             df = _encode_by_join(df, text, ids, vocabulary, key, unknown_id)
         return df
-    look_up = _lookup(vocabulary.select("token", "token_id").toArrow(), unknown_id)
+    file = written(vocabulary.select("token", "token_id").coalesce(1), "look-up").inputFiles()[0]
+    df.sparkSession.sparkContext.addFile(file)
+    look_up = _lookup(file.rsplit("/", 1)[-1], unknown_id)
     return df.withColumns({ids: look_up(K.token_texts(text)) for text, ids in texts.items()})
 
 
-_tables: dict[str, dict[str, int]] = {}
+class TokenTable:
+    """Tokens sorted by a 64-bit hash: two numbers and the text for each, found by binary search and compared by text."""
+
+    def __init__(self, rows: pa.Table) -> None:
+        tokens = rows["token"].combine_chunks()
+        hashes = _hashes(tokens)
+        order = np.argsort(hashes, kind="stable")
+        self.hashes, self.ids = hashes[order], rows["token_id"].to_numpy()[order].astype(np.int32)
+        self.tokens = tokens.take(pa.array(order))
+
+    def ids_of(self, tokens: pa.Array, unknown: int) -> np.ndarray:
+        out, left = np.full(len(tokens), unknown, np.int32), np.arange(len(tokens))
+        hashes = _hashes(tokens)
+        at = np.searchsorted(self.hashes, hashes)
+        while len(left):  # again only where other tokens have the same hash
+            inside = at[left] < len(self.hashes)
+            left = left[inside]
+            left = left[self.hashes[at[left]] == hashes[left]]
+            same = pc.equal(self.tokens.take(pa.array(at[left])), tokens.take(pa.array(left))).to_numpy(zero_copy_only=False)
+            out[left[same]] = self.ids[at[left[same]]]
+            left = left[~same]
+            at[left] += 1
+        return out
+
+
+def _hashes(tokens: pa.Array) -> np.ndarray:
+    parts = [tokens.slice(at, 1 << 16).to_pylist() for at in range(0, len(tokens), 1 << 16)]
+    return np.concatenate([np.zeros(0, np.uint64), *(pd.util.hash_array(np.array(p, object), categorize=False) for p in parts)])
+
 
+_tables: dict[str, TokenTable] = {}
 
-def _lookup(rows: pa.Table, unknown_id: int):
-    name, names, numbers = uuid.uuid4().hex, rows["token"].to_pylist(), rows["token_id"].to_pylist()
 
+def _lookup(name: str, unknown_id: int):
     @F.arrow_udf("array<int>")
     def look_up(tokens: pa.Array) -> pa.Array:
         # one table for each Python worker and vocabulary
         if name not in _tables:
             _tables.clear()
-            _tables[name] = dict(zip(names, numbers))
-        table = _tables[name]
+            _tables[name] = TokenTable(pq.read_table(SparkFiles.get(name)))
         coded = tokens.flatten().dictionary_encode()
-        ids = pa.array([table.get(t, unknown_id) for t in coded.dictionary.to_pylist()], pa.int32()).take(coded.indices)
+        ids = pa.array(_tables[name].ids_of(coded.dictionary, unknown_id)).take(coded.indices)
         sizes = pc.fill_null(pc.list_value_length(tokens), 0)
         ends = pc.cumulative_sum(sizes.cast(pa.int32()))
         offsets = pa.concat_arrays([pa.array([0], pa.int32()), ends])

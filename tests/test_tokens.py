@@ -23,6 +23,31 @@ def test_vocabulary_and_both_encoding_routes(spark):
         assert got.schema["ids"].dataType.simpleString() == "array<int>"
 
 
+def test_tokens_with_equal_hashes_and_an_empty_vocabulary(spark, monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    monkeypatch.setattr(T, "_hashes", lambda tokens: np.array([len(t) for t in tokens.to_pylist()], np.uint64))
+    table = T.TokenTable(pa.table({"token": ["aa", "b", "cc", "dd", "eee"], "token_id": pa.array([2, 3, 4, 5, 6], pa.int32())}))
+    assert table.ids_of(pa.array(["dd", "aa", "xx", "b", "eee", "ffff", "cc"]), 1).tolist() == [5, 2, 1, 3, 6, 1, 4]
+    assert T.TokenTable(pa.table({"token": pa.array([], pa.string()), "token_id": pa.array([], pa.int32())})).ids_of(pa.array(["a"]), 1).tolist() == [1]
+
+
+def test_a_vocabulary_of_five_million_tokens(spark):
+    n = 5_000_000
+    texts = spark.range(0, n // 100, 1, 16).select(F.array_join(F.transform(
+        F.sequence(F.col("id") * 100, F.col("id") * 100 + 99), lambda i: F.concat(F.lit("t"), i.cast("string"))), " ").alias("t"), "id")
+    words = T.build_vocabulary(texts, "t", n)
+    got = words.agg(F.count("*"), F.count_distinct("token_id"), F.min("token_id"), F.max("token_id")).first()
+    assert tuple(got) == (n, n, 2, n + 1)
+    few = spark.createDataFrame([(0, "t0 t1 t4999999 nowhere t77"), (1, None)], "id int, t string")
+    want = {r.token: r.token_id for r in words.where(F.col("token").isin("t0", "t1", "t4999999", "t77")).collect()}
+    assert want["t0"] == 2 and want["t1"] == 3  # equally frequent tokens by name
+    for route in ("look_up", "join"):
+        ids = {r.id: r.ids for r in T.encode(few, {"t": "ids"}, words, "id", route=route).collect()}
+        assert ids == {0: [2, 3, want["t4999999"], 1, want["t77"]], 1: None}
+
+
 def test_padding_and_masks(spark):
     df = spark.createDataFrame([(1, [1, 2, 3]), (2, [4]), (3, [])], "id int, ids array<int>")
     got = {r.id: (r.ids, r.mask) for r in T.pad_fixed(df, "ids", "mask", 2, pad_id=9).collect()}
