@@ -8,8 +8,6 @@ sequence also starts in a document with a smaller key, and overlapping repeats a
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -39,20 +37,14 @@ def _windows(words: Words, length: int, seed: int) -> tuple[np.ndarray, np.ndarr
 
 
 def _anchors(length: int, seed: int):
-    """The distinct anchors of every text; of equal texts in a batch those of the smallest key."""
+    """The distinct anchors of every text."""
 
     def run(batches):
         for batch in batches:
             keys = batch.column(0).to_numpy(zero_copy_only=False)
-            names = [hashlib.blake2b(t.as_py().encode(), digest_size=8).digest() for t in batch.column(1)]
-            least: dict[bytes, int] = {}
-            for name, key in zip(names, keys.tolist()):
-                least[name] = min(key, least.get(name, key))
-            first = np.array([least[name] == key for name, key in zip(names, keys.tolist())], bool)
             for words in word_slices(batch.column(1)):
                 _, text, anchor, _ = _windows(words, length, seed)
                 new = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])]) if len(anchor) else np.zeros(0, bool)
-                new &= first[words.first + text]
                 text, anchor = text[new], anchor[new]
                 yield pa.record_batch([pa.array(anchor.view(np.int64)), pa.array(keys[words.first + text], pa.int64())], names=["anchor", "key"])
 
@@ -60,12 +52,12 @@ def _anchors(length: int, seed: int):
 
 
 def _extended(length: int, seed: int):
-    """The windows around shared anchors: their hash, key and first word."""
+    """The windows around shared anchors: their hash, key, and first word below the checksum of its text, as texts may have one key."""
 
     def run(batches):
         for batch in batches:
             keys = batch.column(0).to_numpy(zero_copy_only=False)
-            shared = batch.column(2)
+            shared, sums = batch.column(2), batch.column(3).to_numpy()
             flat = shared.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
             sizes = np.array([0 if v is None else v for v in shared.value_lengths().to_pylist()], np.int64)
             of = np.repeat(np.arange(batch.num_rows), sizes)
@@ -76,7 +68,7 @@ def _extended(length: int, seed: int):
                 at = np.minimum(np.searchsorted(known, mark), max(len(known) - 1, 0))
                 keep = np.flatnonzero(known[at] == mark) if len(known) else np.zeros(0, np.int64)
                 yield pa.record_batch([pa.array(window[keep].view(np.int64)), pa.array(keys[words.first + text[keep]], pa.int64()),
-                                       pa.array((first[keep] - words.bounds[text[keep]]).astype(np.int32))], names=["window", "key", "first"])
+                                       pa.array((sums[words.first + text[keep]] << 31) | (first[keep] - words.bounds[text[keep]]))], names=["window", "key", "first"])
 
     return run
 
@@ -90,7 +82,7 @@ def _without(length: int):
             firsts = batch.column(2)
             flat = firsts.flatten().to_numpy(zero_copy_only=False)
             at = np.concatenate([[0], np.cumsum(firsts.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))]).astype(np.int64)
-            copy = batch.column(3).to_numpy(zero_copy_only=False)
+            copy, sums = batch.column(3).to_numpy(zero_copy_only=False), batch.column(4).fill_null(0).to_numpy()
             for words in word_slices(batch.column(1)):
                 raw = words.raw.tobytes()
                 total, removed, kept, spans = [], [], [], []
@@ -98,6 +90,8 @@ def _without(length: int):
                     a, b, row = int(words.bounds[k]), int(words.bounds[k + 1]), words.first + k
                     n = b - a
                     own = np.arange(max(n - length + 1, 0)) if copy[row] else flat[at[row]:at[row + 1]]
+                    if not copy[row] and len(own):
+                        own = own[own >> 31 == sums[row]] & ((1 << 31) - 1)
                     cover = np.zeros(n + 1, np.int32)
                     np.add.at(cover, own, 1)
                     np.add.at(cover, own + length, -1)
@@ -119,8 +113,8 @@ def remove_repeats(df: DataFrame, length: int = 13, seed: int = 5, key: str = "d
     of ``length`` words that also starts in a row with a smaller key, joined by one blank, and the removed spans in words, end exclusive.
 
     Windows are judged on the input. Keys are whole numbers. Only the key and the text are read. Null and empty texts have no words; rows with a
-    null key, and rows with one key, are never earlier than each other; equal texts under a larger key are repeats as a whole, and only the
-    smallest key of equal texts goes through the join; an empty table gives no rows.
+    null key, and rows with one key, are never earlier than each other, also where one key has several texts; equal texts under a larger key are
+    repeats as a whole, and only the smallest key of equal texts goes through the join; an empty table gives no rows.
     """
     docs = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     known = docs.filter("key is not null and text is not null")
@@ -135,15 +129,16 @@ def remove_repeats(df: DataFrame, length: int = 13, seed: int = 5, key: str = "d
     anchors = lead.mapInArrow(_anchors(length, seed), "anchor long, key long").repartition("anchor")
     several = anchors.groupBy("anchor").agg(F.min("key").alias("low"), F.max("key").alias("high")).filter("low < high").select("anchor")
     shared = written(anchors.join(several.hint("shuffle_hash"), "anchor").groupBy("key").agg(F.collect_set("anchor").alias("anchors")), "anchors")
-    found = only_keys(known, shared).join(shared, "key").select("key", "text", "anchors").mapInArrow(_extended(length, seed), "window long, key long, first int")
+    found = only_keys(known, shared).join(shared, "key").select("key", "text", "anchors", F.crc32("text").alias("sum")).mapInArrow(
+        _extended(length, seed), "window long, key long, first long")
     windows = found.repartition("window")
     earliest = windows.groupBy("window").agg(F.min("key").alias("low"), F.max("key").alias("high")).filter("low < high").select("window", "low")
-    # at most one entry for each word of a document
+    # at most one entry for each word of the texts under a key
     starts = windows.join(earliest.hint("shuffle_hash"), "window").filter("key > low").groupBy("key").agg(F.sort_array(F.collect_list("first")).alias("firsts"))
     touched = written(starts.withColumn("copy", F.lit(False)).unionByName(
-        copies.select("key", F.lit(None).cast("array<int>").alias("firsts"), F.lit(True).alias("copy"))), "repeats")
+        copies.select("key", F.lit(None).cast("array<long>").alias("firsts"), F.lit(True).alias("copy"))), "repeats")
     maybe, never = split_keys(docs, touched)
-    whole = never.select("key", "text", F.lit(None).cast("array<int>").alias("firsts"), F.lit(False).alias("copy"))
+    whole = never.select("key", "text", F.lit(None).cast("array<long>").alias("firsts"), F.lit(False).alias("copy"))
     cut = maybe.join(touched, "key", "left").select("key", "text", "firsts", F.coalesce("copy", F.lit(False)).alias("copy")).unionByName(whole)
-    out = cut.mapInArrow(_without(length), "key long, n_words long, n_removed long, kept string, repeats array<struct<start long, end long>>")
+    out = cut.withColumn("sum", F.crc32("text")).mapInArrow(_without(length), "key long, n_words long, n_removed long, kept string, repeats array<struct<start long, end long>>")
     return out.select(F.col("key").cast(df.schema[key].dataType).alias(key), "n_words", "n_removed", "kept", "repeats")
