@@ -27,7 +27,7 @@ from prefloom.sources.scratch import written
 TOP = 5
 BEGIN, END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 #: Texts of a chunk at most (two bytes number them and hold a bit), and bytes of text.
-CHUNK_TEXTS, CHUNK_BYTES = 1 << 15, 12 << 20
+CHUNK_TEXTS, CHUNK_BYTES = 1 << 15, 6 << 20
 _T = [f"t{r}" for r in range(1, TOP + 1)]
 
 
@@ -99,11 +99,13 @@ def _chunks(sent, parts: int):
         for batch in batches:
             ids, train = batch.column(0).to_pylist(), batch.column(2).to_numpy(zero_copy_only=False)
             first, held, size, total = 0, [], 0, 0
-            slices = list(_bounded_slices(batch.column(1)))
-            for k, (rows, raw, tokens, before, texts, n) in enumerate(slices):
+            stream = _bounded_slices(batch.column(1))
+            following = next(stream, None)
+            while following is not None:
+                (rows, raw, tokens, before, texts, n), following = following, next(stream, None)
                 held.append((tokens, before, texts + total, n))
                 total, size = total + rows, size + raw
-                if k + 1 == len(slices) or size + slices[k + 1][1] > CHUNK_BYTES or total + slices[k + 1][0] > CHUNK_TEXTS:
+                if following is None or size + following[1] > CHUNK_BYTES or total + following[0] > CHUNK_TEXTS:
                     lengths = np.concatenate([h[3] for h in held])
                     keys = [{"id": i, "tokens": int(n), "train": bool(t)} for i, n, t in zip(ids[first:first + total], lengths.tolist(), train[first:first + total].tolist())]
                     yield pack(chunk, *(np.concatenate([h[j] for h in held]) for j in range(3)), keys, train[first:first + total].astype(np.int64), hot)
