@@ -155,23 +155,26 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS,
     return ToxicModel(words, weights, float(bias), float(leak))
 
 
-def _scored(model: ToxicModel, column: pa.Array, threshold: float) -> tuple[np.ndarray, list[list[dict]]]:
-    """The score of every text, and its sentences that reach the threshold on their own."""
-    scores, spans = np.full(len(column), -np.expm1(_log_rest(model.leak))), [[] for _ in range(len(column))]
+def _scored(model: ToxicModel, column: pa.Array):
+    """Slices of whole texts: their words, the score of every text, and of every sentence its number, text and log-odds."""
     for words in word_slices(column, blank=_BETWEEN):
         sentence, text_of = _sentences(words)
         known, feature = model.features(words.hashes(True))
         z = model.bias + np.bincount(sentence[known], model.weights[feature], len(text_of))
         clean = _log_rest(model.leak) + np.bincount(text_of, _log_rest(z), len(words))
-        scores[words.first:words.first + len(words)] = -np.expm1(clean)
-        chance = np.exp(-np.logaddexp(0, -z))
-        if len(bad := np.flatnonzero(chance >= threshold)):
-            letters = np.concatenate([[0], np.cumsum((words.raw & 0xC0) != 0x80)])
-            opening, closing = np.searchsorted(sentence, bad), np.searchsorted(sentence, bad, "right") - 1
-            for k, a, b in zip(bad.tolist(), words.starts[opening].tolist(), words.ends[closing].tolist()):
-                base = letters[words.text_starts[text_of[k]]]
-                spans[words.first + text_of[k]].append({"start": int(letters[a] - base), "end": int(letters[b] - base), "score": float(chance[k])})
-    return scores, spans
+        yield words, -np.expm1(clean), sentence, text_of, z
+
+
+def _spans(words, sentence: np.ndarray, text_of: np.ndarray, z: np.ndarray, threshold: float) -> list[list[dict]]:
+    """Per text its sentences that reach the threshold on their own."""
+    spans, chance = [[] for _ in range(len(words))], np.exp(-np.logaddexp(0, -z))
+    if len(bad := np.flatnonzero(chance >= threshold)):
+        letters = np.concatenate([[0], np.cumsum((words.raw & 0xC0) != 0x80)])
+        opening, closing = np.searchsorted(sentence, bad), np.searchsorted(sentence, bad, "right") - 1
+        for k, a, b in zip(bad.tolist(), words.starts[opening].tolist(), words.ends[closing].tolist()):
+            base = letters[words.text_starts[text_of[k]]]
+            spans[text_of[k]].append({"start": int(letters[a] - base), "end": int(letters[b] - base), "score": float(chance[k])})
+    return spans
 
 
 def score_toxicity(docs: DataFrame, model: ToxicModel, threshold: float = 0.5, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -184,8 +187,9 @@ def score_toxicity(docs: DataFrame, model: ToxicModel, threshold: float = 0.5, k
 
     def run(batches):
         for batch in batches:
-            scores, spans = _scored(shared.value, batch.column(1), threshold)
-            yield pa.record_batch([batch.column(0), pa.array(scores), pa.array(spans, _SENTENCES)], names=["key", "score", "sentences"])
+            for words, scores, *sentences in _scored(shared.value, batch.column(1)):
+                yield pa.record_batch([batch.column(0).slice(words.first, len(words)), pa.array(scores), pa.array(_spans(words, *sentences, threshold), _SENTENCES)],
+                                      names=["key", "score", "sentences"])
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(
@@ -199,7 +203,8 @@ def without_toxic(docs: DataFrame, model: ToxicModel, threshold: float = 0.5, te
 
     def run(batches):
         for batch in batches:
-            empty = np.array([not t for t in batch.column(at).to_pylist()], bool)
-            yield batch.filter(pa.array((_scored(shared.value, batch.column(at), threshold)[0] < threshold) | empty))
+            for words, scores, *_ in _scored(shared.value, batch.column(at)):
+                empty = np.diff(words.text_starts) == 0
+                yield batch.slice(words.first, len(words)).filter(pa.array((scores < threshold) | empty))
 
     return docs.mapInArrow(run, docs.schema)
