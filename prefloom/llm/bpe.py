@@ -15,6 +15,7 @@ among them as one; only the other pieces are merged.
 from __future__ import annotations
 
 import heapq
+import hashlib
 import json
 import unicodedata
 from collections.abc import Iterable, Iterator
@@ -49,6 +50,7 @@ class Vocabulary:
     """Tokens, merge rules and the tables derived from them; bounded by the vocabulary file, so it may be sent to all tasks."""
 
     def __init__(self, definition: str) -> None:
+        self.name = hashlib.sha256(definition.encode()).hexdigest()
         spec = json.loads(definition)
         ids, rules = spec["model"]["vocab"], [r if isinstance(r, list) else r.split(" ") for r in spec["model"]["merges"]]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
@@ -368,7 +370,7 @@ def encode_texts(df: DataFrame, vocabulary: str | Vocabulary, key: str = "doc_id
 def _share(df: DataFrame, vocabulary: str | Vocabulary) -> _Shared:
     value = read_vocabulary(vocabulary) if isinstance(vocabulary, str) else vocabulary
     broadcast = df.sparkSession.sparkContext.broadcast(value)
-    return _Shared(broadcast, hash((value.size, len(value.rules), tuple(value.tokens[-5:]))))
+    return _Shared(broadcast, value.name)
 
 
 def decode_ids(df: DataFrame, vocabulary: str | Vocabulary, ids: str = "ids", out: str = "decoded") -> DataFrame:

@@ -55,6 +55,14 @@ def test_repeats(spark):
     assert substrings.remove_repeats(docs.limit(0)).collect() == []
 
 
+def test_repeats_with_two_texts_under_one_key(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    rows = [(1, a), (2, "short " + b), (2, a), (3, a + " more of it"), (3, "only a few words"), (4, b), (4, a), (4, a), (5, "x " + b[:200]), (5, None), (6, "short " + b), (6, "own " * 20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = collections.Counter((r.doc_id, r.n_words, r.n_removed, r.kept) for r in substrings.remove_repeats(docs).collect())
+    assert got == repeats(rows) and sum(n * r[2] for r, n in got.items()) > 300
+
+
 def test_katz_scores(spark):
     docs = odd_documents(spark).where("doc_id is not null")
     rows = [(r.doc_id, WORD.findall(folded(r.text)) + ["</s>"]) for r in docs.collect()]
