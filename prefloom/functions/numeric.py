@@ -56,13 +56,18 @@ def token_logprob(logits: Column, token_id: Column) -> Column:
     return F.element_at(logits, (token_id + 1).cast("int")) - log_normalizer(logits)
 
 
+def _expected(logits: Column, values: Column) -> Column:
+    """Mean of ``values`` under the distribution of the logits; normalizers stay outside the lambdas, which run for every entry."""
+    top = F.array_max(logits)
+    weights = F.transform(logits, lambda a: F.exp(a - top))
+    return _sum(F.zip_with(weights, values, lambda w, v: w * v)) / _sum(weights)
+
+
 def kl_divergence(logits_p: Column, logits_q: Column) -> Column:
     """Sum of p * (log p - log q), from two arrays of logits."""
-    zp, zq = log_normalizer(logits_p), log_normalizer(logits_q)
-    terms = F.zip_with(logits_p, logits_q, lambda a, b: F.exp(a - zp) * ((a - zp) - (b - zq)))
-    return _sum(terms)
+    differences = F.zip_with(logits_p, logits_q, lambda a, b: a - b)
+    return _expected(logits_p, differences) - log_normalizer(logits_p) + log_normalizer(logits_q)
 
 
 def entropy(logits: Column) -> Column:
-    z = log_normalizer(logits)
-    return -_sum(F.transform(logits, lambda a: F.exp(a - z) * (a - z)))
+    return log_normalizer(logits) - _expected(logits, logits)

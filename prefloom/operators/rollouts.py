@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+import sys
 from functools import reduce
 
-from pyspark.sql import DataFrame, Column, functions as F
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, Column, functions as F, types as T
 
 from prefloom.functions.numeric import clamp, dot, entropy, huber, kl_divergence, token_logprob
 from prefloom.functions.tokens import response_ids
 from prefloom.operators.alignment import one_row
 
+# The UDF below travels with its code, so executors need no installed copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Guard of the standard score, its bounds, and the size from which advantages are standardized.
 SCORE_GUARD = 1e-8
 SCORE_BOUND = 3.0
@@ -55,6 +63,42 @@ def with_token_statistics(rollouts: DataFrame, tokens: DataFrame, key: str = "ro
     return rollouts.join(stats, key, "left").withColumns(zeros)
 
 
+def _log_softmax(logits: pa.ListArray) -> np.ndarray:
+    """Rows of log-probabilities, one for each list of logits."""
+    sizes = pc.list_value_length(logits)
+    if pc.min(sizes).as_py() != pc.max(sizes).as_py():
+        raise ValueError("the logits of a batch have different lengths")
+    x = logits.flatten().to_numpy(zero_copy_only=False).reshape(len(logits), -1)
+    x = x - x.max(1, keepdims=True)
+    return x - np.log(np.exp(x).sum(1, keepdims=True))
+
+
+_MEANS = T.StructType([T.StructField(n, T.DoubleType()) for n in ("logprob", "kl", "entropy")])
+
+
+@F.arrow_udf(_MEANS)
+def _means(ids: pa.Array, policy: pa.Array, reference: pa.Array) -> pa.Array:
+    sizes = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    owner = np.repeat(np.arange(len(ids)), sizes)
+    out = [np.zeros(len(ids))] * 3
+    if len(owner):
+        p, q = _log_softmax(policy.flatten()), _log_softmax(reference.flatten())
+        chance, token = np.exp(p), ids.flatten().to_numpy(zero_copy_only=False)
+        per_token = (p[np.arange(len(token)), token], (chance * (p - q)).sum(1), -(chance * p).sum(1))
+        out = [np.bincount(owner, x, len(ids)) / np.maximum(sizes, 1) for x in per_token]
+    return pa.StructArray.from_arrays([pa.array(x) for x in out], names=["logprob", "kl", "entropy"])
+
+
+def statistics_in_place(rollouts: DataFrame, ids: str = "ids", policy: str = "logits_p", reference: str = "logits_q") -> DataFrame:
+    """Add mean log-probability, KL and entropy over a rollout's response tokens; 0 where there is none.
+
+    A rollout's ids (0-based) and the logits of both distributions stand in its row, one list for each token, and are reduced
+    there in Arrow batches: no row is exploded, shuffled or joined.
+    """
+    df = rollouts.withColumn("_means", _means(ids, policy, reference))
+    return df.withColumns({c: F.col(f"_means.{c}") for c in ("logprob", "kl", "entropy")}).drop("_means")
+
+
 def mean_entropy(stats: DataFrame) -> DataFrame:
     return stats.agg(F.avg("entropy").alias("entropy"))
 

@@ -222,6 +222,8 @@ rollout_history AS (
 # --- rollouts ----------------------------------------------------------------
 
 VOCABULARY = 8
+#: Logits of a position: all components of the embedding, turned by the position.
+LOGITS = 64
 END_TOKEN = 0
 ROLLOUT_BATCH = 8
 
@@ -253,8 +255,8 @@ rollouts AS (
 
 
 def distribution(e: Column, pos: Column, shift: int) -> Column:
-    start = (pos * VOCABULARY + shift) % (64 - VOCABULARY) + 1
-    return F.transform(F.slice(e, start, VOCABULARY), lambda x: x * 10)
+    turn = ((pos * VOCABULARY + shift) % LOGITS).cast("int")
+    return F.transform(F.concat(F.slice(e, turn + 1, LOGITS), F.slice(e, F.lit(1), turn)), lambda x: x * 10)
 
 
 def token_logits(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -268,6 +270,15 @@ def token_logits(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     return policy, reference
 
 
+def rollout_logits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rollouts with the ids of their response and the policy's and the reference's logits for each, as arrays in one row."""
+    from prefloom.functions.tokens import response_ids
+
+    base = rollouts(spark, sf_dir).withColumn("ids", response_ids(F.col("full_ids"), F.col("prompt_len"), END_TOKEN))
+    lists = lambda shift: F.transform("ids", lambda _, pos: distribution(F.col("e"), pos, shift))
+    return base.select("rollout_id", "ids", lists(0).alias("logits_p"), lists(3).alias("logits_q"))
+
+
 RESPONSE_TOKENS_SQL = f"""{ROLLOUTS_SQL},
 tails AS (SELECT rollout_id, e, full_ids[prompt_len + 1:] AS tail FROM rollouts),
 responses AS (
@@ -278,8 +289,7 @@ response_tokens AS (
 
 
 def distribution_sql(pos: str, shift: int) -> str:
-    start = f"(({pos} * {VOCABULARY} + {shift}) % {64 - VOCABULARY} + 1)"
-    return f"list_transform(e[{start}:{start} + {VOCABULARY - 1}], lambda x: x * 10)"
+    return f"list_transform(range({LOGITS}), lambda i: e[(i + {pos} * {VOCABULARY} + {shift}) % {LOGITS} + 1] * 10)"
 
 
 TOKEN_LOGITS_SQL = f"""{RESPONSE_TOKENS_SQL},
@@ -290,8 +300,8 @@ normalizers AS (
             ln(list_sum(list_transform(lq, lambda x: exp(x)))) AS zq FROM token_logits),
 token_stats AS (
   SELECT rollout_id, pos, lp[token_id + 1] - zp AS logprob,
-         list_sum(list_transform(range(1, {VOCABULARY + 1}), lambda i: exp(lp[i] - zp) * ((lp[i] - zp) - (lq[i] - zq)))) AS kl,
-         -list_sum(list_transform(range(1, {VOCABULARY + 1}), lambda i: exp(lp[i] - zp) * (lp[i] - zp))) AS entropy
+         list_sum(list_transform(range(1, {LOGITS + 1}), lambda i: exp(lp[i] - zp) * ((lp[i] - zp) - (lq[i] - zq)))) AS kl,
+         -list_sum(list_transform(range(1, {LOGITS + 1}), lambda i: exp(lp[i] - zp) * (lp[i] - zp))) AS entropy
   FROM normalizers),
 rollout_stats AS (
   SELECT rollout_id, coalesce(avg(s.logprob), 0.0) AS logprob, coalesce(avg(s.kl), 0.0) AS kl,

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from prefloom.operators import rollouts as R
 from prefloom.plans import inputs as I
 from prefloom.plans.registry import registered, rounded, table
+from prefloom.sources.scratch import written
 
 BETA, CLIP, MINIBATCH = 0.02, 0.5, 32
 
@@ -14,7 +15,15 @@ BETA, CLIP, MINIBATCH = 0.02, 0.5, 32
 @registered(f"""WITH {I.TOKEN_LOGITS_SQL} SELECT rollout_id, round(logprob, 6) + 0.0 AS logprob,
   round(kl, 6) + 0.0 AS kl, round(entropy, 6) + 0.0 AS entropy FROM rollout_stats""")
 def token_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    policy, reference = I.token_logits(spark, sf_dir)
+    """All 64 logits of both distributions, reduced in the row of their rollout."""
+    return rounded(R.statistics_in_place(I.rollout_logits(spark, sf_dir)).select("rollout_id", "logprob", "kl", "entropy"))
+
+
+@registered(f"""WITH {I.TOKEN_LOGITS_SQL} SELECT rollout_id, round(logprob, 6) + 0.0 AS logprob,
+  round(kl, 6) + 0.0 AS kl, round(entropy, 6) + 0.0 AS entropy FROM rollout_stats""")
+def token_statistics_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from two tables of positions, joined by rollout and place."""
+    policy, reference = (written(side, "positions") for side in I.token_logits(spark, sf_dir))
     base = I.rollouts(spark, sf_dir).select("rollout_id")
     return rounded(R.with_token_statistics(base, R.align_distributions(policy, reference)))
 

@@ -90,3 +90,16 @@ def test_scores_and_clamp(spark):
     got = [r.y for r in x.collect()]
     assert np.isnan(got[0]) and got[1:] == [3.0, -3.0]
     assert R.concat_buffers(df, df, df).count() == 3
+
+
+def test_statistics_in_place_equal_the_joined_ones(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    rows = [(k, rng.integers(0, 5, n).tolist(), rng.normal(size=(n, 5)).tolist(), (rng.normal(size=(n, 5)) * 3).tolist()) for k, n in enumerate([4, 0, 1, 30])] + [(9, None, None, None)]
+    df = spark.createDataFrame(rows, "rollout_id long, ids array<int>, logits_p array<array<double>>, logits_q array<array<double>>")
+    got = {r.rollout_id: r for r in R.statistics_in_place(df.repartition(2)).collect()}
+    parts = df.select("rollout_id", F.posexplode(F.arrays_zip("ids", "logits_p", "logits_q")).alias("pos", "x")).select("rollout_id", "pos", F.col("x.ids").alias("token_id"), "x.logits_p", "x.logits_q")
+    for r in R.token_statistics(parts).collect():
+        assert (got[r.rollout_id].logprob, got[r.rollout_id].kl, got[r.rollout_id].entropy) == pytest.approx((r.logprob, r.kl, r.entropy))
+    assert all((got[k].logprob, got[k].kl, got[k].entropy) == (0.0, 0.0, 0.0) for k in (1, 9)) and len(got) == 5
