@@ -166,6 +166,17 @@ def sample_previews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logs.sample_table(I.pairs(spark, sf_dir), "pair_id", response="chosen")
 
 
+@registered(f"""WITH {I.PAIRS_SQL}, s AS (SELECT pair_id AS idx, prompt, unnest([chosen, rejected]) AS response FROM clean_pairs)
+SELECT idx, CASE WHEN length(prompt) > 100 THEN substr(prompt, 1, 100) || '...' ELSE prompt END AS prompt,
+  CASE WHEN length(response) > 200 THEN substr(response, 1, 200) || '...' ELSE response END AS response FROM s""")
+def samples_appended_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sample tables of both responses, that of the chosen one appended twice under one write's name."""
+    path, pairs = scratch_path(spark, "samples"), I.pairs(spark, sf_dir)
+    for side in ("chosen", "chosen", "rejected"):
+        logs.append_once(logs.sample_table(pairs, "pair_id", response=side), path, side)
+    return logs.read_once(spark, path, "idx bigint, prompt string, response string")
+
+
 @registered("""SELECT lang, avg(coalesce(quality, 0.0)) AS quality, avg(coalesce(toxic, 1.0)) AS toxic
 FROM documents LEFT JOIN labels USING (doc_id) GROUP BY lang""")
 def metric_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -62,6 +62,17 @@ def appended_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("run_id", "epoch", "step", "name", "num_value")
 
 
+@registered(f"""WITH {I.STEP_LOG_SQL} SELECT run_id, epoch, step, 'loss' AS name, loss AS num_value FROM step_log
+UNION ALL SELECT run_id, epoch, step, 'accuracy', accuracy FROM step_log""")
+def metrics_appended_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Losses appended twice under one write's name and accuracies under another's; a write that broke off is not read."""
+    path, steps, ids = scratch_path(spark, "metrics"), I.step_log(spark, sf_dir), ["run_id", "epoch", "step"]
+    for name in ("loss", "loss", "accuracy"):
+        logs.append_once(logs.long_metrics(steps, ids, [name]), path, f"write-{name}")
+    logs.long_metrics(steps, ids, ["loss"]).write.parquet(f"{path}/rows/write_id=broken-off")
+    return logs.read_once(spark, path, "run_id bigint, epoch int, step bigint, name string, num_value double")
+
+
 @registered(f"""WITH {I.HISTORY_SQL} SELECT run_id, {', '.join(f'round(avg({c}), 6) + 0.0 AS {c}' for c in G.HISTORY_COLUMNS)},
   count(*) AS steps FROM rollout_history WHERE (step + 1) % 5 = 0 GROUP BY run_id""")
 def history_average(spark: SparkSession, sf_dir: str) -> DataFrame:

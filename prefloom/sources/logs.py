@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from prefloom.functions.text import preview
 
@@ -31,3 +32,39 @@ def sample_table(df: DataFrame, idx: Column | str, prompt: str = "prompt", respo
 def append_samples(df: DataFrame, path: str, idx: Column | str, **columns: str) -> None:
     """Append a sample table of prompt and response previews."""
     sample_table(df, idx, **columns).write.mode("append").parquet(path)
+
+
+# --- writes that count once ----------------------------------------------------
+
+def append_once(df: DataFrame, path: str, write_id: str) -> bool:
+    """Append rows under a write's own name; a write whose name is in the manifest already changes nothing and gives False.
+
+    The rows are staged in a folder of the write's name, which a retry replaces, and count from the moment the manifest names the write.
+    So a write that broke off leaves nothing to be read, and one that is repeated or retried counts once.
+    """
+    spark = df.sparkSession
+    done = _manifest(spark, path)
+    if done is not None and done.where(F.col("write_id") == write_id).limit(1).count():
+        return False
+    df.write.mode("overwrite").parquet(f"{path}/rows/write_id={write_id}")
+    spark.createDataFrame([(write_id,)], "write_id string").coalesce(1).write.mode("append").parquet(f"{path}/manifest")
+    return True
+
+
+def _manifest(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.schema("write_id string").parquet(f"{path}/manifest")
+    except AnalysisException:
+        return None
+
+
+def read_once(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The rows of all writes that the manifest names; ``schema`` is that of the written rows. Nothing written gives no rows.
+
+    Folders of other writes are pruned by the names in the manifest.
+    """
+    done = _manifest(spark, path)
+    if done is None:
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(f"{schema}, write_id string").option("basePath", f"{path}/rows").parquet(f"{path}/rows")
+    return rows.join(done.distinct(), "write_id", "left_semi").drop("write_id")

@@ -74,3 +74,17 @@ def test_logs(spark, tmp_path):
 def test_scratch_uses_the_session_folder(spark):
     df = scratch.written(spark.range(5).withColumn("x", F.lit("a")), "t")
     assert df.count() == 5 and scratch.checkpoint_folder(spark) in df.inputFiles()[0]
+
+
+def test_a_write_counts_once(spark, tmp_path):
+    from prefloom.sources import logs
+
+    path, shape = str(tmp_path / "log"), "step int, v double"
+    rows = lambda *values: spark.createDataFrame([(i, v) for i, v in enumerate(values)], shape)
+    assert logs.read_once(spark, path, shape).collect() == []
+    rows(9.0, 9.0).write.parquet(f"{path}/rows/write_id=b")  # a write that broke off before its name was listed
+    assert logs.append_once(rows(1.0, 2.0), path, "a") and not logs.append_once(rows(5.0), path, "a")
+    assert [tuple(r) for r in logs.read_once(spark, path, shape).orderBy("step").collect()] == [(0, 1.0), (1, 2.0)]
+    assert logs.append_once(rows(3.0), path, "b")  # its retry replaces what was left
+    assert sorted(r.v for r in logs.read_once(spark, path, shape).collect()) == [1.0, 2.0, 3.0]
+    assert logs.append_once(rows(), path, "c") and logs.read_once(spark, path, shape).count() == 3
