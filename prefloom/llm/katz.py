@@ -28,6 +28,8 @@ TOP = 5
 BEGIN, END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 #: Texts of a chunk at most (two bytes number them and hold a bit), and bytes of text.
 CHUNK_TEXTS, CHUNK_BYTES = 1 << 15, 6 << 20
+#: Training tokens of a bucket, about.
+BUCKET_TOKENS = 1 << 20
 _T = [f"t{r}" for r in range(1, TOP + 1)]
 
 
@@ -242,12 +244,12 @@ def score_texts(df: DataFrame, train: Column, key: str = "doc_id", text: str = "
     often as they stand; without training rows all is unknown; an empty table gives no rows. Only key, text and what ``train`` names are read.
     """
     spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = df.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
     words = written(docs.select("text", "train").mapInArrow(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "unigrams")
     learned = docs.filter("train").count()
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     total, distinct = total + learned, distinct + (learned > 0)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // BUCKET_TOKENS)
     sizes = {r["n"]: r["count"] for r in words.filter(F.col("n") <= TOP + 1).groupBy("n").count().collect()}
     if 0 < learned <= TOP + 1:
         sizes[learned] = sizes.get(learned, 0) + 1

@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once; a longer single text is handled alone.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _STEP = np.uint64(0xD1342543DE82EF95)
