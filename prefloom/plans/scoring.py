@@ -413,12 +413,12 @@ SELECT round(penalty + loss, 4) + 0.0 AS primal, round(gain - penalty, 4) + 0.0
   round(accuracy, 3) + 0.0 AS preference_accuracy, pairs FROM o"""
 
 
-@registered(_dual_sql(_WHOLE_SQL, 64, HINGE_REG, MARGIN, 0.1, 300))
+@registered(_dual_sql(_WHOLE_SQL, 64, HINGE_REG, MARGIN, 0.1, 1500))
 def fitted_hinge_dual(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All 64 components; primal and dual value, worked out again from the returned weights, certify the fit."""
     pairs = I.vector_pairs(spark, sf_dir).select(F.zip_with("chosen", "rejected", lambda a, b: a - b).alias("d"))
     rows = written(pairs, "differences")
-    fit = hinge_fit.fit_hinge_dual(rows, "d", MARGIN, HINGE_REG, tol=1e-6)
+    fit = hinge_fit.fit_hinge_dual(rows, "d", MARGIN, HINGE_REG, tol=1e-8)
     scored = rows.select(dot(F.col("d"), F.array(*map(F.lit, fit.weights))).alias("m"))
     penalty = HINGE_REG / 2 * sum(w * w for w in fit.weights)
     primal = F.avg(F.greatest(F.lit(0.0), MARGIN - F.col("m"))) + penalty
