@@ -56,23 +56,27 @@ def depth_for(n: int, each: int, most: int = 10) -> int:
 
 
 def usable_vectors(df: DataFrame, key: str, vector: str) -> DataFrame:
-    """``(id, v)`` with packed doubles or floats: vectors of the commonest size whose components are finite and not all zero."""
+    """``(id, d, v)``: the vectors whose components are finite and not all zero, packed as doubles or floats, with their size ``d``."""
     x = F.col(vector)
     good = df.select(F.col(key).alias("id"), x.alias("x")).filter(
         F.col("x").isNotNull() & F.forall("x", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf"))) & F.exists("x", lambda c: c != 0))
-    sizes = good.groupBy(F.size("x").alias("d")).count().orderBy(F.desc("count"), "d").limit(1)
-    wide = df.schema[vector].dataType.elementType.typeName() == "double"
+    kind = np.dtype(np.float64 if df.schema[vector].dataType.elementType.typeName() == "double" else np.float32)
 
     def run(batches):
         for batch in batches:
-            lists = batch.column(1)
-            flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64 if wide else np.float32)
-            rows = flat.reshape(batch.num_rows, -1) if batch.num_rows else flat.reshape(0, 1)
-            yield pa.record_batch([batch.column(0), pa.array([r.tobytes() for r in rows], pa.binary())], names=["id", "v"])
-
-    # one row: the size that is in use
-    fitting = good.join(F.broadcast(sizes), F.size("x") == F.col("d")).select("id", "x")
-    return written(fitting.mapInArrow(run, f"id {df.schema[key].dataType.simpleString()}, v binary"), "vectors")
+            raw = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(kind).tobytes()
+            size = batch.column(2).to_numpy()
+            ends = np.cumsum(size, dtype=np.int64) * kind.itemsize
+            packed = [raw[b - d * kind.itemsize:b] for b, d in zip(ends.tolist(), size.tolist())]
+            yield pa.record_batch([batch.column(0), batch.column(2), pa.array(packed, pa.binary())], names=["id", "d", "v"])
+
+    sized = good.select("id", "x", F.size("x").alias("d"))
+    return written(sized.mapInArrow(run, f"id {df.schema[key].dataType.simpleString()}, d int, v binary"), "vectors")
+
+
+def sizes_of(vectors: DataFrame) -> list[int]:
+    """The sizes in use, in order; a table holds few."""
+    return sorted(r.d for r in vectors.select("d").distinct().collect())
 
 
 def unpacked(column, wide: bool) -> np.ndarray:

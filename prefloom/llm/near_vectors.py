@@ -13,7 +13,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from prefloom.llm.cells import Cells, depth_for, sample_of, unpacked, usable_vectors
+from prefloom.llm.cells import Cells, depth_for, sample_of, sizes_of, unpacked, usable_vectors
 from prefloom.llm.components import components
 from prefloom.sources.scratch import written
 
@@ -95,16 +95,30 @@ def near_vectors(df: DataFrame, cosine: float = 0.9, width: int = 16, seed: int
     """``(key, n_links long, component_id, kept boolean)`` for every row: other rows with at least this cosine, the smallest key reachable by
     links, and whether the row is it.
 
-    Vectors that are null, zero, hold null or non-finite components, or are not of the commonest size, link with nothing. Equal vectors are one point with
-    their number as its weight; rows with one key are rows of their own; a null key stays null; an empty table gives no rows. Pairs are counted where
-    they are found and leave a unit of work only as counts and connecting edges. A cell with more points than a unit is split on both sides.
+    Vectors that are null, zero, or hold null or non-finite components link with nothing; vectors of different sizes do not link, and those of each size
+    are joined in turn. Equal vectors are one point with their number as its weight; rows with one key are rows of their own; a null key stays null; an
+    empty table gives no rows. Pairs are counted where they are found and leave a unit of work only as counts and connecting edges. A cell with more
+    points than a unit is split on both sides.
     """
-    spark = df.sparkSession
     wide = df.schema[vector].dataType.elementType.typeName() == "double"
-    rows = usable_vectors(df, key, vector).withColumn("node", F.xxhash64("v"))
+    rows = usable_vectors(df, key, vector)
+    used = df.select(F.col(key).alias("id"), F.lit(0).cast("long").alias("n_links"), F.col(key).alias("component_id")).limit(0)
+    for d in sizes_of(rows):
+        used = used.unionByName(_of_one_size(rows.filter(F.col("d") == d).drop("d"), cosine, width, seed, wide))
+    # rows without a usable vector, by their number for each key
+    rest = df.groupBy(F.col(key).alias("id")).count().join(rows.groupBy(F.col("id").alias("i")).agg(F.count("*").alias("u")), F.col("id").eqNullSafe(F.col("i")), "left")
+    rest = rest.withColumn("more", F.col("count") - F.coalesce("u", F.lit(0))).filter("more > 0").select(
+        "id", F.explode(F.sequence(F.lit(1).cast("long"), "more")).alias("_")).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
+    return used.unionByName(rest).select(F.col("id").alias(key), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def _of_one_size(vectors: DataFrame, cosine: float, width: int, seed: int, wide: bool) -> DataFrame:
+    """``(id, n_links, component_id)`` for every row of ``(id, v)``, all of one size."""
+    spark = vectors.sparkSession
+    rows = vectors.withColumn("node", F.xxhash64("v"))
     points = written(rows.groupBy("node").agg(F.first("v").alias("v"), F.count("*").alias("weight")), "points")
     n = points.count()
-    sample = _unit(sample_of(points, wide)) if n else np.zeros((0, 1))
+    sample = _unit(sample_of(points, wide))
     dims = sample.shape[1]
     turn = np.linalg.qr(np.random.default_rng(seed).standard_normal((dims, dims)))[0]
     cuts = [slice(k, k + width) for k in range(0, dims, width)]
@@ -142,9 +156,4 @@ def near_vectors(df: DataFrame, cosine: float = 0.9, width: int = 16, seed: int
     known = rows.select("id", "node").join(points.select("node", "weight"), "node").join(counts, "node", "left").join(labels, "node", "left")
     known = known.withColumn("root", F.coalesce("component", "node"))
     least = known.groupBy("root").agg(F.min("id").alias("least"))
-    used = known.join(least, "root").select("id", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("least", "id").alias("component_id"))
-    # rows without a usable vector, by their number for each key
-    rest = df.groupBy(F.col(key).alias("id")).count().join(rows.groupBy(F.col("id").alias("i")).agg(F.count("*").alias("u")), F.col("id").eqNullSafe(F.col("i")), "left")
-    rest = rest.withColumn("more", F.col("count") - F.coalesce("u", F.lit(0))).filter("more > 0").select(
-        "id", F.explode(F.sequence(F.lit(1).cast("long"), "more")).alias("_")).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
-    return used.unionByName(rest).select(F.col("id").alias(key), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+    return known.join(least, "root").select("id", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("least", "id").alias("component_id"))

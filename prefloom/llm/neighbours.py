@@ -17,7 +17,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from prefloom.llm.cells import Cells, depth_for, sample_of, unpacked, usable_vectors
+from prefloom.llm.cells import Cells, depth_for, sample_of, sizes_of, unpacked, usable_vectors
 from prefloom.sources.scratch import written
 
 DIMS, CONFIDENCE = 8, 0.99
@@ -101,15 +101,24 @@ def nearest_neighbours(df: DataFrame, is_query: Column, k: int = 10, dims: int =
     """``(query_id, rank int, vec_id, score double)``: for each row with ``is_query`` its k nearest other rows by Euclidean distance, nearest
     first, ties by key; all of them if there are fewer.
 
-    Vectors that are null, zero, hold null or non-finite components, or are not of the commonest size, take no part. Rows with one key are one
-    query each but no neighbours of each other; rows with a null key take no part; equal vectors are ranked by key; an empty table gives no rows. Cuts are
-    fitted on a bounded sample, every row is indexed; a cell with more rows than a piece is split by a hash.
+    Vectors that are null, zero, or hold null or non-finite components take no part; a query's candidates are the vectors of its size, and each size is
+    searched in turn. Repeated rows ask once; other vectors under one key ask too and are ranked together; rows with one key are no neighbours of each other;
+    rows with a null key take no part; equal vectors are ranked by key; an empty table gives no rows. Cuts are fitted on a bounded sample, every row is indexed; a cell with more rows than a piece is split by a hash.
     """
     wide = df.schema[vector].dataType.elementType.typeName() == "double"
-    spark = df.sparkSession
     ids = df.filter(F.col(key).isNotNull())
     vectors = usable_vectors(ids, key, vector)
     asked = ids.filter(is_query).select(F.col(key).alias("id")).distinct()
+    found = df.select(F.col(key).alias("query_id"), F.col(key).alias("vec_id"), F.lit(0.0).alias("score")).limit(0)
+    for d in sizes_of(vectors):
+        found = found.unionByName(_in_one_size(vectors.filter(F.col("d") == d).drop("d"), asked, k, dims, confidence, seed, wide))
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
+    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _in_one_size(vectors: DataFrame, asked: DataFrame, k: int, dims: int, confidence: float, seed: int, wide: bool) -> DataFrame:
+    """``(query_id, vec_id, score)``, the nearest ones of each query among them, for vectors ``(id, v)`` all of one size."""
+    spark = vectors.sparkSession
     n = vectors.count()
     sample = sample_of(vectors, wide)
     weights = np.random.default_rng(seed).standard_normal((sample.shape[1], dims))
@@ -130,7 +139,7 @@ def nearest_neighbours(df: DataFrame, is_query: Column, k: int = 10, dims: int =
     pieces = dealt.groupBy("cell").agg(F.ceil(F.count("*") / PIECE).cast("int").alias("pieces"))
     # one row per cell, at most 1024
     rows = dealt.join(F.broadcast(pieces), "cell").withColumn("piece", F.pmod(F.xxhash64("id", "v"), F.col("pieces")).cast("int"))
-    queries = dealt.join(asked, "id").select(*[F.col(c).alias(c) for c in ("id", "v", "p", "cell")])
+    queries = dealt.join(asked, "id").select(*[F.col(c).alias(c) for c in ("id", "v", "p", "cell")]).dropDuplicates(["id", "v"])
     search = _search(k, limit, slack, wide)
     shape = "query_id long, vec_id long, score double"
     first = queries.select("id", "v", "p", "cell", F.lit(0).alias("piece"), F.lit(float("inf")).alias("bound"))
@@ -152,6 +161,4 @@ def nearest_neighbours(df: DataFrame, is_query: Column, k: int = 10, dims: int =
     sent_out = bounded.mapInArrow(deal, "id long, v binary, p binary, bound double, home long, cell long").join(F.broadcast(pieces), "cell")
     sent_out = sent_out.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).drop("pieces")
     sent_out = sent_out.filter("cell != home or piece != 0").drop("home")
-    found = found.unionByName(sent_out.groupBy("cell", "piece").cogroup(rows.groupBy("cell", "piece")).applyInPandas(search, shape))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
-    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.unionByName(sent_out.groupBy("cell", "piece").cogroup(rows.groupBy("cell", "piece")).applyInPandas(search, shape))

@@ -57,6 +57,37 @@ def test_neighbours(spark, monkeypatch):
     assert N.nearest_neighbours(df.limit(0), F.lit(True)).collect() == []
 
 
+def mixed_sizes(spark):
+    """Two sizes, repeated keys, a null key, and columns with the names that the operators use themselves."""
+    rnd = np.random.default_rng(8)
+    rows = [(i, rnd.standard_normal(4).tolist()) for i in range(6)] + [(10 + i, [1.0, 2.0 + i / 100]) for i in range(3)]
+    rows += [(20, [-2.0, 1.0]), (20, [-2.0, 1.0]), (None, [1.0, 2.0]), (30, None), (31, [1.0])]
+    return spark.createDataFrame([(i, v, 1, 2, "x", b"y", 0) for i, v in rows], "vec_id long, embedding array<double>, node long, weight long, id string, v binary, d int"), rows
+
+
+def test_sizes_are_joined_apart(spark):
+    df, rows = mixed_sizes(spark)
+    got = sorted(map(tuple, V.near_vectors(df).collect()), key=str)
+    links = [(a, b) for a in range(len(rows)) for b in range(len(rows)) if a != b and rows[a][1] and rows[b][1] and len(rows[a][1]) == len(rows[b][1])
+             and np.dot(rows[a][1], rows[b][1]) >= 0.9 * np.linalg.norm(rows[a][1]) * np.linalg.norm(rows[b][1])]
+    part = components(range(len(rows)), links)
+    least = {p: min((rows[k][0] for k in part if part[k] == p and rows[k][0] is not None), default=None) for p in part.values()}
+    want = [(i, sum(a == k for a, _ in links), least[part[k]], i == least[part[k]]) for k, (i, _) in enumerate(rows)]
+    assert got == sorted(want, key=str) and sum(a == 6 for a, _ in links) == 3
+
+
+def test_neighbours_of_each_size(spark):
+    df, rows = mixed_sizes(spark)
+    got = {}
+    for r in N.nearest_neighbours(df, F.lit(True), k=3).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    for i, v in set((i, tuple(v)) for i, v in rows if i is not None and v):
+        if len(v) > 1:
+            near = sorted({(float(np.linalg.norm(np.subtract(v, w))), j) for j, w in rows if j not in (None, i) and w and len(w) == len(v)})
+            assert got.pop(i) == [j for _, j in near[:3]]
+    assert got == {}
+
+
 def test_many_equal_vectors(spark, monkeypatch):
     monkeypatch.setattr(N, "PIECE", 16)
     rnd = np.random.default_rng(9)
