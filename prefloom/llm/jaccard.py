@@ -24,10 +24,10 @@ from prefloom.llm.keys import only_keys
 from prefloom.llm.words import window_hashes, word_slices
 from prefloom.sources.scratch import written
 
-#: Groups of the count vector, points in a leaf of a tree, points of one hot n-gram compared in one unit of work.
+#: Groups of the count vector, points in a leaf of a tree, points on each side of one unit of work.
 GROUPS, LEAF, UNIT = 512, 32, 1024
-#: Pairs in one unit of the verification on average, and points on each side of a dense one.
-TOGETHER, SIDE = 1000, 64
+#: Pairs in one unit of the verification of leader pairs on average.
+TOGETHER = 1000
 #: N-grams kept as very frequent ones; the list only sets the order of prefixes, results do not depend on it.
 FREQUENT = 1 << 17
 
@@ -175,33 +175,56 @@ def _below(boxes: np.ndarray, others: np.ndarray, n: int) -> tuple[np.ndarray, n
     return inner[inner < n], np.repeat(others, LEAF)[inner < n]
 
 
-def _candidates(percent: int):
-    """Pairs of one n-gram's points in different components, by a join of the trees of the two halves of a unit of work."""
+def _linked_points(percent: int):
+    """Edges that connect the similar points of each unit of work: the trees of its two runs are joined, and the pairs that can still reach the
+    threshold are verified on the sets, the most promising first. A pair already connected in the unit is not verified."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        for (gram, u, v), own in frame.groupby(["gram", "u", "v"], sort=False):
-            points, more = unpacked(own["counts"])
-            node, part, of = own["node"].to_numpy(), own["component"].to_numpy(), own["side"].to_numpy()
-            sizes = own["n"].to_numpy()
-            one, two = np.flatnonzero(of <= 1), np.flatnonzero(of >= 1)  # side 1: both
+        edges = []
+        for (_, u, v), own in frame.groupby(["low", "u", "v"], sort=False):
+            sets = [np.frombuffer(m, np.uint64) for m in own["members"]]
+            sizes = np.array([len(s) for s in sets], np.int64)
+            counts = np.stack([np.bincount((s % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS) for s in sets])
+            points, more = np.minimum(counts, 255).astype(np.uint8), np.maximum(counts - 255, 0).sum(1)
+            node, of = own["node"].to_numpy(), own["run"].to_numpy()
+            part = np.unique(own["component"].to_numpy(), return_inverse=True)[1]
+            one, two = np.flatnonzero(of == u), np.flatnonzero(of == v)
             if not len(one) or not len(two):
                 continue
             x, y = tree_pairs(_Tree(points[one], more[one], sizes[one]), _Tree(points[two], more[two], sizes[two]), percent)
             x, y = one[x], two[y]
-            keep = (part[x] != part[y]) & ((of[x] != 1) | (of[y] != 1) | (node[x] < node[y]))
+            keep = (part[x] != part[y]) & ((u != v) | (x < y))
             x, y = x[keep], y[keep]
-            swap = node[x] > node[y]
-            x, y = np.where(swap, y, x), np.where(swap, x, y)
-            found.append(pd.DataFrame({"a": node[x], "b": node[y], "gram": gram, "u": u * UNIT + x // SIDE, "v": v * UNIT + y // SIDE}))
-        if not found:
-            return pd.DataFrame({c: pd.Series(dtype="int64") for c in ("a", "b", "gram", "u", "v")})
-        # the smallest n-gram keeps the pairs of a family together
-        return pd.concat(found).sort_values(["a", "b", "gram", "u", "v"]).drop_duplicates(["a", "b"])
+            bound = np.zeros(len(x))
+            for k in range(0, len(x), 10_000):
+                i, j = x[k:k + 10_000], y[k:k + 10_000]
+                bound[k:k + 10_000] = _most_shared(points[i], points[j], more[i], more[j]) / (sizes[i] + sizes[j])
+            order = np.argsort(-bound, kind="stable")
+            root = list(range(len(own)))
+            for i, j in zip(x[order].tolist(), y[order].tolist()):
+                p, q = _root(root, int(part[i])), _root(root, int(part[j]))
+                if p != q and _alike(sets[i], sets[j], percent):
+                    root[max(p, q)] = min(p, q)
+                    edges.append((node[i], node[j]))
+        return pd.DataFrame(edges, columns=["a", "b"], dtype="int64")
 
     return run
 
 
+def _root(root: list[int], k: int) -> int:
+    while root[k] != k:
+        root[k] = root[root[k]]
+        k = root[k]
+    return k
+
+
+def _alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    if len(x) > len(y):
+        x, y = y, x
+    shared = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+    return 100 * shared >= percent * (len(x) + len(y) - shared)
+
+
 def _similar(percent: int):
     """The similar ones among the pairs of a unit, whose sets come once each."""
 
@@ -210,12 +233,7 @@ def _similar(percent: int):
         good = np.zeros(len(pairs), bool)
         for k, (a, b) in enumerate(zip(pairs["a"].to_numpy().tolist(), pairs["b"].to_numpy().tolist())):
             x, y = members.get(a), members.get(b)
-            if x is None or y is None:
-                continue
-            if len(x) > len(y):
-                x, y = y, x
-            shared = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
-            good[k] = 100 * shared >= percent * (len(x) + len(y) - shared)
+            good[k] = x is not None and y is not None and _alike(x, y, percent)
         return pairs.loc[good, ["a", "b"]]
 
     return run
@@ -238,14 +256,19 @@ def _bounded(percent: int):
     return run
 
 
+def _sets_of(nodes: DataFrame, docs: DataFrame, chosen: DataFrame, size: int) -> DataFrame:
+    """The sets of some points, made again from one text of each."""
+    keys = written(chosen.join(nodes, "node").select("key", "node"), "set-keys")
+    texts = only_keys(docs.select("key", "text"), keys).join(keys, "key").select("node", "text")
+    return written(texts.mapInArrow(_set_bytes(size), "node long, members binary"), "sets")
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, chosen: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs whose sets are similar; sets are made again for the texts of these pairs only."""
     nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    keys = written(chosen.join(nodes, "node").select("key", "node"), "pair-keys")
-    texts = only_keys(docs.select("key", "text"), keys).join(keys, "key").select("node", "text")
-    sets = written(texts.mapInArrow(_set_bytes(size), "node long, members binary"), "sets")
+    sets = _sets_of(nodes, docs, chosen, size)
     parts = pairs.count() // TOGETHER + 1
-    dealt = pairs.select("a", "b", F.pmod(F.xxhash64("gram", "u", "v"), F.lit(parts)).alias("unit"))
+    dealt = pairs.select("a", "b", F.pmod(F.xxhash64("a", "b"), F.lit(parts)).alias("unit"))
     needed = dealt.select("unit", F.explode(F.array("a", "b")).alias("node")).distinct()
     held = needed.join(sets, "node").select(F.col("unit").alias("at"), "node", "members")
     return dealt.groupBy("unit").cogroup(held.groupBy("at")).applyInPandas(_similar(percent), "a long, b long")
@@ -262,7 +285,7 @@ def _leader_pairs(rows: DataFrame, chosen: DataFrame, picks: int, percent: int)
     right = chosen.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("counts").alias("y"))
     sized = pairs.join(left, "a").join(right, "b").filter(100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
     near = sized.select("a", "b", "n", "m", "x", "y").mapInArrow(_bounded(percent), "a long, b long")
-    return near.select("a", "b", F.xxhash64("a", "b").alias("gram"), F.lit(0).cast("long").alias("u"), F.lit(0).cast("long").alias("v"))
+    return near
 
 
 def jaccard_join(df: DataFrame, size: int = 5, percent: int = 75, picks: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -294,30 +317,27 @@ def jaccard_join(df: DataFrame, size: int = 5, percent: int = 75, picks: int = 4
     pairs = written(_leader_pairs(rows, chosen, picks, percent), "pairs")
     links = written(_verified(pairs, docs, chosen, size, percent), "links")
     near = rows.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    more = written(_tree_join(near, chosen, percent).join(pairs, ["a", "b"], "left_anti"), "pairs")
-    links = links.unionByName(written(_verified(more, docs, chosen, size, percent), "links"))
+    links = links.unionByName(written(_tree_join(near, docs, chosen, size, percent), "links"))
     labelled = points.select("key", "n", "node").join(components(links), "node", "left").withColumn("root", F.coalesce("component", "node"))
     smallest = labelled.filter("root is not null").groupBy("root").agg(F.min("key").alias("component_id"))
     return labelled.join(smallest, "root", "left").select(F.col("key").cast(df.schema[key].dataType).alias(key), F.col("n").alias("n_shingles"),
                                                           F.coalesce("component_id", "key").cast(df.schema[key].dataType).alias("component_id"))
 
 
-def _tree_join(rows: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
-    """Candidates among the points of every n-gram that still lie in several components, in units of two runs of ``UNIT`` points at most.
+def _tree_join(rows: DataFrame, docs: DataFrame, chosen: DataFrame, size: int, percent: int) -> DataFrame:
+    """Edges among the points of n-grams that still lie in several components.
 
-    Of n-grams with the same points, such as those of one shared passage, one is enough.
+    N-grams with the same smallest component are one bundle, so that a point and its set come once and not with each n-gram it shares with a family.
+    A bundle is dealt out in units of two runs of about ``UNIT`` points; a unit returns edges between components only, fewer than its points.
     """
-    grams = rows.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members"),
-                                     F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("same"), F.min("node").alias("first"), F.max("node").alias("last"))
-    grams = grams.filter("low <> high").groupBy("members", "same", "first", "last").agg(F.min("gram").alias("gram"))
-    live = rows.join(grams.select("gram", F.ceil(F.col("members") / UNIT).cast("int").alias("runs")), "gram")
-    live = live.withColumn("run", F.pmod(F.xxhash64("node"), F.col("runs")).cast("int"))
-    # a point of run r meets run s in unit (min, max); within its own run it stands on both sides
-    unit = live.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("runs") - 1))).select(
-        "gram", "node", "component", F.least("run", "other").alias("u"), F.greatest("run", "other").alias("v"),
-        F.when(F.col("run") == F.col("other"), 1).when(F.col("run") < F.col("other"), 0).otherwise(2).alias("side"))
-    full = unit.join(chosen.select("node", "n", "counts"), "node")
-    parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1) * 8
-    grouped = full.withColumn("unit", F.pmod(F.xxhash64("gram", "u", "v"), F.lit(parts)))
-    found = grouped.groupBy("unit").applyInPandas(_candidates(percent), "a long, b long, gram long, u long, v long")
-    return found.groupBy("a", "b").agg(F.min(F.struct("gram", "u", "v")).alias("at")).select("a", "b", "at.gram", "at.u", "at.v")
+    grams = rows.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
+    live = written(rows.join(grams.select("gram", "low"), "gram").select("low", "node", "component").distinct(), "bundles")
+    runs = live.groupBy("low").agg(F.ceil(F.count("*") / UNIT).cast("int").alias("runs"))
+    dealt = live.join(runs, "low").withColumn("run", F.pmod(F.xxhash64("node"), F.col("runs")).cast("int"))
+    # a point of run r meets run s in unit (min, max)
+    unit = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("runs") - 1))).select(
+        "low", "node", "component", "run", F.least("run", "other").alias("u"), F.greatest("run", "other").alias("v"))
+    parts = unit.count() // (2 * UNIT) + 1
+    sets = _sets_of(live.select("node").distinct(), docs, chosen, size)
+    full = unit.withColumn("unit", F.pmod(F.xxhash64("low", "u", "v"), F.lit(parts))).join(sets, "node")
+    return full.groupBy("unit").applyInPandas(_linked_points(percent), "a long, b long")
