@@ -175,26 +175,45 @@ def _below(boxes: np.ndarray, others: np.ndarray, n: int) -> tuple[np.ndarray, n
     return inner[inner < n], np.repeat(others, LEAF)[inner < n]
 
 
+def _apart(own: pd.DataFrame, points: np.ndarray, more: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a unit's points in different components that can still be similar, by a join of the trees of its two runs."""
+    of, part = own["run"].to_numpy(), own["component"].to_numpy()
+    u, v = own["u"].iat[0], own["v"].iat[0]
+    one, two = np.flatnonzero(of == u), np.flatnonzero(of == v)
+    if not len(one) or not len(two):
+        return one[:0], two[:0]
+    x, y = tree_pairs(_Tree(points[one], more[one], sizes[one]), _Tree(points[two], more[two], sizes[two]), percent)
+    x, y = one[x], two[y]
+    keep = (part[x] != part[y]) & ((u != v) | (x < y))
+    return x[keep], y[keep]
+
+
+def _promising(percent: int):
+    """The points of each unit of work that can be similar to one of another component there."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        kept = []
+        for _, own in frame.groupby(["low", "u", "v"], sort=False):
+            points, more = unpacked(own["counts"])
+            kept.append(own.iloc[np.union1d(*_apart(own, points, more, own["n"].to_numpy(), percent))])
+        return pd.concat(kept)[["low", "u", "v", "run", "node", "component"]]
+
+    return run
+
+
 def _linked_points(percent: int):
-    """Edges that connect the similar points of each unit of work: the trees of its two runs are joined, and the pairs that can still reach the
-    threshold are verified on the sets, the most promising first. A pair already connected in the unit is not verified."""
+    """Edges that connect the similar points of each unit of work, verified on the sets, the most promising pairs first. A pair already
+    connected in the unit is not verified."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         edges = []
-        for (_, u, v), own in frame.groupby(["low", "u", "v"], sort=False):
+        for _, own in frame.groupby(["low", "u", "v"], sort=False):
             sets = [np.frombuffer(m, np.uint64) for m in own["members"]]
             sizes = np.array([len(s) for s in sets], np.int64)
             counts = np.stack([np.bincount((s % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS) for s in sets])
             points, more = np.minimum(counts, 255).astype(np.uint8), np.maximum(counts - 255, 0).sum(1)
-            node, of = own["node"].to_numpy(), own["run"].to_numpy()
-            part = np.unique(own["component"].to_numpy(), return_inverse=True)[1]
-            one, two = np.flatnonzero(of == u), np.flatnonzero(of == v)
-            if not len(one) or not len(two):
-                continue
-            x, y = tree_pairs(_Tree(points[one], more[one], sizes[one]), _Tree(points[two], more[two], sizes[two]), percent)
-            x, y = one[x], two[y]
-            keep = (part[x] != part[y]) & ((u != v) | (x < y))
-            x, y = x[keep], y[keep]
+            node, part = own["node"].to_numpy(), np.unique(own["component"].to_numpy(), return_inverse=True)[1]
+            x, y = _apart(own, points, more, sizes, percent)
             bound = np.zeros(len(x))
             for k in range(0, len(x), 10_000):
                 i, j = x[k:k + 10_000], y[k:k + 10_000]
@@ -328,7 +347,8 @@ def _tree_join(rows: DataFrame, docs: DataFrame, chosen: DataFrame, size: int, p
     """Edges among the points of n-grams that still lie in several components.
 
     N-grams with the same smallest component are one bundle, so that a point and its set come once and not with each n-gram it shares with a family.
-    A bundle is dealt out in units of two runs of about ``UNIT`` points; a unit returns edges between components only, fewer than its points.
+    A bundle is dealt out in units of two runs of about ``UNIT`` points. A first pass over the counts keeps the points with a possible partner, a second
+    one over the sets of these returns edges between components only, fewer than its points.
     """
     grams = rows.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
     live = written(rows.join(grams.select("gram", "low"), "gram").select("low", "node", "component").distinct(), "bundles")
@@ -336,8 +356,12 @@ def _tree_join(rows: DataFrame, docs: DataFrame, chosen: DataFrame, size: int, p
     dealt = live.join(runs, "low").withColumn("run", F.pmod(F.xxhash64("node"), F.col("runs")).cast("int"))
     # a point of run r meets run s in unit (min, max)
     unit = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("runs") - 1))).select(
-        "low", "node", "component", "run", F.least("run", "other").alias("u"), F.greatest("run", "other").alias("v"))
-    parts = unit.count() // (2 * UNIT) + 1
-    sets = _sets_of(live.select("node").distinct(), docs, chosen, size)
-    full = unit.withColumn("unit", F.pmod(F.xxhash64("low", "u", "v"), F.lit(parts))).join(sets, "node")
+        "low", F.least("run", "other").alias("u"), F.greatest("run", "other").alias("v"), "run", "node", "component")
+    place = F.xxhash64("low", "u", "v")
+    parts = unit.count() // (4 * UNIT) + 1
+    counted = unit.withColumn("unit", F.pmod(place, F.lit(parts))).join(chosen.select("node", "n", "counts"), "node")
+    left = written(counted.groupBy("unit").applyInPandas(_promising(percent), unit.schema), "promising")
+    parts = left.count() // UNIT + 1
+    sets = _sets_of(left.select("node").distinct(), docs, chosen, size)
+    full = left.withColumn("unit", F.pmod(place, F.lit(parts))).join(sets, "node")
     return full.groupBy("unit").applyInPandas(_linked_points(percent), "a long, b long")
