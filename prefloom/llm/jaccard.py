@@ -19,6 +19,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from prefloom.llm.batches import small_batches
 from prefloom.llm.components import components
 from prefloom.llm.keys import only_keys
 from prefloom.llm.words import window_hashes, word_slices
@@ -318,6 +319,11 @@ def jaccard_join(df: DataFrame, size: int = 5, percent: int = 75, picks: int = 4
     First one point for each of some n-grams is compared with the others that share it; then trees join what is still apart. Only n-grams
     whose points lie in several components go on to the trees, so no pairs are listed within a group of near copies that is connected.
     """
+    with small_batches(df.sparkSession):
+        return _joined(df, size, percent, picks, key, text)
+
+
+def _joined(df: DataFrame, size: int, percent: int, picks: int, key: str, text: str) -> DataFrame:
     spark = df.sparkSession
     docs = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     counted = docs.select("text").mapInArrow(_frequent(size), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
