@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
+from prefloom.llm.batches import small_batches
 from prefloom.llm.keys import only_keys
 from prefloom.llm.words import mix, word_slices
 from prefloom.sources.scratch import written
@@ -241,6 +242,11 @@ def score_texts(df: DataFrame, train: Column, key: str = "doc_id", text: str = "
     Keys are whole numbers. Null and empty texts have the end mark only; rows with a null ``train`` are not learned from; repeated rows count as
     often as they stand; without training rows all is unknown; an empty table gives no rows. Only key, text and what ``train`` names are read.
     """
+    with small_batches(df.sparkSession):
+        return _scored(df, train, key, text)
+
+
+def _scored(df: DataFrame, train: Column, key: str, text: str) -> DataFrame:
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = df.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
