@@ -27,8 +27,8 @@ from prefloom.sources.scratch import written
 
 #: Groups of the count vector, points in a leaf of a tree, points on each side of one unit of work.
 GROUPS, LEAF, UNIT = 512, 32, 1024
-#: Pairs in one unit of the verification of leader pairs on average.
-TOGETHER = 1000
+#: Pairs in one unit of the verification of leader pairs on average, and bytes of the sets that are verified together.
+TOGETHER, SET_BYTES = 1000, 4 << 20
 #: N-grams kept as very frequent ones; the list only sets the order of prefixes, results do not depend on it.
 FREQUENT = 1 << 17
 
@@ -197,7 +197,7 @@ def _promising(percent: int):
         for _, own in frame.groupby(["low", "u", "v"], sort=False):
             points, more = unpacked(own["counts"])
             kept.append(own.iloc[np.union1d(*_apart(own, points, more, own["n"].to_numpy(), percent))])
-        return pd.concat(kept)[["low", "u", "v", "run", "node", "component"]]
+        return pd.concat(kept)[["low", "u", "v", "run", "node", "component", "n"]]
 
     return run
 
@@ -366,8 +366,9 @@ def _tree_join(rows: DataFrame, docs: DataFrame, chosen: DataFrame, size: int, p
     place = F.xxhash64("low", "u", "v")
     parts = unit.count() // (4 * UNIT) + 1
     counted = unit.withColumn("unit", F.pmod(place, F.lit(parts))).join(chosen.select("node", "n", "counts"), "node")
-    left = written(counted.groupBy("unit").applyInPandas(_promising(percent), unit.schema), "promising")
-    parts = left.count() // UNIT + 1
+    shape = "low long, u int, v int, run int, node long, component long, n long"
+    left = written(counted.groupBy("unit").applyInPandas(_promising(percent), shape), "promising")
+    parts = 8 * (left.agg(F.sum("n")).first()[0] or 0) // SET_BYTES + 1
     sets = _sets_of(left.select("node").distinct(), docs, chosen, size)
     full = left.withColumn("unit", F.pmod(place, F.lit(parts))).join(sets, "node")
     return full.groupBy("unit").applyInPandas(_linked_points(percent), "a long, b long")
