@@ -25,8 +25,8 @@ from prefloom.llm.keys import only_keys
 from prefloom.llm.words import window_hashes, word_slices
 from prefloom.sources.scratch import written
 
-#: Groups of the count vector, points in a leaf of a tree, points on each side of one unit of work.
-GROUPS, LEAF, UNIT = 512, 32, 1024
+#: Groups of the count vector, points in a leaf of a tree, points on each side of one unit of work, and those of them joined at once.
+GROUPS, LEAF, UNIT, RUN = 512, 32, 1024, 128
 #: Pairs in one unit of the verification of leader pairs on average, and bytes of the sets that are verified together.
 TOGETHER, SET_BYTES = 1000, 4 << 20
 #: N-grams kept as very frequent ones; the list only sets the order of prefixes, results do not depend on it.
@@ -156,11 +156,11 @@ def tree_pairs(left: _Tree, right: _Tree, percent: int) -> tuple[np.ndarray, np.
     high, low = len(left.upper) - 1, len(right.upper) - 1
     while len(a):
         keep = np.zeros(len(a), bool)
-        for k in range(0, len(a), 10_000):
-            x, y = a[k:k + 10_000], b[k:k + 10_000]
+        for k in range(0, len(a), 2000):
+            x, y = a[k:k + 2000], b[k:k + 2000]
             bound = _most_shared(left.upper[high][x], right.upper[low][y], left.more[high][x], right.more[low][y])
             bound = np.minimum(bound, np.minimum(left.most[high][x], right.most[low][y]))
-            keep[k:k + 10_000] = bound >= _needed(left.least[high][x], right.least[low][y], percent)
+            keep[k:k + 2000] = bound >= _needed(left.least[high][x], right.least[low][y], percent)
         a, b = a[keep], b[keep]
         if not high and not low:
             break
@@ -183,10 +183,14 @@ def _apart(own: pd.DataFrame, points: np.ndarray, more: np.ndarray, sizes: np.nd
     one, two = np.flatnonzero(of == u), np.flatnonzero(of == v)
     if not len(one) or not len(two):
         return one[:0], two[:0]
-    x, y = tree_pairs(_Tree(points[one], more[one], sizes[one]), _Tree(points[two], more[two], sizes[two]), percent)
-    x, y = one[x], two[y]
-    keep = (part[x] != part[y]) & ((u != v) | (x < y))
-    return x[keep], y[keep]
+    right, found = _Tree(points[two], more[two], sizes[two]), []
+    # in runs of like points, so that few pairs are held at a time
+    for own_run in np.array_split(one[np.argsort(sizes[one], kind="stable")], -(-len(one) // RUN)):
+        x, y = tree_pairs(_Tree(points[own_run], more[own_run], sizes[own_run]), right, percent)
+        x, y = own_run[x], two[y]
+        keep = (part[x] != part[y]) & ((u != v) | (x < y))
+        found.append((x[keep], y[keep]))
+    return tuple(np.concatenate(c) for c in zip(*found))
 
 
 def _promising(percent: int):
@@ -216,9 +220,9 @@ def _linked_points(percent: int):
             node, part = own["node"].to_numpy(), np.unique(own["component"].to_numpy(), return_inverse=True)[1]
             x, y = _apart(own, points, more, sizes, percent)
             bound = np.zeros(len(x))
-            for k in range(0, len(x), 10_000):
-                i, j = x[k:k + 10_000], y[k:k + 10_000]
-                bound[k:k + 10_000] = _most_shared(points[i], points[j], more[i], more[j]) / (sizes[i] + sizes[j])
+            for k in range(0, len(x), 2000):
+                i, j = x[k:k + 2000], y[k:k + 2000]
+                bound[k:k + 2000] = _most_shared(points[i], points[j], more[i], more[j]) / (sizes[i] + sizes[j])
             order = np.argsort(-bound, kind="stable")
             root = list(range(len(own)))
             for i, j in zip(x[order].tolist(), y[order].tolist()):
