@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import SparkSession
 
 _SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -24,3 +26,11 @@ def small_batches(spark: SparkSession, rows: int = ROWS) -> Iterator[None]:
         yield
     finally:
         spark.conf.set(_SETTING, before)
+
+
+def give_back() -> None:
+    """Memory that this worker has freed goes back to the system. Workers are kept for later tasks, and what they hold on to adds to the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)

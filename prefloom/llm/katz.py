@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from prefloom.llm.batches import small_batches
+from prefloom.llm.batches import give_back, small_batches
 from prefloom.llm.keys import only_keys
 from prefloom.llm.words import mix, word_slices
 from prefloom.sources.scratch import written
@@ -40,6 +40,7 @@ def _word_counts(batches):
             own = words.hashes(True)[train[words.first + words.owner()]]
             distinct, n = np.unique(own, return_counts=True)
             yield pa.record_batch([pa.array(distinct.view(np.int64)), pa.array(n.astype(np.int64))], names=["word", "n"])
+        give_back()
 
 
 def discounts(counts: dict[int, int]) -> np.ndarray:
@@ -111,6 +112,7 @@ def _chunks(sent, parts: int):
                     keys = [{"id": i, "tokens": int(n), "train": bool(t)} for i, n, t in zip(ids[first:first + total], lengths.tolist(), train[first:first + total].tolist())]
                     yield pack(chunk, *(np.concatenate([h[j] for h in held]) for j in range(3)), keys, train[first:first + total].astype(np.int64), hot)
                     chunk, first, held, size, total = chunk + 1, first + total, [], 0, 0
+                    give_back()
 
     return run
 
@@ -136,6 +138,11 @@ def _score_bucket(sent):
     """What one bucket knows: scores of its tokens by text, the types and mass seen after each history, unseen pairs, counts of pair counts."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
+        facts = score(frame)
+        give_back()
+        return facts
+
+    def score(frame: pd.DataFrame) -> pd.DataFrame:
         hot, hot_counts, unigram, known_total = sent.value
         keys = frame[frame["words"].isna()]
         out = [pd.DataFrame({"kind": 0, "chunk": keys["chunk"], "keys": keys["keys"]})]
