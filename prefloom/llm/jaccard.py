@@ -19,7 +19,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from prefloom.llm.batches import small_batches
+from prefloom.llm.batches import give_back, small_batches
 from prefloom.llm.components import components
 from prefloom.llm.keys import only_keys
 from prefloom.llm.words import window_hashes, word_slices
@@ -47,10 +47,11 @@ def _sets(column: pa.Array, size: int):
 
 
 def _short(batches, rows: int = 1000):
-    """Batches in runs of few rows, so that few sets are held at a time."""
+    """Batches in runs of few rows, so that few sets are held at a time; what a run has taken is given back."""
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+            give_back()
 
 
 def _frequent(size: int, local: int = 3, most: int = 8192, together: int = 1 << 19):
@@ -71,6 +72,7 @@ def _frequent(size: int, local: int = 3, most: int = 8192, together: int = 1 <<
                 if held >= together:
                     yield counted(own)
                     own, held = [], 0
+                    give_back()
         if own:
             yield counted(own)
 
@@ -201,6 +203,8 @@ def _promising(percent: int):
         for _, own in frame.groupby(["low", "u", "v"], sort=False):
             points, more = unpacked(own["counts"])
             kept.append(own.iloc[np.union1d(*_apart(own, points, more, own["n"].to_numpy(), percent))])
+            del points, more
+        give_back()
         return pd.concat(kept)[["low", "u", "v", "run", "node", "component", "n"]]
 
     return run
@@ -230,6 +234,8 @@ def _linked_points(percent: int):
                 if p != q and _alike(sets[i], sets[j], percent):
                     root[max(p, q)] = min(p, q)
                     edges.append((node[i], node[j]))
+            del sets, counts, points, more
+        give_back()
         return pd.DataFrame(edges, columns=["a", "b"], dtype="int64")
 
     return run
@@ -258,6 +264,8 @@ def _similar(percent: int):
         for k, (a, b) in enumerate(zip(pairs["a"].to_numpy().tolist(), pairs["b"].to_numpy().tolist())):
             x, y = members.get(a), members.get(b)
             good[k] = x is not None and y is not None and _alike(x, y, percent)
+        del members
+        give_back()
         return pairs.loc[good, ["a", "b"]]
 
     return run
@@ -276,6 +284,7 @@ def _bounded(percent: int):
                 bound = _most_shared(x, y, more, other)
                 keep[at] = bound >= _needed(n[at], m[at], percent)
             yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(keep))
+            give_back()
 
     return run
 
