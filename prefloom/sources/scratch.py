@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes of a row group: writers hold one in the heap, readers one of each column they read.
+ROW_GROUP = 32 << 20
 _local_folders: dict[str, str] = {}
 
 
@@ -32,5 +34,5 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet and return the table read back."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
