@@ -26,6 +26,8 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
 
+from prefloom.llm.batches import give_back
+
 #: The cut of the vocabulary's tokenizer, a fixed value of its file.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
 END = "</w>"
@@ -361,6 +363,7 @@ def encode_texts(df: DataFrame, vocabulary: str | Vocabulary, key: str = "doc_id
                 ids = [b"".join([table[c] for c in row]) for row in table.prepare(t or "" for t in part.column(1).to_pylist())]
                 yield pa.record_batch([part.column(0), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary())],
                                       names=["key", "n_tokens", "ids"])
+            give_back()
 
     kind = df.schema[key].dataType.simpleString()
     return df.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(
@@ -375,16 +378,19 @@ def _share(df: DataFrame, vocabulary: str | Vocabulary) -> _Shared:
 
 def decode_ids(df: DataFrame, vocabulary: str | Vocabulary, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``df`` with the text of the packed ``ids``: the tokens joined by blanks, special ones included; null for null ids."""
-    shared = _share(df, vocabulary)
+    value = read_vocabulary(vocabulary) if isinstance(vocabulary, str) else vocabulary
+    # the strings alone: workers that decode need none of the tables of the merges
+    shared = df.sparkSession.sparkContext.broadcast(value.tokens)
 
     def run(batches):
-        tokens = shared.value.tokens
+        tokens = shared.value
         for batch in batches:
             at = batch.schema.get_field_index(ids)
             for k in range(0, batch.num_rows, 500):
                 part = batch.slice(k, 500)
                 texts = [None if b is None else " ".join([tokens[i] for i in np.frombuffer(b, "<u4").tolist()]) for b in part.column(at).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*part.schema.names, out])
+            give_back()
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
     return df.mapInArrow(run, f"{fields}, `{out}` string")

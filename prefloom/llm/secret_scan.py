@@ -8,9 +8,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from prefloom.llm.automaton import Automaton
+from prefloom.llm.batches import give_back
 from prefloom.llm.words import text_bytes
 
 
@@ -127,6 +129,15 @@ def without_spans(text: str, spans: list[tuple[str, int, int]]) -> str:
     return "".join([*out, text[at:]])
 
 
+def _redacted(batch: pa.RecordBatch, at: int, spans: list[list[tuple[str, int, int]]]) -> pa.RecordBatch:
+    """The batch with the spans of the texts in column ``at`` replaced."""
+    column = batch.column(at)
+    hit = np.array([bool(own) for own in spans])
+    masked = [without_spans(t, own) for t, own in zip(column.filter(pa.array(hit)).to_pylist(), filter(None, spans))]
+    texts = pc.replace_with_mask(column, pa.array(hit), pa.array(masked, column.type))
+    return pa.RecordBatch.from_arrays([texts if k == at else c for k, c in enumerate(batch.columns)], schema=batch.schema)
+
+
 def redact_secrets(df: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
     """``df``, all columns kept, with every secret in ``text`` replaced by its kind in angle brackets; null texts stay null."""
     at = df.columns.index(text)
@@ -134,13 +145,12 @@ def redact_secrets(df: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "
 
     def run(batches):
         for batch in batches:
-            column = batch.column(at)
-            texts = column.to_pylist()
-            for k, own in enumerate(scanner.value.spans(column)):
-                if own:
-                    texts[k] = without_spans(texts[k], own)
-            columns = [pa.array(texts, column.type) if k == at else c for k, c in enumerate(batch.columns)]
-            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+            # in short runs: of a run only the texts with secrets become Python strings
+            for k in range(0, batch.num_rows, 500):
+                part = batch.slice(k, 500)
+                spans = scanner.value.spans(part.column(at))
+                yield _redacted(part, at, spans) if any(spans) else part
+                give_back()
 
     return df.mapInArrow(run, df.schema)
 

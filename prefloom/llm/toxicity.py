@@ -15,6 +15,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from prefloom.llm.batches import give_back
 from prefloom.llm.words import word_slices
 from prefloom.sources.scratch import written
 
@@ -206,5 +207,6 @@ def without_toxic(docs: DataFrame, model: ToxicModel, threshold: float = 0.5, te
             for words, scores, *_ in _scored(shared.value, batch.column(at)):
                 empty = np.diff(words.text_starts) == 0
                 yield batch.slice(words.first, len(words)).filter(pa.array((scores < threshold) | empty))
+                give_back()
 
     return docs.mapInArrow(run, docs.schema)
