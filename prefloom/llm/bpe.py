@@ -35,7 +35,7 @@ END = "</w>"
 _NO_BLANKS = regex.compile("[\x1c-\x1f]")
 _BLANKS = regex.compile(r"\p{White_Space}+")
 #: Entries of a worker's look-up tables; beyond, they start anew (results do not depend on it).
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 1 << 16
 NEVER = np.int32(2**31 - 1)
 #: Pieces up to so many bytes are merged together in tables of so many rows, longer ones alone.
 TABLE_BYTES, TABLE_ROWS = 40, 20_000

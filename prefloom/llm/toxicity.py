@@ -204,9 +204,11 @@ def without_toxic(docs: DataFrame, model: ToxicModel, threshold: float = 0.5, te
 
     def run(batches):
         for batch in batches:
-            for words, scores, *_ in _scored(shared.value, batch.column(at)):
-                empty = np.diff(words.text_starts) == 0
-                yield batch.slice(words.first, len(words)).filter(pa.array((scores < threshold) | empty))
+            for k in range(0, batch.num_rows, 1000):
+                part = batch.slice(k, 1000)
+                for words, scores, *_ in _scored(shared.value, part.column(at)):
+                    empty = np.diff(words.text_starts) == 0
+                    yield part.slice(words.first, len(words)).filter(pa.array((scores < threshold) | empty))
                 give_back()
 
     return docs.mapInArrow(run, docs.schema)
