@@ -14,13 +14,25 @@ def long_metrics(df: DataFrame, ids: list[str], names: list[str]) -> DataFrame:
     return numbers.unpivot(ids, names, "name", "num_value").where(F.col("num_value").isNotNull())
 
 
-def append_metrics(df: DataFrame, path: str) -> None:
-    """Append step metrics, one folder per run.
-
-    Rows of a run are brought together, to avoid a file per task and run; the
-    rebalance hint lets adaptive execution split a run that is too large.
+def append_metrics(df: DataFrame, path: str, folders: int | None = None) -> None:
+    """Append step metrics, one folder per run; with ``folders``, all runs share that many folders.
+
+    Rows of a folder are brought together, to avoid a file per task and folder; the
+    rebalance hint lets adaptive execution split a folder that is too large. A folder
+    per run suits logs of few runs: each takes a file per write, which the driver commits and
+    lists. Shared folders hold runs by hash and in order, so one run is still found by the statistics of its files.
+    ``read_metrics`` reads them.
     """
-    df.hint("rebalance", "run_id").write.mode("append").partitionBy("run_id").parquet(path)
+    if folders is None:
+        df.hint("rebalance", "run_id").write.mode("append").partitionBy("run_id").parquet(path)
+        return
+    shared = df.withColumn("run_part", F.pmod(F.hash("run_id"), F.lit(folders))).hint("rebalance", "run_part")
+    shared.sortWithinPartitions("run_part", "run_id").write.mode("append").partitionBy("run_part").parquet(path)
+
+
+def read_metrics(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The rows that ``append_metrics`` wrote to shared folders; ``schema`` is that of the written rows."""
+    return spark.read.schema(f"{schema}, run_part int").parquet(path).drop("run_part")
 
 
 def sample_table(df: DataFrame, idx: Column | str, prompt: str = "prompt", response: str = "response") -> DataFrame:

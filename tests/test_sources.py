@@ -71,6 +71,32 @@ def test_logs(spark, tmp_path):
     assert (row.idx, len(row.prompt), len(row.response)) == (7, 103, 203)
 
 
+def test_many_runs_share_folders(spark, tmp_path):
+    """Files and folders do not grow with the runs; null runs, repeated rows and a second write are kept."""
+    runs = spark.range(3000).selectExpr("nullif(id div 2, 7) AS run_id", "1L AS step", "'loss' AS name", "id / 2 AS num_value")
+    path, shape = str(tmp_path / "m"), "run_id long, step long, name string, num_value double"
+    both = runs.unionByName(runs.where("run_id = 5"))
+    for _ in range(2):
+        logs.append_metrics(both, path, folders=4)
+    back = logs.read_metrics(spark, path, shape)
+    assert back.columns == both.columns
+    assert back.exceptAll(both.unionByName(both)).count() == 0 and back.count() == 2 * both.count()
+    assert len(list((tmp_path / "m").glob("run_part=*"))) == 4
+    assert len(list((tmp_path / "m").glob("*/*.parquet"))) <= 8
+
+
+def test_registered_metrics_have_few_files(spark, tmp_path):
+    from prefloom.plans import training_logs
+
+    events = spark.range(600).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-02 03:00:00' AS ts", "id AS user_id", "'view' AS event_type",
+        "id / 4 AS value", "concat('{\"k\": ', id % 100, '}') AS props")
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    back = training_logs.appended_metrics(spark, str(tmp_path))
+    assert back.count() == 1200 and len(back.inputFiles()) <= 2 * training_logs.METRIC_FOLDERS
+    assert {tuple(r) for r in back.where("run_id = 599").collect()} == {(599, 1, 599, "loss", 14.975), (599, 1, 599, "accuracy", 0.99)}
+
+
 def test_scratch_uses_the_session_folder(spark):
     df = scratch.written(spark.range(5).withColumn("x", F.lit("a")), "t")
     assert df.count() == 5 and scratch.checkpoint_folder(spark) in df.inputFiles()[0]
