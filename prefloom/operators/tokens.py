@@ -8,7 +8,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyspark import SparkFiles
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from prefloom.functions import tokens as K
 from prefloom.operators.ordering import assign_batches, dense_index, prefix_cutoff
@@ -102,20 +102,41 @@ def _lookup(name: str, unknown_id: int):
 def _encode_by_join(
     df: DataFrame, text: str, ids: str, vocabulary: DataFrame, key: str, unknown_id: int
 ) -> DataFrame:
-    """Places of each token are listed per (row, token), matched by token, and put back in order.
+    """Each row's different tokens meet the vocabulary; those found go back to their row, where places are filled in.
 
     A frequent token meets the vocabulary once per row, and the join, whose
     vocabulary side is unique, may be split where one token has most rows.
+    Unknown tokens do not come back, and places are never shuffled. Rows with the same key share one list, in the order of the places.
     """
-    places = df.select(key, F.posexplode(K.token_texts(text)).alias("pos", "token"))
-    grouped = places.groupBy(key, "token").agg(F.collect_list("pos").alias("places"))
-    matched = grouped.join(vocabulary.select("token", "token_id"), "token", "left")
-    token_id = F.coalesce("token_id", F.lit(unknown_id)).cast("int")
-    item = matched.select(key, F.transform("places", lambda p: F.struct(p.alias("pos"), token_id.alias("id"))).alias("items"))
-    merged = item.groupBy(key).agg(F.array_sort(F.flatten(F.collect_list("items"))).alias("items"))
-    found = merged.select(key, F.transform("items", lambda x: x["id"]).alias(ids))
-    empty = F.when(F.col(text).isNotNull(), F.array().cast("array<int>"))
-    return df.join(found, key, "left").withColumn(ids, F.coalesce(ids, empty))
+    tokens = df.select(key, F.explode(F.array_distinct(K.token_texts(text))).alias("token")).where(F.col(key).isNotNull())
+    matched = tokens.join(vocabulary.select("token", F.col("token_id").cast("int").alias("token_id")), "token")
+    found = matched.groupBy(key).agg(F.collect_list(F.struct("token", "token_id")).alias("_found"))
+    fill = _filled(unknown_id)
+    own = fill(K.token_texts(text), F.col("_found.token"), F.col("_found.token_id"))
+    rows = df.join(found, key, "left").withColumn("_own", F.when(F.col(key).isNotNull(), own)).drop("_found")
+    lists = rows.withColumn("_lists", F.collect_list("_own").over(W.partitionBy(key))).drop("_own")
+    placed = F.transform("_lists", lambda x: F.transform(x, lambda i, pos: F.struct(pos.alias("pos"), i.alias("id"))))
+    merged = F.transform(F.array_sort(F.flatten(placed)), lambda x: x["id"])
+    empty = F.array().cast("array<int>")
+    all_ids = F.when(F.size("_lists") > 1, merged).otherwise(F.coalesce(F.try_element_at("_lists", F.lit(1)), empty))
+    # A row without a text has a list only where a row of the same key has words.
+    return lists.withColumn(ids, F.when(F.col(text).isNotNull() | (F.size(all_ids) > 0), all_ids)).drop("_lists")
+
+
+def _filled(unknown_id: int):
+    @F.arrow_udf("array<int>")
+    def fill(tokens: pa.Array, words: pa.Array, ids: pa.Array) -> pa.Array:
+        # A token has one id, so the words found for any row of a batch serve all.
+        known = words.flatten().dictionary_encode()
+        id_of = np.full(len(known.dictionary) + 1, unknown_id, np.int32)
+        id_of[known.indices.to_numpy(zero_copy_only=False)] = ids.flatten().to_numpy(zero_copy_only=False)
+        coded = tokens.flatten().dictionary_encode()
+        at = pc.fill_null(pc.index_in(coded.dictionary, value_set=known.dictionary), len(known.dictionary)).to_numpy(zero_copy_only=False)
+        filled = pa.array(id_of[at][coded.indices.to_numpy(zero_copy_only=False)], pa.int32())
+        ends = pc.cumulative_sum(pc.fill_null(pc.list_value_length(tokens), 0).cast(pa.int32()))
+        return pa.ListArray.from_arrays(pa.concat_arrays([pa.array([0], pa.int32()), ends]), filled, mask=tokens.is_null())
+
+    return fill
 
 
 def pad_fixed(df: DataFrame, ids: str, mask: str, max_length: int, pad_id: int = 0) -> DataFrame:

@@ -23,6 +23,19 @@ def test_vocabulary_and_both_encoding_routes(spark):
         assert got.schema["ids"].dataType.simpleString() == "array<int>"
 
 
+def test_the_join_moves_no_places(spark):
+    """Repeated and null keys, rows without words or text; no list of places is shuffled."""
+    rows = [(1, "a b a x"), (1, "b"), (2, "x y"), (3, ""), (4, None), (5, None), (5, "a a"), (None, "a b"), (6, "b b b")]
+    df = spark.createDataFrame(rows, "id int, t string")
+    words = spark.createDataFrame([("a", 2), ("b", 3)], "token string, token_id int")
+    got = T.encode(df, {"t": "ids"}, words, "id", route="join")
+    assert got.columns == ["id", "t", "ids"]
+    assert sorted(((r.id, r.t, r.ids) for r in got.collect()), key=str) == sorted([
+        (1, "a b a x", [2, 3, 3, 2, 1]), (1, "b", [2, 3, 3, 2, 1]), (2, "x y", [1, 1]), (3, "", []), (4, None, None),
+        (5, None, [2, 2]), (5, "a a", [2, 2]), (None, "a b", []), (6, "b b b", [3, 3, 3])], key=str)
+    assert "posexplode" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_tokens_with_equal_hashes_and_an_empty_vocabulary(spark, monkeypatch):
     import numpy as np
     import pyarrow as pa
