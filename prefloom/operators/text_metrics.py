@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -35,6 +35,8 @@ BLEU_PATTERNS = [
     (r"([\.,])([^0-9])", " $1 $2"),
     (r"([0-9])(-)", "$1 $2 "),
 ]
+# Words without any of these characters are one token.
+_BLEU_MARKS = r"[{-~\[-`!-&(-+:-@/.,-]"
 # Tokens of at most this many letters are not stemmed.
 UNSTEMMED_LENGTH = 3
 
@@ -42,6 +44,11 @@ UNSTEMMED_LENGTH = 3
 VECTOR_BLOCK = 512
 CELL_BLOCKS = 4
 
+# Tokens of both sides that a worker turns into numbers at a time, names it keeps meanwhile, and tokens of a text per block of bits.
+RUN_TOKENS = 1 << 18
+KEPT_NAMES = 1 << 16
+LCS_BLOCK = 4096
+
 
 def pair_by_item(predictions: DataFrame, references: DataFrame, key: str = "item_id") -> DataFrame:
     """Predictions and references of the same item in one row.
@@ -53,19 +60,54 @@ def pair_by_item(predictions: DataFrame, references: DataFrame, key: str = "item
     return left.join(references.select(key, F.col("text").alias("reference")).hint("merge"), key)
 
 
-def _coded(left: pa.ListArray, right: pa.ListArray, name: Callable[[str], str] | None = None):
+def _runs(left: pa.ListArray, right: pa.ListArray) -> Iterator[tuple[pa.ListArray, pa.ListArray, np.ndarray, np.ndarray]]:
+    """Both columns and the sizes of their lists, cut into runs of rows with about ``RUN_TOKENS`` tokens; a longer row is a run by itself."""
+    n, m = (pc.fill_null(pc.list_value_length(x), 0).to_numpy(zero_copy_only=False) for x in (left, right))
+    ends = np.cumsum(n + m)
+    at = 0
+    while at < len(ends):
+        before = ends[at - 1] if at else 0
+        to = max(int(np.searchsorted(ends, before + RUN_TOKENS, side="right")), at + 1)
+        yield left.slice(at, to - at), right.slice(at, to - at), n[at:to], m[at:to]
+        at = to
+
+
+def _coded(
+    left: pa.ListArray, right: pa.ListArray, name: Callable[[str], str] | None = None,
+    parts: Callable[[pa.Array], tuple[pa.Array, np.ndarray, np.ndarray]] | None = None,
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """The token lists of both columns as arrays of numbers, row by row.
 
-    Equal tokens have equal numbers; ``name`` is applied once per different token.
+    Equal tokens of a row have equal numbers. ``name`` is applied to the different tokens of a run; ``parts`` cuts them as words into tokens and
+    gives these with the start and the number for each word. A worker holds the numbers of one run, whatever the size of the batch.
     """
-    encoded = pa.concat_arrays([left.flatten(), right.flatten()]).dictionary_encode()
-    numbers = encoded.indices.to_numpy(zero_copy_only=False)
-    if name is not None:
-        names = pa.array([name(t) for t in encoded.dictionary.to_pylist()], pa.string())
-        numbers = names.dictionary_encode().indices.to_numpy(zero_copy_only=False)[numbers]
-    sizes = pc.fill_null(pc.list_value_length(pa.concat_arrays([left, right])), 0).to_numpy(zero_copy_only=False)
-    rows = np.split(numbers.astype("int64"), np.cumsum(sizes)[:-1])
-    return zip(rows[: len(left)], rows[len(left):])
+    kept: dict[str, str] = {}
+
+    def of(token: str) -> str:
+        if token not in kept:
+            if len(kept) >= KEPT_NAMES:
+                kept.clear()
+            kept[token] = name(token)
+        return kept[token]
+
+    for p, r, n, m in _runs(left, right):
+        encoded = pa.concat_arrays([p.flatten(), r.flatten()]).dictionary_encode()
+        numbers = encoded.indices.to_numpy(zero_copy_only=False)
+        sizes = np.concatenate([n, m])
+        if name is not None:
+            names = pa.array([of(t) for t in encoded.dictionary.to_pylist()], pa.string())
+            numbers = names.dictionary_encode().indices.to_numpy(zero_copy_only=False)[numbers]
+        if parts is not None:
+            tokens, starts, widths = parts(encoded.dictionary)
+            starts, widths = starts[numbers], widths[numbers]
+            ends = np.concatenate([[0], np.cumsum(widths)])
+            ids = tokens.dictionary_encode().indices.to_numpy(zero_copy_only=False)
+            numbers = ids[np.arange(ends[-1]) + np.repeat(starts - ends[:-1], widths)]
+            sizes = np.diff(ends[np.concatenate([[0], np.cumsum(sizes)])])
+        rows = np.split(numbers.astype("int64"), np.cumsum(sizes)[:-1])
+        yield from zip(rows[: len(p)], rows[len(p):])
+        del encoded, numbers, rows
+    pa.default_memory_pool().release_unused()
 
 
 # --- BLEU ------------------------------------------------------------------
@@ -159,18 +201,27 @@ def rouge_tokens(col: Column | str) -> Column:
     return F.array_remove(F.split(spaced, " "), "")
 
 
-def common_length(a: list, b: list) -> int:
-    """Length of the longest common subsequence, one bit per token of ``a``."""
-    places: dict = {}
-    for i, token in enumerate(a):
-        places[token] = places.get(token, 0) | (1 << i)
-    full = (1 << len(a)) - 1
-    row = full
-    for token in b:
-        hits = row & places.get(token, 0)
-        if hits:
-            row = ((row + hits) | (row - hits)) & full
-    return len(a) - row.bit_count()
+def common_length(a: list, b: list, block: int | None = None) -> int:
+    """Length of the longest common subsequence, one bit per token of ``a``.
+
+    ``a`` is taken in blocks, which hand their carries on by token of ``b``, so memory does not grow with the square of a long text.
+    """
+    size = block or LCS_BLOCK
+    common, carries = 0, bytearray(len(b))
+    for start in range(0, len(a), size):
+        part = a[start:start + size]
+        places: dict = {}
+        for i, token in enumerate(part):
+            places[token] = places.get(token, 0) | (1 << i)
+        full = (1 << len(part)) - 1
+        row = full
+        for j, token in enumerate(b):
+            hits = row & places.get(token, 0)
+            if hits or carries[j]:
+                total = row + hits + carries[j]
+                row, carries[j] = (total | (row - hits)) & full, total >> len(part)
+        common += len(part) - row.bit_count()
+    return common
 
 
 def _root(token: str) -> str:

@@ -54,6 +54,34 @@ def test_common_length_agrees_with_the_table_method():
         assert M.common_length(a, b) == longest_common(a, b)
 
 
+def test_long_texts_are_taken_in_blocks(monkeypatch):
+    rng = random.Random(12)
+    for _ in range(200):
+        a, b = ([rng.choice("abcde") for _ in range(rng.randint(0, 70))] for _ in range(2))
+        assert {M.common_length(a, b, block=k) for k in (1, 7, 64, 100)} == {longest_common(a, b)}
+    import tracemalloc
+
+    tracemalloc.start()
+    assert M.common_length(list(range(30_000)), list(range(0, 30_000, 100))) == 300
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16 << 20  # one bit row per token of the whole text takes 60 MB
+
+
+def test_numbers_are_made_in_runs(monkeypatch):
+    """A batch of any size is numbered some rows at a time, with nulls, empty lists and a row longer than a run."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(M, "RUN_TOKENS", 6)
+    left, right = [["x", "y"], None, [], ["a."] * 9, ["q"]], [["y", "x"], ["z"], [], ["a", "."], None]
+    p, r = (pa.array(x, pa.list_(pa.string())) for x in (left, right))
+    assert len(list(M._runs(p, r))) == 3
+    sizes = [(len(a), len(b)) for a, b in M._coded(p, r)]
+    assert sizes == [(2, 2), (0, 1), (0, 0), (9, 2), (1, 0)]
+    one = [(a.tolist(), b.tolist()) for a, b in M._coded(p.slice(0, 1), r.slice(0, 1), name=lambda t: "same")]
+    assert one == [([0, 0], [0, 0])]
+
+
 def test_rouge_l(spark):
     rows = [("The cats were running!", "the cat was run"), ("", "x"), ("a b c", "c b a")]
     got = {r.item_id: r.rouge_l for r in M.rouge_l_scores(table(spark, rows)).collect()}
