@@ -122,32 +122,62 @@ def bleu_tokens(col: Column | str) -> Column:
     return words(col)
 
 
+def bleu_words(col: Column | str) -> Column:
+    """Blank-separated words after the fixed replacements; ``bleu_parts`` gives the tokens of a word."""
+    col = F.col(col) if isinstance(col, str) else col
+    for old, new in BLEU_RULES:
+        col = F.replace(col, F.lit(old), F.lit(new))
+    return words(col)
+
+
+def bleu_parts(words: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Tokens of different words, and for each word the start and the number of its own.
+
+    The patterns look at neighbouring characters only and take all blanks for the same, so a text's tokens are those of its words.
+    """
+    marked = pc.match_substring_regex(words, _BLEU_MARKS)
+    plain, cut = words.filter(pc.invert(marked)), words.filter(marked)
+    cut = pc.binary_join_element_wise(" ", cut, " ", "")
+    for pattern, new in BLEU_PATTERNS:
+        cut = pc.replace_substring_regex(cut, pattern, new.replace("$", "\\"))
+    split = pc.split_pattern_regex(pc.utf8_trim(cut, " "), " +")
+    marks = marked.to_numpy(zero_copy_only=False).astype(bool)
+    starts, widths = np.empty(len(words), np.int64), np.ones(len(words), np.int64)
+    starts[~marks] = np.arange(len(plain))
+    widths[marks] = pc.list_value_length(split).to_numpy(zero_copy_only=False)
+    starts[marks] = len(plain) + np.cumsum(widths[marks]) - widths[marks]
+    return pa.concat_arrays([plain, split.flatten()]), starts, widths
+
+
 def shared_grams(a: np.ndarray, b: np.ndarray) -> list[int]:
     """N-grams two token lists have in common, with repetition, for orders 1 to 4."""
-    width = int(max(a.max(initial=0), b.max(initial=0))) + 1
-    shared, keys_a, keys_b = [], a, b
+    distinct, dense = np.unique(np.concatenate([a, b]), return_inverse=True)
+    tokens, width = (dense[: len(a)], dense[len(a):]), len(distinct)
+    places, keys, shared = [np.arange(len(t)) for t in tokens], list(tokens), []
     for n in range(1, MAX_ORDER + 1):
         if n > 1:
-            # The n-gram at a place is the (n-1)-gram there and one more token.
-            keys_a = keys_a[: max(len(a) - n + 1, 0)] * width + a[n - 1:]
-            keys_b = keys_b[: max(len(b) - n + 1, 0)] * width + b[n - 1:]
-        distinct, dense = np.unique(np.concatenate([keys_a, keys_b]), return_inverse=True)
-        keys_a, keys_b = dense[: len(keys_a)], dense[len(keys_a):]
-        counts = (np.bincount(k, minlength=len(distinct)) for k in (keys_a, keys_b))
+            distinct, dense = np.unique(np.concatenate(keys), return_inverse=True)
+            keys = [dense[: len(keys[0])], dense[len(keys[0]):]]
+        counts = [np.bincount(k, minlength=len(distinct)) for k in keys]
         shared.append(int(np.minimum(*counts).sum()))
+        # An n-gram of both lists begins with an (n-1)-gram of both, and has one more token.
+        for side in (0, 1):
+            goes_on = (counts[1 - side][keys[side]] > 0) & (places[side] + n < len(tokens[side]))
+            places[side] = places[side][goes_on]
+            keys[side] = keys[side][goes_on] * width + tokens[side][places[side] + n]
     return shared
 
 
 @F.arrow_udf(T.ArrayType(T.LongType()))
 def _gram_counts(p: pa.Array, r: pa.Array) -> pa.Array:
-    """Tokens of both lists, then the n-grams they share by order; null where a list is."""
+    """Tokens of the words in both lists, then the n-grams they share by order; null where a list is."""
     known = pc.and_(p.is_valid(), r.is_valid()).to_pylist()
-    return pa.array([[len(a), len(b), *shared_grams(a, b)] if k else None for k, (a, b) in zip(known, _coded(p, r))], pa.list_(pa.int64()))
+    return pa.array([[len(a), len(b), *shared_grams(a, b)] if k else None for k, (a, b) in zip(known, _coded(p, r, parts=bleu_parts))], pa.list_(pa.int64()))
 
 
 def _grams(prediction: str, reference: str) -> Column:
     """Token counts of both texts and the n-grams they share, per row; null where a text is missing."""
-    return _gram_counts(bleu_tokens(prediction), bleu_tokens(reference))
+    return _gram_counts(bleu_words(prediction), bleu_words(reference))
 
 
 def _gram_sums(grams: str) -> dict[str, Column]:

@@ -78,10 +78,33 @@ def test_numbers_are_made_in_runs(monkeypatch):
     assert len(list(M._runs(p, r))) == 3
     sizes = [(len(a), len(b)) for a, b in M._coded(p, r)]
     assert sizes == [(2, 2), (0, 1), (0, 0), (9, 2), (1, 0)]
+    split = list(M._coded(p, r, parts=M.bleu_parts))
+    assert [(len(a), len(b)) for a, b in split] == [(2, 2), (0, 1), (0, 0), (18, 2), (1, 0)]
+    assert split[3][0].tolist() == split[3][1].tolist() * 9
     one = [(a.tolist(), b.tolist()) for a, b in M._coded(p.slice(0, 1), r.slice(0, 1), name=lambda t: "same")]
     assert one == [([0, 0], [0, 0])]
 
 
+def test_tokens_of_words_are_the_tokens_of_the_text(spark):
+    import pyarrow as pa
+
+    rng = random.Random(13)
+    signs = [*".,.,--<>&/(){}[]'\"~!:;@`^_ab19é\u4e00", " ", " ", "\n", "\t", "\u00a0", "&quot;", "<skipped>", "-\n"]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 40))) for _ in range(2000)]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", M.bleu_tokens("t").alias("whole"), M.bleu_words("t").alias("words")).collect()
+    for r in rows:
+        tokens, starts, widths = M.bleu_parts(pa.array(r.words, pa.string()))
+        assert [t.as_py() for s, n in zip(starts, widths) for t in tokens[s:s + n]] == r.whole, r.t
+
+
+def test_shared_grams_of_many_different_tokens():
+    rng = np.random.default_rng(14)
+    for n in (0, 3, 50, 60_000):
+        a, b = np.arange(n), np.concatenate([np.arange(n)[n // 2:], rng.integers(0, max(n, 1), n // 3) + 10**9])
+        want = [max(n - n // 2 - k, 0) for k in range(4)]
+        assert M.shared_grams(a, b) == want
+
+
 def test_rouge_l(spark):
     rows = [("The cats were running!", "the cat was run"), ("", "x"), ("a b c", "c b a")]
     got = {r.item_id: r.rouge_l for r in M.rouge_l_scores(table(spark, rows)).collect()}
