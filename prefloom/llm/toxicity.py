@@ -4,11 +4,13 @@ A document is toxic if one of its sentences is: ``score = 1 - (1 - leak) * prod(
 sentence s. Labels are known for documents only; the gradient of their likelihood passes through the noisy-or to the sentences, which is
 what locates the offending ones. The leak is the chance of a label that no sentence explains: without it wrong labels would be laid on
 every sentence, and long clean documents would add up to toxic ones. Words are runs of letters, digits and bytes over 0x7F with A-Z folded; sentences end at ``. ! ?`` and line ends.
+
+Besides whole words their beginnings are weighed: an inflected or compound word is rare in every one of its forms, its beginning is not.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -16,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from prefloom.llm.batches import give_back
-from prefloom.llm.words import word_slices
+from prefloom.llm.words import mix, word_slices
 from prefloom.sources.scratch import written
 
 _BETWEEN = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
@@ -24,13 +26,15 @@ _STOP = np.zeros(256, bool)
 _STOP[[10, 13, 33, 46, 63]] = True
 #: Bounds of the fit: labelled documents it reads, words it weighs, and passes over the sample.
 SAMPLE_DOCS, FEATURES, PASSES = 20_000, 4096, 60
+#: Bytes of the beginning of a longer word.
+BEGINNING = 5
 SENTENCES = "array<struct<start long, end long, score double>>"
 _SENTENCES = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
 
 
 @dataclass(frozen=True)
 class ToxicModel:
-    """Sorted word hashes, their weights, the log-odds of a sentence without any of them, and those of a document without sentences."""
+    """Sorted hashes of words and beginnings, their weights, the log-odds of a sentence without any of them, and those of a document without sentences."""
 
     words: np.ndarray
     weights: np.ndarray
@@ -46,6 +50,15 @@ class ToxicModel:
         return known, at[known]
 
 
+def _terms(words) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words, then of the beginnings of the longer ones, and the word of each."""
+    n, longer = len(words.starts), np.flatnonzero(words.ends - words.starts > BEGINNING)
+    begun = words.starts[longer]
+    hashes = replace(words, starts=np.concatenate([words.starts, begun]), ends=np.concatenate([words.ends, begun + BEGINNING])).hashes(True)
+    hashes[n:] = mix(hashes[n:] + np.uint64(1))  # apart from whole words
+    return hashes, np.concatenate([np.arange(n), longer])
+
+
 def _sentences(words) -> tuple[np.ndarray, np.ndarray]:
     """For every word the number of its sentence, counted over the slice, and for every sentence its text."""
     ended = np.cumsum(_STOP[words.raw], dtype=np.int64)
@@ -64,12 +77,13 @@ def _labelled(docs: DataFrame, labels: DataFrame, sample: int, key: str, text: s
 
 
 def _word_counts(batches):
-    """Per part of the sample: in how many toxic and other texts each word occurs."""
+    """Per part of the sample: in how many toxic and other texts each word or beginning occurs."""
     found: dict[int, np.ndarray] = {}
     for batch in batches:
         toxic = batch.column(1).to_numpy(zero_copy_only=False)
         for words in word_slices(batch.column(0), blank=_BETWEEN):
-            hashes, owner = words.hashes(True), words.owner()
+            hashes, word = _terms(words)
+            owner = words.owner()[word]
             order = np.lexsort((owner, hashes))
             hashes, owner = hashes[order], owner[order]
             once = np.concatenate([[True], (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])]) if len(hashes) else np.zeros(0, bool)
@@ -95,8 +109,9 @@ def _packed(model: ToxicModel):
             toxic = batch.column(1).to_numpy(zero_copy_only=False)
             for words in word_slices(batch.column(0), blank=_BETWEEN):
                 sentence, text = _sentences(words)
-                known, feature = model.features(words.hashes(True))
-                cells = [feature.astype(np.int32), sentence[known].astype(np.int32), text.astype(np.int32), toxic[words.first:words.first + len(words)].astype(np.int32)]
+                hashes, word = _terms(words)
+                known, feature = model.features(hashes)
+                cells = [feature.astype(np.int32), sentence[word[known]].astype(np.int32), text.astype(np.int32), toxic[words.first:words.first + len(words)].astype(np.int32)]
                 yield pa.record_batch([pa.array([c.tobytes()], pa.binary()) for c in cells], names=["feature", "sentence", "text", "toxic"])
 
     return run
@@ -160,8 +175,9 @@ def _scored(model: ToxicModel, column: pa.Array):
     """Slices of whole texts: their words, the score of every text, and of every sentence its number, text and log-odds."""
     for words in word_slices(column, blank=_BETWEEN):
         sentence, text_of = _sentences(words)
-        known, feature = model.features(words.hashes(True))
-        z = model.bias + np.bincount(sentence[known], model.weights[feature], len(text_of))
+        hashes, word = _terms(words)
+        known, feature = model.features(hashes)
+        z = model.bias + np.bincount(sentence[word[known]], model.weights[feature], len(text_of))
         clean = _log_rest(model.leak) + np.bincount(text_of, _log_rest(z), len(words))
         yield words, -np.expm1(clean), sentence, text_of, z
 

@@ -123,3 +123,14 @@ def test_toxicity(spark):
     nothing = toxicity.fit_toxicity(docs, labels.limit(0))
     assert toxicity.score_toxicity(docs, nothing).selectExpr("count(distinct round(score, 9))").first()[0] == 1
     assert toxicity.score_toxicity(docs.limit(0), model).collect() == []
+
+
+def test_toxic_words_in_unseen_forms(spark):
+    # every form is rare, and those of the held-out fold occur nowhere else
+    plain = [f"word{k * 7 % 31} then some{k % 13} more" for k in range(400)]
+    rows = [(i, f"{t}. a {'scorn' if i % 4 == 0 else 'grain'}{i}x thing, and {t}") for i, t in enumerate(plain)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(400)], "doc_id long, toxic int")
+    model = toxicity.fit_toxicity(docs, labels)
+    scores = {r.doc_id: r.score for r in toxicity.score_toxicity(docs, model).collect()}
+    assert {i for i, s in scores.items() if s >= 0.5} == set(range(0, 400, 4))
