@@ -5,9 +5,10 @@ sum of the coordinate minima of their points, and the overlap of all members of
 upper corners: trees of such boxes are joined top down, pairs of points that can still reach the threshold are verified on the sets.
 
 One tree over all points cannot be cut: texts of like length have like counts, so boxes of unlike texts overlap, and on the given tables
-nearly all pairs of boxes would be visited. So points meet only where their sets share an n-gram of their prefix (sets of similarity t
-share one among the first ``n - ceil(t n) + 1`` in any common order); very frequent n-grams come last in that order. Equal sets are one
-point. Documents already known to be connected are not compared again.
+nearly all pairs of boxes would be visited. So points meet only where their sets share n-grams of their prefix (sets of similarity t share l
+of them among the first ``n - ceil(t n) + l`` in any common order); very frequent n-grams come last in that order. Points that share fewer
+n-grams than any similar set would have in common with them, with others or with other components, go no further. Equal sets are one point.
+Documents already known to be connected are not compared again.
 """
 
 from __future__ import annotations
@@ -27,6 +28,10 @@ from prefloom.sources.scratch import written
 
 #: Groups of the count vector, points in a leaf of a tree, points on each side of one unit of work, and those of them joined at once.
 GROUPS, LEAF, UNIT, RUN = 512, 32, 1024, 128
+#: Groups of the finer counts of points that the first ones leave.
+FINE = 4096
+#: A prefix is longer by one n-gram for so many of its set, and as many more have to be shared.
+SHARE = 40
 #: Pairs in one unit of the verification of leader pairs on average, and bytes of the sets that are verified together.
 TOGETHER, SET_BYTES = 1000, 4 << 20
 #: N-grams kept as very frequent ones; the list only sets the order of prefixes, results do not depend on it.
@@ -79,6 +84,23 @@ def _frequent(size: int, local: int = 3, most: int = 8192, together: int = 1 <<
     return run
 
 
+def _least_shared(n: int, percent: int) -> int:
+    """N-grams that the prefix of a set of size ``n`` shares with that of any similar set which is not smaller."""
+    return min(1 + n // SHARE, (percent * n + 99) // 100)
+
+
+def _enough(count: str, percent: int):
+    """Whether ``count`` n-grams of a point's prefix are as many as it shares with a similar set, whose size is ``percent`` of its own at least."""
+    other = f"((({percent} * n + 99) div 100))"
+    return F.expr(f"{count} >= least(1 + {other} div {SHARE}, ({percent} * {other} + 99) div 100)")
+
+
+def _packed(own: np.ndarray, groups: int) -> bytes:
+    """Counts per group, cut at 255 to fit a byte, and what was cut off."""
+    counts = np.bincount((own % np.uint64(groups)).astype(np.int64), minlength=groups)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes() + np.int64(np.maximum(counts - 255, 0).sum()).tobytes()
+
+
 def _points(size: int, percent: int, late):
     """Size, identity, group counts and prefix of every text's set."""
 
@@ -88,17 +110,15 @@ def _points(size: int, percent: int, late):
             rows, known = [], set()
             for _, own in _sets(batch.column(1), size):
                 n = len(own)
-                counts = np.bincount((own % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS)
-                clipped = np.minimum(counts, 255).astype(np.uint8).tobytes() + np.int64(np.maximum(counts - 255, 0).sum()).tobytes()
                 order = own
                 if n and len(frequent):
                     at = np.minimum(np.searchsorted(frequent, own), len(frequent) - 1)
                     order = own[np.lexsort((own, np.where(frequent[at] == own, rank[at], 0)))]
                 node = _identity(own)
                 # of equal sets in a batch one carries the prefix
-                prefix = order[:n - (percent * n + 99) // 100 + 1].view(np.int64).copy() if n and node not in known else None
+                prefix = order[:n - (percent * n + 99) // 100 + _least_shared(n, percent)].view(np.int64).copy() if n and node not in known else None
                 known.add(node)
-                rows.append((n, node, clipped, prefix))
+                rows.append((n, node, _packed(own, GROUPS), prefix))
             n, node, counts, prefix = zip(*rows) if rows else ((), (), (), ())
             yield pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(counts, pa.binary()),
                                    pa.array(prefix, pa.list_(pa.int64()))], names=["key", "n", "node", "counts", "prefix"])
@@ -111,26 +131,33 @@ def _identity(own: np.ndarray) -> int | None:
 
 
 def _set_bytes(size: int):
-    """The sets of the points; another text under the same key is left out."""
+    """The sets of the points, with the points' other columns; another text under the same key is left out."""
 
     def run(batches):
         for batch in _short(batches):
             own = [s for _, s in _sets(batch.column(1), size)]
             same = pa.array([_identity(s) == node for s, node in zip(own, batch.column(0).to_pylist())], pa.bool_())
-            yield pa.record_batch([batch.column(0), pa.array([s.tobytes() for s in own], pa.binary())], names=["node", "members"]).filter(same)
+            names = ["node", "members", *batch.schema.names[2:]]
+            yield pa.record_batch([batch.column(0), pa.array([s.tobytes() for s in own], pa.binary()), *batch.columns[2:]], names=names).filter(same)
 
     return run
 
 
+def _fine_counts(batches):
+    for batch in _short(batches):
+        counts = [_packed(np.frombuffer(m.as_buffer(), np.uint64), FINE) for m in batch.column(1)]
+        yield pa.record_batch([batch.column(0), pa.array(counts, pa.binary())], names=["node", "counts"])
+
+
 def _needed(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     """The overlap from which sets of these sizes are similar: percent / (100 + percent) of both sizes, rounded up."""
     return (percent * (a + b) + 99 + percent) // (100 + percent)
 
 
-def unpacked(counts) -> tuple[np.ndarray, np.ndarray]:
+def unpacked(counts, groups: int = GROUPS) -> tuple[np.ndarray, np.ndarray]:
     """Counts per group, cut at 255 to fit a byte, and what was cut off: the overlap is at most the sum of the minima of all."""
-    raw = np.frombuffer(b"".join(counts), np.uint8).reshape(-1, GROUPS + 8)
-    return raw[:, :GROUPS], np.ascontiguousarray(raw[:, GROUPS:]).view(np.int64)[:, 0]
+    raw = np.frombuffer(b"".join(counts), np.uint8).reshape(-1, groups + 8)
+    return raw[:, :groups], np.ascontiguousarray(raw[:, groups:]).view(np.int64)[:, 0]
 
 
 def _most_shared(a: np.ndarray, b: np.ndarray, more: np.ndarray, other: np.ndarray) -> np.ndarray:
@@ -156,13 +183,14 @@ def tree_pairs(left: _Tree, right: _Tree, percent: int) -> tuple[np.ndarray, np.
     """Pairs of points of two trees whose summed minima reach the needed overlap; pairs of boxes that cannot are left out with all below."""
     a, b = np.zeros(1, np.int64), np.zeros(1, np.int64)
     high, low = len(left.upper) - 1, len(right.upper) - 1
+    step = max(1, 2000 * GROUPS // left.upper[0].shape[1])
     while len(a):
         keep = np.zeros(len(a), bool)
-        for k in range(0, len(a), 2000):
-            x, y = a[k:k + 2000], b[k:k + 2000]
+        for k in range(0, len(a), step):
+            x, y = a[k:k + step], b[k:k + step]
             bound = _most_shared(left.upper[high][x], right.upper[low][y], left.more[high][x], right.more[low][y])
             bound = np.minimum(bound, np.minimum(left.most[high][x], right.most[low][y]))
-            keep[k:k + 2000] = bound >= _needed(left.least[high][x], right.least[low][y], percent)
+            keep[k:k + step] = bound >= _needed(left.least[high][x], right.least[low][y], percent)
         a, b = a[keep], b[keep]
         if not high and not low:
             break
@@ -195,13 +223,13 @@ def _apart(own: pd.DataFrame, points: np.ndarray, more: np.ndarray, sizes: np.nd
     return tuple(np.concatenate(c) for c in zip(*found))
 
 
-def _promising(percent: int):
+def _promising(percent: int, groups: int = GROUPS):
     """The points of each unit of work that can be similar to one of another component there."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         kept = []
         for _, own in frame.groupby(["low", "u", "v"], sort=False):
-            points, more = unpacked(own["counts"])
+            points, more = unpacked(own["counts"], groups)
             kept.append(own.iloc[np.union1d(*_apart(own, points, more, own["n"].to_numpy(), percent))])
             del points, more
         give_back()
@@ -289,36 +317,37 @@ def _bounded(percent: int):
     return run
 
 
-def _sets_of(nodes: DataFrame, docs: DataFrame, chosen: DataFrame, size: int) -> DataFrame:
-    """The sets of some points, made again from one text of each."""
-    keys = written(chosen.join(nodes, "node").select("key", "node"), "set-keys")
-    texts = only_keys(docs.select("key", "text"), keys).join(keys, "key").select("node", "text")
-    return written(texts.mapInArrow(_set_bytes(size), "node long, members binary"), "sets")
+def _sets_of(nodes: DataFrame, docs: DataFrame, chosen: DataFrame, size: int, more: str = "") -> DataFrame:
+    """The sets of some points, made again from one text of each, with the ``more`` columns of ``nodes``."""
+    keys = written(nodes.join(chosen.select("node", "key"), "node"), "set-keys")
+    texts = only_keys(docs.select("key", "text"), keys).join(keys, "key").select("node", "text", *[c for c in keys.columns if c not in ("node", "key")])
+    return texts.mapInArrow(_set_bytes(size), f"node long, members binary{more}")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, chosen: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs whose sets are similar; sets are made again for the texts of these pairs only."""
-    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    sets = _sets_of(nodes, docs, chosen, size)
-    parts = pairs.count() // TOGETHER + 1
-    dealt = pairs.select("a", "b", F.pmod(F.xxhash64("a", "b"), F.lit(parts)).alias("unit"))
-    needed = dealt.select("unit", F.explode(F.array("a", "b")).alias("node")).distinct()
-    held = needed.join(sets, "node").select(F.col("unit").alias("at"), "node", "members")
+    # neighbouring pairs are one unit: those of a leader need its set once
+    dealt = written(pairs.repartitionByRange(pairs.count() // TOGETHER + 1, "a", "b").select("a", "b", F.spark_partition_id().alias("unit")), "units")
+    needed = dealt.select("unit", F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.collect_set("unit").alias("units"))
+    held = _sets_of(needed, docs, chosen, size, ", units array<int>").select(F.explode("units").alias("at"), "node", "members")
     return dealt.groupBy("unit").cogroup(held.groupBy("at")).applyInPandas(_similar(percent), "a long, b long")
 
 
-def _leader_pairs(rows: DataFrame, chosen: DataFrame, picks: int, percent: int) -> DataFrame:
+def _leader_pairs(chosen: DataFrame, picks: int, percent: int) -> DataFrame:
     """Of the first ``picks`` shared n-grams of each point, in a hashed order: one point of the n-gram with the others, where the bound allows."""
-    order = F.struct(F.xxhash64("gram"), F.col("gram"))
-    first = rows.groupBy("node").agg(F.slice(F.array_sort(F.collect_list(order)), 1, picks).alias("g")).select("node", F.explode("g.gram").alias("gram"))
-    first = written(first, "first-grams")
-    lead = first.groupBy("gram").agg(F.min_by("node", F.xxhash64("node", "gram")).alias("leader"))
-    pairs = first.join(lead, "gram").filter("node <> leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-    left = chosen.select(F.col("node").alias("a"), F.col("n").alias("n"), F.col("counts").alias("x"))
-    right = chosen.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("counts").alias("y"))
-    sized = pairs.join(left, "a").join(right, "b").filter(100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
-    near = sized.select("a", "b", "n", "m", "x", "y").mapInArrow(_bounded(percent), "a long, b long")
-    return near
+    order = F.array_sort(F.transform("grams", lambda g: F.struct(F.xxhash64(g), g.alias("gram"))))
+    first = written(chosen.select("node", "n", F.explode(F.slice(order, 1, picks)["gram"]).alias("gram")), "first-grams")
+    lead = first.groupBy("gram").agg(F.min_by(F.struct("node", "n"), F.xxhash64("node", "gram")).alias("lead"))
+    met = first.join(lead, "gram").select("node", "n", F.col("lead.node").alias("leader"), F.col("lead.n").alias("m")).filter(
+        (F.col("node") != F.col("leader")) & (100 * F.least("n", "m") >= percent * F.greatest("n", "m")))
+    # a pair once, whichever of the two led
+    pairs = met.groupBy(F.least("node", "leader").alias("x"), F.greatest("node", "leader").alias("y")).agg(F.min("leader").alias("a")).select(
+        "a", F.when(F.col("a") == F.col("x"), F.col("y")).otherwise(F.col("x")).alias("b"))
+    # dealt out by point once, for both sides
+    held = chosen.select("node", "n", "counts").repartition("node")
+    left = held.select(F.col("node").alias("a"), F.col("n").alias("n"), F.col("counts").alias("x"))
+    right = held.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("counts").alias("y"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "n", "m", "x", "y").mapInArrow(_bounded(percent), "a long, b long")
 
 
 def jaccard_join(df: DataFrame, size: int = 5, percent: int = 75, picks: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -347,14 +376,16 @@ def _joined(df: DataFrame, size: int, percent: int, picks: int, key: str, text:
     late = spark.sparkContext.broadcast((grams[order], rank[order]))
     points = written(docs.mapInArrow(_points(size, percent, late), "key long, n long, node long, counts binary, prefix array<long>"), "points")
     # dealt out by n-gram once, for the count and for the join
-    single = points.select("node", F.explode("prefix").alias("gram")).repartition("gram")
+    single = points.filter("node is not null").select("node", F.explode("prefix").alias("gram")).repartition("gram")
     shared = single.groupBy("gram").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").select("gram")
-    rows = written(single.join(shared.hint("shuffle_hash"), "gram").distinct(), "prefixes")
-    least = points.join(rows.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min("key").alias("key"))
-    chosen = written(points.select("key", "node", "n", "counts").join(least, ["key", "node"]).dropDuplicates(["node"]), "chosen")
-    pairs = written(_leader_pairs(rows, chosen, picks, percent), "pairs")
+    rows = single.join(shared.hint("shuffle_hash"), "gram").distinct().groupBy("node").agg(F.collect_list("gram").alias("grams"))
+    # copies are reduced before they are moved; a point of rows without a key has no key to read its text by
+    one = points.filter("key is not null and node is not null").groupBy("node").agg(F.min("key").alias("key"), F.first("n").alias("n"), F.first("counts").alias("counts"))
+    chosen = written(one.join(rows, "node").filter(_enough("size(grams)", percent)), "chosen")
+    pairs = written(_leader_pairs(chosen, picks, percent), "pairs")
     links = written(_verified(pairs, docs, chosen, size, percent), "links")
-    near = rows.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    near = chosen.select("node", "grams").join(components(links), "node", "left").select(
+        F.explode("grams").alias("gram"), "node", F.coalesce("component", "node").alias("component"))
     links = links.unionByName(written(_tree_join(near, docs, chosen, size, percent), "links"))
     labelled = points.select("key", "n", "node").join(components(links), "node", "left").withColumn("root", F.coalesce("component", "node"))
     smallest = labelled.filter("root is not null").groupBy("root").agg(F.min("key").alias("component_id"))
@@ -367,12 +398,17 @@ def _tree_join(rows: DataFrame, docs: DataFrame, chosen: DataFrame, size: int, p
 
     N-grams with the same smallest component are one bundle, so that a point and its set come once and not with each n-gram it shares with a family.
     A bundle is dealt out in units of two runs of about ``UNIT`` points. A first pass over the counts keeps the points with a possible partner, a second
-    one over the sets of these returns edges between components only, fewer than its points.
+    one over finer counts keeps those that still have one, a third one over the sets of these returns edges between components only, fewer than its points.
     """
-    grams = rows.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
-    live = written(rows.join(grams.select("gram", "low"), "gram").select("low", "node", "component").distinct(), "bundles")
-    runs = live.groupBy("low").agg(F.ceil(F.count("*") / UNIT).cast("int").alias("runs"))
-    dealt = live.join(runs, "low").withColumn("run", F.pmod(F.xxhash64("node"), F.col("runs")).cast("int"))
+    # dealt out by n-gram once, for the count and for the join
+    rows = rows.repartition("gram")
+    grams = rows.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("node").alias("first"), F.max("node").alias("last"))
+    grams = grams.filter("low <> high and first <> last").select("gram", "low")  # the nodes are named, so that both read the same rows
+    met = written(rows.join(grams.hint("shuffle_hash"), "gram").groupBy("low", "node", "component").agg(F.count("*").alias("grams")), "bundles")
+    enough = met.groupBy("node").agg(F.sum("grams").alias("grams")).join(chosen.select("node", "n"), "node").filter(_enough("grams", percent))
+    live = written(met.join(enough.select("node"), "node", "left_semi").select("low", "node", "component"), "bundles")
+    runs = live.groupBy("low").agg(F.ceil(F.count("*") / UNIT).cast("int").alias("runs"), F.min("component").alias("least"), F.max("component").alias("most"))
+    dealt = live.join(runs.filter("least <> most").select("low", "runs"), "low").withColumn("run", F.pmod(F.xxhash64("node"), F.col("runs")).cast("int"))
     # a point of run r meets run s in unit (min, max)
     unit = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("runs") - 1))).select(
         "low", F.least("run", "other").alias("u"), F.greatest("run", "other").alias("v"), "run", "node", "component")
@@ -381,7 +417,10 @@ def _tree_join(rows: DataFrame, docs: DataFrame, chosen: DataFrame, size: int, p
     counted = unit.withColumn("unit", F.pmod(place, F.lit(parts))).join(chosen.select("node", "n", "counts"), "node")
     shape = "low long, u int, v int, run int, node long, component long, n long"
     left = written(counted.groupBy("unit").applyInPandas(_promising(percent), shape), "promising")
+    sets = written(_sets_of(left.select("node").distinct(), docs, chosen, size), "sets")
+    parts = left.count() * FINE // SET_BYTES + 1
+    finer = left.withColumn("unit", F.pmod(place, F.lit(parts))).join(sets.mapInArrow(_fine_counts, "node long, counts binary"), "node")
+    left = written(finer.groupBy("unit").applyInPandas(_promising(percent, FINE), shape), "promising")
     parts = 8 * (left.agg(F.sum("n")).first()[0] or 0) // SET_BYTES + 1
-    sets = _sets_of(left.select("node").distinct(), docs, chosen, size)
-    full = left.withColumn("unit", F.pmod(place, F.lit(parts))).join(sets, "node")
+    full = left.withColumn("unit", F.pmod(place, F.lit(parts))).join(sets.join(left.select("node").distinct(), "node", "left_semi"), "node")
     return full.groupBy("unit").applyInPandas(_linked_points(percent), "a long, b long")

@@ -35,6 +35,25 @@ def test_jaccard_join(spark):
     assert jaccard.jaccard_join(docs.limit(0)).collect() == []
 
 
+def test_jaccard_moves_no_sets_of_unlike_texts(spark, monkeypatch):
+    # long texts in reach of each other by 512 counts: one half shares a sentence, the other a tenth of its words
+    common = [f"c{i}" for i in range(800)]
+    rows = [(k, " ".join((common[:9] if k < 12 else common) + [f"w{k}x{i}" for i in range(8000 - (9 if k < 12 else 800))])) for k in range(24)]
+    rows += [(50, rows[3][1] + " and more"), (51, rows[20][1] + " and more")]
+    sizes, write = {}, jaccard.written
+
+    def counted(df, name):
+        out = write(df, name)
+        sizes[name] = out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "written", counted)
+    got = {r.doc_id: r.component_id for r in jaccard.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {k: k for k in range(24)} | {50: 3, 51: 20}
+    # of the first half two are left, and the last pass gets nothing
+    assert sizes["chosen"] == 3 + 12 and sizes["promising"] == 0
+
+
 def test_tree_join_loses_no_pair():
     rnd = np.random.default_rng(1)
     base = rnd.integers(0, 6, (40, jaccard.GROUPS))
