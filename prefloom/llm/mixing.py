@@ -12,17 +12,24 @@ caller gives target weights, shares follow the weights alone, and the frame grow
 from __future__ import annotations
 
 from heapq import heapify, heappop, heappush
-from math import ceil, fsum
+from math import ceil, fsum, inf
 
 import pyarrow as pa
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from prefloom.sources.scratch import written
+
 #: Key ranges into which the rows of each source are dealt to be numbered; every range is numbered on its own.
 BUCKETS = 1024
 #: A source to so many slots at most gets its slot in advance.
 CROWDED = 20
 #: A frame grows up to so many slots for small weights, or to ``CROWDED`` for each source; what is smaller still has one slot.
 MOST = 1 << 20
+#: Tables of so many sources at most are sent to all tasks.
+SENT = 1000
+#: Rows of a partition of the mixed order, at least.
+LEAST = 32
 
 
 def shares(sizes: DataFrame, power: float = 0.5, frame: int = 1000) -> DataFrame:
@@ -143,20 +150,88 @@ def mix_sources(df: DataFrame, block: int = 10, frame: int = 1000, power: float
     ``targets`` holds ``(source, weight)``, in place of ``n ** power``; a source without a positive weight is an error, weights of absent sources are not
     read. Slots follow the weights rounded to whole shares of the frame.
     """
-    return _placed(df.select(F.col(key).alias("key"), F.col(source).cast("string").alias("source")), block, frame, power, [], targets).withColumnsRenamed(
-        {"key": key, "source": source})
+    rows = _dealt(df.select(F.col(key).alias("key"), F.col(source).cast("string").alias("source")))
+    offsets, slots, frame, n = _plan(rows, frame, power, targets)
+    return _scheduled(_ranked(rows, offsets, n), slots, block, frame, n).select(
+        F.col("key").alias(key), F.col("source").alias(source), "share", "block", "release", "deadline", "slot", "place")
 
 
 def mixed_rows(df: DataFrame, block: int = 10, frame: int = 1000, power: float = 0.5, key: str = "doc_id", source: str = "source",
                targets: DataFrame | None = None) -> DataFrame:
-    """The rows of ``df``, with all their columns, in the mixed order: range partitions by slot, sorted inside. Cases as in ``mix_sources``."""
-    rows = df.select(F.col(key).alias("key"), F.col(source).cast("string").alias("source"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
-    return _placed(rows, block, frame, power, ["row"], targets).repartitionByRange("slot", "place").sortWithinPartitions("slot", "place").select("row.*")
+    """The rows of ``df``, with all their columns, in the mixed order: partitions by slot, sorted inside. Cases as in ``mix_sources``.
+
+    Keys and sources alone are numbered first, which tells for every run of hashes the partition its slots lie in. Whole rows then move once, into their
+    partition, and are numbered there. Rows with equal keys that lie in several partitions are numbered before, as nothing else tells them apart; so
+    are all rows where there are more than ``SENT`` sources.
+    """
+    named = df.select(F.col(key).alias("key"), F.col(source).cast("string").alias("source"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
+    rows = _dealt(named)
+    offsets, slots, frame, n = _plan(rows, frame, power, targets)
+    if n > SENT:
+        placed = _scheduled(_ranked(rows, offsets, n), slots, block, frame, n)
+        return placed.repartitionByRange("slot", "place").sortWithinPartitions("slot", "place").select("row.*")
+    keys = _scheduled(_ranked(rows.drop("row"), offsets, n), slots, block, frame, n)
+    keys = written(keys.select("key", "source", "h", "bucket", "rank", "share", "slot"), "mixed-keys")
+    parts = max(1, min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), ceil(keys.count() / LEAST)))
+    segments = written(_segments(_in_parts(keys, parts)), "mixed-segments")
+    held = segments.groupBy(F.col("source").alias("s"), F.col("bucket").alias("b"), "share").agg(
+        F.array_sort(F.collect_list(F.struct("start", "part", "low", "tied"))).alias("segments"))
+    met = rows.join(F.broadcast(held), rows["source"].eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
+    own = F.struct("h", "key")
+    moved = met.withColumn("segment", F.element_at(F.filter("segments", lambda s: s["low"].isNull() | (s["low"] <= own)), -1))
+    if not segments.filter("tied").isEmpty():
+        tied = F.exists("segments", lambda s: s["tied"] & s["low"].eqNullSafe(own))
+        # at most one run of equal keys for each end of a segment
+        ends = F.broadcast(segments.filter("tied").select(F.col("source").alias("s"), F.col("bucket").alias("b"), "low").distinct())
+        runs = keys.join(ends, keys["source"].eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")) & own.eqNullSafe(F.col("low")), "left_semi")
+        runs = F.broadcast(runs.groupBy(F.col("source").alias("rs"), F.col("bucket").alias("rb"), own.alias("run")).agg(F.min("rank").alias("first")))
+        equal = met.filter(tied).join(runs, F.col("source").eqNullSafe(F.col("rs")) & (F.col("bucket") == F.col("rb")) & own.eqNullSafe(F.col("run")))
+        equal = equal.withColumn("rank", F.col("first") + F.row_number().over(Window.partitionBy("source", "bucket", "run").orderBy("h")) - 1)
+        equal = equal.withColumn("segment", F.element_at(F.filter("segments", lambda s: s["start"] <= F.col("rank")), -1))
+        moved = moved.filter(~tied).unionByName(equal.select(*moved.columns))
+    moved = moved.select("source", "share", "h", "key", "row", F.col("segment.part").alias("part"), F.col("segment.start").alias("start"))
+    moved = moved.repartitionById(parts, "part")
+    rank = F.col("start") + F.row_number().over(Window.partitionBy("part", "source", "start").orderBy("h", "key")) - 1
+    placed = _scheduled(moved.withColumn("rank", rank), slots, block, frame, n)
+    return placed.sortWithinPartitions("slot", "place").select("row.*")
+
+
+def _in_parts(keys: DataFrame, parts: int) -> DataFrame:
+    """``keys`` with ``part``: runs of slots with like numbers of rows, ``parts`` at most."""
+    if parts == 1:
+        return keys.withColumn("part", F.lit(0))
+    # bounded: one slot per partition
+    ends = keys.agg(F.percentile_approx("slot", [i / parts for i in range(1, parts)], 10 * parts)).first()[0]
+    splits = [-inf, *sorted({end + 1.0 for end in ends}), inf]
+    held = Bucketizer(splits=splits, inputCol="at", outputCol="part").transform(keys.withColumn("at", F.col("slot").cast("double")))
+    return held.withColumn("part", F.col("part").cast("int")).drop("at")
 
 
-def _placed(rows: DataFrame, block: int, frame: int, power: float, carried: list[str], targets: DataFrame | None) -> DataFrame:
+def _segments(keys: DataFrame) -> DataFrame:
+    """``(source, bucket, share, start, part, low, tied)``: for every bucket and part its first rank; its lowest hash and key, null in the first part of a
+    bucket; and whether these are also the highest of the part before."""
+    own = F.struct("h", "key")
+    ends = keys.groupBy("source", "bucket", "share", "part").agg(F.min("rank").alias("start"), F.min(own).alias("low"), F.max(own).alias("high"))
+    before = F.lag("high").over(Window.partitionBy("source", "bucket").orderBy("start"))
+    ends = ends.withColumn("before", before)
+    return ends.select("source", "bucket", "share", "start", "part", F.when(F.col("before").isNotNull(), F.col("low")).alias("low"),
+                       (F.col("before").isNotNull() & F.col("low").eqNullSafe(F.col("before"))).alias("tied"))
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    """``rows`` with the hash of their key and the range of hashes it lies in."""
     rows = rows.withColumn("h", F.md5(F.coalesce(F.col("key").cast("string"), F.lit(""))))
-    rows = rows.withColumn("bucket", F.conv(F.substring("h", 1, 8), 16, 10).cast("long") * BUCKETS / F.lit(1 << 32)).withColumn("bucket", F.floor("bucket"))
+    rows = rows.withColumn("bucket", F.conv(F.substring("h", 1, 8), 16, 10).cast("long") * BUCKETS / F.lit(1 << 32))
+    return rows.withColumn("bucket", F.floor("bucket"))
+
+
+def _sent(small: DataFrame, n: int) -> DataFrame:
+    # few sources: one row per source and range, and one per slot of a frame, are bounded by parameters
+    return F.broadcast(small) if n <= SENT else small
+
+
+def _plan(rows: DataFrame, frame: int, power: float, targets: DataFrame | None) -> tuple[DataFrame, DataFrame, int, int]:
+    """``(s, b, before, share)`` of every range of hashes, ``(s, in_frame, at)`` of every slot of a frame, the frame, and the number of sources."""
     sizes = rows.groupBy("source", "bucket").agg(F.count("*").alias("n"))
     before = sizes.withColumn("before", F.sum("n").over(Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)))
     totals = sizes.groupBy("source").agg(F.sum("n").alias("n"))
@@ -166,19 +241,25 @@ def _placed(rows: DataFrame, block: int, frame: int, power: float, carried: list
         slots = frame_slots(weights, frame)
     else:
         weights, slots, frame = _weighted_plan(totals, frame, power, targets)
-    # few sources: one row per source and range, and one per slot of a frame, are bounded by parameters
-    sent = F.broadcast if n <= 1000 else lambda small: small
-    offsets = before.join(sent(weights.select("source", "share")), before["source"].eqNullSafe(weights["source"])).select(
+    offsets = before.join(_sent(weights.select("source", "share"), n), before["source"].eqNullSafe(weights["source"])).select(
         before["source"].alias("s"), F.col("bucket").alias("b"), F.coalesce("before", F.lit(0)).alias("before"), "share")
+    return offsets, slots.select(F.col("source").alias("s"), "in_frame", F.col("slot").alias("at")), frame, n
+
+
+def _ranked(rows: DataFrame, offsets: DataFrame, n: int) -> DataFrame:
+    """``rows`` with the share of their source and their rank in it."""
     numbered = rows.withColumn("rn", F.row_number().over(Window.partitionBy("source", "bucket").orderBy("h", "key")))
-    ranked = numbered.join(sent(offsets), numbered["source"].eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
-    ranked = ranked.withColumn("rank", F.col("before") + F.col("rn") - 1).withColumn("block", F.floor(F.col("rank") / block)).select(
-        "key", "source", "share", "block", (F.col("rank") % block).alias("place"), (F.col("block") % F.col("share")).alias("j"), *carried)
-    slots = slots.select(F.col("source").alias("s"), "in_frame", F.col("slot").alias("at"))
-    placed = ranked.join(sent(slots), ranked["source"].eqNullSafe(F.col("s")) & (F.col("j") == F.col("in_frame")))
+    ranked = numbered.join(_sent(offsets, n), numbered["source"].eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
+    return ranked.withColumn("rank", F.col("before") + F.col("rn") - 1).drop("rn", "before", "s", "b")
+
+
+def _scheduled(ranked: DataFrame, slots: DataFrame, block: int, frame: int, n: int) -> DataFrame:
+    """``ranked`` with ``block``, ``release``, ``deadline``, ``slot`` and ``place``."""
+    ranked = ranked.withColumn("block", F.floor(F.col("rank") / block)).withColumns(
+        {"place": F.col("rank") % block, "j": F.col("block") % F.col("share")})
+    placed = ranked.join(_sent(slots, n), ranked["source"].eqNullSafe(F.col("s")) & (F.col("j") == F.col("in_frame")))
     turn = F.floor(F.col("block") / F.col("share")) * F.lit(frame)
-    return placed.select(
-        "key", "source", "share", "block",
-        (turn + F.floor(F.col("j") * F.lit(frame) / F.col("share"))).alias("release"),
-        (turn + F.floor(((F.col("j") + 1) * F.lit(frame) + F.col("share") - 1) / F.col("share"))).alias("deadline"),
-        (turn + F.col("at")).alias("slot"), "place", *carried)
+    return placed.withColumns({
+        "release": turn + F.floor(F.col("j") * F.lit(frame) / F.col("share")),
+        "deadline": turn + F.floor(((F.col("j") + 1) * F.lit(frame) + F.col("share") - 1) / F.col("share")),
+        "slot": turn + F.col("at")}).drop("s", "in_frame", "at", "j")

@@ -1,6 +1,7 @@
 import collections
 
 import pytest
+from pyspark.sql import functions as F
 
 from llm.brute import odd_documents
 from prefloom.llm import mixing
@@ -82,3 +83,19 @@ def test_target_weights(spark):
     assert len(got) == 900 and check_schedule(got, 10) == {"a": 7, "b": 2, None: 1}
     with pytest.raises(ValueError, match="positive target weight"):
         mixing.mix_sources(df, targets=targets.filter("source = 'a'"))
+
+
+@pytest.mark.parametrize("keys", [lambda i: i, lambda i: None if i % 3 else i % 40])
+def test_whole_rows_move_once(spark, keys):
+    """In the order of the schedule, over several partitions, also where rows without a key or with equal ones lie in more than one of them."""
+    rows = [(keys(i), f"t{i}", [None, "a", "a", "a", "b"][i % 5]) for i in range(1500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mixed = mixing.mixed_rows(df)
+    got = mixed.withColumn("part", F.spark_partition_id()).collect()
+    assert len({r.part for r in got}) > 2 and [r.part for r in got] == sorted(r.part for r in got)
+    want = mixing.mix_sources(df).orderBy("slot", "place").collect()
+    assert [(r.source, r.doc_id) for r in got] == [(r.source, r.doc_id) for r in want]
+    assert sorted(r.text for r in got) == sorted(r[1] for r in rows)
+    if keys(1) == 1:
+        plan = mixed._jdf.queryExecution().executedPlan().toString()
+        assert plan[:plan.index("BroadcastExchange")].count("Exchange ") == 1

@@ -39,6 +39,20 @@ def test_run(spark, folder):
     assert corpus_pipeline.run(spark, folder).count() > 20
 
 
+def test_rows_without_copies_stay_where_they_are(spark, tmp_path):
+    words = lambda i: " ".join(f"w{(i * 37 + k * k * 11) % 9973}x{i}" for k in range(20))
+    rows = [(i, words(i)) for i in range(60)]
+    rows += [(100 + i, words(i)) for i in range(5)] + [(200, words(7) + " end"), (10, words(10)), (11, words(61)), (2, words(1)), (None, words(3)), (None, None), (300, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/d")
+    got = corpus_pipeline.stages.drop_near_copies(spark, spark.read.parquet(f"{tmp_path}/d"), "")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan[:plan.index("Scan parquet")]
+    # of equal rows one stays, and rows of one key with different texts both do unless one is a copy of a smaller key's
+    want = collections.Counter([(i, words(i)) for i in range(60)] + [(11, words(61)), (None, words(3)), (None, None), (300, None)])
+    want += collections.Counter([(2, words(1))])
+    assert collections.Counter((r.doc_id, r.text) for r in got.collect()) == want
+
+
 def pfair_walk(rows, block=10, frame=1000):
     """Keys of ``(key, source)`` in the order of a plain walk over the slots of one frame."""
     own = collections.defaultdict(list)
