@@ -91,11 +91,11 @@ def test_whole_rows_move_once(spark, keys):
     rows = [(keys(i), f"t{i}", [None, "a", "a", "a", "b"][i % 5]) for i in range(1500)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     mixed = mixing.mixed_rows(df)
+    if keys(1) == 1:
+        plan = mixed._jdf.queryExecution().executedPlan().toString()
+        assert plan[:plan.index("BroadcastExchange")].count("Exchange ") == 1
     got = mixed.withColumn("part", F.spark_partition_id()).collect()
     assert len({r.part for r in got}) > 2 and [r.part for r in got] == sorted(r.part for r in got)
     want = mixing.mix_sources(df).orderBy("slot", "place").collect()
     assert [(r.source, r.doc_id) for r in got] == [(r.source, r.doc_id) for r in want]
     assert sorted(r.text for r in got) == sorted(r[1] for r in rows)
-    if keys(1) == 1:
-        plan = mixed._jdf.queryExecution().executedPlan().toString()
-        assert plan[:plan.index("BroadcastExchange")].count("Exchange ") == 1
